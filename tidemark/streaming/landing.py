@@ -16,12 +16,10 @@ from tidemark.session import utc_now
 from tidemark.sources.csv_files import (
     CSV_GLOB,
     INLINE_BYTES,
-    PARSED,
     as_messages,
     below,
     entity_of,
     parse_files,
-    with_file_identity,
 )
 from tidemark.sources.large_files import parse_large_files
 from tidemark.sources.tables import Run, Tables
