@@ -23,8 +23,8 @@ def running_sums(df: DataFrame, order: Sequence[str], measures: dict[str, str])
     is summed on its own, and the totals of the slices before it are added. Those totals are one
     row per shuffle partition, which bounds the broadcast and the one single-task window.
 
-    The slices are written to the checkpoint folder, because the range bounds are sampled and
-    both passes must see the same ones, also after an executor is lost.
+    The slices are written to the shared folder, because the range bounds are sampled and both
+    passes must see the same ones, also after an executor is lost.
     """
     sliced = materialized(
         df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()))

@@ -20,12 +20,9 @@ def refresh_gold_transactions(tables: Tables, now: datetime | None = None,
     now = now or utc_now()
     mark = watermark(tables.read("gold_transactions"), "_ingested_at", now)
     fresh = enrich(tables.read("silver_transactions"), tables.read("silver_customers"), mark, now)
-    run = tables.run()
-    rows = merge_into(run, "gold_transactions", fresh, "transaction_id",
-                      on_duplicate=on_duplicate)
-    if rows:
-        run.publish()
-    return rows
+    with tables.run() as run:
+        return merge_into(run, "gold_transactions", fresh, "transaction_id",
+                          on_duplicate=on_duplicate)
 
 
 def refresh_gold_full(tables: Tables, now: datetime | None = None) -> None:
@@ -33,6 +30,5 @@ def refresh_gold_full(tables: Tables, now: datetime | None = None) -> None:
     tables.recover()
     everything = enrich(tables.read("silver_transactions"), tables.read("silver_customers"),
                         EPOCH, now or utc_now())
-    run = tables.run()
-    replace_all(run, "gold_transactions", everything)
-    run.publish()
+    with tables.run() as run:
+        replace_all(run, "gold_transactions", everything)

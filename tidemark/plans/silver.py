@@ -101,22 +101,21 @@ def _refresh(tables: Tables, entity: str, now: datetime | None, mark: datetime |
         mark = watermark(tables.read(silver), "_metadata.publish_time", now)
     events = new_events(tables.read("landing_events", with_files=True), entity, mark)
     identity = ("_file", "_row")
-    newest = materialized(newest_messages(events.drop("data"), identity))
-    messages = newest.count()
-    if not messages:
-        return 0
-    if messages <= BROADCAST_MESSAGES:
-        newest = F.broadcast(newest)
-    records = explode_records(latest_per_path(events, identity, newest), fields)
-    run = tables.run()
-    if id_mode == "quarantine":
-        run.add("malformed_records", _malformed(records, fields, now))
-        records = records.filter(well_formed_customer_id("customer_id"))
-    newer = [F.col(c) for c in UPLOAD_ORDER]
-    rows = merge_into(run, silver, clean(records, now, id_mode), key, newer=newer,
-                      on_duplicate=on_duplicate)
-    run.add("ledger", _consumed(events, newest, identity, now))
-    run.publish()
+    with tables.run() as run:
+        newest = materialized(newest_messages(events.drop("data"), identity),
+                              run.scratch("newest"))
+        messages = newest.count()
+        if not messages:
+            return 0
+        if messages <= BROADCAST_MESSAGES:
+            newest = F.broadcast(newest)
+        records = explode_records(latest_per_path(events, identity, newest), fields)
+        if id_mode == "quarantine":
+            run.add("malformed_records", _malformed(records, fields, now))
+            records = records.filter(well_formed_customer_id("customer_id"))
+        rows = merge_into(run, silver, clean(records, now, id_mode), key,
+                          newer=[F.col(c) for c in UPLOAD_ORDER], on_duplicate=on_duplicate)
+        run.add("ledger", _consumed(events, newest, identity, now))
     return rows
 
 

@@ -24,17 +24,15 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session may go without it; it then gets a folder of its own.
     """
-    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        app = context.applicationId
-        folder = _own_folders.setdefault(app, "") or tempfile.mkdtemp(prefix="tidemark-")
-        _own_folders[app] = folder
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+    return _own_folders[context.applicationId]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -42,10 +40,15 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder once; later reads do not recompute it."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialized(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back.
+
+    Later passes then neither recompute it nor depend on executors that may be lost, read only
+    the columns they need, and know its size when they choose a join.
+    """
+    folder = folder or new_folder(df.sparkSession, "kept")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def utc_now() -> datetime:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import materialized
+from tidemark.session import materialized, new_folder
 from tidemark.sources.csv_files import PARSED, records_as_json
 from tidemark.sources.storage import Storage
 
@@ -180,13 +180,14 @@ def _chunk_parser(headers: dict[str, list[str]], marked: set[str]) -> Callable:
     return parse
 
 
-def parse_large_files(spark: SparkSession, paths: list[str],
+def parse_large_files(spark: SparkSession, paths: list[str], scratch: str | None = None,
                       chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """As ``parse_files``, but one row per chunk of a file; an unreadable file gives one row.
 
     Goes through the driver: the names of these files and their header lines.
     """
     storage = Storage(spark)
+    scratch = scratch or new_folder(spark, "large")
     known = (spark.read.format("binaryFile").load(paths)
              .select("path", "modificationTime", "length", F.col("_metadata.file_path").alias("file")))
     text = F.col("value")
@@ -195,7 +196,8 @@ def parse_large_files(spark: SparkSession, paths: list[str],
         F.col("_metadata.file_block_start").alias("block"),
         F.make_valid_utf8(text).alias("value"), F.is_valid_utf8(text).alias("valid")))
 
-    chained = materialized(_chained(lines.mapInPandas(_scan(chunk_bytes, False), _BLOCKS)))
+    chained = materialized(_chained(lines.mapInPandas(_scan(chunk_bytes, False), _BLOCKS)),
+                           f"{scratch}/blocks")
     headers, marked = {}, set()
     for row in chained.filter("block = 0").select("file", "header").collect():
         path = storage.from_uri(row["file"])
@@ -217,7 +219,7 @@ def parse_large_files(spark: SparkSession, paths: list[str],
                      F.when(place > 0, F.col("block") + place - 1)
                      .otherwise(F.col("carried")).alias("part")))
     chunks = materialized(parts.groupBy("file", "part").applyInPandas(
-        _chunk_parser(headers, marked), _CHUNKS))
+        _chunk_parser(headers, marked), _CHUNKS), f"{scratch}/chunks")
 
     failed = unreadable.unionByName(
         chunks.filter(F.col("error").isNotNull()).groupBy("file")

@@ -31,8 +31,8 @@ class Tables:
         self.spark = utc_session(spark)
         self.storage = Storage(spark)
         self.root = self.storage.qualified(root)
-        for name in LAYOUTS:
-            self.storage.make_folder(self.path(name))
+        for name in (*LAYOUTS, "_pending", "_done"):
+            self.storage.make_folder(f"{self.root}/{name}")
         self.recover()
 
     def path(self, name: str) -> str:
@@ -76,11 +76,11 @@ class Tables:
         note = f"{self.root}/_pending/{run_id}.json"
         plan = json.loads(self.storage.read_text(note))
         staged = f"{self.root}/_staged/{run_id}"
-        moves = [(f"{staged}/{part}/{file}", f"{self.path(table)}/{file}")
-                 for table, parts in plan["added"].items() for part in parts
-                 for file in self.storage.data_files(f"{staged}/{part}")]
         with ThreadPoolExecutor(_MOVES_AT_ONCE) as pool:
-            list(pool.map(lambda pair: self.storage.move(*pair), moves))
+            for table, parts in plan["added"].items():
+                for part in parts:  # in turn: a part may bring the folder the next one fills
+                    moves = self.storage.moves(f"{staged}/{part}", self.path(table))
+                    list(pool.map(lambda pair: self.storage.move(*pair), moves))
             list(pool.map(self.storage.remove, plan["removed"]))
         if plan["remember"]:
             self.storage.make_folder(f"{self.root}/_done/{run_id}")
@@ -89,7 +89,7 @@ class Tables:
 
 
 class Run:
-    """One change of one or more tables that takes effect as a whole."""
+    """One change of one or more tables that takes effect as a whole, at the end of its ``with``."""
 
     def __init__(self, tables: Tables, run_id: str | None = None):
         self.tables = tables
@@ -100,6 +100,7 @@ class Run:
         tables.storage.remove(self.folder_root, whole_folder=True)
         self._added: dict[str, list[str]] = {}
         self._removed: list[str] = []
+        self._scratched = 0
 
     def add(self, name: str, rows: DataFrame) -> None:
         """Stage rows for a table, in its partitions and sorted by its clustering columns.
@@ -126,6 +127,20 @@ class Run:
     def remove(self, files: Iterable[str]) -> None:
         self._removed.extend(files)
 
+    def scratch(self, label: str) -> str:
+        """A folder for intermediate rows, gone when the run has ended."""
+        self._scratched += 1
+        return f"{self.folder_root}/scratch/{label}-{self._scratched}"
+
+    def __enter__(self) -> Run:
+        return self
+
+    def __exit__(self, failure: type[BaseException] | None, *_: object) -> None:
+        if failure is None and (self._added or self._removed):
+            self.publish()
+        else:
+            self.tables.storage.remove(self.folder_root, whole_folder=True)
+
     def publish(self) -> None:
         plan = {"added": self._added, "removed": self._removed, "remember": self.remember}
         self.tables.storage.write_text(
@@ -137,14 +152,15 @@ def merge_into(run: Run, name: str, source: DataFrame, key: str, version: str =
                newer: Sequence[Column] = (), on_duplicate: str = "error") -> int:
     """Stage the upsert of ``source`` into a table; returns the number of source rows kept.
 
-    The batch is computed once and kept in the checkpoint folder. Of the table only key and
+    The batch is computed once and kept beside the staged files. Of the table only key and
     version are read, within the key range of the batch, which skips row groups where keys grow
     with time. Full rows are read from files that hold replaced rows.
     """
     tables = run.tables
     schema = LAYOUTS[name].schema
     changes = materialized(
-        newest_per_key(source, key, version, newer, on_duplicate, schema.names))
+        newest_per_key(source, key, version, newer, on_duplicate, schema.names),
+        run.scratch("changes"))
     span = changes.agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("low"),
                        F.max(key).alias("high")).first()
     if not span["rows"]:
@@ -154,7 +170,7 @@ def merge_into(run: Run, name: str, source: DataFrame, key: str, version: str =
         keys = keys.limit(0)
     else:
         keys = keys.filter(F.col(key).between(span["low"], span["high"]))
-    matches = materialized(find_matches(changes, keys, key, version))
+    matches = materialized(find_matches(changes, keys, key, version), run.scratch("matches"))
     touched = [tables.storage.from_uri(r["_file"])
                for r in matches.filter("_newer").select("_file").distinct().collect()]
     rows = rows_to_write(changes, matches, key)
@@ -169,7 +185,6 @@ def merge_into(run: Run, name: str, source: DataFrame, key: str, version: str =
 def replace_all(run: Run, name: str, rows: DataFrame) -> None:
     """Stage ``rows`` as the whole new content of a table."""
     run.add(name, rows)
-    folder = run.tables.path(name)
-    run.remove(f"{folder}/{file}" for file in run.tables.storage.data_files(folder))
+    run.remove(run.tables.storage.data_files(run.tables.path(name)))
 
 

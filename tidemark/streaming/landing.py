@@ -79,16 +79,15 @@ def land_batch(tables: Tables, root: str, rows: DataFrame, run_id: str,
     """Make one batch of outcomes visible, exactly once for its ``run_id``."""
     if tables.landed(run_id):
         return
-    run = tables.run(run_id)
-    folder = _stage(run, rows, "files")
-    large = f"{folder}/outcome=large"
-    if tables.storage.exists(large):
-        paths = [r["path"] for r in
-                 tables.spark.read.parquet(large).select("path").toLocalIterator()]
-        chunks = parse_large_files(tables.spark, paths)
-        _stage(run, _outcomes(chunks, root, F.lit(published), _parsed_outcome(), F.lit(1)),
-               "large")
-    run.publish()
+    with tables.run(run_id) as run:
+        folder = _stage(run, rows, "files")
+        large = f"{folder}/outcome=large"
+        if tables.storage.exists(large):
+            paths = [r["path"] for r in
+                     tables.spark.read.parquet(large).select("path").toLocalIterator()]
+            chunks = parse_large_files(tables.spark, paths, run.scratch("large"))
+            _stage(run, _outcomes(chunks, root, F.lit(published), _parsed_outcome(), F.lit(1)),
+                   "large")
 
 
 def start_landing(spark: SparkSession, landing_dir: str, tables: Tables, checkpoint: str,
@@ -138,8 +137,7 @@ def retry_quarantined(tables: Tables, landing_dir: str, now: datetime | None = N
     tried = tables.spark.createDataFrame(list(due.items()), "path string, tried int")
     files = tables.spark.read.format("binaryFile").load(list(due))
     parsed = parse_files(files).join(F.broadcast(tried), "path")
-    run = tables.run()
-    _stage(run, _outcomes(parsed, root, F.lit(now), _parsed_outcome(), F.col("tried") + 1),
-           "files")
-    run.publish()
+    with tables.run() as run:
+        _stage(run, _outcomes(parsed, root, F.lit(now), _parsed_outcome(), F.col("tried") + 1),
+               "files")
     return len(due)

@@ -335,6 +335,6 @@ FROM gold"""),
         CUSTOMERS, TRANSACTIONS, f"gold AS ({_named('transactions')})", body="""
 SELECT transaction_id, customer_id, customer_name,
        CAST(transaction_amount AS DOUBLE) AS transaction_amount,
-       CAST(_ingested_at AS DATE) AS _ingested_date
+       CAST(date_trunc('quarter', _ingested_at) AS DATE) AS _ingested_date
 FROM gold WHERE transaction_status = 'approved' AND transaction_type = 'buy'"""),
 }

@@ -14,7 +14,7 @@ from tidemark.operators.incremental import EPOCH
 from tidemark.plans import gold as gold_plan
 from tidemark.plans import lineage, reports, silver, views
 from tidemark.plans.medallion import refresh_all
-from tidemark.session import new_folder
+from tidemark.session import materialized, new_folder
 from tidemark.sources import parse_files
 from tidemark.sources.csv_files import as_messages
 from tidemark.sources.large_files import parse_large_files
@@ -423,8 +423,8 @@ def refresh_gold_full(spark, sf_dir):
     _land(spark, base, tables, after=refresh_all)
     _deliver(_customer_file(spark, sf_dir), f"{base}/landing/entity=customers/{DAY}")
     _land(spark, base, tables, after=refresh_all)
-    stale = tables.read("gold_transactions").select(
-        "transaction_id", F.col("customer_name").alias("name_before")).checkpoint()
+    stale = materialized(tables.read("gold_transactions").select(
+        "transaction_id", F.col("customer_name").alias("name_before")))
     gold_plan.refresh_gold_full(tables)
     return _gold_rows(tables).join(stale, "transaction_id").select(
         "transaction_id", "customer_id", "name_before", "customer_name")
@@ -435,10 +435,11 @@ def gold_table_scan(spark, sf_dir):
     """Gold written in its partitions and clustering, and read back by a clustered filter."""
     tables = Tables(spark, f"{new_folder(spark, 'scan')}/tables")
     named = op.enrich(e.transactions(spark, sf_dir), e.silver_customers(spark, sf_dir), EPOCH, NOW)
-    run = tables.run()
-    run.add("gold_transactions", named.withColumns(
-        {c: F.col(c).cast("double") for c in ("transaction_amount", "qtty", "price")}))
-    run.publish()
+    typed = {c: F.col(c).cast("double") for c in ("transaction_amount", "qtty", "price")}
+    with tables.run() as run:
+        # One ingestion per quarter; one per order date would make thousands of partitions.
+        run.add("gold_transactions", named.withColumns(
+            {**typed, "_ingested_at": F.date_trunc("quarter", "_ingested_at")}))
     approved = tables.read("gold_transactions").filter(
         (F.col("transaction_status") == "approved") & (F.col("transaction_type") == "buy"))
     return approved.select("transaction_id", "customer_id", "customer_name",
