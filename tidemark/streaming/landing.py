@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import logging
+import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +20,11 @@ from tidemark.sources.csv_files import (
     below,
     entity_of,
     parse_files,
+    with_file_identity,
 )
 from tidemark.sources.large_files import parse_large_files
 from tidemark.sources.tables import Run, Tables
 
-log = logging.getLogger(__name__)
-
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 FILES_PER_BATCH = 100_000
 MAX_ATTEMPTS = 5
@@ -90,6 +89,55 @@ def land_batch(tables: Tables, root: str, rows: DataFrame, run_id: str,
                    "large")
 
 
+def _files_below(tables: Tables, root: str) -> DataFrame:
+    return (tables.spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB)
+            .option("recursiveFileLookup", "true").load(root)
+            .select("path", "modificationTime", "length"))
+
+
+def _landing_days(tables: Tables) -> list[str]:
+    """Days on which files were landed or quarantined, from the partition folders."""
+    label = "_publish_date="
+    return [name.removeprefix(label) for table in ("landing_events", "quarantine")
+            for name in tables.storage.children(tables.path(table)) if name.startswith(label)]
+
+
+def reuploads(tables: Tables, landing_dir: str) -> DataFrame:
+    """Files that replaced one already landed (or quarantined) and have not landed themselves.
+
+    A file stream takes each path once, so replaced files are found by their audit id, which
+    changes with every upload. Only uploads since the day before the last landing are looked at,
+    and only messages since then: older uploads were looked at by the runs before.
+    """
+    root = tables.storage.qualified(landing_dir)
+    raw, aside = tables.read("landing_events"), tables.read("quarantine")
+    since = date.fromisoformat(max(_landing_days(tables))) - timedelta(days=1)
+    a = F.col("attributes")
+    recent = F.col("_publish_date") >= F.lit(since)
+    landed = raw.filter(recent).select(a["audit_id"].alias("audit_id")).unionByName(
+        aside.filter(recent).select("audit_id"))
+    paths = raw.select(a["source_path"].alias("source_path")).unionByName(
+        aside.select("source_path"))
+    fresh = _files_below(tables, root).filter(F.col("modificationTime") >= F.lit(since))
+    return (with_file_identity(fresh, root).filter(F.col("entity").isNotNull())
+            .join(landed, "audit_id", "left_anti")
+            .join(paths, "source_path", "left_semi")
+            .select("path", "modificationTime", "length"))
+
+
+def land_reuploads(tables: Tables, landing_dir: str, inline_bytes: int = INLINE_BYTES) -> int:
+    """Land replaced files; returns how many. The driver sees their paths only."""
+    if not _landing_days(tables):
+        return 0
+    paths = [r["path"] for r in reuploads(tables, landing_dir).toLocalIterator()]
+    if paths:
+        root, now = tables.storage.qualified(landing_dir), utc_now()
+        files = tables.spark.read.format("binaryFile").load(paths)
+        land_batch(tables, root, outcomes_of(files, root, F.lit(now), inline_bytes),
+                   uuid.uuid4().hex, now)
+    return len(paths)
+
+
 def start_landing(spark: SparkSession, landing_dir: str, tables: Tables, checkpoint: str,
                   trigger: dict | None = None, files_per_batch: int = FILES_PER_BATCH,
                   inline_bytes: int = INLINE_BYTES, archive_dir: str | None = None,
@@ -98,8 +146,9 @@ def start_landing(spark: SparkSession, landing_dir: str, tables: Tables, checkpo
     """Watch a folder and land each new ``.csv`` file below it, then refresh silver and gold.
 
     By default takes what is there and stops; pass ``trigger={"processingTime": "1 minute"}`` to
-    keep running. ``archive_dir`` moves finished files away, which keeps the listing short.
-    A failing refresh stops the query; on restart its batch is not landed twice but refreshed.
+    keep running. Replaced files are taken at the start and after each batch. ``archive_dir``
+    moves finished files away, which keeps the listing short. A failing refresh stops the query;
+    on restart its batch is not landed twice but refreshed.
     """
     root = tables.storage.qualified(landing_dir)
     source = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
@@ -110,9 +159,12 @@ def start_landing(spark: SparkSession, landing_dir: str, tables: Tables, checkpo
     # The batch time is kept in the query's log, so a repeated batch gives the same rows.
     rows = outcomes_of(source.load(root), root, F.current_timestamp(), inline_bytes)
     feed = tables.feed_id(checkpoint)
+    if land_reuploads(tables, landing_dir, inline_bytes) and after_batch is not None:
+        after_batch(tables)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         land_batch(tables, root, batch, f"{feed}-{batch_id}", utc_now())
+        land_reuploads(tables, landing_dir, inline_bytes)
         if after_batch is not None:
             after_batch(tables)
 
