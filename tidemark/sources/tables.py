@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators.upsert import find_matches, newest_per_key, rows_to_write, survivors
 from tidemark.schemas import LAYOUTS
@@ -47,6 +48,9 @@ class Tables:
                                  place["row_index"].alias("_row"))
         return table
 
+    def is_empty(self, name: str) -> bool:
+        return next(self.storage.data_files(self.path(name)), None) is None
+
     def read_files(self, name: str, files: Sequence[str]) -> DataFrame:
         return (self.spark.read.schema(LAYOUTS[name].stored)
                 .option("basePath", self.path(name)).parquet(*files))
@@ -100,25 +104,29 @@ class Run:
         tables.storage.remove(self.folder_root, whole_folder=True)
         self._added: dict[str, list[str]] = {}
         self._removed: list[str] = []
-        self._scratched = 0
+        self._written = 0
 
     def add(self, name: str, rows: DataFrame) -> None:
-        """Stage rows for a table, in its partitions and sorted by its clustering columns.
+        """Stage rows for a table."""
+        self.add_folder(name, self.write(name, rows))
+
+    def write(self, name: str, rows: DataFrame, extra: Sequence[str] = ()) -> str:
+        """Write rows in a table's layout without making them part of it; returns the folder.
 
-        Rebalancing gives files of even size: adaptive execution splits a heavy date over many
-        tasks and joins small ones.
+        Rows are sorted by the clustering columns within each partition. Rebalancing gives files
+        of even size: adaptive execution splits a heavy date over many tasks and joins small ones.
         """
         layout = LAYOUTS[name]
         derived = {c: F.expr(e) for c, (_, e) in layout.partitions.items()}
-        rows = rows.select(*layout.schema.names).withColumns(derived)
-        order = [*layout.partitions, *layout.cluster]
+        rows = rows.select(*layout.schema.names, *extra).withColumns(derived)
         if layout.partitions:
             rows = rows.hint("rebalance", *layout.partitions)
         if layout.cluster:
-            rows = rows.sortWithinPartitions(*order)
-        part = f"{name}-{len(self._added.get(name, []))}"
+            rows = rows.sortWithinPartitions(*layout.partitions, *layout.cluster)
+        self._written += 1
+        part = f"{name}-{self._written}"
         rows.write.partitionBy(*layout.partitions).parquet(f"{self.folder_root}/{part}")
-        self.add_folder(name, part)
+        return part
 
     def add_folder(self, name: str, part: str) -> None:
         """Register a folder below the run's own as rows of a table. It may stay empty."""
@@ -129,8 +137,8 @@ class Run:
 
     def scratch(self, label: str) -> str:
         """A folder for intermediate rows, gone when the run has ended."""
-        self._scratched += 1
-        return f"{self.folder_root}/scratch/{label}-{self._scratched}"
+        self._written += 1
+        return f"{self.folder_root}/scratch/{label}-{self._written}"
 
     def __enter__(self) -> Run:
         return self
@@ -152,32 +160,43 @@ def merge_into(run: Run, name: str, source: DataFrame, key: str, version: str =
                newer: Sequence[Column] = (), on_duplicate: str = "error") -> int:
     """Stage the upsert of ``source`` into a table; returns the number of source rows kept.
 
-    The batch is computed once and kept beside the staged files. Of the table only key and
+    The batch is computed once and written in the table's layout, so that a batch of which every
+    row takes effect, the usual case, is part of the table as it is. Of the table only key and
     version are read, within the key range of the batch, which skips row groups where keys grow
-    with time. Full rows are read from files that hold replaced rows.
+    with time. Full rows are read only from files that hold replaced rows.
     """
     tables = run.tables
     schema = LAYOUTS[name].schema
-    changes = materialized(
-        newest_per_key(source, key, version, newer, on_duplicate, schema.names),
-        run.scratch("changes"))
+    batch = newest_per_key(source, key, version, newer, on_duplicate, schema.names)
+    extra = [c for c in batch.columns if c not in schema.names]
+    part = run.write(name, batch, extra)
+    marks = [batch.schema[c] for c in extra]
+    changes = (tables.spark.read.schema(StructType([*LAYOUTS[name].stored, *marks]))
+               .parquet(f"{run.folder_root}/{part}"))
     span = changes.agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("low"),
                        F.max(key).alias("high")).first()
     if not span["rows"]:
         return 0
-    keys = tables.read(name, with_files=True).select(key, version, "_file")
-    if span["low"] is None:
-        keys = keys.limit(0)
-    else:
-        keys = keys.filter(F.col(key).between(span["low"], span["high"]))
+    whole = not extra  # copies to insert need a look at every match
+    if whole and (span["low"] is None or tables.is_empty(name)):
+        run.add_folder(name, part)
+        return span["rows"]
+    keys = tables.read(name, with_files=True).select(key, version, "_file").filter(
+        F.col(key).between(F.lit(span["low"]), F.lit(span["high"])))
     matches = materialized(find_matches(changes, keys, key, version), run.scratch("matches"))
+    found = matches.agg(F.count(F.lit(1)).alias("rows"), F.count_if("_newer").alias("newer"),
+                        F.count_distinct(key).alias("keys")).first()
     touched = [tables.storage.from_uri(r["_file"])
                for r in matches.filter("_newer").select("_file").distinct().collect()]
-    rows = rows_to_write(changes, matches, key)
-    if touched:
-        old = tables.read_files(name, touched).select(*schema.names)
-        rows = rows.unionByName(survivors(old, changes, key, version))
-    run.add(name, rows)
+    kept = (survivors(tables.read_files(name, touched).select(*schema.names), changes, key,
+                      version) if touched else None)
+    if whole and found["rows"] == found["newer"] == found["keys"]:
+        run.add_folder(name, part)
+        if kept is not None:
+            run.add(name, kept)
+    else:
+        rows = rows_to_write(changes, matches, key).select(*schema.names)
+        run.add(name, rows if kept is None else rows.unionByName(kept))
     run.remove(touched)
     return span["rows"]
 
