@@ -18,13 +18,14 @@ _CHOICES = ("error", "insert")
 
 def newest_per_key(source: DataFrame, key: str, version: str = "_ingested_at",
                    newer: Sequence[Column] = (), on_duplicate: str = "error",
-                   columns: Sequence[str] | None = None) -> DataFrame:
+                   columns: Sequence[str] | None = None, keyless: bool = True) -> DataFrame:
     """One row per key, the newest by ``version`` and then by the ``newer`` expressions.
 
     Rows equal in all of these are duplicates of one file. ``error`` fails the job on them;
     ``insert`` keeps them all, and marks them in ``_copies`` and ``_first`` for the merge.
     The choice is a combinable aggregate, so a key with very many versions is reduced before
-    the shuffle. Each row without a key is a group of its own, so these spread evenly too.
+    the shuffle. Each row without a key is a group of its own, so these spread evenly too; say
+    ``keyless=False`` if there are none, and the result is partitioned by key for a join.
     """
     if on_duplicate not in _CHOICES:
         raise ValueError(f"on_duplicate must be one of {_CHOICES}")
@@ -34,26 +35,34 @@ def newest_per_key(source: DataFrame, key: str, version: str = "_ingested_at",
     rows = source.select(
         F.col(key).alias("_key"), rank.alias("_rank"),
         F.monotonically_increasing_id().alias("_row"),
-        F.struct(*columns).alias("_value"))
+        F.struct(*[c for c in columns if c != key]).alias("_value"))
     if on_duplicate == "insert":
         rows = materialized(rows)  # row numbers are used twice and must not change between
-    alone = F.when(F.col("_key").isNull(), F.col("_row"))
+    alone = F.when(F.col("_key").isNull(), F.col("_row")) if keyless else F.lit(None)
+    rows = rows.withColumn("_alone", alone.cast("bigint"))
+    group = ["_key", "_alone"] if keyless else ["_key"]
     highest = F.max(F.struct("_rank", "_row", "_value"))
     lowest = F.max(F.struct(F.col("_rank"), (-F.col("_row")).alias("_row")))
-    best = (rows.groupBy("_key", alone.alias("_alone"))
-            .agg(highest.alias("top"), lowest.alias("low"))
+    best = (rows.groupBy(*group).agg(highest.alias("top"), lowest.alias("low"))
             .withColumn("_copies", F.col("top._row") != -F.col("low._row")))
+
+    def fields(value: str) -> list[Column]:
+        return [F.col("_key").alias(c) if c == key else F.col(f"{value}.{c}") for c in columns]
+
     if on_duplicate == "error":
         single = F.assert_true(
             ~F.col("_copies"),
             F.concat(F.lit(f"duplicate {key} in one file: "), F.col("_key").cast("string")))
-        return best.filter(single.isNull()).select("top._value.*")
-    chosen = best.select(
-        F.col("_key").alias("_k"), F.col("_alone").alias("_a"), F.col("top._rank").alias("_r"),
-        F.col("top._row").alias("_f"), "_copies")
-    same_key = F.col("_key").eqNullSafe(F.col("_k")) & alone.eqNullSafe(F.col("_a"))
-    return (rows.join(chosen, same_key & (F.col("_rank") == F.col("_r")))
-            .select("_value.*", "_copies", (F.col("_row") == F.col("_f")).alias("_first")))
+        return best.filter(single.isNull()).select(*fields("top._value"))
+    chosen = best.select(*[F.col(g).alias(f"_of{g}") for g in group],
+                         F.col("top._rank").alias("_of_rank"), F.col("top._row").alias("_of_row"),
+                         "_copies")
+    same = F.col("_rank") == F.col("_of_rank")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_of{g}"))
+    return (rows.join(chosen, same)
+            .select(*fields("_value"), "_copies",
+                    (F.col("_row") == F.col("_of_row")).alias("_first")))
 
 
 def _refuse_copies(copies: Column, key: Column) -> Column:
@@ -65,10 +74,12 @@ def upsert(target: DataFrame, source: DataFrame, key: str, version: str = "_inge
            newer: Sequence[Column] = (), on_duplicate: str = "error") -> DataFrame:
     """The whole target table after the upsert, as one plan with one full outer join."""
     columns = target.columns
-    changes = newest_per_key(source, key, version, newer, on_duplicate, columns)
-    mine = target.filter(F.col(key).isNotNull()).select(
+    has_key, no_key = F.col(key).isNotNull(), F.col(key).isNull()
+    changes = newest_per_key(source.filter(has_key), key, version, newer, on_duplicate, columns,
+                             keyless=False)
+    mine = target.filter(has_key).select(
         *[F.col(c).alias(f"t_{c}") for c in columns], F.lit(True).alias("t_there"))
-    theirs = changes.filter(F.col(key).isNotNull()).select(
+    theirs = changes.select(
         *[F.col(c).alias(f"s_{c}") for c in changes.columns], F.lit(True).alias("s_there"))
     newer_version = F.col(f"s_{version}") > F.col(f"t_{version}")
     both = mine.join(theirs, F.col(f"t_{key}") == F.col(f"s_{key}"), "full").withColumn(
@@ -81,8 +92,8 @@ def upsert(target: DataFrame, source: DataFrame, key: str, version: str = "_inge
     keyed = both.select(
         *[F.when(F.col("_take"), F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c)
           for c in columns])
-    return (keyed.unionByName(target.filter(F.col(key).isNull()))
-            .unionByName(changes.filter(F.col(key).isNull()).select(*columns)))
+    return (keyed.unionByName(target.filter(no_key))
+            .unionByName(source.filter(no_key).select(*columns)))
 
 
 # The pieces of the same upsert, for tables too large to rewrite.

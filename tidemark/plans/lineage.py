@@ -62,9 +62,16 @@ def trace_layers(raw: DataFrame, customers: DataFrame, transactions: DataFrame,
 
 
 def audit_trace(tables: Tables, audit_id: str | None = None) -> DataFrame:
-    return trace_layers(*[tables.read(t) for t in (
-        "landing_events", "silver_customers", "silver_transactions", "gold_transactions")],
-        audit_id=audit_id)
+    raw = tables.read("landing_events")
+    if audit_id is not None:
+        # Find the partition first, without the payloads; then read the payloads of that one.
+        parts = (raw.filter(F.col("attributes")["audit_id"] == audit_id)
+                 .select("_publish_date", "_entity").distinct().collect())
+        raw = raw.filter(F.col("_publish_date").isin([p["_publish_date"] for p in parts])
+                         & F.col("_entity").isin([p["_entity"] for p in parts]))
+    others = [tables.read(t) for t in (
+        "silver_customers", "silver_transactions", "gold_transactions")]
+    return trace_layers(raw, *others, audit_id=audit_id)
 
 
 def late_rows(raw: DataFrame, ledger: DataFrame, entity: str, mark: datetime) -> DataFrame:

@@ -82,6 +82,22 @@ def _malformed(records: DataFrame, fields: tuple[str, ...], now: datetime) -> Da
         F.lit("malformed customer id").alias("error"), F.lit(now).alias("seen_at"))
 
 
+def _only_newest(run: Run, events: DataFrame, newest: DataFrame, messages: int,
+                 identity: tuple[str, ...]) -> DataFrame:
+    """The newest messages with their payload, which is not shuffled if that can be avoided.
+
+    Few messages are picked by a broadcast of their identities. Among many, those to leave out
+    are usually few. Only if both are many, payloads are shuffled, evenly, by identity.
+    """
+    if messages <= BROADCAST_MESSAGES:
+        return latest_per_path(events, identity, F.broadcast(newest))
+    older = materialized(events.select(*identity).join(newest, list(identity), "left_anti"),
+                         run.scratch("older"))
+    if older.count() <= BROADCAST_MESSAGES:
+        return events.join(F.broadcast(older), list(identity), "left_anti")
+    return latest_per_path(events, identity, newest)
+
+
 def _consumed(events: DataFrame, newest: DataFrame, identity: tuple[str, ...],
               now: datetime) -> DataFrame:
     """A ledger line for every message this run has taken into account."""
@@ -107,9 +123,8 @@ def _refresh(tables: Tables, entity: str, now: datetime | None, mark: datetime |
         messages = newest.count()
         if not messages:
             return 0
-        if messages <= BROADCAST_MESSAGES:
-            newest = F.broadcast(newest)
-        records = explode_records(latest_per_path(events, identity, newest), fields)
+        records = explode_records(
+            _only_newest(run, events, newest, messages, identity), fields)
         if id_mode == "quarantine":
             run.add("malformed_records", _malformed(records, fields, now))
             records = records.filter(well_formed_customer_id("customer_id"))

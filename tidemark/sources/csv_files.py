@@ -19,6 +19,9 @@ SUBSCRIPTION = "landing-files"
 # Larger files are split into several messages, see large_files.py.
 INLINE_BYTES = 16 * 1024 * 1024
 
+# Parsed files are handed back to the JVM in batches of about this many bytes of input.
+YIELD_BYTES = 32 * 1024 * 1024
+
 PARSED = ("path string, modificationTime timestamp, length long, part long, data string, "
           "error string")
 
@@ -59,18 +62,24 @@ def records_as_json(text: str, header: list[str] | None = None) -> str:
     return json.dumps(list(records), ensure_ascii=False)
 
 
+def _parse_one(content: bytes) -> tuple[str | None, str | None]:
+    try:
+        return records_as_json(content.decode("utf-8")), None
+    except (UnicodeDecodeError, csv.Error) as problem:
+        return None, f"{type(problem).__name__}: {problem}"
+
+
 def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        data, errors = [], []
-        for content in batch["content"]:
-            try:
-                data.append(records_as_json(bytes(content).decode("utf-8")))
-                errors.append(None)
-            except (UnicodeDecodeError, csv.Error) as problem:
-                data.append(None)
-                errors.append(f"{type(problem).__name__}: {problem}")
-        yield batch[["path", "modificationTime", "length"]].assign(
-            part=0, data=data, error=errors)
+        found, size, start = [], 0, 0
+        for place, content in enumerate(batch["content"]):
+            found.append(_parse_one(bytes(content)))
+            size += len(content)
+            if size >= YIELD_BYTES or place == len(batch) - 1:
+                data, errors = zip(*found, strict=True)
+                files = batch[["path", "modificationTime", "length"]].iloc[start:place + 1]
+                yield files.assign(part=0, data=list(data), error=list(errors))
+                found, size, start = [], 0, place + 1
 
 
 def parse_files(files: DataFrame) -> DataFrame:
