@@ -305,6 +305,26 @@ def test_views(feed):
     assert spark.sql("SELECT * FROM transactions_daily_avg_price_vw").count() == 0
 
 
+def test_catalog_tables(feed):
+    _both(feed)
+    feed.land()
+    feed.tables.register("finance")
+    spark = feed.spark
+    try:
+        assert spark.sql("SELECT * FROM finance.gold_transactions").count() == 3
+        told = {r["col_name"]: r["comment"] for r in
+                spark.sql("DESCRIBE finance.silver_customers").collect()}
+        assert told["customer_name"] == "full name"
+        spark.sql("INSERT INTO finance.silver_customers (customer_id, _ingested_date) "
+                  "VALUES ('C5', DATE '2026-03-25')")
+        row = feed.tables.read("silver_customers").filter("customer_id = 'C5'").first()
+        assert row["_processed_at"] is not None and row["customer_name"] is None
+        feed.tables.register("finance")
+    finally:
+        spark.sql("DROP DATABASE finance CASCADE")
+    assert feed.tables.read("silver_customers").count() == 3
+
+
 def test_gold_is_partitioned_and_sorted_by_its_clustering(feed):
     _both(feed)
     feed.land()

@@ -83,7 +83,8 @@ def daily_avg_price(gold: DataFrame) -> DataFrame:
     return days.select(
         "transaction_date", "buy_qtty", "daily_avg_price",
         F.last("_highest", ignorenulls=True).over(by_day).alias("running_avg_price"),
-        F.row_number().over(Window.orderBy(F.desc("transaction_date"))).alias("ranking"))
+        F.row_number().over(Window.orderBy(F.desc("transaction_date"))).cast("bigint")
+        .alias("ranking"))
 
 
 def current_avg_price(gold: DataFrame) -> DataFrame:

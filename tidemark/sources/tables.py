@@ -25,6 +25,20 @@ from tidemark.sources.storage import Storage
 _MOVES_AT_ONCE = 16
 
 
+def create_table_sql(table: str, layout_name: str, location: str) -> str:
+    """The DDL of a table, with its column descriptions and its partitions."""
+    layout = LAYOUTS[layout_name]
+    columns = []
+    for field in layout.stored:
+        default = " DEFAULT current_timestamp()" if field.name == "_processed_at" else ""
+        comment = field.metadata.get("comment", "derived, for partition pruning")
+        columns.append(f"`{field.name}` {field.dataType.simpleString()}{default} "
+                       f"COMMENT '{comment}'")
+    parts = f" PARTITIONED BY ({', '.join(layout.partitions)})" if layout.partitions else ""
+    return (f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}) USING parquet{parts} "
+            f"LOCATION '{location}'")
+
+
 class Tables:
     """The tables below one root folder. Opening them creates what is missing."""
 
@@ -48,6 +62,15 @@ class Tables:
                                  place["row_index"].alias("_row"))
         return table
 
+    def register(self, database: str) -> None:
+        """Offer the tables in the session's catalog, with the partitions they have now."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        for name in LAYOUTS:
+            self.spark.sql(create_table_sql(f"{database}.{name}", name, self.path(name)))
+            if LAYOUTS[name].partitions:
+                self.spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
+            self.spark.sql(f"REFRESH TABLE {database}.{name}")
+
     def is_empty(self, name: str) -> bool:
         return next(self.storage.data_files(self.path(name)), None) is None
 
@@ -68,6 +91,9 @@ class Tables:
     def landed(self, run_id: str) -> bool:
         return self.storage.exists(f"{self.root}/_done/{run_id}")
 
+    def forget(self, run_id: str) -> None:
+        self.storage.remove(f"{self.root}/_done/{run_id}", whole_folder=True)
+
     def recover(self) -> list[str]:
         """Finish runs that were cut off while their files were being put in place."""
         pending = [n for n in self.storage.children(f"{self.root}/_pending")

@@ -12,7 +12,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.plans.lineage import quarantine
 from tidemark.plans.medallion import refresh_all
-from tidemark.session import utc_now
+from tidemark.session import materialized, utc_now
 from tidemark.sources.csv_files import (
     CSV_GLOB,
     INLINE_BYTES,
@@ -89,12 +89,6 @@ def land_batch(tables: Tables, root: str, rows: DataFrame, run_id: str,
                    "large")
 
 
-def _files_below(tables: Tables, root: str) -> DataFrame:
-    return (tables.spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB)
-            .option("recursiveFileLookup", "true").load(root)
-            .select("path", "modificationTime", "length"))
-
-
 def _landing_days(tables: Tables) -> list[str]:
     """Days on which files were landed or quarantined, from the partition folders."""
     label = "_publish_date="
@@ -102,40 +96,46 @@ def _landing_days(tables: Tables) -> list[str]:
             for name in tables.storage.children(tables.path(table)) if name.startswith(label)]
 
 
-def reuploads(tables: Tables, landing_dir: str) -> DataFrame:
-    """Files that replaced one already landed (or quarantined) and have not landed themselves.
+def land_reuploads(tables: Tables, landing_dir: str, inline_bytes: int = INLINE_BYTES) -> int:
+    """Land files that replaced one already landed or quarantined; returns how many.
 
     A file stream takes each path once, so replaced files are found by their audit id, which
     changes with every upload. Only uploads since the day before the last landing are looked at,
-    and only messages since then: older uploads were looked at by the runs before.
+    and messages since then: older uploads were looked at by the runs before. All paths ever
+    landed are searched only if there is such an upload. The driver sees paths only.
     """
+    days = _landing_days(tables)
+    if not days:
+        return 0
     root = tables.storage.qualified(landing_dir)
     raw, aside = tables.read("landing_events"), tables.read("quarantine")
-    since = date.fromisoformat(max(_landing_days(tables))) - timedelta(days=1)
-    a = F.col("attributes")
+    since = date.fromisoformat(max(days)) - timedelta(days=1)
     recent = F.col("_publish_date") >= F.lit(since)
+    a = F.col("attributes")
     landed = raw.filter(recent).select(a["audit_id"].alias("audit_id")).unionByName(
         aside.filter(recent).select("audit_id"))
-    paths = raw.select(a["source_path"].alias("source_path")).unionByName(
-        aside.select("source_path"))
-    fresh = _files_below(tables, root).filter(F.col("modificationTime") >= F.lit(since))
-    return (with_file_identity(fresh, root).filter(F.col("entity").isNotNull())
-            .join(landed, "audit_id", "left_anti")
-            .join(paths, "source_path", "left_semi")
-            .select("path", "modificationTime", "length"))
-
-
-def land_reuploads(tables: Tables, landing_dir: str, inline_bytes: int = INLINE_BYTES) -> int:
-    """Land replaced files; returns how many. The driver sees their paths only."""
-    if not _landing_days(tables):
-        return 0
-    paths = [r["path"] for r in reuploads(tables, landing_dir).toLocalIterator()]
-    if paths:
-        root, now = tables.storage.qualified(landing_dir), utc_now()
-        files = tables.spark.read.format("binaryFile").load(paths)
-        land_batch(tables, root, outcomes_of(files, root, F.lit(now), inline_bytes),
+    files = (tables.spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB)
+             .option("recursiveFileLookup", "true").load(root)
+             .select("path", "modificationTime", "length")
+             .filter(F.col("modificationTime") >= F.lit(since)))
+    fresh = (with_file_identity(files, root).filter(F.col("entity").isNotNull())
+             .select("path", "source_path", "audit_id").join(landed, "audit_id", "left_anti"))
+    with tables.run() as run:  # for its scratch folder only
+        unknown = materialized(fresh, run.scratch("unknown"))
+        if unknown.isEmpty():
+            return 0
+        paths = raw.select(a["source_path"].alias("source_path")).unionByName(
+            aside.select("source_path"))
+        replaced = paths.join(unknown.select("source_path"), "source_path", "left_semi")
+        due = [r["path"] for r in
+               unknown.join(replaced.distinct(), "source_path", "left_semi").select("path")
+               .toLocalIterator()]
+    if due:
+        now = utc_now()
+        again = tables.spark.read.format("binaryFile").load(due)
+        land_batch(tables, root, outcomes_of(again, root, F.lit(now), inline_bytes),
                    uuid.uuid4().hex, now)
-    return len(paths)
+    return len(due)
 
 
 def start_landing(spark: SparkSession, landing_dir: str, tables: Tables, checkpoint: str,
@@ -164,6 +164,7 @@ def start_landing(spark: SparkSession, landing_dir: str, tables: Tables, checkpo
 
     def land(batch: DataFrame, batch_id: int) -> None:
         land_batch(tables, root, batch, f"{feed}-{batch_id}", utc_now())
+        tables.forget(f"{feed}-{batch_id - 2}")  # only the last batch can be repeated
         land_reuploads(tables, landing_dir, inline_bytes)
         if after_batch is not None:
             after_batch(tables)
