@@ -58,8 +58,9 @@ def explode_records(events: DataFrame, fields: Sequence[str], data: str = "data"
 
 def discover_fields(raw: DataFrame) -> DataFrame:
     """Which record fields each entity has sent, and in how many records."""
-    keys = F.flatten(F.transform(
-        F.from_json("data", "array<map<string,string>>"), lambda record: F.map_keys(record)))
+    records = F.from_json("data", "array<map<string,string>>")
     return (raw.filter(_is_array(F.col("data")))
-            .select(F.col("attributes")["entity"].alias("entity"), F.explode(keys).alias("field"))
+            .select(F.col("attributes")["entity"].alias("entity"),
+                    F.explode(records).alias("record"))
+            .select("entity", F.explode(F.map_keys("record")).alias("field"))
             .groupBy("entity", "field").agg(F.count(F.lit(1)).alias("records")))

@@ -54,33 +54,42 @@ def silver_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("c_mktsegment").alias("audit_id")).alias("_metadata"))
 
 
-def financial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First delivered column set of the transactions."""
-    return table(spark, sf_dir, "orders").select(
+def _financial_columns() -> list[Column]:
+    return [
         transaction_id("o_orderkey").alias("transaction_id"),
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("transaction_date"),
         F.col("o_totalprice").cast(MONEY).alias("transaction_amount"),
         _status(F.col("o_orderstatus")).alias("transaction_status"),
         F.col("o_orderdate").cast("timestamp").alias("_ingested_at"),
-        F.struct(F.col("o_orderpriority").alias("audit_id")).alias("_metadata"))
+        F.struct(F.col("o_orderpriority").alias("audit_id")).alias("_metadata")]
 
 
-def composition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Second delivered column set. Transactions without lines have none."""
+def financial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First delivered column set of the transactions."""
+    return table(spark, sf_dir, "orders").select(*_financial_columns())
+
+
+def _line_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
             .agg(F.sum(F.col("l_quantity").cast(MONEY)).alias("qtty"),
-                 F.max(F.col("l_extendedprice").cast(MONEY)).alias("price"))
-            .select(transaction_id("l_orderkey").alias("transaction_id"),
-                    _side(F.col("l_orderkey")).alias("transaction_type"), "qtty", "price"))
+                 F.max(F.col("l_extendedprice").cast(MONEY)).alias("price")))
+
+
+def composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second delivered column set. Transactions without lines have none."""
+    return _line_sums(spark, sf_dir).select(
+        transaction_id("l_orderkey").alias("transaction_id"),
+        _side(F.col("l_orderkey")).alias("transaction_type"), "qtty", "price")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned transactions; quantity and price are NULL where an order has no lines."""
-    parts = composition(spark, sf_dir).drop("transaction_type")
-    key = F.substr(F.col("transaction_id"), F.lit(2)).cast("bigint")
-    return (financial(spark, sf_dir).join(parts, "transaction_id", "left")
-            .withColumn("transaction_type", _side(key)))
+    # Joined on the plain key, which the sums are already partitioned by.
+    both = table(spark, sf_dir, "orders").join(
+        _line_sums(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return both.select(*_financial_columns(), "qtty", "price",
+                       _side(F.col("o_orderkey")).alias("transaction_type"))
 
 
 def line_versions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,11 +93,13 @@ def normalize_ids(spark, sf_dir):
 
 @query
 def safe_casts(spark, sf_dir):
-    lines = e.table(spark, sf_dir, "lineitem")
-    day = F.date_format("l_shipdate", "yyyy-MM-dd")
-    number = F.col("l_extendedprice").cast("string")
-    return lines.select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    texts = e.table(spark, sf_dir, "lineitem").select(
+        *keys, "l_returnflag", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day_text"),
+        F.col("l_extendedprice").cast("string").alias("number_text"))
+    day, number = F.col("day_text"), F.col("number_text")
+    return texts.select(
+        *keys,
         fn.safe_date(day).alias("day"),
         fn.safe_date(F.substr(day, F.lit(1), F.lit(4))).alias("year_only"),
         fn.safe_date(F.concat(F.substr(day, F.lit(1), F.lit(8)), F.lit("31"))).alias("day_31"),
