@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import running_sums
+from tidemark.operators import consolidate, running_sums
 from tidemark.plans import reports
 
 SCHEMA = ("transaction_id string, customer_id string, customer_name string, "
@@ -185,3 +185,14 @@ def test_last_quarter_rules(spark):
     assert (found["Ann"]["total"], found["Ann"]["amount_total"]) == (2, 12.0)
     assert found["Ann"]["amount_rejected"] == 7.0 and found[None]["total_pending"] == 1
     assert reports.customers_last_quarter(_gold(spark, rows[4:])).collect() == []
+
+
+def test_consolidated_rows_are_in_file_order(spark):
+    first = spark.createDataFrame(
+        [("T3", "C2", "pending"), ("T1", "C10", "approved"), ("T2", "C2", "approved"),
+         ("T0", "C2", "approved"), ("T9", "C1", "approved")],
+        "transaction_id string, customer_id string, transaction_status string")
+    second = spark.createDataFrame([(f"T{i}", float(i)) for i in range(5)],
+                                   "transaction_id string, qtty double")
+    found = [(r["transaction_id"], r["qtty"]) for r in consolidate(first, second).collect()]
+    assert found == [("T1", 1.0), ("T0", 0.0), ("T2", 2.0), ("T3", 3.0)]

@@ -211,3 +211,21 @@ def test_a_run_cut_off_while_publishing_is_finished_on_opening(spark, tables, mo
                                          ("c", "old", 3): 1, ("d", "new", 6): 1})
     assert not reopened.storage.children(f"{tables.root}/_pending")
     assert not reopened.storage.children(f"{tables.root}/_staged")
+
+
+def test_a_heavy_date_is_written_by_many_tasks(spark, tables):
+    rows = spark.range(200_000).select(
+        F.col("id").cast("string").alias("customer_id"), F.md5(F.col("id").cast("string"))
+        .alias("customer_name"), F.lit("m").alias("customer_email"),
+        F.lit(BASE).alias("_ingested_at"), F.lit(BASE).alias("_processed_at"),
+        F.lit(None).cast(LAYOUTS[NAME].schema["_metadata"].dataType).alias("_metadata"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "1m")
+    try:
+        with tables.run() as run:
+            run.add(NAME, rows)
+    finally:
+        spark.conf.unset(size)
+    files = list(tables.storage.data_files(tables.path(NAME)))
+    assert len(files) > 3 and all("_ingested_date=2026-03-01" in f for f in files)
+    assert tables.read(NAME).count() == 200_000

@@ -164,6 +164,14 @@ WHERE date_trunc('quarter', transaction_date) =
   (SELECT max(date_trunc('quarter', transaction_date)) FROM gold)
 GROUP BY customer_name"""),
 
+    "first_transactions": _with(TRANSACTIONS, body="""
+SELECT customer_id, transaction_date, transaction_id,
+       transaction_status = 'approved' AND transaction_type = 'buy' AS is_buy
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
+        ORDER BY transaction_date NULLS FIRST, transaction_id NULLS FIRST) AS place
+      FROM transactions) AS numbered
+WHERE place = 1"""),
+
     "later_buys": _with(TRANSACTIONS, _BUYS, body="""
 SELECT transaction_date, transaction_id, CAST(qtty AS DOUBLE) AS qtty,
        CAST(price AS DOUBLE) AS price, count(*) AS copies
@@ -224,6 +232,16 @@ WHERE place = 1"""),
     "gold_enrich": _with(CUSTOMERS, TRANSACTIONS, f"gold AS ({_named('transactions')})", body=f"""
 SELECT {_as_double([*_GOLD[:3], "customer_email", *_GOLD[3:]])} FROM gold"""),
 
+    "gold_increment": _with(
+        CUSTOMERS, TRANSACTIONS, f"gold AS ({_named('transactions')})", body="""
+SELECT transaction_id, customer_id, customer_name, transaction_date, audit_id_transactions,
+       audit_id_customers
+FROM gold
+WHERE _ingested_at > (
+  SELECT coalesce(max(_ingested_at), TIMESTAMP '1970-01-01') FROM gold
+  WHERE _ingested_at <= TIMESTAMP '1998-07-01'
+    AND _ingested_at >= TIMESTAMP '1998-07-01' - INTERVAL 7 DAY)"""),
+
     "upsert_customers": _with(CUSTOMERS, """
 changes AS (
   SELECT * FROM (

@@ -56,6 +56,12 @@ def customers_last_quarter(spark, sf_dir):
     return reports.customers_last_quarter(named)
 
 
+@query
+def first_transactions(spark, sf_dir):
+    return reports.first_transactions(e.transactions(spark, sf_dir)).select(
+        "customer_id", "transaction_date", "transaction_id", "is_buy")
+
+
 @query
 def later_buys(spark, sf_dir):
     buys = reports.later_buys(e.transactions(spark, sf_dir))
@@ -189,6 +195,18 @@ def gold_enrich(spark, sf_dir):
         "_metadata.audit_id_transactions", "_metadata.audit_id_customers")
 
 
+@query
+def gold_increment(spark, sf_dir):
+    """The transactions above the mark of a gold table that was last refreshed in 1998."""
+    moves = e.transactions(spark, sf_dir)
+    refreshed = datetime(1998, 7, 1, tzinfo=UTC)
+    in_gold = moves.filter(F.col("_ingested_at") <= F.lit(refreshed))
+    mark = op.watermark(in_gold, "_ingested_at", refreshed)
+    fresh = op.enrich(moves, e.silver_customers(spark, sf_dir), mark, NOW)
+    return fresh.select("transaction_id", "customer_id", "customer_name", "transaction_date",
+                        "_metadata.audit_id_transactions", "_metadata.audit_id_customers")
+
+
 # Upserts
 
 @query
