@@ -103,7 +103,7 @@ def test_large_files_parse_as_whole_ones_do(spark, tmp_path, split):
     whole = {f"f{i}.csv": _random_csv(rng, 60) for i in range(4)}
     whole["crlf.csv"] = whole["f0.csv"].replace("\n", "\r\n")
     whole["marked.csv"] = "﻿" + whole["f1.csv"]
-    whole["wide header.csv"] = '"i\nd",name\n1,2\n3,4\n'
+    whole["odd [1]{a} ü%20+.csv"] = '"i\nd",name\n1,2\n3,4\n'
     _write(tmp_path, whole)
     _write(tmp_path, {"bad.csv": whole["f2.csv"].encode() + b"\n9,\xff,z\n",
                       "loose.csv": whole["f3.csv"].replace("12.5", "12\r5", 1)})

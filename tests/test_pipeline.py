@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import gold, lineage, reports, silver, views
 from tidemark.plans.medallion import refresh_all
 from tidemark.session import utc_now
+from tidemark.sources.storage import Storage
 from tidemark.sources.tables import Tables
 from tidemark.streaming import start_landing
 from tidemark.streaming.landing import retry_quarantined
@@ -218,6 +219,28 @@ def test_a_repeated_batch_is_landed_once_and_refreshed(feed):
     assert feed.tables.read("gold_transactions").count() == 3
 
 
+def test_a_landing_cut_off_while_publishing_is_finished_first(feed, monkeypatch):
+    _both(feed)
+    move, moved = Storage.move, []
+
+    def breaks_after_one(self, source, target):
+        if "_entity=" in source or "_publish_date=" in source:
+            if moved:
+                raise OSError("gone")
+            moved.append(target)
+        move(self, source, target)
+
+    feed.put("entity=other/x.csv", "a\n1\n")
+    with monkeypatch.context() as broken:
+        broken.setattr(Storage, "move", breaks_after_one)
+        with pytest.raises(Exception, match="gone"):
+            feed.land()
+    feed.land()
+    assert moved and feed.tables.read("landing_events").count() == 2
+    assert feed.tables.read("rejects").count() == 1
+    assert feed.tables.read("gold_transactions").count() == 3
+
+
 def test_a_failing_silver_job_stops_the_run_before_gold(feed):
     _both(feed)
     feed.put(f"entity=customers/{DAY}/wrong.csv", "customer_id\nCX\n")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import csv
 import io
 import json
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,11 @@ PARSED = ("path string, modificationTime timestamp, length long, part long, data
           "error string")
 
 
+def literal_paths(paths: Iterable[str]) -> list[str]:
+    """Paths for a reader that would take brackets and the like in file names as patterns."""
+    return [re.sub(r"([\\\[\]{}*?])", r"\\\1", path) for path in paths]
+
+
 def below(root: str, path: Column) -> Column:
     """A file's path relative to the landing folder ``root`` (a qualified path)."""
     return F.substr(path, F.lit(len(root.rstrip("/")) + 2))

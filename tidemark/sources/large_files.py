@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import materialized, new_folder
-from tidemark.sources.csv_files import PARSED, records_as_json
+from tidemark.sources.csv_files import PARSED, literal_paths, records_as_json
 from tidemark.sources.storage import Storage
 
 CHUNK_BYTES = 8 * 1024 * 1024
@@ -188,8 +188,9 @@ def parse_large_files(spark: SparkSession, paths: list[str], scratch: str | None
     """
     storage = Storage(spark)
     scratch = scratch or new_folder(spark, "large")
-    known = (spark.read.format("binaryFile").load(paths)
-             .select("path", "modificationTime", "length", F.col("_metadata.file_path").alias("file")))
+    paths = literal_paths(paths)
+    known = spark.read.format("binaryFile").load(paths).select(
+        "path", "modificationTime", "length", F.col("_metadata.file_path").alias("file"))
     text = F.col("value")
     lines = (spark.read.option("lineSep", "\n").text(paths).select(
         F.col("_metadata.file_path").alias("file"),

@@ -19,6 +19,7 @@ from tidemark.sources.csv_files import (
     as_messages,
     below,
     entity_of,
+    literal_paths,
     parse_files,
     with_file_identity,
 )
@@ -76,6 +77,7 @@ def _stage(run: Run, rows: DataFrame, step: str) -> str:
 def land_batch(tables: Tables, root: str, rows: DataFrame, run_id: str,
                published: datetime) -> None:
     """Make one batch of outcomes visible, exactly once for its ``run_id``."""
+    tables.recover()
     if tables.landed(run_id):
         return
     with tables.run(run_id) as run:
@@ -132,7 +134,7 @@ def land_reuploads(tables: Tables, landing_dir: str, inline_bytes: int = INLINE_
                .toLocalIterator()]
     if due:
         now = utc_now()
-        again = tables.spark.read.format("binaryFile").load(due)
+        again = tables.spark.read.format("binaryFile").load(literal_paths(due))
         land_batch(tables, root, outcomes_of(again, root, F.lit(now), inline_bytes),
                    uuid.uuid4().hex, now)
     return len(due)
@@ -188,7 +190,7 @@ def retry_quarantined(tables: Tables, landing_dir: str, now: datetime | None = N
     if not due:
         return 0
     tried = tables.spark.createDataFrame(list(due.items()), "path string, tried int")
-    files = tables.spark.read.format("binaryFile").load(list(due))
+    files = tables.spark.read.format("binaryFile").load(literal_paths(due))
     parsed = parse_files(files).join(F.broadcast(tried), "path")
     with tables.run() as run:
         _stage(run, _outcomes(parsed, root, F.lit(now), _parsed_outcome(), F.col("tried") + 1),

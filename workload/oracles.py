@@ -257,7 +257,8 @@ changes AS (
 
     "upsert_transactions": _with(
         TRANSACTIONS, VERSIONS,
-        f"merged AS ({_merged('transactions', 'newest', 'transaction_id', [*_TX, '_ingested_at'])})",
+        "merged AS ("
+        + _merged("transactions", "newest", "transaction_id", [*_TX, "_ingested_at"]) + ")",
         body=f"SELECT {_as_double([*_TX, '_ingested_at'])} FROM merged"),
 
     "upsert_gold": _with(
