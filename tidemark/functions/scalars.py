@@ -32,9 +32,10 @@ def safe_date(value: Column | str) -> Column:
 def safe_double(value: Column | str) -> Column:
     """A double, or NULL where the text is not a number in the range of a double."""
     value = _as_column(value)
+    # Only inside the branches: a cast of text that is no number costs an exception per row.
     number = value.try_cast("double")
-    overflow = F.abs(number) == F.lit(float("inf"))
-    return (F.when(value.rlike(_NUMBER_SHAPE) & ~overflow, number)
+    in_range = F.when(F.abs(number) != F.lit(float("inf")), number)
+    return (F.when(value.rlike(_NUMBER_SHAPE), in_range)
             .when(value.rlike(_NON_FINITE_SHAPE), number))
 
 
