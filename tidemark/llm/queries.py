@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, hilbert_packing, token_files
+from tidemark.llm import (byte_bpe, hilbert_packing, jump_shards, quality_rules, simhash_anchors,
+                          token_files)
+from tidemark.llm.oracles import ORACLES
 from tidemark.session import new_folder
 
 
@@ -14,6 +16,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    rows = _table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(data) + 1).cast("long").alias("size"),
+        F.crc32(data).alias("text_crc32"), F.lit("key").alias("law"))
+    return jump_shards.assign(rows, "doc_id", 16)
+
+
 def op4_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = hilbert_packing.pack(_table(spark, sf_dir, "documents"),
                                   public_tokenizers.path("word_bpe_49k.json"))
@@ -21,12 +31,22 @@ def op4_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.score(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(_table(spark, sf_dir, "documents"),
                             public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                             public_tokenizers.PATTERN, keep=["doc_id"])
 
 
+def op9_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_anchors.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-files")
     token_files.write(_table(spark, sf_dir, "documents"), folder,
@@ -35,5 +55,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op4_curve_packing, op8_byte_bpe, op10_token_files)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op3_jump_shards, op4_curve_packing, op7_quality_rules, op8_byte_bpe, op9_simhash_anchors,
+    op10_token_files)}
+__all__ = ["ORACLES", "QUERIES"]
