@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +14,9 @@ from pyspark.sql import types as T
 from tidemark.session import new_folder
 
 #: Characters of text that a task works on at once, unless one text alone is longer.
-CHUNK_CHARS = 1_500_000
+CHUNK_CHARS = 1_000_000
+#: Bytes of texts or ids in rows that are handed over at once.
+SLICE_BYTES = 4_000_000
 
 
 def chunks(texts: Sequence[str | None], most: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
@@ -42,12 +45,23 @@ def binaries(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(lengths), buffers)
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Neighbouring rows of a batch whose values in a column of texts or bytes have at most
+    ``most`` bytes together, or one larger row, so that what is made of them stays small."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)
+    ends, begin = np.cumsum(sizes), 0
+    while begin < len(sizes):
+        done = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def with_results(df: DataFrame, text: str, fields: str,
-                 make: Callable[[], Callable[[list[str | None]], list]],
+                 make: Callable[[], Callable[[list[str | None]], list[pa.Array]]],
                  keep: Sequence[str] | None = None) -> DataFrame:
     """``df``'s columns ``keep`` (default: all) and behind them the columns of ``fields``, which
-    the function that ``make()`` gives draws from the texts of a batch, one Arrow array or list
-    each. ``make`` runs once in each task. A column of ``df`` with the name of a result gives way.
+    the function that ``make()`` gives draws from a list of texts, one Arrow array each. ``make`` runs once in each task. A column of ``df`` with the name of a result gives way.
     """
     added = T.StructType.fromDDL(fields)
     keep = [c for c in (df.columns if keep is None else keep) if c not in added.names]
@@ -61,11 +75,10 @@ def with_results(df: DataFrame, text: str, fields: str,
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = make()
         for batch in batches:
-            if batch.num_rows:
-                results = of(batch.column(len(keep)).to_pylist())
-                arrays = [batch.column(i) for i in range(len(keep))]
-                arrays += [r if isinstance(r, pa.Array) else pa.array(r) for r in results]
-                yield pa.RecordBatch.from_arrays(arrays, [*keep, *added.names])
+            for rows in slices(batch, len(keep)):
+                results = of(rows.column(len(keep)).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*(rows.column(i) for i in range(len(keep))), *results], [*keep, *added.names])
 
     return rows.mapInArrow(apply, schema)
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.frames import binaries, chunks, kept, with_results
+from tidemark.llm.frames import binaries, chunks, kept, slices, with_results
 from tidemark.llm.pieces import library_tokenizer, ranges
 
 #: Buckets of the hashed vectors; dimensions of the curve and bits of each; tokens in a part.
@@ -89,6 +89,8 @@ def pack(df: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text",
     key, id and row, so a key that many documents share spans several tasks; the driver only holds
     one number for each range. Which sequence a token comes to depends on no range.
     """
+    width = library_tokenizer(tokenizer).type
+
     def make():
         coder = library_tokenizer(tokenizer)
 
@@ -96,12 +98,12 @@ def pack(df: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text",
             ids, counts, keys = [], [], []
             for _, group in chunks(texts):
                 some, count = coder.encode(group)
-                ids.append(np.insert(some, np.cumsum(count), end_id).astype("<u4"))
+                ids.append(np.insert(some, np.cumsum(count), end_id).astype(width))
                 counts.append(count + 1)
                 keys.append(hilbert_keys(grid(hashed_vectors(some, count))))
-            counts = np.concatenate(counts)
+            ids, counts = np.concatenate(ids), np.concatenate(counts)
             return [pa.array(np.concatenate(keys)), pa.array(counts),
-                    binaries(np.concatenate(ids), 4 * counts)]
+                    binaries(ids, ids.itemsize * counts)]
         return of
 
     rows = df.select(F.col(f"`{id}`").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
@@ -125,7 +127,7 @@ def pack(df: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text",
         T.StructField("doc_tokens", T.LongType()), T.StructField("sequence_id", T.LongType()),
         T.StructField("offset", T.LongType()), T.StructField("curve", T.LongType())])
     return ordered.select("doc", "curve", "doc_tokens", "ids", "part", "before").mapInArrow(
-        _cutter(first, total, length, pieces.names), pieces)
+        _cutter(first, total, length, width, pieces.names), pieces)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
@@ -157,7 +159,7 @@ def _places(batches):
         seen = int(ends[-1]) if len(ends) else seen
 
 
-def _cutter(first: dict[int, int], total: int, length: int, names: list[str]):
+def _cutter(first: dict[int, int], total: int, length: int, width: str, names: list[str]):
     full, tail = total // length, cuts(total, length)
 
     def sequence(at):
@@ -169,21 +171,20 @@ def _cutter(first: dict[int, int], total: int, length: int, names: list[str]):
                         tail[np.clip(number - full, 0, len(tail) - 1)])
 
     def apply(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            count = batch.column(2).to_numpy()
-            begins = (np.array([first[p] for p in batch.column(4).to_pylist()], np.int64)
-                      + batch.column(5).to_numpy())
-            low, high = sequence(begins), sequence(begins + count - 1)
-            row = np.repeat(np.arange(len(count)), high - low + 1)
-            number = ranges(low, high - low + 1)
-            start = np.maximum(begins[row], begin(number))
-            stop = np.minimum((begins + count)[row], begin(number + 1))
-            ids = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row)), pa.array(start - begins[row]),
-                 pa.array(stop - start), binaries(ids, 4 * (stop - start)),
-                 pa.array(count[row]), pa.array(number), pa.array(start - begin(number)),
-                 batch.column(1).take(pa.array(row))], names)
+        for whole in batches:
+            for batch in slices(whole, 3):
+                count = batch.column(2).to_numpy()
+                begins = (np.array([first[p] for p in batch.column(4).to_pylist()], np.int64)
+                          + batch.column(5).to_numpy())
+                low, high = sequence(begins), sequence(begins + count - 1)
+                row = np.repeat(np.arange(len(count)), high - low + 1)
+                number = ranges(low, high - low + 1)
+                start = np.maximum(begins[row], begin(number))
+                stop = np.minimum((begins + count)[row], begin(number + 1))
+                ids = np.frombuffer(b"".join(batch.column(3).to_pylist()), width).astype("<u4")
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(row)), pa.array(start - begins[row]),
+                     pa.array(stop - start), binaries(ids, 4 * (stop - start)),
+                     pa.array(count[row]), pa.array(number), pa.array(start - begin(number)),
+                     batch.column(1).take(pa.array(row))], names)
     return apply

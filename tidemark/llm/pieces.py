@@ -17,7 +17,7 @@ import numpy as np
 from tidemark.llm import words
 
 #: Pieces that a worker remembers; beyond them the ones met least often are forgotten.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 
 
 class PieceCache:
@@ -72,10 +72,19 @@ def ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1], dtype=np.int64) + np.repeat(first - ends + count, count)
 
 
+@functools.cache
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1
+    characters for themselves, the other bytes in turn from U+0100."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(rest)}
+
+
 class LibraryTokenizer:
     """Ids as the tokenizers library gives them for the whole text, without special tokens.
 
-    Every distinct piece is encoded by the library. A text that cannot be split into pieces safely
+    Every distinct piece is encoded by the library's model. A text that cannot be split into pieces safely
     (see ``words``), or that the tokenizer would normalize in another way than by lower-casing,
     goes through the library whole. Strings of special tokens in a text are ordinary text.
     """
@@ -86,17 +95,17 @@ class LibraryTokenizer:
         self.library = Tokenizer.from_file(file)
         self.library.encode_special_tokens = True
         self.spaced = self.library.normalizer is None
+        #: Type that holds every id, little-endian.
+        self.type = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         self.cache = PieceCache(self._encode_pieces)
 
     def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids, counts = [], np.zeros(len(pieces), np.int64)
-        for first in range(0, len(pieces), 1000):
-            some = pieces[first:first + 1000]
-            encoded = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids.append(np.asarray(encoded.ids, np.uint32))
-            if encoded.ids:
-                counts[first:first + len(some)] = np.bincount(encoded.word_ids, minlength=len(some))
-        return np.concatenate(ids) if ids else np.zeros(0, np.uint32), counts
+        tokenize, letters = self.library.model.tokenize, byte_letters()
+        found = [[token.id for token in tokenize(p.encode().decode("latin-1").translate(letters))]
+                 for p in pieces]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum()))
+        return ids, counts
 
     def _plain(self, text: str) -> bool:
         return (unicodedata.is_normalized("NFC", text)

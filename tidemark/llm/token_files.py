@@ -7,7 +7,8 @@ with a control byte of its own. Numpy decodes a whole block by a table from cont
 lengths.
 
 Layout of a folder: ``blocks`` (Parquet; one row for each block of neighbouring documents: part,
-block, ids and token counts of its documents, control bytes, data bytes, CRC-32 of both) and
+block, ids and token counts of its documents, tokens of the block and of the blocks before it in the
+part, control bytes, data bytes, CRC-32 of both) and
 ``vocabulary`` (Parquet; rank, token, count). Rows, files and parts are in ascending order of the
 document id, null first. Repeated rows are written as often as they come, one after the other.
 """
@@ -19,11 +20,11 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.frames import binaries, chunks, with_results
+from tidemark.llm.frames import binaries, chunks, slices, with_results
 from tidemark.llm.pieces import library_tokenizer, ranges
 from tidemark.session import new_folder
 from tidemark.sources.storage import Storage
@@ -32,38 +33,37 @@ from tidemark.sources.storage import Storage
 BLOCK_TOKENS, PART_TOKENS = 100_000, 4_000_000
 
 #: Lengths of the four ranks of each control byte.
-LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
-
-
-def code(ranks: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Control bytes and data bytes of documents with ``counts`` ranks each, and how many bytes of
-    both each document has."""
-    ranks = ranks.astype("<u4")
-    length = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    shown = np.arange(4) < length[:, None]
-    data = ranks.view(np.uint8).reshape(-1, 4)[shown]
+LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1).astype(np.uint8)
+
+
+def code(ranks: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Control bytes and data bytes of documents with ``counts`` ranks each."""
+    ranks = ranks.astype("<u4", copy=False)
+    length = np.ones(len(ranks), np.uint8)
+    widest = 1
+    for bits in (8, 16, 24):
+        longer = ranks >= 1 << bits
+        if longer.any():
+            length += longer
+            widest += 1
+    data = ranks.view(np.uint8).reshape(-1, 4)[:, :widest][np.arange(widest) < length[:, None]]
     groups = -(-counts // 4)
     slots = np.zeros(4 * int(groups.sum()), np.uint8)
-    first = 4 * (np.cumsum(groups) - groups)
-    slots[ranges(first, counts)] = length - 1
-    control = (slots.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1).astype(np.uint8)
-    sums = np.zeros(len(ranks) + 1, np.int64)
-    np.cumsum(length, out=sums[1:])
-    ends = np.cumsum(counts)
-    return control, data, groups, sums[ends] - sums[ends - counts]
+    slots[ranges(4 * (np.cumsum(groups) - groups), counts)] = length - 1
+    slots = slots.reshape(-1, 4)
+    return slots[:, 0] | slots[:, 1] << 2 | slots[:, 2] << 4 | slots[:, 3] << 6, data
 
 
 def uncode(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The ranks of documents with ``counts`` ranks each."""
     groups = -(-counts // 4)
     length = LENGTHS[control].ravel()[ranges(4 * (np.cumsum(groups) - groups), counts)]
-    first = np.cumsum(length) - length
-    data = np.append(data, np.zeros(3, np.uint8)).astype(np.uint32)
-    value = data[first]
+    first = np.cumsum(length, dtype=np.int64) - length
+    data = np.append(data, np.zeros(3, np.uint8))
+    value = data[first].astype(np.uint32)
     for byte in (1, 2, 3):
-        more = length > byte
-        if more.any():
-            value[more] |= data[first[more] + byte] << np.uint32(8 * byte)
+        more = np.flatnonzero(length > byte)
+        value[more] |= data[first[more] + byte].astype(np.uint32) << np.uint32(8 * byte)
     return value
 
 
@@ -74,7 +74,7 @@ def write(df: DataFrame, folder: str, tokenizer: str, id: str = "doc_id", text:
     Columns but ``id`` and ``text`` are not read. The ids are tokenized once, into a table of the
     shared folder that is removed at the end; counts cover all documents.
     """
-    spark = df.sparkSession
+    spark, width = df.sparkSession, library_tokenizer(tokenizer).type
 
     def make():
         coder = library_tokenizer(tokenizer)
@@ -83,10 +83,10 @@ def write(df: DataFrame, folder: str, tokenizer: str, id: str = "doc_id", text:
             ids, counts = [], []
             for _, group in chunks(texts):
                 some, count = coder.encode(group)
-                ids.append(np.insert(some, np.cumsum(count), end_id).astype("<u4"))
+                ids.append(np.insert(some, np.cumsum(count), end_id).astype(width))
                 counts.append(count + 1)
-            counts = np.concatenate(counts)
-            return [pa.array(counts), binaries(np.concatenate(ids), 4 * counts)]
+            ids, counts = np.concatenate(ids), np.concatenate(counts)
+            return [pa.array(counts), binaries(ids, ids.itemsize * counts)]
         return of
 
     staged = new_folder(spark, "token-ids")
@@ -96,7 +96,7 @@ def write(df: DataFrame, folder: str, tokenizer: str, id: str = "doc_id", text:
      .write.option("compression", "zstd").parquet(staged))
     rows = spark.read.parquet(staged)
 
-    counted = rows.select("ids").mapInArrow(_count, "token long, times long")
+    counted = rows.select("ids").mapInArrow(_counter(width), "token long, times long")
     counted = counted.groupBy("token").agg(F.sum("times").alias("times")).toPandas()  # <= vocabulary
     counted = counted.sort_values(["times", "token"], ascending=[False, True]).astype("int64")
     order = counted["token"].to_numpy()
@@ -107,17 +107,15 @@ def write(df: DataFrame, folder: str, tokenizer: str, id: str = "doc_id", text:
      .coalesce(1).write.parquet(f"{folder}/vocabulary"))
 
     parts = max(1, -(-int(counted["times"].sum()) // PART_TOKENS))
-    coded = T.StructType([rows.schema["row"], rows.schema["doc"], rows.schema["n_tokens"],
-                          T.StructField("control", T.BinaryType()), T.StructField("data", T.BinaryType())])
-    ranked = rows.select("row", "doc", "n_tokens", "ids").mapInArrow(_coder(rank), coded)
     blocks = T.StructType([
         T.StructField("part", T.IntegerType()), T.StructField("block", T.IntegerType()),
         T.StructField("docs", T.ArrayType(rows.schema["doc"].dataType)),
         T.StructField("counts", T.ArrayType(T.LongType())), T.StructField("tokens", T.LongType()),
-        T.StructField("control", T.BinaryType()), T.StructField("data", T.BinaryType()),
-        T.StructField("check", T.LongType())])
-    (ranked.repartitionByRange(parts, "doc", "row").sortWithinPartitions("doc", "row")
-     .mapInArrow(_blocks, blocks).write.option("compression", "zstd").parquet(f"{folder}/blocks"))
+        T.StructField("before", T.LongType()), T.StructField("control", T.BinaryType()),
+        T.StructField("data", T.BinaryType()), T.StructField("check", T.LongType())])
+    (rows.repartitionByRange(parts, "doc", "row").sortWithinPartitions("doc", "row")
+     .select("doc", "n_tokens", "ids").mapInArrow(_blocks(rank, width, blocks.names), blocks)
+     .write.option("compression", "zstd").parquet(f"{folder}/blocks"))
     Storage(spark).remove(staged, whole_folder=True)
 
 
@@ -130,94 +128,74 @@ def read(spark: SparkSession, folder: str, id: str = "doc_id") -> DataFrame:
     tokens = np.zeros(len(vocabulary), "<u4")
     tokens[vocabulary["rank"].to_numpy()] = vocabulary["token"].to_numpy()
 
-    sizes = blocks.select("part", "block", "tokens")
-    of_part = sizes.groupBy("part").agg(F.sum("tokens").alias("tokens"))  # a row for each file
-    before = of_part.select("part", (F.sum("tokens").over(Window.orderBy("part")) - F.col("tokens"))
-                            .alias("part_start"))
-    inside = Window.partitionBy("part").orderBy("block")
-    starts = (sizes.withColumn("block_start", F.sum("tokens").over(inside) - F.col("tokens"))
-              .join(before, "part").select("part", "block",
-                                           (F.col("part_start") + F.col("block_start")).alias("first")))
-
-    doc = blocks.schema["docs"].dataType.elementType
+    sums = blocks.groupBy("part").agg(F.sum("tokens").alias("tokens")).collect()  # a row a file
+    first, seen = {}, 0
+    for row in sorted(sums):
+        first[row["part"]], seen = seen, seen + row["tokens"]
     schema = T.StructType([
-        T.StructField("part", T.IntegerType()), T.StructField("block", T.IntegerType()),
-        T.StructField("doc", doc), T.StructField("before", T.LongType()),
-        T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
-    docs = blocks.mapInArrow(_decoder(tokens), schema)
-    return docs.join(starts, ["part", "block"]).select(
-        F.col("doc").alias(id), (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids")
+        T.StructField(id, blocks.schema["docs"].dataType.elementType),
+        T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()),
+        T.StructField("ids", T.BinaryType())])
+    return blocks.select("part", "before", "docs", "counts", "control", "data", "check").mapInArrow(
+        _decoder(tokens, first, schema.names), schema)
 
 
-def _count(batches):
-    for batch in batches:
-        if batch.num_rows:
-            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4")
-            times = np.bincount(ids)
-            seen = np.flatnonzero(times)
-            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(times[seen])],
-                                             ["token", "times"])
-
-
-def _coder(rank: np.ndarray):
+def _counter(width: str):
     def apply(batches):
         for batch in batches:
-            if batch.num_rows:
-                counts = batch.column(2).to_numpy()
-                ids = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<u4")
-                control, data, n_control, n_data = code(rank[ids], counts)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), batch.column(2),
-                     binaries(control, n_control),
-                     binaries(data, n_data)],
-                    ["row", "doc", "n_tokens", "control", "data"])
+            for rows in slices(batch, 0):
+                times = np.bincount(np.frombuffer(b"".join(rows.column(0).to_pylist()), width))
+                seen = np.flatnonzero(times)
+                yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(times[seen])],
+                                                 ["token", "times"])
     return apply
 
 
-def _blocks(batches):
-    part, block, held, tokens = TaskContext.get().partitionId(), 0, [], 0
-
-    def made():
-        control = b"".join(h[2] for h in held)
-        data = b"".join(h[3] for h in held)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([part], pa.int32()), pa.array([block], pa.int32()),
-             pa.array([[h[0] for h in held]], pa.list_(kind)),
-             pa.array([[h[1] for h in held]], pa.list_(pa.int64())), pa.array([tokens], pa.int64()),
-             pa.array([control], pa.binary()), pa.array([data], pa.binary()),
-             pa.array([zlib.crc32(data, zlib.crc32(control))], pa.int64())],
-            ["part", "block", "docs", "counts", "tokens", "control", "data", "check"])
-
-    for batch in batches:
-        kind = batch.column(1).type
-        for doc, n, control, data in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4))):
-            if held and tokens + n > BLOCK_TOKENS:
-                yield made()
-                block, held, tokens = block + 1, [], 0
-            held.append((doc, n, control, data))
-            tokens += n
-    if held:
-        yield made()
-
+def _blocks(rank: np.ndarray, width: str, names: list[str]):
+    def apply(batches):
+        part, block, before, held = TaskContext.get().partitionId(), 0, 0, []
+
+        def made(kind):
+            nonlocal block, before, held
+            docs, counts = [h[0] for h in held], np.array([h[1] for h in held], np.int64)
+            ids = np.frombuffer(b"".join(h[2] for h in held), width)
+            control, data = (x.tobytes() for x in code(rank[ids], counts))
+            row = pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([block], pa.int32()),
+                 pa.array([docs], pa.list_(kind)), pa.array([counts.tolist()], pa.list_(pa.int64())),
+                 pa.array([len(ids)], pa.int64()), pa.array([before], pa.int64()),
+                 pa.array([control], pa.binary()), pa.array([data], pa.binary()),
+                 pa.array([zlib.crc32(data, zlib.crc32(control))], pa.int64())], names)
+            block, before, held = block + 1, before + len(ids), []
+            return row
+
+        tokens = 0
+        for batch in batches:
+            kind = batch.column(0).type
+            for doc in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and tokens + doc[1] > BLOCK_TOKENS:
+                    yield made(kind)
+                    tokens = 0
+                held.append(doc)
+                tokens += doc[1]
+        if held:
+            yield made(kind)
+    return apply
 
-def _decoder(tokens: np.ndarray):
-    names = ["part", "block", "docs", "counts", "control", "data", "check"]
 
+def _decoder(tokens: np.ndarray, first: dict[int, int], names: list[str]):
     def apply(batches):
         for batch in batches:
-            columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
             for row in range(batch.num_rows):
-                part, block, docs, counts, control, data, check = (c[row].as_py() for c in columns)
+                part, before, docs, counts, control, data, check = (c[row].as_py()
+                                                                    for c in batch.columns)
                 if zlib.crc32(data, zlib.crc32(control)) != check:
-                    raise ValueError(f"block {block} of part {part} is damaged")
+                    raise ValueError(f"a block of part {part}, {before} ids from its begin, is damaged")
                 counts = np.array(counts, np.int64)
                 ids = tokens[uncode(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8),
                                     counts)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part] * len(docs), pa.int32()),
-                     pa.array([block] * len(docs), pa.int32()),
-                     pa.array(docs, columns[2].type.value_type),
-                     pa.array(np.cumsum(counts) - counts), pa.array(counts),
-                     binaries(ids, 4 * counts)],
-                    ["part", "block", "doc", "before", "n_tokens", "ids"])
+                    [pa.array(docs, batch.column(2).type.value_type),
+                     pa.array(first[part] + before + np.cumsum(counts) - counts), pa.array(counts),
+                     binaries(ids, 4 * counts)], names)
     return apply
