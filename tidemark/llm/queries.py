@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (byte_bpe, hilbert_packing, jump_shards, quality_rules, simhash_anchors,
-                          token_files)
+from tidemark.llm import (byte_bpe, cross_entropy, hilbert_packing, jump_shards, language_crf,
+                          quality_rules, simhash_anchors, token_files, toxicity_kn)
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import new_folder
 
@@ -16,6 +16,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(divisor: int) -> Column:
+    """CRC-32 of the document id as text, modulo ``divisor``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+def op1_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_crf.fit(docs.filter(_remainder(4) != 2))
+    return (language_crf.label(docs, model, keep=["doc_id"])
+            .withColumn("held_out", F.coalesce(_remainder(4) == 2, F.lit(False))))
+
+
+def op2_toxicity_kn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity_kn.fit(docs, labels.filter(_remainder(5) != 0))
+    return (toxicity_kn.score(docs, model, keep=["doc_id"])
+            .withColumn("held_out", F.coalesce(_remainder(5) == 0, F.lit(False))))
+
+
 def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     rows = _table(spark, sf_dir, "documents").select(
@@ -31,6 +50,15 @@ def op4_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled as of good quality. Background: all documents."""
+    docs = _table(spark, sf_dir, "documents")
+    good = (_table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct()
+            .withColumn("good", F.lit(True)))
+    models = cross_entropy.fit(docs.select("doc_id", "text").join(good, "doc_id", "left"), "good")
+    return cross_entropy.score(docs, models, keep=["doc_id"])
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -56,6 +84,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_jump_shards, op4_curve_packing, op7_quality_rules, op8_byte_bpe, op9_simhash_anchors,
-    op10_token_files)}
+    op1_language_crf, op2_toxicity_kn, op3_jump_shards, op4_curve_packing, op6_cross_entropy,
+    op7_quality_rules, op8_byte_bpe, op9_simhash_anchors, op10_token_files)}
 __all__ = ["ORACLES", "QUERIES"]

@@ -10,12 +10,16 @@ from __future__ import annotations
 
 import functools
 import unicodedata
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 
+#: Words that a worker remembers the values of.
+REMEMBERED = 400_000
+
 #: The code points with the property White_Space.
 WHITE_SPACE = (*range(0x9, 0xE), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
                0x202F, 0x205F, 0x3000)
@@ -30,15 +34,15 @@ def _kind(category: str) -> int:
 @functools.cache
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     """By code point: its class; whether the class is the same in old and new tables."""
-    kinds, steady = np.zeros(0x10000, np.uint8), np.zeros(0x10000, bool)
+    table, steady = np.zeros(0x10000, np.uint8), np.zeros(0x10000, bool)
     for point in range(0x10000):
         char = chr(point)
-        kinds[point] = _kind(unicodedata.category(char))
+        table[point] = _kind(unicodedata.category(char))
         old = unicodedata.ucd_3_2_0.category(char)
-        steady[point] = (old not in ("Cn", "Cs") and _kind(old) == kinds[point]
+        steady[point] = (old not in ("Cn", "Cs") and _kind(old) == table[point]
                          and (old[0] == "Z") == (unicodedata.category(char)[0] == "Z"))
-    kinds[list(WHITE_SPACE)] = SPACE
-    return kinds, steady
+    table[list(WHITE_SPACE)] = SPACE
+    return table, steady
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -49,6 +53,16 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return points, bounds
 
 
+def kinds(points: np.ndarray) -> np.ndarray:
+    """The class of each code point."""
+    found = _tables()[0][np.minimum(points, 0xFFFF)]
+    far = np.flatnonzero(points >= 0x10000)
+    if len(far):
+        some, back = np.unique(points[far], return_inverse=True)
+        found[far] = np.array([_kind(unicodedata.category(chr(p))) for p in some], np.uint8)[back]
+    return found
+
+
 def steady_texts(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Which texts hold only characters that ``split`` may treat."""
     _, steady = _tables()
@@ -103,18 +117,18 @@ def split(points: np.ndarray, bounds: np.ndarray, spaced: bool, digits: bool) ->
     if not n:
         none = np.zeros(0, np.int64)
         return Pieces(points, none, none, none)
-    kinds = _tables()[0][np.minimum(points, 0xFFFF)]
+    of_point = kinds(points)
     new = np.empty(n, bool)
     new[0] = True
-    np.not_equal(kinds[1:], kinds[:-1], out=new[1:])
+    np.not_equal(of_point[1:], of_point[:-1], out=new[1:])
     if digits:
-        new |= kinds == NUMBER
+        new |= of_point == NUMBER
     begins_text = np.zeros(n + 1, bool)
     begins_text[bounds] = True
     new |= begins_text[:n]
     start = np.flatnonzero(new)
     end = np.append(start[1:], n)
-    kind = kinds[start]
+    kind = of_point[start]
     first = begins_text[start]  # the run begins its text
     last = begins_text[end]
     if spaced:
@@ -149,3 +163,62 @@ def split(points: np.ndarray, bounds: np.ndarray, spaced: bool, digits: bool) ->
     filled = end > start
     start, end = start[filled], end[filled]
     return Pieces(points, start, end, np.searchsorted(bounds, start, "right") - 1)
+
+
+def word_pieces(texts: list[str]) -> tuple[Pieces, str]:
+    """Runs of letters of the lower-cased texts; the texts joined."""
+    lowered = [t.lower() for t in texts]
+    points, bounds = code_points(lowered)
+    pieces = split(points, bounds, spaced=False, digits=True)
+    keep = kinds(points)[pieces.start] == LETTER
+    return (Pieces(points, pieces.start[keep], pieces.end[keep], pieces.text[keep]),
+            "".join(lowered))
+
+
+def ngram_keys(spelled: list[str], order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """For each letter and the end of each word: the word; the keys of the n-grams of 0, 1, ..
+    letters that end there (0 where one would reach past the begin of the word)."""
+    size = np.array([len(w) + 2 for w in spelled], np.int64)  # with begin and end marks
+    points = np.frombuffer("".join(f"\x02{w}\x03" for w in spelled).encode("utf-32-le"), np.uint32)
+    owner = np.repeat(np.arange(len(spelled)), size)
+    place = np.arange(len(points)) - np.repeat(np.cumsum(size) - size, size)
+    letters = (points.astype(np.uint64) + np.uint64(1)) * _A
+    letters ^= letters >> np.uint64(29)
+    letters *= np.uint64(0xBF58476D1CE4E5B9)
+    keys, key = [np.ones(len(points), np.uint64)], np.ones(len(points), np.uint64)
+    for back in range(order):
+        shifted = np.roll(letters, back)
+        key = (key ^ shifted) * _A + np.uint64(back + 1)
+        key ^= key >> np.uint64(32)
+        keys.append(np.where(place >= back, key, np.uint64(0)))
+    return owner, keys, place
+
+
+class WordValues:
+    """A value for each distinct word, remembered in a bounded table between batches."""
+
+    def __init__(self, of: Callable[[list[str]], np.ndarray], width: int = 1,
+                 most: int = REMEMBERED) -> None:
+        self.of, self.width, self.most = of, width, most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys, self.values = np.zeros(0, np.uint64), np.zeros((0, self.width), np.float32)
+
+    def __call__(self, pieces: Pieces, whole: str) -> np.ndarray:
+        """The value of each piece, a row each."""
+        keys, index, back = np.unique(pieces.keys(), return_index=True, return_inverse=True)
+        if len(self.keys) + len(keys) > self.most:
+            self._clear()
+        place = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inner = place < len(self.keys)
+        known[inner] = self.keys[place[inner]] == keys[inner]
+        new = np.flatnonzero(~known)
+        if len(new):
+            spans = zip(pieces.start[index[new]].tolist(), pieces.end[index[new]].tolist())
+            values = self.of([whole[a:b] for a, b in spans]).reshape(len(new), self.width)
+            self.keys = np.insert(self.keys, place[new], keys[new])
+            self.values = np.insert(self.values, place[new], values, axis=0)
+            place = np.searchsorted(self.keys, keys)
+        return self.values[place][back]
