@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (byte_bpe, cross_entropy, hilbert_packing, jump_shards, language_crf,
-                          quality_rules, simhash_anchors, token_files, toxicity_kn)
+                          projection_dedup, quality_rules, simhash_anchors, token_files, toxicity_kn)
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import new_folder
 
@@ -50,6 +50,10 @@ def op4_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def op5_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: the documents labelled as of good quality. Background: all documents."""
     docs = _table(spark, sf_dir, "documents")
@@ -84,6 +88,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_crf, op2_toxicity_kn, op3_jump_shards, op4_curve_packing, op6_cross_entropy,
-    op7_quality_rules, op8_byte_bpe, op9_simhash_anchors, op10_token_files)}
+    op1_language_crf, op2_toxicity_kn, op3_jump_shards, op4_curve_packing, op5_projection_dedup,
+    op6_cross_entropy, op7_quality_rules, op8_byte_bpe, op9_simhash_anchors,
+    op10_token_files)}
 __all__ = ["ORACLES", "QUERIES"]
