@@ -128,9 +128,11 @@ def score(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> D
     failed = F.array_compact(F.array(*[F.when(broken(r), F.lit(r.name)) for r in rules]))
     base = (own("n_words") < LEAST_WORDS) | (
         100 * own("n_repeat_words") > REPEATED_PERCENT * own("n_words"))
+    # a filter on the result must stay above it: pushed down, it would take the counts once more
+    stays = F.monotonically_increasing_id() >= 0
     return (rows.select(*rest, *[own(n).alias(n) for n in COUNTS], failed.alias("failed_rules"),
                         base.alias("base_failed"))
-            .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)))
+            .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0) & stays))
 
 
 def passing(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
