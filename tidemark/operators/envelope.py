@@ -8,9 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _trimmed(json: Column) -> Column:
+    return F.ltrim(json, F.lit(" \t\r\n"))  # what JSON takes as white space
+
+
 def _is_array(data: Column) -> Column:
     # from_json wraps a lone object into a one-element array; only real arrays hold records.
-    return F.ltrim(data).startswith("[")
+    return _trimmed(data).startswith("[")
 
 
 def _record_type(fields: Sequence[str]) -> str:
@@ -23,22 +27,32 @@ def _own_records(data: Column, fields: Sequence[str]) -> Column:
     whole = F.from_json(data, f"array<{record}>")
     # One element that is not an object makes the whole array unreadable to from_json, so such
     # arrays, and only those, are read element by element.
-    one_by_one = F.transform(
+    return F.coalesce(whole, _one_by_one(data, record))
+
+
+def _one_by_one(data: Column, record: str) -> Column:
+    return F.transform(
         F.from_json(data, "array<string>"),
-        lambda item: F.when(F.ltrim(item).startswith("{"), F.from_json(item, record))
+        lambda item: F.when(_trimmed(item).startswith("{"), F.from_json(item, record))
         .otherwise(F.from_json(F.lit("{}"), record)))
-    return F.coalesce(whole, one_by_one)
 
 
 def _foreign_records(data: Column, fields: Sequence[str]) -> Column:
-    """As :func:`_own_records`, for payloads whose values may be nested: those give NULL."""
+    """As :func:`_own_records`, for payloads whose values may be nested: those give NULL.
+
+    A message that is an array but too large for Spark to parse in this way is an error.
+    """
 
     def scalar(item: Column, field: str) -> Column:
         value = F.try_variant_get(item, f"$['{field}']", "variant")
         nested = F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
         return F.when(~nested, F.try_variant_get(item, f"$['{field}']", "string")).alias(field)
 
-    items = F.try_variant_get(F.try_parse_json(data), "$", "array<variant>")
+    parsed = F.try_parse_json(data)
+    too_large = F.raise_error(F.lit("a message is too large to be parsed with nested values"))
+    parsed = F.when(parsed.isNull() & F.json_array_length(data).isNotNull(),
+                    too_large.cast("variant")).otherwise(parsed)
+    items = F.try_variant_get(parsed, "$", "array<variant>")
     return F.transform(items, lambda item: F.struct(*[scalar(item, f) for f in fields]))
 
 
@@ -58,7 +72,8 @@ def explode_records(events: DataFrame, fields: Sequence[str], data: str = "data"
 
 def discover_fields(raw: DataFrame) -> DataFrame:
     """Which record fields each entity has sent, and in how many records."""
-    records = F.from_json("data", "array<map<string,string>>")
+    data, record = F.col("data"), "map<string,string>"
+    records = F.coalesce(F.from_json(data, f"array<{record}>"), _one_by_one(data, record))
     return (raw.filter(_is_array(F.col("data")))
             .select(F.col("attributes")["entity"].alias("entity"),
                     F.explode(records).alias("record"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import watermark
@@ -15,10 +15,17 @@ from tidemark.sources.tables import Tables
 KEPT_DAYS = 7  # how long a file that could not be read stays in the quarantine report
 
 
+def _records() -> Column:
+    """Records of a message: as counted at landing, or else counted in its payload."""
+    known = F.col("attributes")["records"]
+    return F.coalesce(known.cast("long"), F.when(known.isNull(), F.json_array_length("data")),
+                      F.lit(0))
+
+
 def ingest_report(raw: DataFrame) -> DataFrame:
     """Records per ingested file."""
     a = F.col("attributes")
-    records = F.coalesce(F.json_array_length("data"), F.lit(0))
+    records = _records()
     return (raw.groupBy(a["audit_id"].alias("audit_id"), a["entity"].alias("entity"),
                         a["source_path"].alias("source_path"))
             .agg(F.sum(records).alias("records")))
@@ -52,7 +59,7 @@ def trace_layers(raw: DataFrame, customers: DataFrame, transactions: DataFrame,
         return (own.groupBy("audit_id").agg(F.sum("n").alias("rows"))
                 .select("audit_id", F.lit(layer).alias("layer"), "rows"))
 
-    records = F.coalesce(F.json_array_length("data"), F.lit(0))
+    records = _records()
     return (rows(raw, "landing_events", "attributes['audit_id']", records)
             .unionByName(rows(customers, "silver_customers", "_metadata.audit_id"))
             .unionByName(rows(transactions, "silver_transactions", "_metadata.audit_id"))

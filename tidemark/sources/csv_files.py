@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from tidemark.schemas import ENTITIES
 
+# The parser's own limit of 131,072 characters a field would set whole files aside.
+csv.field_size_limit(2**31 - 1)
+
 CSV_GLOB = "*.csv"
 SUBSCRIPTION = "landing-files"
 
@@ -24,7 +27,7 @@ INLINE_BYTES = 16 * 1024 * 1024
 YIELD_BYTES = 32 * 1024 * 1024
 
 PARSED = ("path string, modificationTime timestamp, length long, part long, data string, "
-          "error string")
+          "error string, records long")
 
 
 def literal_paths(paths: Iterable[str]) -> list[str]:
@@ -59,20 +62,25 @@ def with_file_identity(files: DataFrame, root: str) -> DataFrame:
     })
 
 
-def records_as_json(text: str, header: list[str] | None = None) -> str:
-    """All records of a CSV text as one JSON array of objects.
+def counted_records(text: str, header: list[str] | None = None) -> tuple[str, int]:
+    """All records of a CSV text as one JSON array of objects, and their number.
 
     Fields are bound to the names in ``header``, or else in the first record.
     """
-    records = csv.DictReader(io.StringIO(text), fieldnames=header)
-    return json.dumps(list(records), ensure_ascii=False)
+    records = list(csv.DictReader(io.StringIO(text), fieldnames=header))
+    return json.dumps(records, ensure_ascii=False), len(records)
+
+
+def records_as_json(text: str, header: list[str] | None = None) -> str:
+    return counted_records(text, header)[0]
 
 
-def _parse_one(content: bytes) -> tuple[str | None, str | None]:
+def _parse_one(content: bytes) -> tuple[str | None, str | None, int]:
     try:
-        return records_as_json(content.decode("utf-8")), None
+        data, count = counted_records(content.decode("utf-8"))
+        return data, None, count
     except (UnicodeDecodeError, csv.Error) as problem:
-        return None, f"{type(problem).__name__}: {problem}"
+        return None, f"{type(problem).__name__}: {problem}", 0
 
 
 def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -82,9 +90,10 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             found.append(_parse_one(bytes(content)))
             size += len(content)
             if size >= YIELD_BYTES or place == len(batch) - 1:
-                data, errors = zip(*found, strict=True)
+                data, errors, counts = zip(*found, strict=True)
                 files = batch[["path", "modificationTime", "length"]].iloc[start:place + 1]
-                yield files.assign(part=0, data=list(data), error=list(errors))
+                yield files.assign(part=0, data=list(data), error=list(errors),
+                                   records=list(counts))
                 found, size, start = [], 0, place + 1
 
 
@@ -111,7 +120,8 @@ def as_messages(parsed: DataFrame, root: str, published: Column,
         F.lit("source_file"), F.col("source_file"),
         F.lit("ingested_at"), instant,
         F.lit("uploaded_at"), uploaded,
-        F.lit("part"), F.col("part").cast("string"))
+        F.lit("part"), F.col("part").cast("string"),
+        F.lit("records"), F.col("records").cast("string"))
     return known.select(
         F.lit(SUBSCRIPTION).alias("subscription_name"),
         F.concat_ws("-", "audit_id", "part").alias("message_id"),

@@ -1,7 +1,7 @@
 """Parsing CSV files too large for one task: byte ranges in parallel, records kept whole.
 
 A byte range may start inside a quoted field, which only the ranges before it can tell. So each
-range is scanned once under both assumptions, giving its quote state at the end as a function of
+range is scanned once, under both assumptions, giving its quote state at the end as a function of
 the state at its start. These small functions are chained along each file, and the lines then
 fall into chunks of whole records, which become the messages of the file.
 """
@@ -16,20 +16,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import materialized, new_folder
-from tidemark.sources.csv_files import PARSED, literal_paths, records_as_json
+from tidemark.sources.csv_files import PARSED, literal_paths, counted_records
 from tidemark.sources.storage import Storage
 
 CHUNK_BYTES = 8 * 1024 * 1024
 # A single record longer than this cannot be held as one text and sets its file aside.
 RECORD_BYTES = 512 * 1024 * 1024
-# Block rows are about 60 bytes, so this many are broadcast.
-BROADCAST_BLOCKS = 500_000
 
-_LINES = ("file string, block long, line long, value string, if_outside int, if_inside int")
-_BLOCKS = ("file string, block long, bytes long, valid boolean, header array<string>, "
-           "outside_ends_inside boolean, inside_ends_inside boolean, "
-           "outside_chunks int, inside_chunks int")
-_CHUNKS = "file string, part long, data string, error string"
+# One row for each line and, with line -1, one for each block.
+_SCANNED = ("file string, block long, line long, value string, if_outside int, if_inside int, "
+            "bytes long, valid boolean, header array<string>, "
+            "outside_ends_inside boolean, inside_ends_inside boolean")
+_CHUNKS = "file string, part long, data string, error string, records long"
 
 
 def ends_inside(line: str, inside: bool) -> bool:
@@ -83,26 +81,26 @@ def _first_record(lines: list[str]) -> list[str]:
         return []  # the chunk that holds the header reports the error
 
 
-def _scan(chunk_bytes: int, per_line: bool) -> Callable:
-    """A scan of lines in file order that reports each line, or each block."""
+def _scan(chunk_bytes: int) -> Callable:
+    """A scan of lines in file order that reports each line and, at its end, each block."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         here: tuple | None = None
         outside = inside = None
         size_seen, number, valid, head, head_done = 0, 0, True, [], False
 
-        def summary() -> list:
+        def summary() -> tuple:
             header = _first_record(head) if here[1] == 0 else None
-            return [*here, size_seen, valid, header, outside.inside, inside.inside,
-                    outside.chunks, inside.chunks]
+            return (*here, -1, None, outside.chunks, inside.chunks, size_seen, valid, header,
+                    outside.inside, inside.inside)
 
-        names = [f.split()[0] for f in (_LINES if per_line else _BLOCKS).split(", ")]
+        names = [f.split()[0] for f in _SCANNED.split(", ")]
         for batch in batches:
             out = []
             for file, block, value, ok in zip(
                     batch["file"], batch["block"], batch["value"], batch["valid"], strict=True):
                 if here != (file, block):
-                    if here is not None and not per_line:
+                    if here is not None:
                         out.append(summary())
                     here = (file, block)
                     outside, inside = _Assumption(False), _Assumption(True)
@@ -113,14 +111,13 @@ def _scan(chunk_bytes: int, per_line: bool) -> Callable:
                 a = outside.take(value, size, quoted, chunk_bytes)
                 b = inside.take(value, size, quoted, chunk_bytes)
                 head_done = head_done or not outside.inside
-                if per_line:
-                    out.append((file, block, number, value, a, b))
+                out.append((file, block, number, value, a, b, size, bool(ok), None, None, None))
                 number += 1
                 size_seen += size
                 valid = valid and bool(ok)
             if out:
                 yield pd.DataFrame(out, columns=names)
-        if here is not None and not per_line:
+        if here is not None:
             yield pd.DataFrame([summary()], columns=names)
 
     return scan
@@ -147,7 +144,7 @@ def _chained(blocks: DataFrame) -> DataFrame:
     odd = (F.col("_before") - F.coalesce("_last.flips", F.lit(0))) % 2 == 1
     started = started.withColumn(
         "inside", F.coalesce("_last.state", F.lit(False)) != odd)
-    chunks = F.when(F.col("inside"), F.col("inside_chunks")).otherwise(F.col("outside_chunks"))
+    chunks = F.when(F.col("inside"), F.col("if_inside")).otherwise(F.col("if_outside"))
     begun = F.when(chunks > 0, F.col("block") + chunks - 1)
     return started.select(
         "file", "block", "bytes", "valid", "header", "inside", chunks.alias("chunks"),
@@ -172,10 +169,11 @@ def _chunk_parser(headers: dict[str, list[str]], marked: set[str]) -> Callable:
         if part == 0 and file in marked:
             text = "\ufeff" + text
         try:
-            data, error = records_as_json(text, header), None
+            (data, count), error = counted_records(text, header), None
         except csv.Error as problem:
-            data, error = None, f"{type(problem).__name__}: {problem}"
-        return pd.DataFrame({"file": [file], "part": [part], "data": [data], "error": [error]})
+            data, count, error = None, 0, f"{type(problem).__name__}: {problem}"
+        return pd.DataFrame({"file": [file], "part": [part], "data": [data], "error": [error],
+                             "records": [count]})
 
     return parse
 
@@ -197,8 +195,10 @@ def parse_large_files(spark: SparkSession, paths: list[str], scratch: str | None
         F.col("_metadata.file_block_start").alias("block"),
         F.make_valid_utf8(text).alias("value"), F.is_valid_utf8(text).alias("valid")))
 
-    chained = materialized(_chained(lines.mapInPandas(_scan(chunk_bytes, False), _BLOCKS)),
-                           f"{scratch}/blocks")
+    # Lines and blocks come from one scan that is written down: how Spark cuts files into blocks
+    # depends on settings and cores, and a second scan could see other ones.
+    scanned = materialized(lines.mapInPandas(_scan(chunk_bytes), _SCANNED), f"{scratch}/lines")
+    chained = materialized(_chained(scanned.filter("line = -1")), f"{scratch}/blocks")
     headers, marked = {}, set()
     for row in chained.filter("block = 0").select("file", "header").collect():
         path = storage.from_uri(row["file"])
@@ -210,11 +210,8 @@ def parse_large_files(spark: SparkSession, paths: list[str], scratch: str | None
 
     unreadable = _problems(chained)
     where = chained.select("file", "block", "inside", "carried")
-    if chained.count() <= BROADCAST_BLOCKS:
-        where = F.broadcast(where)
     place = F.when(F.col("inside"), F.col("if_inside")).otherwise(F.col("if_outside"))
-    parts = (lines.mapInPandas(_scan(chunk_bytes, True), _LINES)
-             .join(where, ["file", "block"])
+    parts = (scanned.filter("line >= 0").join(where, ["file", "block"])
              .join(unreadable, "file", "left_anti")
              .select("file", "block", "line", "value",
                      F.when(place > 0, F.col("block") + place - 1)
@@ -227,6 +224,7 @@ def parse_large_files(spark: SparkSession, paths: list[str], scratch: str | None
         .agg(F.min_by("error", "part").alias("error")))
     good = chunks.join(failed, "file", "left_anti")
     bad = failed.select("file", F.lit(0).cast("long").alias("part"),
-                        F.lit(None).cast("string").alias("data"), "error")
+                        F.lit(None).cast("string").alias("data"), "error",
+                    F.lit(0).cast("long").alias("records"))
     columns = [f.split()[0] for f in PARSED.split(", ")]
     return good.unionByName(bad).join(known, "file").select(*columns)
