@@ -14,7 +14,7 @@ from tidemark.plans.medallion import refresh_all
 from tidemark.session import utc_now
 from tidemark.sources.storage import Storage
 from tidemark.sources.tables import Tables
-from tidemark.streaming import start_landing
+from tidemark.streaming import landing, start_landing
 from tidemark.streaming.landing import retry_quarantined
 
 DAY = "year=2026/month=03/day=25"
@@ -219,6 +219,64 @@ def test_a_repeated_batch_is_landed_once_and_refreshed(feed):
     assert feed.tables.read("gold_transactions").count() == 3
 
 
+def test_files_with_old_times_are_landed(feed):
+    landing = feed.folder / "landing" / "entity=customers" / DAY
+    feed.put(f"entity=customers/{DAY}/new.csv", "customer_id,customer_name\nC1,Ann\n")
+    feed.land()
+    old = time.time() - 30 * 86400
+    feed.put(f"entity=customers/{DAY}/old.csv", "customer_id,customer_name\nC2,Bob\n")
+    os.utime(landing / "old.csv", (old, old))
+    feed.land()
+    feed.put(f"entity=customers/{DAY}/new.csv", "customer_id,customer_name\nC1,Anna\n")
+    os.utime(landing / "new.csv", (old, old))
+    feed.land()
+    assert feed.rows("silver_customers", "customer_id", "customer_name") == [
+        ("C1", "Anna"), ("C2", "Bob")]
+    assert feed.tables.read("landed_files").count() == 3
+
+
+def test_a_batch_repeated_after_a_replaced_file_is_not_below_the_mark(feed, monkeypatch):
+    feed.put(f"entity=customers/{DAY}/a.csv", "customer_id,customer_name\nC1,Ann\n")
+    feed.land()
+    feed.put(f"entity=customers/{DAY}/b.csv", "customer_id,customer_name\nC2,Bob\n")
+    with monkeypatch.context() as broken:
+        broken.setattr(landing, "land_batch", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(Exception, match="gone"):
+            feed.land()
+    time.sleep(1.1)
+    feed.put(f"entity=customers/{DAY}/a.csv", "customer_id,customer_name\nC1,Anna\n")
+    feed.land()
+    assert feed.rows("silver_customers", "customer_id", "customer_name") == [
+        ("C1", "Anna"), ("C2", "Bob")]
+    assert lineage.late_events(feed.tables).count() == 0
+
+
+def test_opening_tables_leaves_a_running_change_alone(feed, monkeypatch):
+    _both(feed)
+    move, opened = Storage.move, []
+
+    def opens_meanwhile(self, source, target):
+        move(self, source, target)
+        if not opened and "_entity=" in source:
+            opened.append(Tables(feed.spark, str(feed.folder / "tables")))
+
+    monkeypatch.setattr(Storage, "move", opens_meanwhile)
+    feed.land()
+    assert opened and feed.tables.read("gold_transactions").count() == 3
+
+
+def test_large_files_in_quarantine_are_retried_as_large(feed):
+    path = f"entity=customers/{DAY}/big.csv"
+    feed.put(path, b"customer_id,customer_name\n" + b"C1,x\n" * 300 + b"\xff\n")
+    feed.land(inline_bytes=1000)
+    landing_dir = feed.folder / "landing"
+    stamp = (landing_dir / path).stat().st_mtime
+    assert retry_quarantined(feed.tables, str(landing_dir), inline_bytes=1000) == 1
+    attempts = lineage.quarantine(feed.tables.read("quarantine"), utc_now()).first()["attempts"]
+    assert attempts == 2 and stamp > 0
+    assert feed.tables.read("landing_events").count() == 0
+
+
 def test_a_landing_cut_off_while_publishing_is_finished_first(feed, monkeypatch):
     _both(feed)
     move, moved = Storage.move, []

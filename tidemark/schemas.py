@@ -90,6 +90,12 @@ ASIDE = T.StructType([
     _col("seen_at", _TS, "when it was set aside"),
 ])
 
+LANDED_FILES = T.StructType([
+    _col("source_path", _TEXT, "file path below the landing folder"),
+    _col("audit_id", _TEXT, "audit id of the file event"),
+    _col("seen_at", _TS, "when the file was landed or set aside"),
+])
+
 MALFORMED = T.StructType([
     _col("entity", _TEXT, "customers or transactions"),
     _col("record", _TEXT, "the record as JSON"),
@@ -134,6 +140,7 @@ LAYOUTS = {
     "silver_transactions": Layout(TRANSACTIONS, _BY_INGESTED, ("transaction_id",)),
     "gold_transactions": Layout(
         GOLD, _BY_INGESTED, ("transaction_status", "transaction_type", "customer_id")),
+    "landed_files": Layout(LANDED_FILES),
     "ledger": Layout(LEDGER, {"_entity": (_TEXT, "entity")}),
     "malformed_records": Layout(MALFORMED),
 }

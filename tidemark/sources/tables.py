@@ -2,8 +2,9 @@
 
 Parquet tables know no MERGE, so an upsert rewrites the files that hold replaced rows, and only
 those. A :class:`Run` stages all new files first, then writes down what it will do, then does it.
-A run that was cut off after that point is finished when the tables are opened next, so a mark
-taken from a table never covers rows that did not arrive. One writer at a time per table.
+A run that was cut off after that point is finished by the next job that writes, before it takes
+marks, so a mark never covers rows that did not arrive. One writer at a time per table. Opening
+tables to read them changes nothing.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ def create_table_sql(table: str, layout_name: str, location: str) -> str:
 
 
 class Tables:
-    """The tables below one root folder. Opening them creates what is missing."""
+    """The tables below one root folder. Opening them creates missing folders, nothing else."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = utc_session(spark)
@@ -48,7 +49,6 @@ class Tables:
         self.root = self.storage.qualified(root)
         for name in (*LAYOUTS, "_pending", "_done"):
             self.storage.make_folder(f"{self.root}/{name}")
-        self.recover()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

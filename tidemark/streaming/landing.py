@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime, timedelta
+from datetime import datetime
+from itertools import batched
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,11 @@ from tidemark.sources.tables import Run, Tables
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 FILES_PER_BATCH = 100_000
+REPLACED_PER_BATCH = 10_000
 MAX_ATTEMPTS = 5
+# Longer than files are old: by default the file source skips files older than a week before the
+# newest one, such as those renamed into the folder or copied with their times.
+ANY_AGE = "36500d"
 
 # Outcome of a file -> table that records it. "large" files are parsed in a second step.
 OUTCOMES = {"message": "landing_events", "reject": "rejects", "quarantine": "quarantine"}
@@ -59,7 +64,8 @@ def outcomes_of(files: DataFrame, root: str, published: Column,
     unread = files.filter(entity.isNull() | ~fits).select(
         "path", "modificationTime", "length", F.lit(0).cast("long").alias("part"),
         empty.alias("data"),
-        F.when(entity.isNull(), "unknown entity").alias("error"))
+        F.when(entity.isNull(), "unknown entity").alias("error"),
+        F.lit(None).cast("long").alias("records"))
     unread = _outcomes(unread, root, published,
                        F.when(F.col("error").isNull(), "large").otherwise("reject"), F.lit(1))
     return parsed.unionByName(unread)
@@ -74,6 +80,20 @@ def _stage(run: Run, rows: DataFrame, step: str) -> str:
     return folder
 
 
+def _stamped(rows: DataFrame, published: datetime) -> DataFrame:
+    """Outcomes with the time of this attempt to publish them.
+
+    A stream repeats a batch that was cut off with the time of the first attempt. Other files may
+    have been published meanwhile, and rows below their time would never be read.
+    """
+    now = F.lit(published)
+    instant = F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+    return rows.withColumns({
+        "publish_time": now, "seen_at": now, "_publish_date": F.to_date(now),
+        "attributes": F.transform_values("attributes", lambda key, value: F.when(
+            key == "ingested_at", instant).otherwise(value))})
+
+
 def land_batch(tables: Tables, root: str, rows: DataFrame, run_id: str,
                published: datetime) -> None:
     """Make one batch of outcomes visible, exactly once for its ``run_id``."""
@@ -81,7 +101,8 @@ def land_batch(tables: Tables, root: str, rows: DataFrame, run_id: str,
     if tables.landed(run_id):
         return
     with tables.run(run_id) as run:
-        folder = _stage(run, rows, "files")
+        folder = _stage(run, _stamped(rows, published), "files")
+        files = tables.spark.read.schema(rows.schema).parquet(folder)
         large = f"{folder}/outcome=large"
         if tables.storage.exists(large):
             paths = [r["path"] for r in
@@ -89,55 +110,50 @@ def land_batch(tables: Tables, root: str, rows: DataFrame, run_id: str,
             chunks = parse_large_files(tables.spark, paths, run.scratch("large"))
             _stage(run, _outcomes(chunks, root, F.lit(published), _parsed_outcome(), F.lit(1)),
                    "large")
+        run.add("landed_files", files.filter("_entity is not null").select(
+            "source_path", "audit_id", "seen_at"))
 
 
-def _landing_days(tables: Tables) -> list[str]:
-    """Days on which files were landed or quarantined, from the partition folders."""
-    label = "_publish_date="
-    return [name.removeprefix(label) for table in ("landing_events", "quarantine")
-            for name in tables.storage.children(tables.path(table)) if name.startswith(label)]
+def _landed_files(tables: Tables) -> DataFrame:
+    """Path and audit id of every file landed or set aside."""
+    if not tables.is_empty("landed_files"):
+        return tables.read("landed_files").select("source_path", "audit_id")
+    a = F.col("attributes")  # tables of before there was a record of the files
+    return tables.read("landing_events").select(
+        a["source_path"].alias("source_path"), a["audit_id"].alias("audit_id")).unionByName(
+        tables.read("quarantine").select("source_path", "audit_id"))
 
 
-def land_reuploads(tables: Tables, landing_dir: str, inline_bytes: int = INLINE_BYTES) -> int:
+def land_reuploads(tables: Tables, landing_dir: str, inline_bytes: int = INLINE_BYTES,
+                   files_per_batch: int = REPLACED_PER_BATCH) -> int:
     """Land files that replaced one already landed or quarantined; returns how many.
 
     A file stream takes each path once, so replaced files are found by their audit id, which
-    changes with every upload. Only uploads since the day before the last landing are looked at,
-    and messages since then: older uploads were looked at by the runs before. All paths ever
-    landed are searched only if there is such an upload. The driver sees paths only.
+    changes with every upload, whatever the time of the file is. The whole listing is compared with
+    the narrow table of landed files; payloads are not read. The driver sees the paths of one
+    batch at a time.
     """
-    days = _landing_days(tables)
-    if not days:
-        return 0
+    landed = _landed_files(tables)
     root = tables.storage.qualified(landing_dir)
-    raw, aside = tables.read("landing_events"), tables.read("quarantine")
-    since = date.fromisoformat(max(days)) - timedelta(days=1)
-    recent = F.col("_publish_date") >= F.lit(since)
-    a = F.col("attributes")
-    landed = raw.filter(recent).select(a["audit_id"].alias("audit_id")).unionByName(
-        aside.filter(recent).select("audit_id"))
     files = (tables.spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB)
              .option("recursiveFileLookup", "true").load(root)
-             .select("path", "modificationTime", "length")
-             .filter(F.col("modificationTime") >= F.lit(since)))
-    fresh = (with_file_identity(files, root).filter(F.col("entity").isNotNull())
-             .select("path", "source_path", "audit_id").join(landed, "audit_id", "left_anti"))
+             .select("path", "modificationTime", "length"))
+    count = 0
     with tables.run() as run:  # for its scratch folder only
-        unknown = materialized(fresh, run.scratch("unknown"))
-        if unknown.isEmpty():
-            return 0
-        paths = raw.select(a["source_path"].alias("source_path")).unionByName(
-            aside.select("source_path"))
-        replaced = paths.join(unknown.select("source_path"), "source_path", "left_semi")
-        due = [r["path"] for r in
-               unknown.join(replaced.distinct(), "source_path", "left_semi").select("path")
-               .toLocalIterator()]
-    if due:
-        now = utc_now()
-        again = tables.spark.read.format("binaryFile").load(literal_paths(due))
-        land_batch(tables, root, outcomes_of(again, root, F.lit(now), inline_bytes),
-                   uuid.uuid4().hex, now)
-    return len(due)
+        replaced = materialized(
+            with_file_identity(files, root).filter(F.col("entity").isNotNull())
+            .select("path", "source_path", "audit_id")
+            .join(landed.select("audit_id"), "audit_id", "left_anti")
+            .join(landed.select("source_path"), "source_path", "left_semi").select("path"),
+            run.scratch("replaced"))
+        for due in batched(replaced.toLocalIterator(), files_per_batch):
+            now = utc_now()
+            again = tables.spark.read.format("binaryFile").load(
+                literal_paths(r["path"] for r in due))
+            land_batch(tables, root, outcomes_of(again, root, F.lit(now), inline_bytes),
+                       uuid.uuid4().hex, now)
+            count += len(due)
+    return count
 
 
 def start_landing(spark: SparkSession, landing_dir: str, tables: Tables, checkpoint: str,
@@ -155,12 +171,12 @@ def start_landing(spark: SparkSession, landing_dir: str, tables: Tables, checkpo
     root = tables.storage.qualified(landing_dir)
     source = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
               .option("pathGlobFilter", CSV_GLOB).option("recursiveFileLookup", "true")
-              .option("maxFilesPerTrigger", files_per_batch))
+              .option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", ANY_AGE))
     if archive_dir:
         source = source.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    # The batch time is kept in the query's log, so a repeated batch gives the same rows.
     rows = outcomes_of(source.load(root), root, F.current_timestamp(), inline_bytes)
     feed = tables.feed_id(checkpoint)
+    tables.recover()
     if land_reuploads(tables, landing_dir, inline_bytes) and after_batch is not None:
         after_batch(tables)
 
@@ -176,23 +192,37 @@ def start_landing(spark: SparkSession, landing_dir: str, tables: Tables, checkpo
 
 
 def retry_quarantined(tables: Tables, landing_dir: str, now: datetime | None = None,
-                      max_attempts: int = MAX_ATTEMPTS) -> int:
-    """Try the files in quarantine again, until each has been tried ``max_attempts`` times."""
+                      max_attempts: int = MAX_ATTEMPTS, inline_bytes: int = INLINE_BYTES) -> int:
+    """Try the files in quarantine again, until each has been tried ``max_attempts`` times.
+
+    Large files go through the parser for such files, as they do when they land.
+    """
     now = now or utc_now()
+    tables.recover()
     root = tables.storage.qualified(landing_dir)
     report = quarantine(tables.read("quarantine"), now)
     landed = tables.read("landing_events").select(
         F.col("attributes")["audit_id"].alias("audit_id"))
-    due = {r["path"]: r["attempts"] for r in
-           report.filter(F.col("attempts") < max_attempts)
-           .join(landed, "audit_id", "left_anti").select("path", "attempts").toLocalIterator()
-           if tables.storage.exists(r["path"])}
-    if not due:
-        return 0
-    tried = tables.spark.createDataFrame(list(due.items()), "path string, tried int")
-    files = tables.spark.read.format("binaryFile").load(literal_paths(due))
-    parsed = parse_files(files).join(F.broadcast(tried), "path")
+    listed = (tables.spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB)
+              .option("recursiveFileLookup", "true").load(root).select("path", "length"))
     with tables.run() as run:
-        _stage(run, _outcomes(parsed, root, F.lit(now), _parsed_outcome(), F.col("tried") + 1),
-               "files")
-    return len(due)
+        due = materialized(
+            report.filter(F.col("attempts") < max_attempts)
+            .join(landed, "audit_id", "left_anti").join(listed, "path")
+            .select("path", "length", F.col("attempts").alias("tried")), run.scratch("due"))
+        count = 0
+        for number, some in enumerate(batched(due.toLocalIterator(), REPLACED_PER_BATCH)):
+            parsed = None
+            small = [r["path"] for r in some if r["length"] <= inline_bytes]
+            if small:
+                parsed = parse_files(tables.spark.read.format("binaryFile")
+                                     .load(literal_paths(small)))
+            big = [r["path"] for r in some if r["length"] > inline_bytes]
+            if big:
+                chunks = parse_large_files(tables.spark, big, run.scratch("large"))
+                parsed = chunks if parsed is None else parsed.unionByName(chunks)
+            tried = parsed.join(due.select("path", "tried"), "path")
+            _stage(run, _outcomes(tried, root, F.lit(now), _parsed_outcome(), F.col("tried") + 1),
+                   f"files-{number}")
+            count += len(some)
+    return count
