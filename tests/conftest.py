@@ -9,11 +9,6 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def pytest_addoption(parser):
-    parser.addoption("--sample-dir", default=None,
-                     help="folder with the sample customers.csv and transactions.csv")
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[8]").appName("tests")

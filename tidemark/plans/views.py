@@ -3,24 +3,101 @@
 from __future__ import annotations
 
 from tidemark.functions import register_sql_functions
-from tidemark.plans.reports import customers_last_quarter, daily_avg_price, monthly_ttm
+from tidemark.functions.measures import STATUSES
 from tidemark.sources.tables import Tables
 
+_BREAKDOWN = ", ".join([
+    "count(*) AS total",
+    *[f"count_if(transaction_status = '{s}') AS total_{s}" for s in STATUSES],
+    "sum(transaction_amount) AS amount_total",
+    *[f"sum(CASE WHEN transaction_status = '{s}' THEN transaction_amount ELSE 0 END) AS amount_{s}"
+      for s in STATUSES]])
+
+_MONTHLY = f"""
+WITH monthly AS (
+  SELECT CAST(date_trunc('MONTH', transaction_date) AS DATE) AS month, {_BREAKDOWN}
+  FROM gold_transactions GROUP BY 1),
+ranked AS (SELECT *, dense_rank() OVER (ORDER BY month DESC) AS latest FROM monthly)
+SELECT * EXCEPT (latest),
+       try_divide(CAST(total_rejected AS DOUBLE), CAST(total AS DOUBLE)) AS rate_rejected_total,
+       try_divide(amount_rejected, amount_total) AS rate_rejected_amount
+FROM ranked WHERE latest <= 12"""
+
+_QUARTER = f"""
+SELECT customer_name, {_BREAKDOWN} FROM gold_transactions
+WHERE transaction_date >= (
+  SELECT date_trunc('QUARTER', max(transaction_date)) FROM gold_transactions)
+GROUP BY customer_name"""
+
+
+def _sum(*parts: str) -> str:
+    """Sum of the parts that are not null; null if none is."""
+    total = " + ".join(f"coalesce({p}, 0)" for p in parts)
+    return f"CASE WHEN coalesce({', '.join(parts)}) IS NOT NULL THEN {total} END"
+
+
+# The running sum is taken in three levels: in each slice of a day's ids (an id's first letters
+# keep the order of ids, so a heavy day spans many tasks), over a day's slices, over the days.
+_DAILY = f"""
+WITH openings AS (
+  SELECT min(struct(transaction_date, transaction_id, is_buy, if(is_buy, qtty, NULL) AS qtty,
+                    if(is_buy, price, NULL) AS price)) AS first
+  FROM (SELECT *, coalesce(transaction_status = 'approved' AND transaction_type = 'buy', FALSE)
+               AS is_buy FROM gold_transactions)
+  GROUP BY customer_id),
+moves AS (
+  SELECT transaction_date, transaction_id, qtty, price, 1 AS n FROM gold_transactions
+  WHERE transaction_status = 'approved' AND transaction_type = 'buy'
+  UNION ALL
+  SELECT first.transaction_date, first.transaction_id, first.qtty, first.price, -1
+  FROM openings WHERE first.is_buy),
+costed AS (
+  SELECT transaction_date AS day, transaction_id AS id, left(transaction_id, 6) AS slice,
+         sum(n) * qtty AS q, sum(n) * (qtty * price) AS c
+  FROM moves GROUP BY transaction_date, transaction_id, qtty, price HAVING sum(n) > 0),
+inside AS (
+  SELECT day, slice, sum(q) OVER ids AS q, sum(c) OVER ids AS c FROM costed
+  WINDOW ids AS (PARTITION BY day, slice ORDER BY id)),
+slices AS (SELECT day, slice, sum(q) AS q, sum(c) AS c FROM costed GROUP BY day, slice),
+before_slices AS (
+  SELECT day, slice, sum(q) OVER earlier AS q, sum(c) OVER earlier AS c FROM slices
+  WINDOW earlier AS (PARTITION BY day ORDER BY slice
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+days AS (SELECT day, sum(q) AS q, sum(c) AS c FROM slices GROUP BY day),
+before_days AS (
+  SELECT day, q AS day_q, c AS day_c, sum(q) OVER earlier AS q, sum(c) OVER earlier AS c FROM days
+  WINDOW earlier AS (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+highest AS (
+  SELECT i.day, max(try_divide({_sum("i.c", "s.c", "d.c")}, {_sum("i.q", "s.q", "d.q")})) AS value
+  FROM inside i JOIN before_slices s ON i.day <=> s.day AND i.slice <=> s.slice
+       JOIN before_days d ON i.day <=> d.day
+  GROUP BY i.day)
+SELECT d.day AS transaction_date, day_q AS buy_qtty, try_divide(day_c, day_q) AS daily_avg_price,
+       last_value(value) IGNORE NULLS OVER (ORDER BY d.day) AS running_avg_price,
+       CAST(row_number() OVER (ORDER BY d.day DESC) AS BIGINT) AS ranking
+FROM before_days d JOIN highest h ON d.day <=> h.day"""
+
 VIEWS = {
-    "transactions_monthly_ttm_vw": monthly_ttm,
-    "transactions_customers_last_quarter_vw": customers_last_quarter,
-    "transactions_daily_avg_price_vw": daily_avg_price,
+    "transactions_monthly_ttm_vw": _MONTHLY,
+    "transactions_customers_last_quarter_vw": _QUARTER,
+    "transactions_daily_avg_price_vw": _DAILY,
 }
 
 
 def register_views(tables: Tables) -> list[str]:
     """Offer gold, the three reports and the id function in the session's SQL.
 
-    A view shows the table files of the moment it was registered, so register after each run.
+    The views are kept as SQL text over the folder of the gold table, so each query sees the table
+    as it is then, after appends and after rewrites. Only if gold has no file yet must they be
+    registered again when it has.
     """
-    gold = tables.read("gold_transactions")
-    gold.createOrReplaceTempView("gold_transactions")
-    for name, report in VIEWS.items():
-        report(gold).createOrReplaceTempView(name)
-    register_sql_functions(tables.spark)
-    return ["gold_transactions", *VIEWS]
+    spark, name = tables.spark, "gold_transactions"
+    if tables.is_empty(name):
+        tables.read(name).createOrReplaceTempView(name)
+    else:
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS "
+                  f"SELECT * FROM parquet.`{tables.path(name)}`")
+    for view, text in VIEWS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} AS {text}")
+    register_sql_functions(spark)
+    return [name, *VIEWS]

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import os
+import shutil
 import uuid
+import zipfile
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folders: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def utc_session(spark: SparkSession) -> SparkSession:
@@ -22,7 +26,8 @@ def utc_session(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session may go without it; it then gets a folder of its own.
+    Only a local session may go without it; it then gets a folder below its warehouse folder, which
+    is removed when Python ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -31,10 +36,38 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _own_folders:
-        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        own = f"{warehouse}/tidemark-{context.applicationId}"
+        if own.startswith(("file:", "/")):
+            atexit.register(shutil.rmtree, own.removeprefix("file:"), ignore_errors=True)
+        _own_folders[context.applicationId] = own
     return _own_folders[context.applicationId]
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors, unless they can import it anyway.
+
+    For sessions whose executors neither start in the folder of the package nor have it on their
+    path nor installed. Once for each application.
+    """
+    package = os.path.dirname(os.path.abspath(__file__))
+    home = os.path.dirname(package)
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    installed = os.path.basename(home) in ("site-packages", "dist-packages")
+    context = spark.sparkContext
+    if installed or home in map(os.path.abspath, known) or context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    archive = os.path.join(context._temp_dir, "tidemark.zip")  # Spark's own; it serves the file
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, home))
+    context.addPyFile(archive)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh, not yet existing folder below the shared one."""
     return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex[:12]}"

@@ -152,3 +152,12 @@ def packed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("source_path"), F.concat(F.lit("entity=transactions/"),
                                            F.col("_metadata.audit_id"), F.lit(".csv")),
         ).alias("attributes"))
+
+
+def order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order as one more version of its customer."""
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("customer_id"),
+        F.col("o_orderpriority").alias("customer_name"),
+        F.concat(F.lit("order"), F.col("o_orderkey").cast("string")).alias("customer_email"),
+        F.col("o_orderdate").cast("timestamp").alias("_ingested_at"), "o_orderkey")

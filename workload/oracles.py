@@ -329,20 +329,6 @@ FROM customer""",
 SELECT {_as_double(["transaction_id", "customer_id", "customer_name", "customer_email", *_TX[2:]])}
 FROM gold"""),
 
-    "gold_views": _with(TRANSACTIONS, """
-monthly AS (
-  SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS month, count(*) AS total,
-    count(*) FILTER (transaction_status = 'rejected') AS total_rejected,
-    CAST(sum(transaction_amount) AS DOUBLE) AS amount_total,
-    CAST(sum(CASE WHEN transaction_status = 'rejected' THEN transaction_amount ELSE 0 END)
-         AS DOUBLE) AS amount_rejected,
-    CAST(count(*) FILTER (transaction_status = 'rejected') AS DOUBLE) / count(*)
-      AS rate_rejected_total,
-    dense_rank() OVER (ORDER BY CAST(date_trunc('month', transaction_date) AS DATE) DESC)
-      AS latest
-  FROM transactions GROUP BY 1)""",
-                        body="SELECT * EXCLUDE (latest) FROM monthly WHERE latest <= 12"),
-
     "rebuild": _SILVER,
 
     "refresh_gold_full": _with(
@@ -357,3 +343,24 @@ SELECT transaction_id, customer_id, customer_name,
        CAST(date_trunc('quarter', _ingested_at) AS DATE) AS _ingested_date
 FROM gold WHERE transaction_status = 'approved' AND transaction_type = 'buy'"""),
 }
+
+
+def _thousandths(query: str, columns: list[str]) -> str:
+    cut = ", ".join(f"CAST(floor({c} * 1000 + 0.123456789) AS BIGINT) AS {c}" for c in columns)
+    return f"SELECT * REPLACE ({cut}) FROM ({ORACLES[query]}) AS answer"
+
+
+_AMOUNTS = ["amount_total", "amount_approved", "amount_pending", "amount_rejected"]
+ORACLES |= {
+    "gold_views": _thousandths(
+        "monthly_ttm", [*_AMOUNTS, "rate_rejected_total", "rate_rejected_amount"]),
+    "gold_view_last_quarter": _thousandths("customers_last_quarter", _AMOUNTS),
+    "gold_view_daily": _thousandths(
+        "daily_avg_price", ["buy_qtty", "daily_avg_price", "running_avg_price"]),
+    "merge_customers": ORACLES["upsert_customers"],
+    "land_audit": """
+SELECT 'customers' AS entity, CAST(count(*) AS BIGINT) AS records,
+       CAST(count(*) AS BIGINT) AS "rows", TRUE AS well_formed FROM customer
+UNION ALL
+SELECT 'transactions', CAST(count(*) AS BIGINT), CAST(count(*) AS BIGINT), TRUE FROM orders""",
+}
