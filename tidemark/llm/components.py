@@ -23,10 +23,11 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = (both.filter("b > a").join(least, "a").filter("b <> m")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        # minima are written, so that the join deals out plain rows, which Spark can split
+        least = kept(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "minima")
+        large = kept(both.filter("b > a").join(least, "a").filter("b <> m")
+                     .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "links")
+        least = kept(large.groupBy("a").agg(F.min("b").alias("m")), "minima")
         small = large.join(least, "a")
         small = (small.select("a", F.col("m").alias("b"))
                  .unionAll(small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))

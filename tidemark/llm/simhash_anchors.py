@@ -227,11 +227,12 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words
     prints = kept(fingerprints(rows, "_text", words, ["_id"]), "fingerprints")
     of_print = prints.groupBy("fingerprint").agg(F.min("_id").alias("least"))
     found = near_fingerprints(prints, distance).withColumnRenamed("node", "fingerprint")
-    of_print = of_print.join(found, "fingerprint", "left").select(
-        "fingerprint", "least", F.coalesce("component", "fingerprint").alias("component"))
-    least = of_print.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_print = kept(of_print.join(least, "component").select("fingerprint", "component_id"),
-                    "print-components")
+    of_print = kept(of_print.join(found, "fingerprint", "left").select(
+        "fingerprint", "least", F.coalesce("component", "fingerprint").alias("component")),
+        "print-components")
+    # written, so that the join deals out plain rows and a large component can be split
+    least = kept(of_print.groupBy("component").agg(F.min("least").alias("component_id")), "least")
+    of_print = of_print.join(least, "component").select("fingerprint", "component_id")
     return prints.join(of_print, "fingerprint").select(
         F.col("_id").alias(id), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id")
