@@ -49,4 +49,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM verdicts
 """
 
-ORACLES = {"op7_quality_rules": OP7}
+OP5 = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id
+                                   AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+components AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id,
+       vec_id = component_id AS kept
+FROM embeddings JOIN components USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
+
+ORACLES = {"op5_projection_dedup": OP5, "op7_quality_rules": OP7}

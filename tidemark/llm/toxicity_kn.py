@@ -23,7 +23,7 @@ from tidemark.llm.words import WordValues, ngram_keys, word_pieces
 #: Length of the longest letter n-grams, and of the longest ones shared by the classes.
 ORDER, SHARED = 5, 2
 #: Labelled rows of each class that the models count, and rows that the curve is fitted on.
-FIT_ROWS, CURVE_ROWS = 3000, 6000
+FIT_ROWS, CURVE_ROWS = 1500, 6000
 
 
 class Counts:
@@ -90,9 +90,12 @@ class Model:
                     weight = np.bincount(back, weights=weights[owner[at]])
                 else:  # in how many ways the n-gram is continued to the left, its begin being one
                     longer = np.where(keys[size + 1][at] != 0, keys[size + 1][at], keys[size][at])
-                    left = np.unique(np.stack([back.astype(np.uint64), longer]), axis=1)[0]
-                    weight = np.bincount(left.astype(np.int64)).astype(float)
+                    _, once = np.unique(longer, return_index=True)  # it contains the n-gram
+                    weight = np.bincount(back[once], minlength=len(gram)).astype(float)
+                    del longer, once
                 of.append(Level.of(gram, context[first], weight))
+                del at, context, gram, first, back, weight
+            keys[size - 1] = None  # the driver need not hold all lengths at once
             if size > SHARED:
                 self.levels[0].append(of[0])
                 self.levels[1].append(of[1])

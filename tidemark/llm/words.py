@@ -182,7 +182,9 @@ def ngram_keys(spelled: list[str], order: int) -> tuple[np.ndarray, list[np.ndar
     points = np.frombuffer("".join(f"\x02{w}\x03" for w in spelled).encode("utf-32-le"), np.uint32)
     owner = np.repeat(np.arange(len(spelled)), size)
     place = np.arange(len(points)) - np.repeat(np.cumsum(size) - size, size)
-    letters = (points.astype(np.uint64) + np.uint64(1)) * _A
+    letters = points.astype(np.uint64)
+    letters += np.uint64(1)
+    letters *= _A
     letters ^= letters >> np.uint64(29)
     letters *= np.uint64(0xBF58476D1CE4E5B9)
     keys, key = [np.ones(len(points), np.uint64)], np.ones(len(points), np.uint64)
