@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from tidemark.operators import discover_fields, explode_records
 
@@ -43,3 +45,25 @@ def test_discovered_fields(spark):
         Row(data="[]", attributes={"entity": "y"})])
     assert {tuple(r) for r in discover_fields(raw).collect()} == {
         ("x", "a", 2), ("x", "b", 1), ("x", "null", 1), ("y", "a", 1)}
+
+
+def test_white_space_and_elements_that_are_no_objects(spark):
+    payloads = ['\n[{"a":"1"}]', '\t [{"a":"1"},2]', '\r\n[ {"a":"1"} , "x"]']
+    events = spark.createDataFrame([(p, {"entity": "customers"}) for p in payloads],
+                                   "data string, attributes map<string,string>")
+    for foreign in (False, True):
+        found = explode_records(events, ["a"], foreign=foreign).select("a").collect()
+        assert sorted((r["a"] or "") for r in found) == ["", "", "1", "1", "1"]
+    assert [tuple(r) for r in discover_fields(events).collect()] == [("customers", "a", 3)]
+
+
+@pytest.mark.parametrize("foreign", [False, True])
+def test_very_long_values_are_kept_or_refused(spark, foreign):
+    def message(size):
+        return spark.range(1).select(F.concat(
+            F.lit('[{"a":"'), F.repeat(F.lit("x"), size), F.lit('"}]')).alias("data"))
+
+    kept = explode_records(message(19_000_000), ["a"], foreign=foreign)
+    assert kept.select(F.length("a")).first()[0] == 19_000_000
+    with pytest.raises(Exception, match="too long"):
+        explode_records(message(21_000_000), ["a"], foreign=foreign).collect()

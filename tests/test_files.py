@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources import csv_files
+from tidemark.sources import csv_files, large_files
 from tidemark.sources.csv_files import entity_of, parse_files, with_file_identity
 from tidemark.sources.large_files import ends_inside, parse_large_files
 
@@ -129,3 +129,34 @@ def test_large_files_parse_as_whole_ones_do(spark, tmp_path, split):
     assert len(found["f0.csv"]) > 3
     for name, kind in (("bad.csv", "UnicodeDecodeError"), ("loose.csv", "Error")):
         assert [(r["data"], r["error"].split(":")[0]) for r in found[name]] == [(None, kind)]
+
+
+def test_fields_longer_than_the_parsers_own_limit(spark, tmp_path):
+    _write(tmp_path, {"long.csv": "id,note\n1," + "x" * 300_000 + "\n2,y\n"})
+    files = spark.read.format("binaryFile").load(str(tmp_path / "long.csv"))
+    row = parse_files(files).first()
+    assert row["error"] is None and row["records"] == 2
+    assert len(json.loads(row["data"])[0]["note"]) == 300_000
+
+
+def test_large_files_do_not_depend_on_how_they_are_cut(spark, tmp_path, monkeypatch):
+    """Settings that change after the scan, as with a changing number of cores, lose no line."""
+    text = "id,note\n" + "".join(f'{i},"a\nb ""{i}"""\n' for i in range(2000))
+    _write(tmp_path, {"big.csv": text})
+    written = large_files.materialized
+
+    def changes_settings(df, folder=None):
+        found = written(df, folder)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "777")
+        return found
+
+    monkeypatch.setattr(large_files, "materialized", changes_settings)
+    saved = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        rows = parse_large_files(spark, [str(tmp_path / "big.csv")], chunk_bytes=3000).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
+    records = [r for row in sorted(rows, key=lambda r: r["part"]) for r in json.loads(row["data"])]
+    assert records == json.loads(csv_files.records_as_json(text))
+    assert sum(r["records"] for r in rows) == 2000

@@ -38,36 +38,40 @@ def _one_by_one(data: Column, record: str) -> Column:
 
 
 def _foreign_records(data: Column, fields: Sequence[str]) -> Column:
-    """As :func:`_own_records`, for payloads whose values may be nested: those give NULL.
-
-    A message that is an array but too large for Spark to parse in this way is an error.
-    """
+    """As :func:`_own_records`, for payloads whose values may be nested: those give NULL."""
 
     def scalar(item: Column, field: str) -> Column:
         value = F.try_variant_get(item, f"$['{field}']", "variant")
         nested = F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
         return F.when(~nested, F.try_variant_get(item, f"$['{field}']", "string")).alias(field)
 
-    parsed = F.try_parse_json(data)
-    too_large = F.raise_error(F.lit("a message is too large to be parsed with nested values"))
-    parsed = F.when(parsed.isNull() & F.json_array_length(data).isNotNull(),
-                    too_large.cast("variant")).otherwise(parsed)
-    items = F.try_variant_get(parsed, "$", "array<variant>")
+    items = F.try_variant_get(F.try_parse_json(data), "$", "array<variant>")
     return F.transform(items, lambda item: F.struct(*[scalar(item, f) for f in fields]))
 
 
+# Spark's JSON parsers give NULL for a value of some 20 million characters, as for broken JSON.
+_LONG = 16_000_000
+
+
+def _read_or_fail(records: Column, data: Column) -> Column:
+    lost = records.isNull() & (F.length(data) >= _LONG)
+    return F.when(F.isnotnull(F.when(lost, F.raise_error(F.lit(
+        "a message is broken or holds a value too long to be parsed")))), None).otherwise(records)
+
+
 def explode_records(events: DataFrame, fields: Sequence[str], data: str = "data",
                     foreign: bool = False) -> DataFrame:
     """One row per record, with ``fields`` as text columns beside the event's other columns.
 
-    Events whose payload is NULL, empty, not JSON or not an array give no row. Records of the
-    landing stream hold text only; set ``foreign`` for messages of other producers.
+    Events whose payload is NULL, empty, not JSON or not an array give no row; one that Spark cannot
+    read because a value is too long is an error. Records of the landing stream hold text only; set
+    ``foreign`` for messages of other producers.
     """
     payload = F.col(data)
     records = _foreign_records(payload, fields) if foreign else _own_records(payload, fields)
     others = [c for c in events.columns if c != data and c not in fields]
     return (events.filter(_is_array(payload))
-            .select(*others, F.inline(records)))
+            .select(*others, F.inline(_read_or_fail(records, payload))))
 
 
 def discover_fields(raw: DataFrame) -> DataFrame:

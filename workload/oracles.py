@@ -358,6 +358,12 @@ ORACLES |= {
     "gold_view_daily": _thousandths(
         "daily_avg_price", ["buy_qtty", "daily_avg_price", "running_avg_price"]),
     "merge_customers": ORACLES["upsert_customers"],
+    "extract_odd_payloads": """
+SELECT doc_id AS message, foreign_ AS "foreign", CAST(doc_id AS VARCHAR) AS doc_id, md5(text) AS text_md5
+FROM documents, (VALUES (TRUE), (FALSE)) AS kinds(foreign_)
+UNION ALL
+SELECT doc_id, foreign_, NULL, NULL
+FROM documents, (VALUES (TRUE), (FALSE)) AS kinds(foreign_)""",
     "land_audit": """
 SELECT 'customers' AS entity, CAST(count(*) AS BIGINT) AS records,
        CAST(count(*) AS BIGINT) AS "rows", TRUE AS well_formed FROM customer

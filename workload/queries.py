@@ -138,6 +138,21 @@ def extract_foreign_records(spark, sf_dir):
         messages.select("message_id", nested.alias("data")), ["outer", "kind"], foreign=True)
 
 
+@query
+def extract_odd_payloads(spark, sf_dir):
+    """Documents as messages that begin with a line break or a tab and hold one element that is no
+    object, read as the landing stream's own messages and as those of other producers."""
+    documents = e.table(spark, sf_dir, "documents")
+    record = F.to_json(F.struct("doc_id", "text"))
+    messages = documents.select("doc_id", F.concat(
+        F.when(F.col("doc_id") % 2 == 0, "\n\t[").otherwise("\r\n ["), record, F.lit(" , 1 ]"))
+        .alias("data")).withColumnRenamed("doc_id", "message")
+    both = [op.explode_records(messages, ["doc_id", "text"], foreign=foreign)
+            .withColumn("foreign", F.lit(foreign)) for foreign in (False, True)]
+    return both[0].unionByName(both[1]).select(
+        "message", "foreign", "doc_id", F.md5("text").alias("text_md5"))
+
+
 @query
 def clean_records(spark, sf_dir):
     """Records of packed messages, typed by the silver job's own projection."""
