@@ -23,7 +23,9 @@ from tidemark.llm.words import WordValues, ngram_keys, word_pieces
 #: Length of the longest letter n-grams, and of the longest ones shared by the classes.
 ORDER, SHARED = 5, 2
 #: Labelled rows of each class that the models count, and rows that the curve is fitted on.
-FIT_ROWS, CURVE_ROWS = 1500, 6000
+FIT_ROWS, CURVE_ROWS = 3000, 6000
+#: Words whose n-grams are taken at once when a model is fitted.
+GROUP = 30_000
 
 
 class Counts:
@@ -72,38 +74,46 @@ class Model:
 
     def __init__(self, spelled: list[str], counts: np.ndarray) -> None:
         """``counts``: how often each word occurs in each class (two columns)."""
+        found: dict[tuple[int, int], list] = {}
+        for first in range(0, len(spelled), GROUP):
+            self._take(found, spelled[first:first + GROUP], counts[first:first + GROUP])
+        of: dict[tuple[int, int], Level] = {}
+        for size in range(1, ORDER + 1):
+            for kind in (0, 1) if size > SHARED else (2,):
+                gram, context, longer, weight = (
+                    np.concatenate(x) for x in zip(*found.pop((size, kind))))
+                if size < ORDER:  # in how many ways the n-gram is continued to the left
+                    _, once = np.unique(longer, return_index=True)
+                    gram, context, weight = gram[once], context[once], weight[once]
+                gram, at, back = np.unique(gram, return_index=True, return_inverse=True)
+                of[size, kind] = Level.of(gram, context[at], np.bincount(back, weights=weight))
+        self.levels = [[of[size, kind if size > SHARED else 2] for size in range(1, ORDER + 1)]
+                       for kind in (0, 1)]
+        self.letters = max(2, len(of[1, 2].grams.keys) + 1)
+        self.curve = (1.0, 0.0)
+
+    @staticmethod
+    def _take(found: dict[tuple[int, int], list], spelled: list[str], counts: np.ndarray) -> None:
+        """Add a group's n-grams by length and class (2: both), each with its context, with the
+        n-gram one longer (itself at the begin of a word), and with its count or, but for the
+        longest, 1."""
         owner, keys, place = ngram_keys(spelled, ORDER)
-        self.levels: list[list[Level]] = [[], []]
-        shared: list[Level] = []
         for size in range(1, ORDER + 1):
-            top = size == ORDER
-            of = []
-            for weights in ([counts[:, 0], counts[:, 1]] if size > SHARED else [counts.sum(1)]):
+            for kind in (0, 1) if size > SHARED else (2,):
+                weights = counts[:, kind] if kind < 2 else counts.sum(1)
                 at = np.flatnonzero((place >= 1) & (keys[size] != 0) & (weights[owner] > 0))
-                if size > 1:
-                    # the context of an n-gram ends one letter before it
-                    context = keys[size - 1][at - 1]
-                else:
-                    context = np.ones(len(at), np.uint64)
-                gram, first, back = np.unique(keys[size][at], return_index=True, return_inverse=True)
-                if top:
+                gram = keys[size][at]
+                # the context of an n-gram ends one letter before it
+                context = keys[size - 1][at - 1] if size > 1 else np.ones(len(at), np.uint64)
+                if size == ORDER:
+                    longer, once, back = np.unique(gram, return_index=True, return_inverse=True)
                     weight = np.bincount(back, weights=weights[owner[at]])
-                else:  # in how many ways the n-gram is continued to the left, its begin being one
-                    longer = np.where(keys[size + 1][at] != 0, keys[size + 1][at], keys[size][at])
-                    _, once = np.unique(longer, return_index=True)  # it contains the n-gram
-                    weight = np.bincount(back[once], minlength=len(gram)).astype(float)
-                    del longer, once
-                of.append(Level.of(gram, context[first], weight))
-                del at, context, gram, first, back, weight
-            keys[size - 1] = None  # the driver need not hold all lengths at once
-            if size > SHARED:
-                self.levels[0].append(of[0])
-                self.levels[1].append(of[1])
-            else:
-                shared.append(of[0])
-        self.levels = [shared + own for own in self.levels]
-        self.letters = max(2, len(shared[0].grams.keys) + 1)
-        self.curve = (1.0, 0.0)
+                else:
+                    longer = np.where(keys[size + 1][at] != 0, keys[size + 1][at], gram)
+                    longer, once = np.unique(longer, return_index=True)
+                    weight = np.ones(len(once))
+                found.setdefault((size, kind), []).append(
+                    (gram[once], context[once], longer, weight))
 
     def log_probabilities(self, spelled: list[str]) -> np.ndarray:
         """For each word its log-probability in both classes."""
