@@ -61,7 +61,8 @@ def with_results(df: DataFrame, text: str, fields: str,
                  make: Callable[[], Callable[[list[str | None]], list[pa.Array]]],
                  keep: Sequence[str] | None = None) -> DataFrame:
     """``df``'s columns ``keep`` (default: all) and behind them the columns of ``fields``, which
-    the function that ``make()`` gives draws from a list of texts, one Arrow array each. ``make`` runs once in each task. A column of ``df`` with the name of a result gives way.
+    the function that ``make()`` gives draws from a list of texts, one Arrow array each. ``make``
+    runs once in each task. A column of ``df`` with the name of a result gives way.
     """
     added = T.StructType.fromDDL(fields)
     keep = [c for c in (df.columns if keep is None else keep) if c not in added.names]
