@@ -13,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import (
@@ -130,8 +131,7 @@ def test_code_is_reversible_and_damage_is_seen(spark, docs, tmp_path):
     control, data = token_files.code(ranks, counts)
     assert (token_files.uncode(control, data, counts) == ranks).all()
     token_files.write(docs, f"{tmp_path}/files", BYTE)
-    blocks = spark.read.parquet(f"{tmp_path}/files/blocks").withColumn(
-        "check", __import__("pyspark").sql.functions.col("check") + 1)
+    blocks = spark.read.parquet(f"{tmp_path}/files/blocks").withColumn("check", F.col("check") + 1)
     blocks.write.parquet(f"{tmp_path}/bad/blocks")
     spark.read.parquet(f"{tmp_path}/files/vocabulary").write.parquet(f"{tmp_path}/bad/vocabulary")
     with pytest.raises(Exception, match="damaged"):
@@ -361,7 +361,7 @@ def test_cross_entropy_is_that_of_plain_counts(spark, docs, none):
             out -= np.log((two[a, b] * s + 20 * alone) / (before[a] * s + 20))
         return out / len(words)
 
-    assert bits == 16  # few enough words that none share a slot
+    assert bits == 20  # few enough words that none share a slot
     for row in cross_entropy.score(table, (target, background)).collect():
         if not words_of(row["text"]):
             assert row["n_words"] == 0 and row["difference"] is None
@@ -375,7 +375,6 @@ def test_cross_entropy_is_that_of_plain_counts(spark, docs, none):
 
 
 def test_checksums_of_contract(spark):
-    from pyspark.sql import functions as F
     row = spark.createDataFrame([(12,)], "doc_id long").select(
         F.crc32(F.col("doc_id").cast("string")).alias("c")).first()
     assert row["c"] == zlib.crc32(b"12")

@@ -6,9 +6,9 @@ to slots, the same for both. A pair's probability is its count, backed off to th
 weight of ``BACKOFF`` words. The models are matched: the background's counts are scaled to the
 target's number of words, so that smoothing acts alike on both without leaving out any text.
 
-All documents are counted. Tables of counts grow with the corpus, from 2**16 slots on, and are sent
-to the tasks, so their number is bounded by 2**``MOST_BITS`` (32 MB); from there on more pairs share
-a slot.
+All documents are counted. The tables of counts are sent to the tasks, so the number of slots is a
+parameter (2**``PAIR_BITS`` for pairs: 10 MB for both models); the more different pairs a corpus
+has, the more of them share a slot. What the tasks hand over to be summed grows with their number.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.frames import chunks, slices, with_results
 from tidemark.llm.words import word_pieces
 
-WORD_BITS, MOST_BITS = 18, 22
+WORD_BITS, PAIR_BITS = 18, 20
 #: Weight of the word's probability in a pair's, and of a word that was never seen.
 BACKOFF, UNSEEN = 20.0, 0.5
 
@@ -57,19 +57,14 @@ class Model:
                        / (self.contexts[context] * self.scale + BACKOFF))
 
 
-def slot_bits(size: int) -> int:
-    """Bits of a pair's slot for a corpus of so many bytes: a slot for about 400 bytes."""
-    return int(np.clip(np.ceil(np.log2(max(1, size / 400))), 16, MOST_BITS))
-
-
-def fit(docs: DataFrame, target: str, text: str = "text") -> tuple[Model, Model]:
+def fit(docs: DataFrame, target: str, text: str = "text",
+        bits: int = PAIR_BITS) -> tuple[Model, Model]:
     """The target model, of the rows where the boolean column ``target`` is true, and the background
     model, of all rows. Null texts have no words. Each task adds its texts up in arrays and hands
     over the slots it met; these sums are added by Spark, and the driver gets a row for each slot.
     """
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("text"),
                        F.coalesce(F.col(f"`{target}`"), F.lit(False)).alias("target"))
-    bits = slot_bits(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     sizes = (1 << WORD_BITS, (1 << WORD_BITS) + 1, 1 << bits)
     begins = np.cumsum((0, *sizes))
 
@@ -111,7 +106,7 @@ def score(df: DataFrame, models: tuple[Model, Model], text: str = "text",
     background: the lower, the nearer to the target. A null text, or one without a letter, has 0
     words and null losses. Columns of these names are replaced; rows are neither joined nor dropped.
     """
-    shared = df.sparkSession.sparkContext.broadcast(models)  # 2 * 2**MOST_BITS counts at most
+    shared = df.sparkSession.sparkContext.broadcast(models)  # a fixed number of counts
 
     def make():
         target, background = shared.value

@@ -59,7 +59,9 @@ def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     good = (_table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct()
             .withColumn("good", F.lit(True)))
-    models = cross_entropy.fit(docs.select("doc_id", "text").join(good, "doc_id", "left"), "good")
+    # labels grow with the documents: never broadcast, so that every size has the same plan
+    marked = docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left")
+    models = cross_entropy.fit(marked, "good")
     return cross_entropy.score(docs, models, keep=["doc_id"])
 
 
