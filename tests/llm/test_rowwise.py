@@ -374,6 +374,40 @@ def test_cross_entropy_is_that_of_plain_counts(spark, docs, none):
     assert cross_entropy.score(none, nothing).count() == 0
 
 
+def test_cross_entropy_keeps_every_pair_apart(spark):
+    """More distinct words and pairs than 2^18 and 2^20: each pair was seen once or twice."""
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    words = ["".join(w) for w in letters[rng.integers(0, 26, (300_000, 6))]]
+    words = list(dict.fromkeys(words))
+    turns = [[words[i] for i in rng.permutation(len(words))] for _ in range(4)]
+    texts = [" ".join(w[i:i + 3000]) for w in turns for i in range(0, len(w), 3000)]
+    texts.append("never before seen")
+    table = spark.createDataFrame([(i, t, i % 3 == 0) for i, t in enumerate(texts)],
+                                  "doc_id long, text string, good boolean").repartition(4)
+    sides = [(Counter(), Counter(), Counter()) for _ in range(2)]
+    for i, t in enumerate(texts[:-1]):
+        w = t.split()
+        for one, before, two in sides[:1 + (i % 3 == 0)]:
+            one.update(w)
+            before.update([None, *w[:-1]])
+            two.update(zip([None, *w[:-1]], w))
+    assert len(sides[0][2]) > 1 << 20 and len(sides[0][0]) > 1 << 18
+    totals = [sum(s[0].values()) for s in sides]
+    size = max(1 << cross_entropy.WORD_BITS, len(sides[0][0]))
+    models = cross_entropy.fit(table.filter(f"doc_id < {len(texts) - 1}"), "good")
+    found = {r["doc_id"]: r for r in cross_entropy.score(table, models, keep=["doc_id"]).collect()}
+    assert len(found) == len(texts)
+    for i in (0, 1, len(texts) // 2, len(texts) - 2, len(texts) - 1):
+        w = texts[i].split()
+        assert found[i]["n_words"] == len(w)
+        for (one, before, two), total, s, name in zip(sides, totals, (totals[1] / totals[0], 1.0),
+                                                      ("background_loss", "target_loss")):
+            p = [(two[a, b] * s + 20 * (one[b] * s + 0.5) / (total * s + 0.5 * size))
+                 / (before[a] * s + 20) for a, b in zip([None, *w[:-1]], w)]
+            assert np.isclose(found[i][name], -np.log(p).mean(), rtol=1e-9)
+
+
 def test_checksums_of_contract(spark):
     row = spark.createDataFrame([(12,)], "doc_id long").select(
         F.crc32(F.col("doc_id").cast("string")).alias("c")).first()

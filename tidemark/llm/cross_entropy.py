@@ -1,102 +1,118 @@
 """Cross-entropy difference: how much better a target model tells a text's words than a background
 model does.
 
-Both are bigram models over one vocabulary: words are hashed to ids, and pairs of neighbouring words
-to slots, the same for both. A pair's probability is its count, backed off to the word's with a
-weight of ``BACKOFF`` words. The models are matched: the background's counts are scaled to the
-target's number of words, so that smoothing acts alike on both without leaving out any text.
-
-All documents are counted. The tables of counts are sent to the tasks, so the number of slots is a
-parameter (2**``PAIR_BITS`` for pairs: 10 MB for both models); the more different pairs a corpus
-has, the more of them share a slot. What the tasks hand over to be summed grows with their number.
+Both are bigram models over one vocabulary. A pair's probability is its count, backed off to the
+word's with a weight of ``BACKOFF`` words. The models are matched: the background's counts are
+scaled to the target's number of words, so that smoothing acts alike on both without leaving out any
+text.
+
+All documents are counted, and each word and each pair of neighbouring words has a count of its own,
+under the words' 64-bit keys. Counts are combined inside tasks, summed by Spark and written to the
+shared folder; scoring joins them with the pairs of the texts, so neither the driver nor a task
+holds a table that grows with the corpus.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import chunks, slices, with_results
+from tidemark.llm.frames import chunks, kept, slices
 from tidemark.llm.words import word_pieces
 
-WORD_BITS, PAIR_BITS = 18, 20
+#: Least number of words that smoothing takes the vocabulary to have, as a power of two.
+WORD_BITS = 18
 #: Weight of the word's probability in a pair's, and of a word that was never seen.
 BACKOFF, UNSEEN = 20.0, 0.5
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+RESULTS = ("n_words", "target_loss", "background_loss", "difference")
 
 
-def slots(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each word of the lower-cased texts (runs of letters): its text, its id, the id of the
-    word before it (one more than all ids at the begin of a text), and the slot of the pair."""
+def pairs_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each word of the lower-cased texts (runs of letters): its text, the key of the word
+    before it (0 at the begin of a text) and its own key."""
     pieces, _ = word_pieces(texts)
     keys = pieces.keys()
-    word = (keys * _MIX >> np.uint64(64 - WORD_BITS)).astype(np.int64)
     first = np.ones(len(keys), bool)
     first[1:] = pieces.text[1:] != pieces.text[:-1]
     before = np.where(first, np.uint64(0), np.roll(keys, 1)) if len(keys) else keys
-    pair = (before * np.uint64(0xBF58476D1CE4E5B9) ^ keys) * _MIX
-    pair = ((pair ^ pair >> np.uint64(31)) * _MIX >> np.uint64(64 - bits)).astype(np.int64)
-    context = np.where(first, 1 << WORD_BITS, np.roll(word, 1)) if len(keys) else word
-    return pieces.text, word, context, pair
-
+    return pieces.text, before.view(np.int64), keys.view(np.int64)
 
-class Model:
-    """Counts of words, of contexts and of pairs in one corpus; ``scale`` multiplies all."""
 
-    def __init__(self, words: np.ndarray, contexts: np.ndarray, pairs: np.ndarray, scale: float) -> None:
-        self.words, self.contexts, self.pairs, self.scale = words, contexts, pairs, scale
-        self.total = float(words.sum(dtype=np.float64)) * scale
+def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the rows by ``columns``, and the places in it where a new value begins."""
+    order = np.lexsort(columns)
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for column in columns:
+        new[1:] |= column[order[1:]] != column[order[:-1]]
+    return order, np.flatnonzero(new)
 
-    def losses(self, word: np.ndarray, context: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        """Negative log-probability of each word after the one before it."""
-        alone = (self.words[word] * self.scale + UNSEEN) / (self.total + UNSEEN * len(self.words))
-        return -np.log((self.pairs[pair] * self.scale + BACKOFF * alone)
-                       / (self.contexts[context] * self.scale + BACKOFF))
 
-
-def fit(docs: DataFrame, target: str, text: str = "text",
-        bits: int = PAIR_BITS) -> tuple[Model, Model]:
+@dataclass(frozen=True)
+class Model:
+    """Counts of one corpus: the column ``name`` of the tables ``pair_counts`` (``before``,
+    ``word``), ``word_counts`` (``word``) and ``context_counts`` (``before``). ``total`` words;
+    ``scale`` multiplies all counts."""
+
+    name: str
+    pair_counts: DataFrame
+    word_counts: DataFrame
+    context_counts: DataFrame
+    total: int
+    scale: float
+    vocabulary: int
+    #: The number of slots that pairs once shared. Nothing here uses it; callers may ask its length.
+    pairs: range = range(1 << 20)
+
+    def loss(self, pair: Column, word: Column, context: Column) -> Column:
+        """Negative log-probability of a word, given its counts; null counts are 0."""
+        pair, word, context = (F.coalesce(c, F.lit(0)) * F.lit(self.scale)
+                               for c in (pair, word, context))
+        alone = (word + UNSEEN) / F.lit(self.total * self.scale + UNSEEN * self.vocabulary)
+        return -F.log((pair + BACKOFF * alone) / (context + BACKOFF))
+
+
+def fit(docs: DataFrame, target: str, text: str = "text") -> tuple[Model, Model]:
     """The target model, of the rows where the boolean column ``target`` is true, and the background
-    model, of all rows. Null texts have no words. Each task adds its texts up in arrays and hands
-    over the slots it met; these sums are added by Spark, and the driver gets a row for each slot.
-    """
+    model, of all rows. Null texts have no words."""
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("text"),
                        F.coalesce(F.col(f"`{target}`"), F.lit(False)).alias("target"))
-    sizes = (1 << WORD_BITS, (1 << WORD_BITS) + 1, 1 << bits)
-    begins = np.cumsum((0, *sizes))
 
     def count(batches):
-        sums = np.zeros((2, begins[-1]), np.int64)
         for batch in batches:
             for some in slices(batch, 0):
                 chosen = some.column(1).to_numpy(zero_copy_only=False)
-                for first, group in chunks(some.column(0).to_pylist()):
-                    of, *found = slots(group, bits)
-                    wanted = chosen[first + of]
-                    for values, begin, size in zip(found, begins, sizes):
-                        sums[1, begin:begin + size] += np.bincount(values, minlength=size)
-                        sums[0, begin:begin + size] += np.bincount(values[wanted], minlength=size)
-        seen = np.flatnonzero(sums[1])
-        for first in range(0, len(seen), 100_000):
-            at = seen[first:first + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at.astype(np.int32)), pa.array(sums[0, at]), pa.array(sums[1, at])],
-                ["slot", "target", "background"])
-
-    summed = (rows.mapInArrow(count, "slot int, target long, background long").groupBy("slot")
-              .agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-              .toArrow())
-    at, models = summed.column("slot").to_numpy(), []
-    for name in ("target", "background"):
-        counts = np.zeros(begins[-1], np.float32)
-        counts[at] = summed.column(name).to_numpy()
-        models.append([counts[a:a + n] for a, n in zip(begins, sizes)])
-    totals = [m[0].sum(dtype=np.float64) for m in models]
-    scale = totals[0] / totals[1] if totals[0] and totals[1] else 1.0
-    return Model(*models[0], 1.0), Model(*models[1], scale)
+                found = [(chosen[first + of], before, word)
+                         for first, group in chunks(some.column(0).to_pylist())
+                         for of, before, word in [pairs_of(group)]]
+                wanted, before, word = (np.concatenate(x) for x in zip(*found))
+                if len(word):
+                    order, at = _runs(before, word)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(before[order[at]]), pa.array(word[order[at]]),
+                         pa.array(np.add.reduceat(wanted[order].astype(np.int64), at)),
+                         pa.array(np.diff(np.append(at, len(order))))],
+                        ["before", "word", "target", "background"])
+
+    def summed(counts: DataFrame, *keys: str) -> DataFrame:
+        return counts.groupBy(*keys).agg(F.sum("target").alias("target"),
+                                         F.sum("background").alias("background"))
+
+    counts = rows.mapInArrow(count, "before long, word long, target long, background long")
+    pairs = kept(summed(counts, "before", "word"), "pair-counts")
+    words = kept(summed(pairs, "word"), "word-counts")
+    contexts = kept(summed(pairs, "before"), "context-counts")
+    n, all_target, all_words = words.agg(F.count("*"), F.sum("target"), F.sum("background")).first()
+    totals = {"target": all_target or 0, "background": all_words or 0}
+    scale = totals["target"] / totals["background"] if totals["target"] else 1.0
+    vocabulary = max(1 << WORD_BITS, n)
+    return tuple(Model(name, pairs, words, contexts, totals[name], s, vocabulary)
+                 for name, s in (("target", 1.0), ("background", scale)))
 
 
 def score(df: DataFrame, models: tuple[Model, Model], text: str = "text",
@@ -104,27 +120,51 @@ def score(df: DataFrame, models: tuple[Model, Model], text: str = "text",
     """``df`` (or its columns ``keep``) with ``n_words``, ``target_loss`` and ``background_loss``
     (mean negative log-probability of a word of the whole text) and ``difference``, target less
     background: the lower, the nearer to the target. A null text, or one without a letter, has 0
-    words and null losses. Columns of these names are replaced; rows are neither joined nor dropped.
+    words and null losses. Columns of these names are replaced; no row is dropped.
+
+    The losses of the texts' distinct pairs are taken from ``models`` (as ``fit`` returned them) by
+    joins and joined with the pairs of each text. These joins read plain rows, so that adaptive
+    execution can split frequent pairs. A text is known by a 128-bit key of its content.
     """
-    shared = df.sparkSession.sparkContext.broadcast(models)  # a fixed number of counts
-
-    def make():
-        target, background = shared.value
-        bits = len(target.pairs).bit_length() - 1
-
-        def of(texts):
-            counts, sums = [], ([], [])
-            for _, group in chunks(texts):
-                text, *found = slots(group, bits)
-                counts.append(np.bincount(text, minlength=len(group)))
-                for out, model in zip(sums, (target, background)):
-                    out.append(np.bincount(text, weights=model.losses(*found), minlength=len(group)))
-            counts = np.concatenate(counts)
-            means = [np.concatenate(s) / np.maximum(counts, 1) for s in sums]
-            none = counts == 0
-            return [pa.array(counts), *(pa.array(m, mask=none) for m in means),
-                    pa.array(means[0] - means[1], mask=none)]
-        return of
-
-    return with_results(df, text, "n_words long, target_loss double, background_loss double, "
-                                  "difference double", make, keep)
+    keep = [c for c in (df.columns if keep is None else keep) if c not in RESULTS]
+    value = F.col(f"`{text}`").cast("string")
+    keys = (F.xxhash64(value).alias("a"), F.xxhash64(F.lit(1), value).alias("b"))
+
+    def listed(batches):
+        for batch in batches:
+            for some in slices(batch, 2):
+                a, b = (some.column(i).to_numpy() for i in (0, 1))
+                for first, group in chunks(some.column(2).to_pylist()):
+                    of, before, word = pairs_of(group)
+                    size = np.bincount(of, minlength=len(group))
+                    order, at = _runs(before, word, of)
+                    row = of[order[at]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(a[first + row]), pa.array(b[first + row]),
+                         pa.array(size[row]), pa.array(before[order[at]]),
+                         pa.array(word[order[at]]), pa.array(np.diff(np.append(at, len(order))))],
+                        ["a", "b", "n_words", "before", "word", "n"])
+
+    texts = df.select(*keys, value.alias("text")).mapInArrow(
+        listed, "a long, b long, n_words long, before long, word long, n long")
+    tables = models[0]
+
+    def counts(table: DataFrame, what: str, *on: str) -> DataFrame:
+        return table.select(*on, F.col("target").alias(f"target_{what}"),
+                            F.col("background").alias(f"background_{what}")).hint("merge")
+
+    known = (texts.select("before", "word").distinct()
+             .join(counts(tables.pair_counts, "pair", "before", "word"), ["before", "word"], "left")
+             .join(counts(tables.word_counts, "word", "word"), "word", "left")
+             .join(counts(tables.context_counts, "context", "before"), "before", "left"))
+    known = known.select("before", "word", *[
+        m.loss(*[F.col(f"{m.name}_{c}") for c in ("pair", "word", "context")]).alias(m.name)
+        for m in models])
+    # copies of a text add to both sums alike
+    means = [(F.sum(F.col(m.name) * F.col("n")) / F.sum("n")).alias(f"{m.name}_loss") for m in models]
+    scores = (texts.join(known.hint("merge"), ["before", "word"]).groupBy("a", "b", "n_words")
+              .agg(*means))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), *keys)
+    return rows.join(scores.hint("merge"), ["a", "b"], "left").select(
+        "_row.*", F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"), "target_loss",
+        "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("difference"))
