@@ -34,13 +34,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-copies, the one with the smallest id. Of repeated rows
-    with that id one stays. A group of documents without an id keeps one of them."""
-    groups = simhash_anchors.near_duplicates(docs, words=4, distance=4)
-    stay = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
-            .distinct())
-    return (docs.join(stay, docs["doc_id"].eqNullSafe(stay["doc_id"]), "left_semi")
-            .dropDuplicates(["doc_id"]))
+    """One row of each group of near-copies, the one with the smallest id. Of rows with that id one
+    stays, and of a group without any id one. Rows are told apart by a written number, so what has
+    the id of another text, or none, is judged by its own text."""
+    rows = kept(docs.select(F.struct("*").alias("_doc"), "text", F.struct(
+        F.col("doc_id").isNull().alias("unnamed"), "doc_id",
+        F.monotonically_increasing_id().alias("row")).alias("_id")), "pipeline-rows")
+    groups = simhash_anchors.near_duplicates(rows, id="_id", words=4, distance=4)
+    stay = groups.filter("_id.row = component_id.row").select(F.col("_id.row").alias("stays"))
+    return rows.join(stay, F.col("_id.row") == F.col("stays"), "left_semi").select("_doc.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

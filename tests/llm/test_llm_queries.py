@@ -98,6 +98,20 @@ def test_pipeline_takes_odd_rows(spark):
         assert corpus_pipeline.packing(spark, docs, "").select("doc_id").distinct().count() == len(expected)
 
 
+def test_near_copies_judges_rows_not_ids(spark):
+    words = "the house by the river was old and nobody in the town knew who had built it".split()
+    texts = [" ".join(words[i:] + words[:i][::-1] + [f"word{i}"] * 5) for i in range(8)]
+    prints = [plain_fingerprint(t) for t in texts]
+    assert all((a ^ b).bit_count() > 4 for i, a in enumerate(prints) for b in prints[i + 1:])
+    rows = [(None, t) for t in texts[:4]] + [(None, texts[0]), (3, texts[4]), (7, texts[4]),
+                                             (7, texts[5]), (9, texts[6]), (9, texts[6]),
+                                             (None, texts[6]), (None, texts[7])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = corpus_pipeline.near_copies(spark, docs, "").collect()
+    assert Counter((r["doc_id"], r["text"]) for r in found) == Counter(
+        [(None, t) for t in texts[:4]] + [(3, texts[4]), (7, texts[5]), (9, texts[6]),
+                                          (None, texts[7])])
+
 def test_a_model_without_languages_rejects_nothing(spark):
     assert language_crf.UNKNOWN == "und"
     docs = spark.createDataFrame([(1, "some text here", None)], "doc_id long, text string, lang string")
