@@ -155,3 +155,51 @@ def test_passes_keep_recall():
     assert projection_dedup.passes_needed(100, 0.93) == 1
     few, many = (projection_dedup.passes_needed(n, 0.93) for n in (10_000, 10_000_000))
     assert 1 < few < many < 200
+
+
+def _concentrated(rng, count, cosine, dim=64):
+    """Vectors of one label whose cosine is ``cosine`` on average, as embeddings mostly are."""
+    center = np.eye(dim)[0] * np.sqrt(cosine)
+    return center + rng.normal(size=(count, dim)) * np.sqrt((1 - cosine) / dim)
+
+
+def test_vectors_that_share_a_direction(spark):
+    """A label of 60 blocks: every pair above the threshold is found, by passes or in full."""
+    rng = np.random.default_rng(8)
+    vectors = _concentrated(rng, 1440, 0.8)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    noise = rng.normal(size=unit.shape)
+    noise -= (noise * unit).sum(1, keepdims=True) * unit
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    both = np.concatenate([unit, 0.935 * unit + np.sqrt(1 - 0.935 ** 2) * noise])
+    table = spark.createDataFrame([(i, v, 1) for i, v in enumerate(both.tolist())],
+                                  "vec_id long, embedding array<double>, label int")
+    near = np.triu(both @ both.T >= 0.93, 1)
+    counts = near.sum(0) + near.sum(1)
+    found = projection_dedup.near_duplicates(table.repartition(3), block=48).collect()
+    assert [r["n_links"] for r in sorted(found)] == counts.tolist()
+
+
+def test_passes_follow_from_the_vectors():
+    rng = np.random.default_rng(9)
+    units = []
+    for cosine in (0.0, 0.8):
+        x = _concentrated(rng, 4000, cosine)
+        units.append(x / np.linalg.norm(x, axis=1, keepdims=True))
+    wide, narrow = (projection_dedup.passes_measured(u, 400_000, 0.93) for u in units)
+    assert projection_dedup.passes_needed(400_000, 0.93) < wide < narrow
+
+
+def test_passes_find_planted_pairs(spark, monkeypatch):
+    """The windows alone: with the means taken off, no planted pair is missed."""
+    rng = np.random.default_rng(10)
+    unit = _concentrated(rng, 600, 0.8, 16)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    both = np.concatenate([unit, unit + rng.normal(size=unit.shape) * 0.005])
+    table = spark.createDataFrame([(i, v, 1) for i, v in enumerate(both.tolist())],
+                                  "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(projection_dedup, "_passes", lambda *_: 12)
+    found = projection_dedup.near_duplicates(table, block=24, threshold=0.995).collect()
+    unit = both / np.linalg.norm(both, axis=1, keepdims=True)
+    near = np.triu(unit @ unit.T >= 0.995, 1)
+    assert [r["n_links"] for r in sorted(found)] == (near.sum(0) + near.sum(1)).tolist()
