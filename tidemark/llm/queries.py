@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (byte_bpe, cross_entropy, hilbert_packing, jump_shards, language_crf,
-                          projection_dedup, quality_rules, simhash_anchors, token_files, toxicity_kn)
+from tidemark.llm import (byte_bpe, conversation_repair, cross_entropy, hilbert_packing,
+                          html_main_text, jump_shards, language_crf, projection_dedup,
+                          quality_rules, simhash_anchors, token_files, toxicity_kn)
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import new_folder
 
@@ -89,8 +90,39 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with the contract's faults; rows not ``present`` only name their conversation."""
+    names = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    kind = F.crc32(F.concat_ws(":", *names)) % 20
+    role, text = (F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" ")))
+    return conversations.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text)
+        .alias("text"), (kind != 0).alias("present"),
+        F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+        .alias("copy"))
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(_table(spark, sf_dir, "conversations"))
+    return conversation_repair.report(conversation_repair.repair(rows, present="present")).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        "repaired_sha256")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.rebuilt(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.with_digests(prefix_trie.build(turns)).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        "ends_sha256")
+
+
+def op13_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main_text.extract(_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_crf, op2_toxicity_kn, op3_jump_shards, op4_curve_packing, op5_projection_dedup,
-    op6_cross_entropy, op7_quality_rules, op8_byte_bpe, op9_simhash_anchors,
-    op10_token_files)}
+    op6_cross_entropy, op7_quality_rules, op8_byte_bpe, op9_simhash_anchors, op10_token_files,
+    op11_conversation_repair, op13_html_main_text)}
 __all__ = ["ORACLES", "QUERIES"]
