@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SMALLEST), reason="needs the g
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries())
 
 

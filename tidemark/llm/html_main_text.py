@@ -83,7 +83,8 @@ SIBLING_SHARE = 0.2
 SIBLING_LINKS = 0.25
 #: Shorter sibling paragraphs must also end as a sentence does.
 SIBLING_CHARS = 80
-#: Lists of at least three links are menus if this share of their text is links.
+#: Without an article element, lists of at least three links, and blocks right below the body, are
+#: menus if this share of their text is links.
 MENU_LINKS = 0.8
 
 
@@ -270,8 +271,9 @@ def main_text(source: str | None) -> str:
     for block in range(count):
         parent = page.parents[block]
         inside[block] = block in kept or (parent >= 0 and inside[parent])
-        if (whole is None and inside[block] and page.tags[block] in ("ul", "ol")
-                and links[block] >= 3 and links_of(block) >= MENU_LINKS):
+        if whole is None and inside[block] and links_of(block) >= MENU_LINKS and (
+                page.tags[parent] in ("body", "html", "page")
+                or (page.tags[block] in ("ul", "ol") and links[block] >= 3)):
             inside[block] = False
     own = -1 if whole is not None else page.parents[best]
     return " ".join(text for block, text, in_links in runs

@@ -65,7 +65,8 @@ def numbered(conversations: DataFrame) -> DataFrame:
     order = ["conv_id", "turn", "t1", "t2", "row"]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(
         "conv_id", "t1", "t2", "chars")
-    schema = T.StructType([*rows.schema.fields, T.StructField("place", T.LongType()),
+    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in rows.schema],
+                           T.StructField("place", T.LongType()),
                            T.StructField("slice", T.IntegerType()),
                            T.StructField("total", T.LongType())])
 
@@ -134,7 +135,8 @@ class ZFastTrie:
     def locate(self, prefixes: list[bytes], node: int = 0) -> tuple[int, int, int]:
         """The deepest node whose extent begins the sequence, the node on whose edge the sequence
         leaves the trie (-1 if it leaves at a node), and how many turns both share."""
-        low, high, size = self.extent[node], len(prefixes) - 1, len(prefixes) - 1
+        size = len(prefixes) - 1
+        low, high = self.extent[node], size
         while low < high:
             middle = fattest(low, high)
             found = self.handles.get(prefixes[middle])
@@ -146,11 +148,9 @@ class ZFastTrie:
                 low, node = extent, found
             else:
                 return self.parent[found], found, self._shared(prefixes, found, middle)
-        if low < size:
-            found = self.heads.get(prefixes[low + 1], -1)
-            if found >= 0:
-                return node, found, self._shared(prefixes, found, low + 1)
-        return node, -1, low
+        # it leaves the trie here, or on the edge that begins with its next turn, above the handle
+        found = self.heads.get(prefixes[low + 1], -1) if low < size else -1
+        return node, found, low if found < 0 else self._shared(prefixes, found, low + 1)
 
     def _shared(self, prefixes: list[bytes], node: int, least: int) -> int:
         path = self.path[node]
@@ -191,10 +191,8 @@ class ZFastTrie:
                 # an earlier one of the batch was inserted here: go on from where it was located
                 node, edge, shared = self.locate(prefixes, node)
             size = len(prefixes) - 1
-            if edge >= 0 and shared < self.extent[edge]:
+            if edge >= 0:
                 node = self._split(edge, shared)
-            elif edge >= 0:
-                node = edge
             if shared < size:
                 self._changed[node] = self._batch
                 node = self._add(node, size, prefixes, owner)
@@ -259,6 +257,7 @@ class _Share:
             lanes.append(run[self.starts[at] + place] ^ run[self.starts[at]] ^ root[at])
         self.keys = _joined(*lanes)
         self.bases = table.column("base").to_numpy()
+        self.tops = table.column("top").to_pylist()
         self.more = table.column("more").to_numpy(zero_copy_only=False).astype(bool)
         self.below = np.stack([table.column(c).to_numpy() for c in
                                ("b_children", "b_leaves", "b_saved")], 1)
@@ -279,8 +278,7 @@ class _Share:
         """The expanded nodes of the trie of rows low to high. ``outer``: it may go on elsewhere."""
         first = self.prefixes(low)
         trie = ZFastTrie(first[0])
-        batch, members, at = [], [], {}
-        row_node = {}
+        batch, members = [], []
         for row in range(low, high):
             prefixes = self.prefixes(row)
             if row > low and prefixes[-1] == members[-1][0]:
@@ -292,7 +290,6 @@ class _Share:
                 trie.insert(batch)
                 batch = []
         trie.insert(batch)
-        del at, row_node
         count = len(trie.extent)
         extent, name = np.array(trie.extent), np.array(trie.name)
         cnt, leaves, saved = (np.zeros(count, np.int64) for _ in range(3))
@@ -327,6 +324,8 @@ class _Share:
                 saved[parent] += saved[node]
                 if lowest[parent] is None or lowest[node] < lowest[parent]:
                     lowest[parent] = lowest[node]
+        if self.bases[low]:
+            lowest[0] = self.tops[low]
         for row, edge in ((low, low == 0), (high - 1, high == len(self.convs))):
             if outer and edge:
                 node = trie.locate(self.prefixes(row))[0]
@@ -452,7 +451,7 @@ class Trie:
     split: DataFrame
 
 
-def _level(rows: DataFrame, batch_rows: int) -> tuple[Trie, DataFrame]:
+def _level(rows: DataFrame, base: int, batch_rows: int) -> tuple[Trie, DataFrame]:
     """The nodes of all tries of a level, and their roots, which are nodes of the level above."""
     found = _shares(rows, batch_rows)
     spine = found.filter("kind = 'spine'")
@@ -473,8 +472,7 @@ def _level(rows: DataFrame, batch_rows: int) -> tuple[Trie, DataFrame]:
     columns = ["conv_id", "depth", "parent_conv_id", *_SUMS, *_HASHES, "ends"]
     opened = found.filter("kind = 'open'").drop("parent_conv_id").join(
         here, ["slice", "p1", "p2"]).withColumnRenamed("parent", "parent_conv_id")
-    low = rows.agg(F.min("base")).first()[0] or 0
-    inner = merged.filter(F.col("depth") > low).join(names, ["p1", "p2"]).withColumnRenamed(
+    inner = merged.filter(F.col("depth") > base).join(names, ["p1", "p2"]).withColumnRenamed(
         "parent", "parent_conv_id")
     empty = F.lit(None).cast(found.schema["ends"].dataType).alias("ends")
     nodes = (found.filter("kind = 'node'").select(*columns)
@@ -482,14 +480,14 @@ def _level(rows: DataFrame, batch_rows: int) -> tuple[Trie, DataFrame]:
              .unionByName(inner.select(*columns[:-1], empty)))
     split = spine.filter((F.size("ends") > 0)).select(*_HASHES, F.col("slice").alias("part"),
                                                       "ends")
-    return Trie(nodes, split), merged.filter(F.col("depth") == low)
+    return Trie(nodes, split), merged.filter(F.col("depth") == base)
 
 
 def _blocks(turns: DataFrame, convs: DataFrame, block: int) -> DataFrame:
     """Each conversation's turns in arrays of ``block``; one without turns has an empty array."""
-    item = F.struct("t1", "t2", F.xxhash64("t1", "t2", "place").alias("x1"),
-                    F.xxhash64(F.lit(1), "t1", "t2", "place").alias("x2"), "chars", "place")
-    rows = turns.select("conv_id", F.floor(F.col("place") / block).alias("block"),
+    item = F.struct("place", "t1", "t2", F.xxhash64("t1", "t2", "place").alias("x1"),
+                    F.xxhash64(F.lit(1), "t1", "t2", "place").alias("x2"), "chars")
+    rows = turns.select("conv_id", F.expr(f"place div {block}").alias("block"),
                         item.alias("item"))
     rows = rows.unionByName(convs.select(
         "conv_id", F.lit(0).cast("bigint").alias("block"),
@@ -497,9 +495,8 @@ def _blocks(turns: DataFrame, convs: DataFrame, block: int) -> DataFrame:
     packed = rows.groupBy("conv_id", "block").agg(F.collect_list("item").alias("items"),
                                                   F.bit_xor("item.x1").alias("s1"),
                                                   F.bit_xor("item.x2").alias("s2"))
-    by_place = F.array_sort("items", lambda a, b: (a["place"] - b["place"]).cast("int"))
-    return packed.withColumn("seq", F.transform(by_place, lambda i: i.dropFields("place"))).drop(
-        "items")
+    return packed.withColumn("seq", F.transform(
+        F.sort_array("items"), lambda i: i.dropFields("place"))).drop("items")
 
 
 def build(turns: DataFrame, convs: DataFrame | None = None, block: int = BLOCK_TURNS,
@@ -512,28 +509,34 @@ def build(turns: DataFrame, convs: DataFrame | None = None, block: int = BLOCK_T
     size = F.size("seq")
     zeros = {c: F.lit(0).cast("bigint") for c in ("r1", "r2")}
     short = blocks.filter((F.col("block") == 0) & (size < block)).withColumns(
-        {**zeros, "more": F.lit(False)})
+        {**zeros, "more": F.lit(False), "top": F.lit(None).cast(blocks.schema["conv_id"].dataType)})
     # of conversations of several blocks: the prefix that leads to each, and whether it goes on
     chain = Window.partitionBy("conv_id").orderBy("block")
     earlier = chain.rowsBetween(Window.unboundedPreceding, -1)
     narrow = blocks.filter((F.col("block") > 0) | (size == block)).select(
-        "conv_id", "block",
+        "conv_id", "block", "s1", "s2", (size == block).alias("full"),
         *[F.coalesce(F.bit_xor(f"s{i}").over(earlier), F.lit(0)).alias(f"r{i}") for i in (1, 2)],
         F.lead("block").over(chain).isNotNull().alias("more"))
     shared = narrow.groupBy("block", "r1", "r2").agg((F.count(F.lit(1)) > 1).alias("shared"))
-    narrow = kept(narrow.join(shared, ["block", "r1", "r2"]), "trie-chains")
+    # the smallest member of a prefix that ends a block, also of those that end there
+    tops = narrow.filter("full").groupBy(
+        (F.col("block") + 1).alias("block"), F.col("r1").bitwiseXOR(F.col("s1")).alias("r1"),
+        F.col("r2").bitwiseXOR(F.col("s2")).alias("r2")).agg(F.min("conv_id").alias("top"))
+    narrow = kept(narrow.drop("s1", "s2", "full").join(shared, ["block", "r1", "r2"])
+                  .join(tops, ["block", "r1", "r2"], "left"), "trie-chains")
     long = blocks.join(narrow, ["conv_id", "block"])
     deepest = narrow.filter("shared").agg(F.max("block")).first()[0] or 0
     solo = long.filter("not shared and block > 0")
     conv = blocks.schema["conv_id"].dataType
     start = F.col("block") * block
     alone = solo.filter(size > 0).select(
-        "conv_id", "more", (start + size).alias("end"),
+        "conv_id", "more", "top", (start + 1).alias("begin"), (start + size).alias("end"),
         F.explode(F.sequence(start + 1, start + size)).alias("depth"))
     ends = (F.col("depth") == F.col("end")) & ~F.col("more")
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     parts = [Trie(alone.select(
-        "conv_id", "depth", F.col("conv_id").alias("parent_conv_id"), one.alias("n_convs"),
+        "conv_id", "depth", F.when(F.col("depth") == F.col("begin"), F.col("top"))
+        .otherwise(F.col("conv_id")).alias("parent_conv_id"), one.alias("n_convs"),
         F.when(ends, none).otherwise(one).alias("n_children"), one.alias("n_leaves"),
         none.alias("saved_tokens"), none.alias("h1"), none.alias("h2"),
         F.when(ends, F.array("conv_id")).otherwise(F.array().cast(T.ArrayType(conv)))
@@ -554,8 +557,8 @@ def build(turns: DataFrame, convs: DataFrame | None = None, block: int = BLOCK_T
         # a block below that no other conversation reaches has one child, one leaf and no saving
         rows = rows.withColumns({c: F.when(F.col("more"), F.coalesce(c, F.lit(v).cast("bigint")))
                                  .otherwise(none) for c, v in below.items()})
-        trie, top = _level(rows.select("r1", "r2", "seq", "more", "conv_id", "base", *below),
-                           batch_rows)
+        trie, top = _level(rows.select("r1", "r2", "seq", "more", "conv_id", "top", "base", *below),
+                           level * block, batch_rows)
         parts.append(trie)
         roots = top.select(F.col("h1").alias("n1"), F.col("h2").alias("n2"),
                            F.col("n_children").alias("b_children"),

@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (byte_bpe, conversation_repair, cross_entropy, hilbert_packing,
-                          html_main_text, jump_shards, language_crf, projection_dedup,
+                          html_main_text, jump_shards, language_crf, prefix_trie, projection_dedup,
                           quality_rules, simhash_anchors, token_files, toxicity_kn)
+from tidemark.llm.frames import kept
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import new_folder
 
@@ -110,9 +111,30 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         "repaired_sha256")
 
 
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The contract's conversations, each with the opening of the first of its hundred, from numbered
+    turns; and the ids of all of them, as some have no turn then."""
+    convs = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).select(
+        "conv_id", "n", (F.col("conv_id") - F.col("conv_id") % 100).alias("leader"),
+        (F.crc32(F.col("conv_id").cast("string")) % 6).alias("h"))
+    leaders = convs.filter("conv_id = leader").select("leader", F.col("n").alias("n_leader"))
+    # hashes of a conversation's name and the number of its leader's turns: one row for each
+    known = kept(convs.join(leaders, "leader", "left").select(
+        "conv_id", "leader", "h", F.least("h", F.coalesce("n_leader", F.lit(0))).alias("opened")),
+        "trie-convs")
+    openings = turns.filter("conv_id % 100 = 0 and place < 5").withColumnRenamed(
+        "conv_id", "leader")
+    turn = ["place", "t1", "t2", "chars"]
+    first = known.filter("opened > 0").join(openings, "leader").filter("place < h").select(
+        "conv_id", *turn)
+    rest = turns.join(known, "conv_id").filter("place >= h").select(
+        "conv_id", (F.col("place") - F.col("h") + F.col("opened")).alias("place"), *turn[1:])
+    return first.unionByName(rest), known.select("conv_id")
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = prefix_trie.rebuilt(_table(spark, sf_dir, "conversations"))
-    return prefix_trie.with_digests(prefix_trie.build(turns)).select(
+    turns, convs = rebuilt(prefix_trie.numbered(_table(spark, sf_dir, "conversations")))
+    return prefix_trie.with_digests(prefix_trie.build(turns, convs)).select(
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
         "ends_sha256")
 
@@ -124,5 +146,5 @@ def op13_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_language_crf, op2_toxicity_kn, op3_jump_shards, op4_curve_packing, op5_projection_dedup,
     op6_cross_entropy, op7_quality_rules, op8_byte_bpe, op9_simhash_anchors, op10_token_files,
-    op11_conversation_repair, op13_html_main_text)}
+    op11_conversation_repair, op12_prefix_trie, op13_html_main_text)}
 __all__ = ["ORACLES", "QUERIES"]
