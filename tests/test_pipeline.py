@@ -11,7 +11,7 @@ from tidemark.plans import gold, lineage, reports, silver, views
 from tidemark.plans.medallion import refresh_all
 from tidemark.session import utc_now
 from tidemark.sources.storage import Storage
-from tidemark.sources.tables import Tables
+from tidemark.sources.tables import Tables, create_table_sql
 from tidemark.streaming import landing, start_landing
 from tidemark.streaming.landing import retry_quarantined
 
@@ -251,16 +251,19 @@ def test_a_batch_repeated_after_a_replaced_file_is_not_below_the_mark(feed, monk
 
 def test_opening_tables_leaves_a_running_change_alone(feed, monkeypatch):
     _both(feed)
-    move, opened = Storage.move, []
+    write_text, opened = Storage.write_text, []
 
-    def opens_meanwhile(self, source, target):
-        move(self, source, target)
-        if not opened and "_entity=" in source:
-            opened.append(Tables(feed.spark, str(feed.folder / "tables")))
+    def opens_meanwhile(self, name, text):
+        if "/versions/" in name:
+            seen = Tables(feed.spark, str(feed.folder / "tables"))
+            opened.append((seen.read("landing_events").count(), seen.read("ledger").count()))
+        write_text(self, name, text)
 
-    monkeypatch.setattr(Storage, "move", opens_meanwhile)
+    monkeypatch.setattr(Storage, "write_text", opens_meanwhile)
     feed.land()
-    assert opened and feed.tables.read("gold_transactions").count() == 3
+    # nothing is seen before the landing, both messages before each later switch
+    assert opened[0] == (0, 0) and {o[0] for o in opened[1:]} == {2}
+    assert feed.tables.read("gold_transactions").count() == 3
 
 
 def test_large_files_in_quarantine_are_retried_as_large(feed):
@@ -275,24 +278,23 @@ def test_large_files_in_quarantine_are_retried_as_large(feed):
     assert feed.tables.read("landing_events").count() == 0
 
 
-def test_a_landing_cut_off_while_publishing_is_finished_first(feed, monkeypatch):
+def test_a_landing_cut_off_while_publishing_is_repeated_whole(feed, monkeypatch):
     _both(feed)
-    move, moved = Storage.move, []
+    write_text = Storage.write_text
 
-    def breaks_after_one(self, source, target):
-        if "_entity=" in source or "_publish_date=" in source:
-            if moved:
-                raise OSError("gone")
-            moved.append(target)
-        move(self, source, target)
+    def breaks(self, name, text):
+        if "/versions/" in name:
+            raise OSError("gone")
+        write_text(self, name, text)
 
     feed.put("entity=other/x.csv", "a\n1\n")
     with monkeypatch.context() as broken:
-        broken.setattr(Storage, "move", breaks_after_one)
+        broken.setattr(Storage, "write_text", breaks)
         with pytest.raises(Exception, match="gone"):
             feed.land()
+    assert feed.tables.read("landing_events").count() == 0
     feed.land()
-    assert moved and feed.tables.read("landing_events").count() == 2
+    assert feed.tables.read("landing_events").count() == 2
     assert feed.tables.read("rejects").count() == 1
     assert feed.tables.read("gold_transactions").count() == 3
 
@@ -419,20 +421,43 @@ def test_catalog_tables(feed):
         told = {r["col_name"]: r["comment"] for r in
                 spark.sql("DESCRIBE finance.silver_customers").collect()}
         assert told["customer_name"] == "full name"
-        spark.sql("INSERT INTO finance.silver_customers (customer_id, _ingested_date) "
+        # a table of its own, by the same DDL
+        spark.sql(create_table_sql("finance.imported", "silver_customers",
+                                   str(feed.folder / "imported")))
+        spark.sql("INSERT INTO finance.imported (customer_id, _ingested_date) "
                   "VALUES ('C5', DATE '2026-03-25')")
-        row = feed.tables.read("silver_customers").filter("customer_id = 'C5'").first()
+        row = spark.table("finance.imported").first()
         assert row["_processed_at"] is not None and row["customer_name"] is None
-        feed.tables.register("finance")
     finally:
         spark.sql("DROP DATABASE finance CASCADE")
-    assert feed.tables.read("silver_customers").count() == 3
+
+
+def test_views_of_the_catalog_follow_the_table_from_empty(feed):
+    names = views.register_views(feed.tables, "finance")
+    other = feed.spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        assert [other.table(n).count() for n in names] == [0, 0, 0, 0]
+        _both(feed)
+        feed.land()
+        made = (reports.monthly_ttm, reports.customers_last_quarter, reports.daily_avg_price)
+        for _ in range(2):
+            rows = feed.tables.read("gold_transactions")
+            assert other.table(names[0]).count() == rows.count() == 3
+            for report, name in zip(made, names[1:], strict=True):
+                assert other.table(name).count() == report(rows).count()
+            gold.refresh_gold_full(Tables(feed.spark, feed.tables.root))
+        assert other.sql("SELECT finance.func_normalize_customer_id('C007')").first()[0] == "C7"
+        # another session's job renews them, too, as the tables know where they are offered
+        assert feed.tables.state()["database"] == "finance"
+    finally:
+        feed.spark.sql("DROP DATABASE finance CASCADE")
 
 
 def test_gold_is_partitioned_and_sorted_by_its_clustering(feed):
     _both(feed)
     feed.land()
-    files = list(feed.tables.storage.data_files(feed.tables.path("gold_transactions")))
+    files = feed.tables.files("gold_transactions")
     assert len(files) == 1 and "_ingested_date=" in files[0]
     rows = feed.spark.read.parquet(files[0].removeprefix("file:")).select(
         "transaction_status", "transaction_type", "customer_id").collect()

@@ -146,19 +146,19 @@ def test_table_merge_follows_the_same_rules(spark, tables):
     assert _stored(tables) == Counter(TARGET)
     assert _merge(spark, tables, SOURCE) == len(SOURCE)
     assert _stored(tables) == model(TARGET, SOURCE)
-    before = set(tables.storage.data_files(tables.path(NAME)))
+    before = set(tables.files(NAME))
     _merge(spark, tables, [r for r in SOURCE if r[0] is not None])
     assert _stored(tables) == model(TARGET, SOURCE)
-    assert before <= set(tables.storage.data_files(tables.path(NAME)))
+    assert before <= set(tables.files(NAME))
 
 
 def test_updated_rows_move_to_their_new_partition(spark, tables):
     _merge(spark, tables, [("a", "old", 1), ("b", "old", 2)])
-    untouched = {f for f in tables.storage.data_files(tables.path(NAME)) if "2026-03-03" in f}
+    untouched = {f for f in tables.files(NAME) if "2026-03-03" in f}
     assert len(untouched) == 1
     _merge(spark, tables, [("a", "new", 4)])
     assert _stored(tables) == Counter({("a", "new", 4): 1, ("b", "old", 2): 1})
-    files = set(tables.storage.data_files(tables.path(NAME)))
+    files = set(tables.files(NAME))
     assert untouched <= files and not [f for f in files if "2026-03-02" in f]
     days = {str(r[0]) for r in tables.read(NAME).select("_ingested_date").distinct().collect()}
     assert days == {"2026-03-03", "2026-03-05"}
@@ -168,7 +168,7 @@ def test_table_merge_duplicates(spark, tables):
     twice = [("a", "x", 3), ("a", "y", 3), ("b", "z", 1)]
     with pytest.raises(Exception, match="duplicate customer_id in one file"):
         _merge(spark, tables, twice)
-    assert tables.storage.children(f"{tables.root}/_staged") == []
+    assert tables.storage.children(f"{tables.root}/{NAME}") == []
     _merge(spark, tables, twice, on_duplicate="insert")
     assert _stored(tables) == Counter(twice)
     _merge(spark, tables, twice, on_duplicate="insert")
@@ -190,27 +190,94 @@ def test_random_table_merges(spark, tables, seed):
         assert _stored(tables) == state
 
 
-def test_a_run_cut_off_while_publishing_is_finished_on_opening(spark, tables, monkeypatch):
-    _merge(spark, tables, [("a", "old", 1), ("b", "old", 2), ("c", "old", 3)])
-    move, moved = Storage.move, []
+def test_readers_see_a_change_whole(spark, tables, monkeypatch):
+    old = Counter({("a", "old", 1): 1, ("b", "old", 2): 1, ("c", "old", 3): 1})
+    new = Counter({("a", "new", 5): 1, ("b", "old", 2): 1, ("c", "old", 3): 1, ("d", "new", 6): 1})
+    _merge(spark, tables, list(old))
+    changes = [("a", "new", 5), ("d", "new", 6)]
+    opened = tables.read(NAME)  # before the change, read after it
+    write_text = Storage.write_text
 
-    def breaks_after_one(self, source, target):
-        if "_ingested_date" in source:
-            if moved:
-                raise OSError("gone")
-            moved.append(target)
-        move(self, source, target)
+    def gone(self, name, text):
+        assert _stored(Tables(spark, tables.root)) == old  # all files are written, none counts
+        raise OSError("gone")
 
     with monkeypatch.context() as broken:
-        broken.setattr(Storage, "move", breaks_after_one)
+        broken.setattr(Storage, "write_text", gone)
         with pytest.raises(OSError):
-            _merge(spark, tables, [("a", "new", 5), ("d", "new", 6)])
-    assert moved and tables.storage.children(f"{tables.root}/_pending")
+            _merge(spark, tables, changes)
     reopened = Tables(spark, tables.root)
-    assert _stored(reopened) == Counter({("a", "new", 5): 1, ("b", "old", 2): 1,
-                                         ("c", "old", 3): 1, ("d", "new", 6): 1})
-    assert not reopened.storage.children(f"{tables.root}/_pending")
-    assert not reopened.storage.children(f"{tables.root}/_staged")
+    assert _stored(reopened) == old and reopened.version() == 1
+
+    def unnamed(self, name, text):  # the version is written but not named before the driver is lost
+        write_text(self, f"{name}.part", text)
+        raise OSError("gone")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(Storage, "write_text", unnamed)
+        with pytest.raises(OSError):
+            _merge(spark, tables, changes)
+    assert _stored(Tables(spark, tables.root)) == old
+    _merge(spark, reopened, changes)
+    assert _stored(reopened) == new
+    assert _bag(opened, ("customer_id", "customer_name", "_ingested_at")) == old
+    assert _stored(Tables(spark, tables.root, version=1)) == old
+    with pytest.raises(ValueError, match="version 1"):
+        _merge(spark, Tables(spark, tables.root, version=1), changes)
+    # what is no longer needed goes when it is old enough
+    assert tables.vacuum() == 0
+    assert tables.vacuum(hours=0) > 0 and _stored(tables) == new
+    folders = tables.storage.children(f"{tables.root}/{NAME}")
+    assert set(tables.state()["folders"][NAME]) == set(folders)
+    assert not tables.state()["dropped"][NAME]
+    assert tables.storage.children(f"{tables.root}/versions")[-1] == f"{tables.version()}.json"
+
+
+def test_changes_of_several_tables_take_effect_together(spark, tables):
+    rows = _customers(spark, [("a", "x", 1)])
+    with pytest.raises(RuntimeError):
+        with tables.run() as run:
+            run.add(NAME, rows)
+            run.add("gold_transactions", spark.createDataFrame([], LAYOUTS[
+                "gold_transactions"].schema))
+            raise RuntimeError("stop")
+    assert tables.version() == 0 and tables.storage.children(f"{tables.root}/{NAME}") == []
+
+
+def _rows_read(df):
+    """Rows that the scans of a query gave, after skipping row groups."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    plans = [leaves.apply(i) for i in range(leaves.size())]
+    plans = [p.plan() if "QueryStage" in p.getClass().getSimpleName() else p for p in plans]
+    return sum(p.metrics().apply("numOutputRows").value() for p in plans
+               if p.metrics().contains("numOutputRows"))
+
+
+def test_a_batch_of_random_ids_opens_only_row_groups_that_may_hold_them(spark, tables):
+    from tidemark.sources.tables import pushed_keys, rows_that_may_match
+
+    def rows(start, count):
+        return spark.range(start, start + count).select(
+            F.md5(F.col("id").cast("string")).alias("customer_id"), F.lit("n").alias("customer_name"),
+            F.lit("m").alias("customer_email"), F.lit(BASE).alias("_ingested_at"),
+            F.lit(BASE).alias("_processed_at"),
+            F.lit(None).cast(LAYOUTS[NAME].schema["_metadata"].dataType).alias("_metadata"))
+
+    for part in range(6):  # all key ranges overlap: only the Bloom filters tell the parts apart
+        with tables.run() as run:
+            run.add(NAME, rows(part * 5000, 5000).coalesce(1))
+    ids = ["17", "4711", "29999", "no such"]
+    changes = rows(0, 1).drop("customer_id").crossJoin(spark.createDataFrame(
+        [(i,) for i in ids], "id string").select(F.md5("id").alias("customer_id")))
+    span = {"rows": len(ids), "low": None, "high": None}
+    with pushed_keys(spark):
+        found = rows_that_may_match(tables, NAME, changes, KEY, "_ingested_at", span)
+        assert found.count() == 3
+        assert 0 < _rows_read(found) <= 3 * 5000
+    assert _merge(spark, tables, [(spark.range(1).select(F.md5(F.lit("17"))).first()[0], "new", 9)])
+    assert tables.read(NAME).count() == 30_000
+    assert tables.read(NAME).filter("customer_name = 'new'").count() == 1
 
 
 def test_a_heavy_date_is_written_by_many_tasks(spark, tables):
@@ -226,6 +293,6 @@ def test_a_heavy_date_is_written_by_many_tasks(spark, tables):
             run.add(NAME, rows)
     finally:
         spark.conf.unset(size)
-    files = list(tables.storage.data_files(tables.path(NAME)))
+    files = tables.files(NAME)
     assert len(files) > 3 and all("_ingested_date=2026-03-01" in f for f in files)
     assert tables.read(NAME).count() == 200_000

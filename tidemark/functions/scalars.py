@@ -79,8 +79,9 @@ def quarter_start(day: Column | str) -> Column:
     return F.trunc(_as_column(day), "quarter")
 
 
-def register_sql_functions(spark: SparkSession) -> None:
-    """Offer the id normalization to SQL users, as a session function."""
+def register_sql_functions(spark: SparkSession, database: str | None = None) -> None:
+    """Offer the id normalization to SQL users, as a function of the session or of a database."""
+    kind = f"FUNCTION {database}." if database else "TEMPORARY FUNCTION "
     spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION func_normalize_customer_id(id STRING) RETURNS STRING "
+        f"CREATE OR REPLACE {kind}func_normalize_customer_id(id STRING) RETURNS STRING "
         "RETURN concat(substring(id, 1, 1), string(cast(substring(id, 2) AS BIGINT)))")

@@ -27,7 +27,6 @@ def refresh_gold_transactions(tables: Tables, now: datetime | None = None,
 
 def refresh_gold_full(tables: Tables, now: datetime | None = None) -> None:
     """Write gold anew from all of silver, with the customers as they are now."""
-    tables.recover()
     everything = enrich(tables.read("silver_transactions"), tables.read("silver_customers"),
                         EPOCH, now or utc_now())
     with tables.run() as run:

@@ -19,7 +19,6 @@ def refresh_all(tables: Tables, now: datetime | None = None, id_mode: str = "str
     fails, its error ends the run before gold.
     """
     now = now or utc_now()
-    tables.recover()
     jobs = {"silver_customers": refresh_silver_customers,
             "silver_transactions": refresh_silver_transactions}
     with ThreadPoolExecutor(len(jobs)) as pool:

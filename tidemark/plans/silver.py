@@ -154,5 +154,4 @@ def refresh_silver_transactions(tables: Tables, now: datetime | None = None,
 def rebuild(tables: Tables, entity: str, now: datetime | None = None,
             id_mode: str = "strict", on_duplicate: str = "error") -> int:
     """Read all of an entity's raw messages again, from the beginning."""
-    tables.recover()
     return _refresh(tables, entity, now, EPOCH, id_mode, on_duplicate)

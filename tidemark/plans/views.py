@@ -84,20 +84,23 @@ VIEWS = {
 }
 
 
-def register_views(tables: Tables) -> list[str]:
-    """Offer gold, the three reports and the id function in the session's SQL.
+def register_views(tables: Tables, database: str | None = None) -> list[str]:
+    """Offer gold, the three reports and the id function in SQL; returns the names of the views.
 
-    The views are kept as SQL text over the folder of the gold table, so each query sees the table
-    as it is then, after appends and after rewrites. Only if gold has no file yet must they be
-    registered again when it has.
+    With ``database`` they are views of the catalog, which other sessions read and which last as
+    long as it does, beside those of all tables; else temporary views of this session. The reports are
+    SQL text over the view of gold, which each change of gold renews, also from empty.
     """
-    spark, name = tables.spark, "gold_transactions"
-    if tables.is_empty(name):
-        tables.read(name).createOrReplaceTempView(name)
-    else:
-        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS "
-                  f"SELECT * FROM parquet.`{tables.path(name)}`")
+    spark, gold = tables.spark, "gold_transactions"
+    if database is None:
+        tables.show([gold])
+        register_sql_functions(spark)
+        for view, text in VIEWS.items():
+            spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} AS {text}")
+        return [gold, *VIEWS]
+    tables.register(database)
+    register_sql_functions(spark, database)
     for view, text in VIEWS.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} AS {text}")
-    register_sql_functions(spark)
-    return [name, *VIEWS]
+        text = text.replace(gold, f"{database}.{gold}")
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{view} AS {text}")
+    return [f"{database}.{name}" for name in (gold, *VIEWS)]

@@ -110,12 +110,14 @@ class Layout:
     """How one table is laid out on storage.
 
     ``partitions`` maps each partition column to its type and to the SQL expression that derives
-    it; ``cluster`` lists the columns rows are sorted by inside each file.
+    it; ``cluster`` lists the columns rows are sorted by inside each file; ``key`` is what upserts
+    look rows up by.
     """
 
     schema: T.StructType
     partitions: dict[str, tuple[T.DataType, str]] = field(default_factory=dict)
     cluster: tuple[str, ...] = ()
+    key: str | None = None
 
     @property
     def stored(self) -> T.StructType:
@@ -136,10 +138,12 @@ LAYOUTS = {
     }),
     "rejects": Layout(ASIDE, _BY_SEEN),
     "quarantine": Layout(ASIDE, _BY_SEEN),
-    "silver_customers": Layout(CUSTOMERS, _BY_INGESTED, ("customer_id",)),
-    "silver_transactions": Layout(TRANSACTIONS, _BY_INGESTED, ("transaction_id",)),
+    "silver_customers": Layout(CUSTOMERS, _BY_INGESTED, ("customer_id",), "customer_id"),
+    "silver_transactions": Layout(TRANSACTIONS, _BY_INGESTED, ("transaction_id",),
+                                  "transaction_id"),
     "gold_transactions": Layout(
-        GOLD, _BY_INGESTED, ("transaction_status", "transaction_type", "customer_id")),
+        GOLD, _BY_INGESTED, ("transaction_status", "transaction_type", "customer_id"),
+        "transaction_id"),
     "landed_files": Layout(LANDED_FILES),
     "ledger": Layout(LEDGER, {"_entity": (_TEXT, "entity")}),
     "malformed_records": Layout(MALFORMED),

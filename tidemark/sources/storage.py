@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
@@ -42,31 +40,9 @@ class Storage:
             return []
         return sorted(s.getPath().getName() for s in fs.listStatus(path))
 
-    def _listed(self, folder: str) -> list[tuple[str, bool]]:
-        """Name of each entry a table scan would see, and whether it is a folder."""
-        fs, path = self._on(folder)
-        if not fs.exists(path):
-            return []
-        found = [(s.getPath().getName(), s.isDirectory()) for s in fs.listStatus(path)]
-        return [(name, is_folder) for name, is_folder in found
-                if not name.startswith(".") and ("=" in name or not name.startswith("_"))]
-
-    def data_files(self, folder: str) -> Iterator[str]:
-        """Paths of the files below ``folder`` that a table scan would read."""
-        for name, is_folder in self._listed(folder):
-            if is_folder:
-                yield from self.data_files(f"{folder}/{name}")
-            else:
-                yield f"{folder}/{name}"
-
-    def moves(self, source: str, target: str) -> Iterator[tuple[str, str]]:
-        """Moves that bring the content of one folder into another, whole folders if new there."""
-        for name, is_folder in self._listed(source):
-            pair = f"{source}/{name}", f"{target}/{name}"
-            if is_folder and self.exists(pair[1]):
-                yield from self.moves(*pair)
-            else:
-                yield pair
+    def has_data(self, folder: str) -> bool:
+        """Whether a folder holds something that a table scan would see."""
+        return any("=" in name or not name.startswith(("_", ".")) for name in self.children(folder))
 
     def move(self, source: str, target: str) -> None:
         fs, path = self._on(source)

@@ -71,15 +71,19 @@ def outcomes_of(files: DataFrame, root: str, published: Column,
     return parsed.unionByName(unread)
 
 
-def _stage(run: Run, rows: DataFrame, step: str) -> str:
-    """Write outcomes once, split by table, and register the parts that become visible."""
-    folder = f"{run.folder_root}/{step}"
+def _staged(run: Run, rows: DataFrame) -> str:
+    """Write outcomes once, split by what they are, without making them part of a table."""
+    folder = run.scratch("outcomes")
     rows.write.partitionBy("outcome", "_publish_date", "_entity").parquet(folder)
-    for outcome, table in OUTCOMES.items():
-        run.add_folder(table, f"{step}/outcome={outcome}")
     return folder
 
 
+def _adopt(run: Run, folder: str) -> None:
+    """Make written outcomes parts of their tables."""
+    for outcome, table in OUTCOMES.items():
+        run.adopt(table, f"{folder}/outcome={outcome}")
+
+
 def _stamped(rows: DataFrame, published: datetime) -> DataFrame:
     """Outcomes with the time of this attempt to publish them.
 
@@ -97,31 +101,21 @@ def _stamped(rows: DataFrame, published: datetime) -> DataFrame:
 def land_batch(tables: Tables, root: str, rows: DataFrame, run_id: str,
                published: datetime) -> None:
     """Make one batch of outcomes visible, exactly once for its ``run_id``."""
-    tables.recover()
     if tables.landed(run_id):
         return
     with tables.run(run_id) as run:
-        folder = _stage(run, _stamped(rows, published), "files")
+        folder = _staged(run, _stamped(rows, published))
         files = tables.spark.read.schema(rows.schema).parquet(folder)
         large = f"{folder}/outcome=large"
         if tables.storage.exists(large):
             paths = [r["path"] for r in
                      tables.spark.read.parquet(large).select("path").toLocalIterator()]
             chunks = parse_large_files(tables.spark, paths, run.scratch("large"))
-            _stage(run, _outcomes(chunks, root, F.lit(published), _parsed_outcome(), F.lit(1)),
-                   "large")
+            _adopt(run, _staged(run, _outcomes(chunks, root, F.lit(published), _parsed_outcome(),
+                                               F.lit(1))))
         run.add("landed_files", files.filter("_entity is not null").select(
             "source_path", "audit_id", "seen_at"))
-
-
-def _landed_files(tables: Tables) -> DataFrame:
-    """Path and audit id of every file landed or set aside."""
-    if not tables.is_empty("landed_files"):
-        return tables.read("landed_files").select("source_path", "audit_id")
-    a = F.col("attributes")  # tables of before there was a record of the files
-    return tables.read("landing_events").select(
-        a["source_path"].alias("source_path"), a["audit_id"].alias("audit_id")).unionByName(
-        tables.read("quarantine").select("source_path", "audit_id"))
+        _adopt(run, folder)
 
 
 def land_reuploads(tables: Tables, landing_dir: str, inline_bytes: int = INLINE_BYTES,
@@ -133,7 +127,7 @@ def land_reuploads(tables: Tables, landing_dir: str, inline_bytes: int = INLINE_
     the narrow table of landed files; payloads are not read. The driver sees the paths of one
     batch at a time.
     """
-    landed = _landed_files(tables)
+    landed = tables.read("landed_files").select("source_path", "audit_id")
     root = tables.storage.qualified(landing_dir)
     files = (tables.spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB)
              .option("recursiveFileLookup", "true").load(root)
@@ -176,13 +170,11 @@ def start_landing(spark: SparkSession, landing_dir: str, tables: Tables, checkpo
         source = source.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     rows = outcomes_of(source.load(root), root, F.current_timestamp(), inline_bytes)
     feed = tables.feed_id(checkpoint)
-    tables.recover()
     if land_reuploads(tables, landing_dir, inline_bytes) and after_batch is not None:
         after_batch(tables)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         land_batch(tables, root, batch, f"{feed}-{batch_id}", utc_now())
-        tables.forget(f"{feed}-{batch_id - 2}")  # only the last batch can be repeated
         land_reuploads(tables, landing_dir, inline_bytes)
         if after_batch is not None:
             after_batch(tables)
@@ -198,7 +190,6 @@ def retry_quarantined(tables: Tables, landing_dir: str, now: datetime | None = N
     Large files go through the parser for such files, as they do when they land.
     """
     now = now or utc_now()
-    tables.recover()
     root = tables.storage.qualified(landing_dir)
     report = quarantine(tables.read("quarantine"), now)
     landed = tables.read("landing_events").select(
@@ -211,7 +202,7 @@ def retry_quarantined(tables: Tables, landing_dir: str, now: datetime | None = N
             .join(landed, "audit_id", "left_anti").join(listed, "path")
             .select("path", "length", F.col("attempts").alias("tried")), run.scratch("due"))
         count = 0
-        for number, some in enumerate(batched(due.toLocalIterator(), REPLACED_PER_BATCH)):
+        for some in batched(due.toLocalIterator(), REPLACED_PER_BATCH):
             parsed = None
             small = [r["path"] for r in some if r["length"] <= inline_bytes]
             if small:
@@ -222,7 +213,7 @@ def retry_quarantined(tables: Tables, landing_dir: str, now: datetime | None = N
                 chunks = parse_large_files(tables.spark, big, run.scratch("large"))
                 parsed = chunks if parsed is None else parsed.unionByName(chunks)
             tried = parsed.join(due.select("path", "tried"), "path")
-            _stage(run, _outcomes(tried, root, F.lit(now), _parsed_outcome(), F.col("tried") + 1),
-                   f"files-{number}")
+            _adopt(run, _staged(run, _outcomes(tried, root, F.lit(now), _parsed_outcome(),
+                                               F.col("tried") + 1)))
             count += len(some)
     return count
