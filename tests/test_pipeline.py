@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import os
 import time
-from datetime import date, timedelta
+from datetime import UTC, date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from tidemark.plans import gold, lineage, reports, silver, views
 from tidemark.plans.medallion import refresh_all
 from tidemark.session import utc_now
 from tidemark.sources.storage import Storage
-from tidemark.sources.tables import Tables, create_table_sql
+from tidemark.sources.tables import Tables, create_table_sql, replace_all
 from tidemark.streaming import landing, start_landing
 from tidemark.streaming.landing import retry_quarantined
 
@@ -500,3 +500,41 @@ def test_golden_run(feed):
     # T01, T02 and T07 open their customers; T03, T04 and T06 remain
     daily = [tuple(r) for r in reports.daily_avg_price(gold_rows).orderBy("ranking").collect()]
     assert daily == [(date(2024, 4, 5), 6.0, 15.0, 15.0, 1), (date(2024, 2, 1), 6.0, 15.0, 15.0, 2)]
+
+
+def test_a_message_that_cannot_be_read_does_not_stop_the_others(feed):
+    _both(feed)
+    feed.land()
+    events = feed.tables.read("landing_events")
+    broken = events.filter("_entity = 'customers'").limit(1).withColumns({
+        "message_id": F.lit("broken"), "data": F.concat(F.lit("["), F.repeat(F.lit("x"), 17_000_000)),
+        "publish_time": F.col("publish_time") + F.expr("interval 1 second"),
+        "attributes": F.map_concat(F.map_filter("attributes", lambda k, v: ~k.isin(
+            "source_path", "audit_id")), F.create_map(
+            F.lit("source_path"), F.lit("entity=customers/broken.csv"),
+            F.lit("audit_id"), F.lit("broken")))})
+    with feed.tables.run() as run:
+        run.add("landing_events", broken)
+    before = feed.rows("silver_customers", "customer_id")
+    silver.refresh_silver_customers(feed.tables)
+    assert feed.rows("silver_customers", "customer_id") == before
+    aside = feed.tables.read("malformed_records").collect()
+    assert [(r["audit_id"], len(r["record"])) for r in aside] == [("broken", 1000)]
+
+
+def test_withdrawn_files_give_way_to_what_they_replaced(feed):
+    feed.put(f"entity=customers/{DAY}/a.csv", "customer_id,customer_name\nC1,Ann\nC2,Bob\n")
+    feed.land()
+    time.sleep(1.1)
+    feed.put(f"entity=customers/{DAY}/b.csv", "customer_id,customer_name\nC1,Wrong\nC3,Eve\n")
+    feed.land()
+    raw = feed.tables.read("landing_events")
+    wrong = raw.filter(F.col("attributes")["source_path"].endswith("b.csv"))
+    since = wrong.first()["publish_time"].replace(tzinfo=UTC)
+    with feed.tables.run() as run:
+        replace_all(run, "landing_events", raw.filter(
+            ~F.col("attributes")["source_path"].endswith("b.csv")))
+    assert silver.withdraw(feed.tables, "customers", since) == 2
+    assert feed.rows("silver_customers", "customer_id", "customer_name") == [
+        ("C1", "Ann"), ("C2", "Bob")]
+    assert silver.withdraw(feed.tables, "customers", since) == 0

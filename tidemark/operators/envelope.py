@@ -53,25 +53,40 @@ def _foreign_records(data: Column, fields: Sequence[str]) -> Column:
 _LONG = 16_000_000
 
 
+def _lost(records: Column, data: Column) -> Column:
+    return records.isNull() & (F.length(data) >= _LONG)
+
+
 def _read_or_fail(records: Column, data: Column) -> Column:
-    lost = records.isNull() & (F.length(data) >= _LONG)
-    return F.when(F.isnotnull(F.when(lost, F.raise_error(F.lit(
-        "a message is broken or holds a value too long to be parsed")))), None).otherwise(records)
+    return F.when(F.isnotnull(F.when(_lost(records, data), F.raise_error(F.lit(UNREADABLE)))),
+                  None).otherwise(records)
+
+
+UNREADABLE = "a message is broken or holds a value too long to be parsed"
+
+
+def unreadable(events: DataFrame, fields: Sequence[str], data: str = "data") -> DataFrame:
+    """Messages that :func:`explode_records` takes as an error, with all their columns."""
+    payload = F.col(data)
+    long = events.filter(_is_array(payload) & (F.length(payload) >= _LONG))
+    return long.filter(_lost(_own_records(payload, fields), payload))
 
 
 def explode_records(events: DataFrame, fields: Sequence[str], data: str = "data",
-                    foreign: bool = False) -> DataFrame:
+                    foreign: bool = False, skip_unreadable: bool = False) -> DataFrame:
     """One row per record, with ``fields`` as text columns beside the event's other columns.
 
     Events whose payload is NULL, empty, not JSON or not an array give no row; one that Spark cannot
-    read because a value is too long is an error. Records of the landing stream hold text only; set
+    read because a value is too long is an error, or gives no row with ``skip_unreadable``, for use
+    beside :func:`unreadable`. Records of the landing stream hold text only; set
     ``foreign`` for messages of other producers.
     """
     payload = F.col(data)
     records = _foreign_records(payload, fields) if foreign else _own_records(payload, fields)
     others = [c for c in events.columns if c != data and c not in fields]
     return (events.filter(_is_array(payload))
-            .select(*others, F.inline(_read_or_fail(records, payload))))
+            .select(*others, F.inline(records if skip_unreadable
+                                      else _read_or_fail(records, payload))))
 
 
 def discover_fields(raw: DataFrame) -> DataFrame:
@@ -83,3 +98,24 @@ def discover_fields(raw: DataFrame) -> DataFrame:
                     F.explode(records).alias("record"))
             .select("entity", F.explode(F.map_keys("record")).alias("field"))
             .groupBy("entity", "field").agg(F.count(F.lit(1)).alias("records")))
+
+
+def discover_schema(raw: DataFrame) -> DataFrame:
+    """Every record field an entity has sent: its type over all records, how many have it, and the
+    first file and time it was seen. Numbers, texts and nested values are told apart; a field of
+    several of them is of type VARIANT. The types are a combinable aggregate."""
+    item = F.explode(F.try_variant_get(F.try_parse_json("data"), "$", "array<variant>"))
+    records = (raw.filter(_is_array(F.col("data")))
+               .select(F.col("attributes")["entity"].alias("entity"),
+                       F.col("attributes")["source_path"].alias("source_path"), "publish_time",
+                       item.alias("item"))
+               .filter(F.schema_of_variant("item").startswith("OBJECT")))
+    fields = records.select("entity", "source_path", "publish_time", F.explode(
+        F.col("item").cast("map<string,variant>")).alias("field", "value"))
+    return (fields.groupBy("entity", "field")
+            .agg(F.schema_of_variant_agg("value").alias("type"),
+                 F.count(F.lit(1)).alias("records"),
+                 F.min(F.struct("publish_time", "source_path")).alias("first"))
+            .select("entity", "field", "type", "records",
+                    F.col("first.publish_time").alias("first_seen"),
+                    F.col("first.source_path").alias("first_file")))

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from tidemark.operators import enrich, watermark
 from tidemark.operators.incremental import EPOCH
+from tidemark.plans.lineage import late_gold_rows
 from tidemark.session import utc_now
 from tidemark.sources.tables import Tables, merge_into, replace_all
 
@@ -25,6 +26,16 @@ def refresh_gold_transactions(tables: Tables, now: datetime | None = None,
                           on_duplicate=on_duplicate)
 
 
+def promote_late(tables: Tables, now: datetime | None = None,
+                 on_duplicate: str = "error") -> int:
+    """Upsert the transactions that gold's mark has passed by; returns the rows considered."""
+    now = now or utc_now()
+    late = enrich(late_gold_rows(tables, now), tables.read("silver_customers"), EPOCH, now)
+    with tables.run() as run:
+        return merge_into(run, "gold_transactions", late, "transaction_id",
+                          on_duplicate=on_duplicate)
+
+
 def refresh_gold_full(tables: Tables, now: datetime | None = None) -> None:
     """Write gold anew from all of silver, with the customers as they are now."""
     everything = enrich(tables.read("silver_transactions"), tables.read("silver_customers"),

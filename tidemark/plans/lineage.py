@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import watermark
+from tidemark.operators.reconcile import missing_rows
 from tidemark.schemas import ENTITIES
 from tidemark.session import utc_now
 from tidemark.sources.tables import Tables
@@ -95,6 +96,20 @@ def late_rows(raw: DataFrame, ledger: DataFrame, entity: str, mark: datetime) ->
             .join(consumed, "message_id", "left_anti"))
 
 
+def late_gold_rows(tables: Tables, now: datetime | None = None) -> DataFrame:
+    """Silver transactions at or below gold's mark whose version gold does not have.
+
+    Gold takes what is ingested after its mark, so a file that reached silver late, with an earlier
+    ingestion time, never gets there by itself; ``gold.promote_late`` brings it. Rows are the same
+    by id and version; those without an id, by version alone.
+    """
+    gold = tables.read("gold_transactions")
+    mark = F.lit(watermark(gold, "_ingested_at", now or utc_now()))
+    below = tables.read("silver_transactions").filter(
+        (F.col("_ingested_at") <= mark) & (F.col("_ingested_date") <= F.to_date(mark)))
+    return missing_rows(below, gold, ["transaction_id", "_ingested_at"], "_ingested_date")
+
+
 def late_events(tables: Tables, now: datetime | None = None) -> DataFrame:
     now = now or utc_now()
     raw, ledger = tables.read("landing_events"), tables.read("ledger")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,14 +20,18 @@ from tidemark.operators import (
     latest_per_path,
     new_events,
     newest_messages,
+    unreadable,
     watermark,
 )
+from tidemark.operators.envelope import UNREADABLE
 from tidemark.operators.incremental import EPOCH
 from tidemark.session import materialized, utc_now
 from tidemark.sources.tables import Run, Tables, merge_into
 
 # Message identities up to this many rows (about 200 bytes each) are broadcast.
 BROADCAST_MESSAGES = 200_000
+# Characters of a message that cannot be read which its report shows.
+SHOWN = 1000
 
 CUSTOMER_FIELDS = ("customer_id", "customer_name", "customer_email")
 TRANSACTION_FIELDS = (
@@ -123,8 +127,13 @@ def _refresh(tables: Tables, entity: str, now: datetime | None, mark: datetime |
         messages = newest.count()
         if not messages:
             return 0
-        records = explode_records(
-            _only_newest(run, events, newest, messages, identity), fields)
+        picked = _only_newest(run, events, newest, messages, identity)
+        # one message that cannot be read must not stop all others
+        broken = unreadable(picked, fields)
+        run.add("malformed_records", broken.select(
+            "entity", F.left("data", F.lit(SHOWN)).alias("record"), "audit_id",
+            F.lit(UNREADABLE).alias("error"), F.lit(now).alias("seen_at")))
+        records = explode_records(picked, fields, skip_unreadable=True)
         if id_mode == "quarantine":
             run.add("malformed_records", _malformed(records, fields, now))
             records = records.filter(well_formed_customer_id("customer_id"))
@@ -152,6 +161,38 @@ def refresh_silver_transactions(tables: Tables, now: datetime | None = None,
 
 
 def rebuild(tables: Tables, entity: str, now: datetime | None = None,
-            id_mode: str = "strict", on_duplicate: str = "error") -> int:
-    """Read all of an entity's raw messages again, from the beginning."""
-    return _refresh(tables, entity, now, EPOCH, id_mode, on_duplicate)
+            id_mode: str = "strict", on_duplicate: str = "error",
+            since: datetime | None = None) -> int:
+    """Read an entity's raw messages again, from the beginning or those published ``since``."""
+    mark = EPOCH if since is None else since - timedelta(microseconds=1)
+    return _refresh(tables, entity, now, mark, id_mode, on_duplicate)
+
+
+def withdraw(tables: Tables, entity: str, since: datetime, now: datetime | None = None,
+             id_mode: str = "strict", on_duplicate: str = "error") -> int:
+    """Replay that also takes back rows whose message is gone from raw; returns how many it took.
+
+    Of the messages published ``since``, those that raw no longer holds are found by their audit ids,
+    pruned to the raw partitions from then on, without payloads. Their rows leave silver, and the
+    versions that they had replaced come back from all older messages of raw.
+    """
+    silver, key = f"silver_{entity}", CLEANERS[entity][0]
+    rows = tables.read(silver, with_files=True)
+    raw = new_events(tables.read("landing_events"), entity, since - timedelta(microseconds=1))
+    mine = rows.filter((F.col("_metadata.publish_time") >= F.lit(since))
+                       & (F.col("_ingested_date") >= F.lit(since.date())))
+    mine = mine.withColumn("_audit", F.col("_metadata.audit_id"))
+    there = raw.select(F.col("audit_id").alias("_audit")).distinct()
+    with tables.run() as run:
+        gone = materialized(mine.join(there, "_audit", "left_anti").select(
+            F.col(key).alias("_gone"), "_file", "_row"), run.scratch("gone"))
+        count = gone.count()
+        if not count:
+            return 0
+        touched = [r[0] for r in gone.select("_file").distinct().collect()]
+        kept = rows.join(F.broadcast(gone.select("_file").distinct()), "_file", "left_semi").join(
+            gone.select("_file", "_row"), ["_file", "_row"], "left_anti").drop("_file", "_row")
+        run.add(silver, kept)
+        run.drop(silver, touched)
+    rebuild(tables, entity, now, id_mode, on_duplicate)
+    return count

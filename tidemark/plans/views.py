@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.functions import register_sql_functions
 from tidemark.functions.measures import STATUSES
+from tidemark.operators.running import _SHADES, SAMPLED, SLICE_ROWS
 from tidemark.sources.tables import Tables
 
 _BREAKDOWN = ", ".join([
@@ -36,8 +37,9 @@ def _sum(*parts: str) -> str:
     return f"CASE WHEN coalesce({', '.join(parts)}) IS NOT NULL THEN {total} END"
 
 
-# The running sum is taken in three levels: in each slice of a day's ids (an id's first letters
-# keep the order of ids, so a heavy day spans many tasks), over a day's slices, over the days.
+# The running sum is taken in three levels: in each slice of a day's ids, over a day's slices, over
+# the days. A day of over a million rows has slices of about that many, whose bounds are taken at
+# equal steps from ids drawn by their hash, as in ``operators.running``.
 _DAILY = f"""
 WITH openings AS (
   SELECT min(struct(transaction_date, transaction_id, is_buy, if(is_buy, qtty, NULL) AS qtty,
@@ -52,13 +54,26 @@ moves AS (
   SELECT first.transaction_date, first.transaction_id, first.qtty, first.price, -1
   FROM openings WHERE first.is_buy),
 costed AS (
-  SELECT transaction_date AS day, transaction_id AS id, left(transaction_id, 6) AS slice,
+  SELECT transaction_date AS day, transaction_id AS id,
          sum(n) * qtty AS q, sum(n) * (qtty * price) AS c
   FROM moves GROUP BY transaction_date, transaction_id, qtty, price HAVING sum(n) > 0),
+heavy AS (
+  SELECT day, count(*) AS n, CAST(ceil(count(*) / {SLICE_ROWS}) AS INT) AS k FROM costed
+  GROUP BY day HAVING count(*) > {SLICE_ROWS}),
+drawn AS (
+  SELECT h.day, array_sort(collect_set(id)) AS ids, max(k) AS k
+  FROM costed c JOIN heavy h ON c.day <=> h.day
+  WHERE pmod(xxhash64(id), {_SHADES}L) < k * {SAMPLED} / n * {_SHADES}L GROUP BY h.day),
+bounds AS (
+  SELECT day, array_distinct(transform(sequence(1, k - 1), i ->
+         get(ids, CAST(floor(i * size(ids) / k) AS INT)))) AS cuts FROM drawn),
+sliced AS (
+  SELECT c.*, CASE WHEN cuts IS NULL THEN 0 ELSE size(filter(cuts, b -> b <= id)) END AS slice
+  FROM costed c LEFT JOIN bounds b ON c.day <=> b.day),
 inside AS (
-  SELECT day, slice, sum(q) OVER ids AS q, sum(c) OVER ids AS c FROM costed
+  SELECT day, slice, sum(q) OVER ids AS q, sum(c) OVER ids AS c FROM sliced
   WINDOW ids AS (PARTITION BY day, slice ORDER BY id)),
-slices AS (SELECT day, slice, sum(q) AS q, sum(c) AS c FROM costed GROUP BY day, slice),
+slices AS (SELECT day, slice, sum(q) AS q, sum(c) AS c FROM sliced GROUP BY day, slice),
 before_slices AS (
   SELECT day, slice, sum(q) OVER earlier AS q, sum(c) OVER earlier AS c FROM slices
   WINDOW earlier AS (PARTITION BY day ORDER BY slice

@@ -317,11 +317,19 @@ FROM customer"""),
     "land_large_files": _PAGES,
 
     "ingest_rejects": """
-SELECT DISTINCT 'entity=' || o_orderstatus AS folder, 'unknown entity' AS error FROM orders""",
+SELECT 'entity=' || o_orderstatus AS folder, 'unknown entity' AS error,
+       count(DISTINCT date_trunc('month', o_orderdate)) AS files,
+       count(DISTINCT date_trunc('month', o_orderdate)) AS reports
+FROM orders GROUP BY o_orderstatus""",
 
     "quarantine": """
-SELECT DISTINCT c_mktsegment AS segment, 'UnicodeDecodeError' AS error,
-       CAST(1 AS INTEGER) AS attempts
+SELECT DISTINCT c_mktsegment AS segment, CAST(c_nationkey AS INTEGER) AS nation,
+       'UnicodeDecodeError' AS error, CAST(1 AS INTEGER) AS attempts
+FROM customer""",
+
+    "retry_quarantine": """
+SELECT DISTINCT c_mktsegment AS segment, CAST(c_nationkey AS INTEGER) AS nation,
+       'UnicodeDecodeError' AS error, CAST(3 AS INTEGER) AS attempts
 FROM customer""",
 
     "medallion_run": _with(
@@ -370,3 +378,56 @@ SELECT 'customers' AS entity, CAST(count(*) AS BIGINT) AS records,
 UNION ALL
 SELECT 'transactions', CAST(count(*) AS BIGINT), CAST(count(*) AS BIGINT), TRUE FROM orders""",
 }
+
+_QUARTERLY = TRANSACTIONS.replace(
+    "o_orderdate AS _ingested_at",
+    "CAST(date_trunc('quarter', o_orderdate) AS TIMESTAMP) AS _ingested_at")
+_QUARTERLY_VERSIONS = VERSIONS.replace(
+    "l_shipdate AS _ingested_at",
+    "CAST(date_trunc('quarter', l_shipdate) AS TIMESTAMP) AS _ingested_at").replace(
+    "ORDER BY l_shipdate DESC", "ORDER BY date_trunc('quarter', l_shipdate) DESC")
+_SUPPLIERS = """
+SELECT CASE WHEN s_suppkey % 2 = 1 THEN 'X' || CAST(s_suppkey AS VARCHAR) END,
+       'C' || CAST(s_suppkey AS VARCHAR), NULL, CAST(s_acctbal AS DOUBLE), 'pending', 'buy', 1.0, NULL,
+       TIMESTAMP '1997-01-01'
+FROM supplier"""
+_LATE = "audit_id = '1-URGENT' AND transaction_date < DATE '1998-06-01'"
+_YEARS = "year(transaction_date) <> 1996"
+
+ORACLES |= {
+    "merge_transactions": _with(
+        _QUARTERLY, _QUARTERLY_VERSIONS,
+        "merged AS ("
+        + _merged("transactions", "newest", "transaction_id", [*_TX, "_ingested_at"]) + ")",
+        body=f"SELECT {_as_double([*_TX, '_ingested_at'])} FROM merged UNION ALL {_SUPPLIERS}"),
+    "merge_gold": _with(
+        CUSTOMERS, _QUARTERLY, _QUARTERLY_VERSIONS,
+        f"target AS ({_named('transactions')})", f"source AS ({_named('newest')})",
+        f"merged AS ({_merged('target', 'source', 'transaction_id', _GOLD)})",
+        body=f"SELECT {_as_double(_GOLD)} FROM merged"),
+    "merge_after_cut_off": _with(CUSTOMERS, body=f"""
+SELECT 'before' AS seen, customer_id, customer_name, customer_email FROM customers
+UNION ALL SELECT 'during', customer_id, customer_name, customer_email FROM customers
+UNION ALL SELECT 'after', customer_id, customer_name, customer_email
+FROM ({ORACLES['upsert_customers']}) AS merged"""),
+    # of the second file, what is of June or later lies above the mark of May and is promoted
+    "late_gold_rows": _with(TRANSACTIONS, body=f"""
+SELECT transaction_id, customer_id, transaction_date, audit_id FROM transactions WHERE {_LATE}"""),
+    "promote_late_rows": ORACLES["medallion_run"],
+    "discover_schema": """
+SELECT entity, field, type, count(*) AS records,
+       CAST(make_timestamp(CAST(min(doc_id) * 1000000 AS BIGINT)) AS TIMESTAMP) AS first_seen,
+       'file-' || CAST(min(doc_id) AS VARCHAR) AS first_file
+FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'customers' ELSE 'transactions' END AS entity,
+             lang, source FROM documents) AS d,
+     (VALUES ('number', 'BIGINT'), ('text', 'STRING'), ('fraction', 'DECIMAL'),
+             ('nested', 'OBJECT<a: BIGINT, b: STRING>'), ('list', 'ARRAY<BIGINT>'),
+             ('flag', 'BOOLEAN'), ('mixed', 'VARIANT')) AS f(field, type)
+WHERE NOT (field = 'text' AND lang IS NULL)
+GROUP BY entity, field, type""",
+    "rebuild_from": _with(TRANSACTIONS, body=f"""
+SELECT {_as_double(_TX)} FROM transactions WHERE {_YEARS}"""),
+    "catalog_views": f"""
+SELECT month, total, total_approved, total_pending, total_rejected
+FROM ({ORACLES['monthly_ttm']}) AS answer""",
+}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +19,13 @@ from tidemark.sources import parse_files
 from tidemark.sources.csv_files import as_messages
 from tidemark.sources.large_files import parse_large_files
 from tidemark.schemas import LAYOUTS
-from tidemark.sources.tables import Tables, merge_into
-from tidemark.streaming.landing import land_batch, outcomes_of, start_landing
+from tidemark.sources.tables import Tables, merge_into, replace_all
+from tidemark.streaming.landing import (
+    land_batch,
+    outcomes_of,
+    retry_quarantined,
+    start_landing,
+)
 from workload import entities as e
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -385,29 +390,51 @@ def _landed_once(spark, base: str, tables: Tables) -> None:
 
 @query
 def ingest_rejects(spark, sf_dir):
-    """Files below folders that name no entity, here one per order status."""
+    """Files below folders that name no entity, here a folder for each order status with a file for
+    each month."""
     base = new_folder(spark, "rejects")
     orders = e.table(spark, sf_dir, "orders").withColumnRenamed("o_orderstatus", "entity")
-    (orders.repartition("entity").write.partitionBy("entity").option("header", True)
-     .csv(f"{base}/landing"))
+    orders = orders.withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    (orders.repartition("entity", "month").write.partitionBy("entity", "month")
+     .option("header", True).csv(f"{base}/landing"))
     tables = Tables(spark, f"{base}/tables")
     _landed_once(spark, base, tables)
-    return lineage.ingest_rejects(tables.read("rejects")).select(
-        F.regexp_extract("source_path", "^([^/]*)/", 1).alias("folder"), "error")
+    return lineage.ingest_rejects(tables.read("rejects")).groupBy(
+        F.regexp_extract("source_path", "^([^/]*)/", 1).alias("folder"), "error").agg(
+        F.count_distinct("source_path").alias("files"), F.count("*").alias("reports"))
 
 
 @query
 def quarantine(spark, sf_dir):
-    """Files that are not UTF-8, here one folder per market segment."""
+    """Files that are not UTF-8, here a folder for each market segment with a file a nation."""
+    return _quarantined(_unreadable_files(spark, sf_dir)[1], NOW)
+
+
+@query
+def retry_quarantine(spark, sf_dir):
+    """The same files after two more attempts to read them."""
+    base, tables = _unreadable_files(spark, sf_dir)
+    for hour in (1, 2):
+        retry_quarantined(tables, f"{base}/landing", NOW + timedelta(hours=hour))
+    return _quarantined(tables, NOW + timedelta(hours=2))
+
+
+def _unreadable_files(spark, sf_dir) -> tuple[str, Tables]:
     base = new_folder(spark, "quarantine")
-    people = e.table(spark, sf_dir, "customer").withColumn("entity", F.lit("customers"))
-    (people.repartition("c_mktsegment").write.partitionBy("entity", "c_mktsegment")
-     .option("header", True)
+    people = e.table(spark, sf_dir, "customer").withColumns(
+        {"entity": F.lit("customers"), "nation": F.col("c_nationkey")})
+    split = ["entity", "c_mktsegment", "nation"]
+    (people.repartition(*split).write.partitionBy(*split).option("header", True)
      .option("encoding", "UTF-16").csv(f"{base}/landing"))
     tables = Tables(spark, f"{base}/tables")
     _landed_once(spark, base, tables)
-    return lineage.quarantine(tables.read("quarantine"), NOW).select(
+    return base, tables
+
+
+def _quarantined(tables: Tables, now: datetime) -> DataFrame:
+    return lineage.quarantine(tables.read("quarantine"), now).select(
         F.regexp_extract("source_path", "c_mktsegment=([^/]*)/", 1).alias("segment"),
+        F.regexp_extract("source_path", "nation=([^/]*)/", 1).cast("int").alias("nation"),
         F.substring_index("error", ":", 1).alias("error"), "attempts")
 
 
@@ -545,3 +572,211 @@ def gold_table_scan(spark, sf_dir):
         (F.col("transaction_status") == "approved") & (F.col("transaction_type") == "buy"))
     return approved.select("transaction_id", "customer_id", "customer_name",
                            "transaction_amount", "_ingested_date")
+
+
+# Changes of stored tables. Versions are cut to the quarter: many are equal, and one partition for each
+# day of seven years would make thousands of files.
+
+def _quarterly(rows: DataFrame) -> DataFrame:
+    money = ("transaction_amount", "qtty", "price")
+    return rows.withColumns({**{c: F.col(c).cast("double") for c in money},
+                             "_ingested_at": F.date_trunc("quarter", "_ingested_at")})
+
+
+def _as_stored(rows: DataFrame, name: str) -> DataFrame:
+    """Rows in the shape of a table, with as much of its lineage as they have."""
+    lineage_type = LAYOUTS[name].schema["_metadata"].dataType
+    audit = (F.struct(*[(F.col("_metadata")[f.name] if f.name in held else F.lit(None))
+                        .cast("string" if f.name != "publish_time" else "timestamp").alias(f.name)
+                        for f in lineage_type])
+             if (held := rows.schema["_metadata"].dataType.names) else F.lit(None))
+    return rows.withColumns({"_processed_at": F.lit(NOW), "_metadata": audit.cast(lineage_type)})
+
+
+def _new_and_keyless(spark, sf_dir) -> DataFrame:
+    """Transactions that no table knows: suppliers, those of even number without an id."""
+    number = F.col("s_suppkey")
+    return e.table(spark, sf_dir, "supplier").select(
+        F.when(number % 2 == 1, F.concat(F.lit("X"), number.cast("string")))
+        .alias("transaction_id"),
+        F.concat(F.lit("C"), number.cast("string")).alias("customer_id"),
+        F.lit(None).cast("date").alias("transaction_date"),
+        F.col("s_acctbal").cast("double").alias("transaction_amount"),
+        F.lit("pending").alias("transaction_status"), F.lit("buy").alias("transaction_type"),
+        F.lit(1.0).alias("qtty"), F.lit(None).cast("double").alias("price"),
+        F.to_timestamp(F.lit("1997-01-01")).alias("_ingested_at"),
+        F.struct(F.lit("suppliers").alias("audit_id")).alias("_metadata"))
+
+
+_MERGED = ["transaction_id", "customer_id", "transaction_date", "transaction_amount",
+           "transaction_status", "transaction_type", "qtty", "price"]
+
+
+@query
+def merge_transactions(spark, sf_dir):
+    """The jobs' upsert on stored silver transactions: newer, equal, older and unknown keys, and rows
+    without a key; then the keyed rows once more, which must change nothing."""
+    tables, name = Tables(spark, f"{new_folder(spark, 'merge')}/tables"), "silver_transactions"
+    with tables.run() as run:
+        run.add(name, _as_stored(_quarterly(e.transactions(spark, sf_dir)), name))
+    columns = [*_MERGED, "_ingested_at", "_metadata", "l_linenumber", "l_partkey", "l_suppkey"]
+    new = _new_and_keyless(spark, sf_dir).withColumns(
+        {c: F.lit(None).cast("int") for c in columns[-3:]})
+    keyed = _as_stored(_quarterly(e.line_versions(spark, sf_dir)).select(*columns)
+                       .unionByName(new.filter("transaction_id is not null")), name)
+    keyless = _as_stored(new.filter("transaction_id is null"), name)
+    newer = [F.col(c) for c in e.LINE_ORDER]
+    for batch in (keyed.unionByName(keyless), keyed):
+        with tables.run() as run:
+            merge_into(run, name, batch, "transaction_id", newer=newer)
+    return tables.read(name).select(*_MERGED, "_ingested_at").withColumns(
+        _plain_time("_ingested_at"))
+
+
+@query
+def merge_gold(spark, sf_dir):
+    """The jobs' upsert on stored gold: the enriched newest lines into the enriched transactions."""
+    tables, name = Tables(spark, f"{new_folder(spark, 'merge')}/tables"), "gold_transactions"
+    who = e.silver_customers(spark, sf_dir)
+    rows = op.enrich(_quarterly(e.transactions(spark, sf_dir)), who, EPOCH, NOW)
+    with tables.run() as run:
+        run.add(name, _as_stored(rows, name))
+    newest = op.newest_per_key(_quarterly(e.line_versions(spark, sf_dir)), "transaction_id",
+                               newer=[F.col(c) for c in e.LINE_ORDER])
+    for _ in range(2):
+        with tables.run() as run:
+            merge_into(run, name, _as_stored(op.enrich(newest, who, EPOCH, NOW), name),
+                       "transaction_id")
+    return tables.read(name).select(
+        *_MERGED[:2], "customer_name", *_MERGED[2:], "_ingested_at",
+        "_metadata.audit_id_transactions", "_metadata.audit_id_customers").withColumns(
+        _plain_time("_ingested_at"))
+
+
+@query
+def merge_after_cut_off(spark, sf_dir):
+    """What readers see before, during and after an upsert whose first attempt is cut off when all its
+    files are written."""
+    tables, name = Tables(spark, f"{new_folder(spark, 'cut-off')}/tables"), "silver_customers"
+
+    def stored(rows: DataFrame) -> DataFrame:
+        return _as_stored(rows.withColumn("_metadata", F.struct(F.lit("x").alias("audit_id"))), name)
+
+    with tables.run() as run:
+        run.add(name, stored(e.silver_customers(spark, sf_dir)))
+    source = stored(e.order_versions(spark, sf_dir))
+    opened = tables.read(name)
+    merge_into(tables.run(), name, source, "customer_id", newer=[F.col("o_orderkey")])
+    during = Tables(spark, tables.root).read(name)
+    with tables.run() as run:
+        merge_into(run, name, source, "customer_id", newer=[F.col("o_orderkey")])
+    seen = {"before": opened, "during": during, "after": tables.read(name)}
+    parts = [rows.select(F.lit(when).alias("seen"), "customer_id", "customer_name",
+                         "customer_email") for when, rows in seen.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _passed_by(spark, sf_dir) -> Tables:
+    """Gold after a file of urgent transactions reached silver behind its mark."""
+    tables = Tables(spark, f"{new_folder(spark, 'late')}/tables")
+    moves = _quarterly(e.transactions(spark, sf_dir)).withColumn(
+        "_ingested_at", F.date_trunc("month", F.col("transaction_date").cast("timestamp")))
+    first = (F.col("_metadata.audit_id") != "1-URGENT") & (F.col("_ingested_at") < "1998-06-01")
+    now = datetime(1998, 5, 2, tzinfo=UTC)
+    with tables.run() as run:
+        run.add("silver_customers", _as_stored(e.silver_customers(spark, sf_dir),
+                                               "silver_customers"))
+    for part in (first, ~first):
+        with tables.run() as run:
+            run.add("silver_transactions", _as_stored(moves.filter(part), "silver_transactions"))
+        gold_plan.refresh_gold_transactions(tables, now)
+    return tables
+
+
+@query
+def late_gold_rows(spark, sf_dir):
+    """Silver transactions that gold's mark has passed by."""
+    # gold has taken all it will take; its mark is that of its newest rows
+    late = lineage.late_gold_rows(_passed_by(spark, sf_dir), datetime(1998, 8, 2, tzinfo=UTC))
+    return late.select("transaction_id", "customer_id", "transaction_date",
+                       F.col("_metadata.audit_id").alias("audit_id"))
+
+
+@query
+def promote_late_rows(spark, sf_dir):
+    """Gold after these were promoted."""
+    tables = _passed_by(spark, sf_dir)
+    gold_plan.promote_late(tables, datetime(1998, 8, 2, tzinfo=UTC))
+    return _gold_rows(tables)
+
+
+@query
+def discover_schema(spark, sf_dir):
+    """Types of fields that are numbers, texts, both, and nested, from messages of two entities."""
+    documents = e.table(spark, sf_dir, "documents")
+    key = F.col("doc_id")
+    record = F.to_json(F.struct(
+        key.alias("number"), F.col("lang").alias("text"), (key / 4).alias("fraction"),
+        F.struct(key.alias("a"), F.col("source").alias("b")).alias("nested"),
+        F.array(key, key + 1).alias("list"), (key % 2 == 0).alias("flag")))
+    mixed = F.concat(F.regexp_replace(record, r"\}$", ', "mixed": '),
+                     F.when(key % 2 == 0, '"even"}').otherwise("1}"))
+    entity = F.when(key % 3 == 0, "customers").otherwise("transactions")
+    raw = documents.select(
+        F.concat(F.lit("[1, "), mixed, F.lit("]")).alias("data"),
+        F.create_map(F.lit("entity"), entity, F.lit("source_path"),
+                     F.concat(F.lit("file-"), key.cast("string"))).alias("attributes"),
+        F.timestamp_seconds(key).alias("publish_time"))
+    # precision and scale follow from the numbers of the table
+    return op.discover_schema(raw).withColumns(
+        {**_plain_time("first_seen"), "type": F.regexp_replace("type", r"\(\d+,\d+\)", "")})
+
+
+def _delivered_by_month(spark, sf_dir) -> Tables:
+    """Raw messages of transactions, one file a year, published on the first day of the next one."""
+    tables = Tables(spark, f"{new_folder(spark, 'replay')}/tables")
+    year = F.year(F.to_date("transaction_date"))
+    rows = _transaction_file(spark, sf_dir)
+    record = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in rows.columns]))
+    at = F.make_timestamp(year + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    names = rows.select(
+        F.col("transaction_id").alias("message_id"), at.alias("publish_time"),
+        F.concat(F.lit("["), record, F.lit("]")).alias("data"), year.cast("string").alias("year"))
+    events = names.select(
+        F.lit("landing-files").alias("subscription_name"), "message_id", "publish_time", "data",
+        F.create_map(F.lit("entity"), F.lit("transactions"), F.lit("audit_id"), F.col("year"),
+                     F.lit("source_path"), F.concat(F.col("year"), F.lit("/"), F.col("message_id")),
+                     F.lit("ingested_at"), F.date_format("publish_time", "yyyy-MM-dd'T'HH:mm:ssxxx"))
+        .alias("attributes"))
+    with tables.run() as run:
+        run.add("landing_events", events)
+    silver.refresh_silver_transactions(tables, NOW)
+    return tables
+
+
+@query
+def rebuild_from(spark, sf_dir):
+    """Silver after the file of 1996 was taken out of raw: a replay from then on withdraws its rows."""
+    tables = _delivered_by_month(spark, sf_dir)
+    with tables.run() as run:
+        replace_all(run, "landing_events", tables.read("landing_events").filter(
+            F.col("attributes")["audit_id"] != "1996"))
+    silver.rebuild(tables, "transactions", NOW, since=datetime(1996, 6, 1, tzinfo=UTC))
+    silver.withdraw(tables, "transactions", datetime(1996, 6, 1, tzinfo=UTC), NOW)
+    return tables.read("silver_transactions").select(*silver.TRANSACTION_FIELDS)
+
+
+@query
+def catalog_views(spark, sf_dir):
+    """Gold's monthly report from a view of the catalog, read by another session; it was registered
+    when gold was empty."""
+    base, tables = _delivered(spark, sf_dir, "catalog")
+    database = f"finance_{base[-12:]}"
+    views.register_views(tables, database)
+    _land(spark, base, tables, after=refresh_all)
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "UTC")
+    found = materialized(other.table(f"{database}.transactions_monthly_ttm_vw").select(
+        "month", "total", "total_approved", "total_pending", "total_rejected"))
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return found
