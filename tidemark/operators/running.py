@@ -34,7 +34,8 @@ def slice_bounds(df: DataFrame, day: str, rest: Sequence[str],
     share = F.col("_slices") * SAMPLED / F.col("_rows")
     drawn = F.pmod(F.xxhash64(*rest), F.lit(_SHADES)) < share * _SHADES
     value = F.struct(*rest)
-    picked = (df.join(heavy, F.col(day).eqNullSafe(F.col("_day"))).filter(drawn)
+    # one row for each heavy day, and below one bound for each slice: rows / slice_rows at most
+    picked = (df.join(F.broadcast(heavy), F.col(day).eqNullSafe(F.col("_day"))).filter(drawn)
               .groupBy("_day").agg(F.array_sort(F.collect_set(value)).alias("_sample"),
                                    F.max("_slices").alias("_slices")))
     steps = F.sequence(F.lit(1), F.col("_slices").cast("int") - 1)
@@ -59,7 +60,7 @@ def running_sums(df: DataFrame, order: Sequence[str], measures: dict[str, str],
         bounds = slice_bounds(df, day, rest, slice_rows)
         value = F.struct(*rest)
         below = F.size(F.filter("_bounds", lambda b: b <= value))
-        sliced = df.join(bounds, F.col(day).eqNullSafe(F.col("_day")), "left").withColumn(
+        sliced = df.join(F.broadcast(bounds), F.col(day).eqNullSafe(F.col("_day")), "left").withColumn(
             "_slice", F.when(F.col("_bounds").isNull(), 0).otherwise(below)).drop("_day", "_bounds")
     else:
         sliced = df.withColumn("_slice", F.lit(0))
