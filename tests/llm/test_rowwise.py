@@ -333,7 +333,6 @@ def test_cross_entropy_is_that_of_plain_counts(spark, docs, none):
         [ENGLISH, GERMAN, ENGLISH[:40], GERMAN * 3, None, "", "1 2 3", ENGLISH + " " + GERMAN])]
     table = spark.createDataFrame(rows, "doc_id long, text string, good boolean").repartition(4)
     target, background = cross_entropy.fit(table, "good")
-    bits = len(target.pairs).bit_length() - 1
 
     def words_of(text):
         return re.findall(r"[^\W\d_]+", (text or "").lower())
@@ -351,7 +350,7 @@ def test_cross_entropy_is_that_of_plain_counts(spark, docs, none):
     all_counts = counts([r[1] for r in rows])
     of = {"target": counts([r[1] for r in rows if r[2]]), "background": all_counts}
     scale = {"target": 1.0, "background": of["target"][3] / all_counts[3]}
-    size = 1 << cross_entropy.WORD_BITS
+    size = len(all_counts[0])
 
     def loss(kind, text):
         one, before, two, total = of[kind]
@@ -361,14 +360,17 @@ def test_cross_entropy_is_that_of_plain_counts(spark, docs, none):
             out -= np.log((two[a, b] * s + 20 * alone) / (before[a] * s + 20))
         return out / len(words)
 
-    assert bits == 20  # few enough words that none share a slot
-    for row in cross_entropy.score(table, (target, background)).collect():
-        if not words_of(row["text"]):
-            assert row["n_words"] == 0 and row["difference"] is None
-            continue
-        expected = [loss(k, row["text"]) for k in ("target", "background")]
-        assert np.allclose([row["target_loss"], row["background_loss"]], expected, rtol=1e-5)
-        assert np.isclose(row["difference"], expected[0] - expected[1], atol=1e-5)
+    for same in (False, True):
+        found = cross_entropy.score(table, (target, background), same=same).collect()
+        assert len(found) == len(rows)
+        for row in found:
+            if not words_of(row["text"]):
+                assert row["n_words"] == 0 and row["difference"] is None
+                continue
+            assert row["n_words"] == len(words_of(row["text"]))
+            expected = [loss(k, row["text"]) for k in ("target", "background")]
+            assert np.allclose([row["target_loss"], row["background_loss"]], expected, rtol=1e-9)
+            assert np.isclose(row["difference"], expected[0] - expected[1], atol=1e-9)
     assert cross_entropy.score(docs, (target, background)).count() == len(ROWS)
     nothing = cross_entropy.fit(none.selectExpr("text", "true as good"), "good")
     assert cross_entropy.score(none, nothing).count() == 0
@@ -394,7 +396,7 @@ def test_cross_entropy_keeps_every_pair_apart(spark):
             two.update(zip([None, *w[:-1]], w))
     assert len(sides[0][2]) > 1 << 20 and len(sides[0][0]) > 1 << 18
     totals = [sum(s[0].values()) for s in sides]
-    size = max(1 << cross_entropy.WORD_BITS, len(sides[0][0]))
+    size = len(sides[0][0])
     models = cross_entropy.fit(table.filter(f"doc_id < {len(texts) - 1}"), "good")
     found = {r["doc_id"]: r for r in cross_entropy.score(table, models, keep=["doc_id"]).collect()}
     assert len(found) == len(texts)
@@ -408,6 +410,35 @@ def test_cross_entropy_keeps_every_pair_apart(spark):
             assert np.isclose(found[i][name], -np.log(p).mean(), rtol=1e-9)
 
 
+@pytest.mark.parametrize("share", [0.004, 0.03, 0.3])
+def test_cross_entropy_of_frequent_words_and_pairs(spark, monkeypatch, share):
+    """Words and pairs of all frequencies: of frequent pairs, of frequent words, and of neither."""
+    monkeypatch.setattr(cross_entropy, "SHARE", share)
+    rng = random.Random(7)
+    letters = "abcdefghijklmnopqrst"
+    texts = [" ".join(letters[min(int(rng.expovariate(0.35)), 19)] * 2
+                      for _ in range(rng.randrange(60))) for _ in range(150)] + ["aa aa"] * 100
+    table = spark.createDataFrame([(i, t, i % 3 == 0) for i, t in enumerate(texts)],
+                                  "doc_id long, text string, good boolean").repartition(4)
+    sides = [(Counter(), Counter(), Counter()) for _ in range(2)]
+    for i, t in enumerate(texts):
+        w = t.split()
+        for one, before, two in sides[:1 + (i % 3 == 0)]:
+            one.update(w)
+            before.update([None, *w[:-1]] if w else [])
+            two.update(zip([None, *w[:-1]], w))
+    totals = [sum(s[0].values()) for s in sides]
+    models = cross_entropy.fit(table, "good")
+    for row in cross_entropy.score(table, models, keep=["doc_id"], same=True).collect():
+        w = texts[row["doc_id"]].split()
+        assert row["n_words"] == len(w)
+        for (one, before, two), total, s, name in zip(sides, totals, (totals[1] / totals[0], 1.0),
+                                                      ("background_loss", "target_loss")):
+            p = [(two[a, b] * s + 20 * (one[b] * s + 0.5) / (total * s + 0.5 * len(sides[0][0])))
+                 / (before[a] * s + 20) for a, b in zip([None, *w[:-1]], w)]
+            assert not w or np.isclose(row[name], -np.log(p).mean(), rtol=1e-9)
+
+
 def test_checksums_of_contract(spark):
     row = spark.createDataFrame([(12,)], "doc_id long").select(
         F.crc32(F.col("doc_id").cast("string")).alias("c")).first()

@@ -1,36 +1,45 @@
 """Cross-entropy difference: how much better a target model tells a text's words than a background
 model does.
 
-Both are bigram models over one vocabulary. A pair's probability is its count, backed off to the
-word's with a weight of ``BACKOFF`` words. The models are matched: the background's counts are
-scaled to the target's number of words, so that smoothing acts alike on both without leaving out any
-text.
+Both are bigram models over one vocabulary, the distinct words of all documents. A pair's probability
+is its count, backed off to the word's with a weight of ``BACKOFF`` words. The models are matched: the
+background's counts are scaled to the target's number of words, so that smoothing acts alike on both
+without leaving out any text.
 
 All documents are counted, and each word and each pair of neighbouring words has a count of its own,
-under the words' 64-bit keys. Counts are combined inside tasks, summed by Spark and written to the
-shared folder; scoring joins them with the pairs of the texts, so neither the driver nor a task
-holds a table that grows with the corpus.
+under the words' 64-bit keys. One shuffle does it: a row for each pair of each text goes to the task
+of its second word. That task has all pairs that end in the word, so it has their counts, the word's
+count and, from the texts that do not end there, the word's count as a context; it gives each
+text its share of the loss. Rows of frequent words would go to one task, so these go by their pair, and
+the counts of the words, at most ``2 / SHARE`` of them, are known beforehand. So are those of frequent
+pairs, as many at most, whose rows are not shuffled at all.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import chunks, kept, slices
 from tidemark.llm.words import word_pieces
 
-#: Least number of words that smoothing takes the vocabulary to have, as a power of two.
-WORD_BITS = 18
 #: Weight of the word's probability in a pair's, and of a word that was never seen.
 BACKOFF, UNSEEN = 20.0, 0.5
+#: A word or pair is frequent if it has this share of all rows (a row is a pair of a text); some that
+#: have half of it are taken for frequent, too.
+SHARE = 1 / 2000
 
 RESULTS = ("n_words", "target_loss", "background_loss", "difference")
 
+# What a row of the shuffle says: it is counted, for the target, too; its word ends the text; it is
+# scored; it holds sums of a whole text.
+_COUNTED, _TARGET, _LAST, _SCORED, _SUMS = 1, 2, 4, 8, 16
+
 
 def pairs_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each word of the lower-cased texts (runs of letters): its text, the key of the word
@@ -53,118 +62,309 @@ def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
+def _mixed(word: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """A 64-bit key of a pair."""
+    x = word.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ before.view(np.uint64)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x ^ (x >> np.uint64(29))).view(np.int64)
+
+
+def _rows_of(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """The distinct pairs of each text: text, word before, word, number, and whether the word is
+    the text's last one (said in one row of the text). And the number of words of each text."""
+    of, before, word = pairs_of(texts)
+    order, at = _runs(before, word, of)
+    rows, n = order[at], np.diff(np.append(at, len(order)))
+    row_of, row_word = of[rows], word[rows]
+    ends = np.flatnonzero(np.append(of[1:] != of[:-1], True)) if len(of) else of
+    last_word = np.zeros(len(texts), np.int64)
+    last_word[of[ends]] = word[ends]
+    is_last = row_word == last_word[row_of]
+    # several pairs of a text may end in that word: the first one says it
+    new = np.ones(len(rows), bool)
+    new[1:] = (row_of[1:] != row_of[:-1]) | (row_word[1:] != row_word[:-1])
+    return row_of, before[rows], row_word, n, is_last & new, np.bincount(of, minlength=len(texts))
+
+
 @dataclass(frozen=True)
 class Model:
-    """Counts of one corpus: the column ``name`` of the tables ``pair_counts`` (``before``,
-    ``word``), ``word_counts`` (``word``) and ``context_counts`` (``before``). ``total`` words;
-    ``scale`` multiplies all counts."""
+    """One side of the comparison, ``target`` or ``background``, over the documents ``rows``: a text
+    and whether it belongs to the target."""
 
     name: str
-    pair_counts: DataFrame
-    word_counts: DataFrame
-    context_counts: DataFrame
-    total: int
-    scale: float
-    vocabulary: int
-    #: The number of slots that pairs once shared. Nothing here uses it; callers may ask its length.
-    pairs: range = range(1 << 20)
-
-    def loss(self, pair: Column, word: Column, context: Column) -> Column:
-        """Negative log-probability of a word, given its counts; null counts are 0."""
-        pair, word, context = (F.coalesce(c, F.lit(0)) * F.lit(self.scale)
-                               for c in (pair, word, context))
-        alone = (word + UNSEEN) / F.lit(self.total * self.scale + UNSEEN * self.vocabulary)
-        return -F.log((pair + BACKOFF * alone) / (context + BACKOFF))
+    rows: DataFrame
 
 
 def fit(docs: DataFrame, target: str, text: str = "text") -> tuple[Model, Model]:
     """The target model, of the rows where the boolean column ``target`` is true, and the background
-    model, of all rows. Null texts have no words."""
+    model, of all rows. Null texts have no words. Nothing is computed before texts are scored."""
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("text"),
                        F.coalesce(F.col(f"`{target}`"), F.lit(False)).alias("target"))
+    return Model("target", rows), Model("background", rows)
+
+
+@dataclass(frozen=True)
+class _Known:
+    """What all tasks know: the frequent words and pairs with their counts, sorted by key, and sums.
+    Counts are given for the target and the background."""
+
+    words: np.ndarray
+    word_counts: np.ndarray
+    context_counts: np.ndarray
+    pair_words: np.ndarray
+    pair_befores: np.ndarray
+    pair_counts: np.ndarray
+    totals: np.ndarray
+    texts: np.ndarray
+    vocabulary: int
+
+    @property
+    def scales(self) -> np.ndarray:
+        target, background = self.totals
+        return np.array([1.0, target / background if target else 1.0])
+
+    def place_of_words(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.full(len(words), -1)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, at, -1)
+
+    def place_of_pairs(self, words: np.ndarray, befores: np.ndarray) -> np.ndarray:
+        keys = _mixed(self.pair_words, self.pair_befores)
+        if not len(keys):
+            return np.full(len(words), -1)
+        order = np.argsort(keys)
+        at = order[np.minimum(np.searchsorted(keys[order], _mixed(words, befores)), len(keys) - 1)]
+        same = (self.pair_words[at] == words) & (self.pair_befores[at] == befores)
+        return np.where(same, at, -1)
+
+    def loss(self, n: np.ndarray, last: np.ndarray, pair: np.ndarray, word: np.ndarray,
+             context: np.ndarray) -> np.ndarray:
+        """What rows add to the loss of their text: each occurrence as a word, given the pair, and as
+        a context of the next word. One line for each side."""
+        out = []
+        for scale, total, p, w, c in zip(self.scales, self.totals, pair, word, context, strict=True):
+            alone = (w * scale + UNSEEN) / (total * scale + UNSEEN * self.vocabulary)
+            out.append((n - last) * np.log(c * scale + BACKOFF)
+                       - n * np.log(p * scale + BACKOFF * alone))
+        return np.array(out)
+
+
+def _batches(batches, column: int):
+    """Groups of texts, with the rows they came from."""
+    for batch in batches:
+        for some in slices(batch, column):
+            for first, group in chunks(some.column(column).to_pylist()):
+                yield some.slice(first, len(group)), group
+
+
+def _known(rows: DataFrame) -> _Known:
+    """``rows``: text, and whether it is counted, counted for the target, and scored."""
+    sums = ["background", "target", "last_background", "last_target", "n_rows"]
 
-    def count(batches):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some, group in _batches(batches, 0):
+            of, before, word, n, last, _ = _rows_of(group)
+            if not len(of):
+                continue
+            flags = some.column(1).to_numpy()[of]
+            counted, target = (flags & _COUNTED) > 0, (flags & _TARGET) > 0
+            columns = [n * counted, n * target, last * counted, last * target,
+                       np.ones(len(n), np.int64)]
+            order, at = _runs(word)
+            parts = [(np.zeros(len(at), np.int64), word[order[at]],
+                      [np.add.reduceat(c[order].astype(np.int64), at) for c in columns], False)]
+            order, at = _runs(word, before)
+            size = np.diff(np.append(at, len(order)))
+            # one that is frequent in all has half of that share in the groups where it is so here
+            much = np.flatnonzero(size >= SHARE / 2 * len(order))
+            zero = np.zeros(len(much), np.int64)
+            parts.append((before[order[at[much]]], word[order[at[much]]],
+                          [zero, zero, zero, zero, size[much]], True))
+            for b, w, values, pair in parts:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(w), pair)), pa.array(b), pa.array(w),
+                     *map(pa.array, values)], ["pair", "before", "word", *sums])
+
+    found = kept(rows.mapInArrow(
+        count, "pair boolean, before long, word long, " + ", ".join(f"{c} long" for c in sums))
+        .groupBy("pair", "before", "word").agg(*[F.sum(c).alias(c) for c in sums]), "word-counts")
+    words = found.filter("not pair")
+    totals = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
+                       F.count_if(F.col("background") > 0).alias("vocabulary")).first()
+    # 2 / SHARE of each at most; a pair that is taken ends in a word that is
+    much = F.col("n_rows") >= SHARE / 2 * totals["n_rows"]
+    frequent = words.filter(much).collect()
+    pairs = [(r["before"], r["word"]) for r in found.filter("pair").filter(much).select(
+        "before", "word").collect()]
+    frequent.sort(key=lambda r: r["word"])
+
+    def table(values, width: int) -> np.ndarray:
+        return np.array(values, np.int64).reshape(-1, width).T
+
+    word_counts = table([(r["target"], r["background"]) for r in frequent], 2)
+    lasts = table([(r["last_target"], r["last_background"]) for r in frequent], 2)
+    before, word = table(pairs, 2)
+    known = _Known(np.array([r["word"] for r in frequent], np.int64), word_counts,
+                   word_counts - lasts, word, before, np.zeros((2, len(word)), np.int64),
+                   np.array([totals["target"], totals["background"]]),
+                   np.array([totals["last_target"], totals["last_background"]]),
+                   totals["vocabulary"])
+    return known if not pairs else _counted_pairs(rows, known)
+
+
+def _counted_pairs(rows: DataFrame, known: _Known) -> _Known:
+    """``known`` with the exact counts of the frequent pairs."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, len(known.pair_words)), np.int64)
+        for some, group in _batches(batches, 0):
+            of, before, word, n, _, _ = _rows_of(group)
+            place = known.place_of_pairs(word, before)
+            mine = place >= 0
+            flags = some.column(1).to_numpy()[of[mine]]
+            for side, flag in enumerate((_TARGET, _COUNTED)):
+                np.add.at(counts[side], place[mine], n[mine] * ((flags & flag) > 0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(counts.shape[1])), *map(pa.array, counts)],
+            ["place", "target", "background"])
+
+    found = rows.mapInArrow(count, "place long, target long, background long").groupBy(
+        "place").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    counts = known.pair_counts.copy()
+    for r in found.collect():
+        counts[:, r["place"]] = r["target"], r["background"]
+    return _Known(known.words, known.word_counts, known.context_counts, known.pair_words,
+                  known.pair_befores, counts, known.totals, known.texts, known.vocabulary)
+
+
+_ROW = ("part long, before long, frequent int, a long, b long, n long, flags int, "
+        "target_loss double, background_loss double")
+
+
+def _listed(rows: DataFrame, known: _Known) -> DataFrame:
+    """A row for each pair of each text, but for frequent pairs, and one with sums of each text."""
+    names = [c.split()[0] for c in _ROW.split(", ")]
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some, group in _batches(batches, 0):
+            flags, a, b = (some.column(i).to_numpy() for i in (1, 2, 3))
+            of, before, word, n, last, sizes = _rows_of(group)
+            frequent = known.place_of_words(word)
+            pair = known.place_of_pairs(word, before)
+            hot = pair >= 0
+            sums = np.zeros((2, len(group)))
+            # a frequent pair ends in a frequent word, as that has all rows of the pair
+            here = hot & ((flags[of] & _SCORED) > 0)
+            shares = known.loss(n[here], last[here], known.pair_counts[:, pair[here]],
+                                known.word_counts[:, frequent[here]],
+                                known.context_counts[:, frequent[here]])
+            for side in range(2):
+                np.add.at(sums[side], of[here], shares[side])
+                # the begin of the text is a context, too
+                sums[side] += np.log(known.texts[side] * known.scales[side] + BACKOFF)
+            of, before, word, n, last, frequent = (
+                x[~hot] for x in (of, before, word, n, last, frequent))
+            scored = np.flatnonzero(((flags & _SCORED) > 0) & (sizes > 0))
+            zero, none = np.zeros(len(of)), np.zeros(len(scored), np.int64)
+            row_flags = flags[of] | np.where(last, _LAST, 0)
+            both = [(np.where(frequent >= 0, _mixed(word, before), word), a[scored]),
+                    (before, none), (frequent, none - 2), (a[of], a[scored]), (b[of], b[scored]),
+                    (n, sizes[scored]), (row_flags, none + _SUMS),
+                    (zero, sums[0][scored]), (zero, sums[1][scored])]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(),
+                     pa.int32(), pa.float64(), pa.float64()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x), k) for x, k in zip(both, kinds, strict=True)], names)
+
+    return rows.mapInArrow(make, _ROW)
+
+
+def _losses(listed: DataFrame, known: _Known) -> DataFrame:
+    """What each row adds to the losses and to the number of words of its text."""
+    names = ["a", "b", "n_words", "target_loss", "background_loss"]
+
+    def finish(columns: list[np.ndarray]) -> pa.RecordBatch:
+        part, before, frequent, a, b, n, flags, target_loss, background_loss = columns
+        losses = np.array([target_loss, background_loss])
+        words = np.where((flags & _SUMS) > 0, n, 0)
+        rows = np.flatnonzero((flags & _SUMS) == 0)  # sorted by part, frequent, before
+        if len(rows):
+            part, before, frequent, n, flags = (x[rows] for x in (part, before, frequent, n, flags))
+            new = np.ones(len(rows), bool)
+            new[1:] = (part[1:] != part[:-1]) | (frequent[1:] != frequent[:-1])
+            pair = new.copy()
+            pair[1:] |= before[1:] != before[:-1]
+            last = (flags & _LAST) > 0
+            of_pair, of_word = np.cumsum(pair) - 1, np.cumsum(new) - 1
+            counts = []
+            for flag in (_TARGET, _COUNTED):
+                mine = np.where((flags & flag) > 0, n, 0)
+                ends = last & ((flags & flag) > 0)
+                pairs = np.add.reduceat(mine, np.flatnonzero(pair))[of_pair]
+                alone = np.add.reduceat(mine, np.flatnonzero(new))[of_word]
+                context = alone - np.add.reduceat(ends.astype(np.int64), np.flatnonzero(new))[of_word]
+                counts.append((pairs, alone, context))
+            pairs, alone, context = (np.array(x) for x in zip(*counts, strict=True))
+            hot = frequent >= 0
+            alone[:, hot] = known.word_counts[:, frequent[hot]]
+            context[:, hot] = known.context_counts[:, frequent[hot]]
+            losses[:, rows] = known.loss(n, last, pairs, alone, context)
+            words[rows] = 0
+            keep = np.ones(len(a), bool)
+            keep[rows] = (flags & _SCORED) > 0
+            a, b, words, losses = a[keep], b[keep], words[keep], losses[:, keep]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a), pa.array(b), pa.array(words), *map(pa.array, losses)], names)
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for batch in batches:
-            for some in slices(batch, 0):
-                chosen = some.column(1).to_numpy(zero_copy_only=False)
-                found = [(chosen[first + of], before, word)
-                         for first, group in chunks(some.column(0).to_pylist())
-                         for of, before, word in [pairs_of(group)]]
-                wanted, before, word = (np.concatenate(x) for x in zip(*found))
-                if len(word):
-                    order, at = _runs(before, word)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(before[order[at]]), pa.array(word[order[at]]),
-                         pa.array(np.add.reduceat(wanted[order].astype(np.int64), at)),
-                         pa.array(np.diff(np.append(at, len(order))))],
-                        ["before", "word", "target", "background"])
-
-    def summed(counts: DataFrame, *keys: str) -> DataFrame:
-        return counts.groupBy(*keys).agg(F.sum("target").alias("target"),
-                                         F.sum("background").alias("background"))
-
-    counts = rows.mapInArrow(count, "before long, word long, target long, background long")
-    pairs = kept(summed(counts, "before", "word"), "pair-counts")
-    words = kept(summed(pairs, "word"), "word-counts")
-    contexts = kept(summed(pairs, "before"), "context-counts")
-    n, all_target, all_words = words.agg(F.count("*"), F.sum("target"), F.sum("background")).first()
-    totals = {"target": all_target or 0, "background": all_words or 0}
-    scale = totals["target"] / totals["background"] if totals["target"] else 1.0
-    vocabulary = max(1 << WORD_BITS, n)
-    return tuple(Model(name, pairs, words, contexts, totals[name], s, vocabulary)
-                 for name, s in (("target", 1.0), ("background", scale)))
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            held = [np.concatenate(x) for x in zip(held, columns, strict=True)] if held else columns
+            part, frequent = held[0], held[2]
+            # all rows of a word, or of a pair that ends in a frequent one, are needed together
+            change = np.flatnonzero((part[1:] != part[:-1]) | (frequent[1:] != frequent[:-1]))
+            if len(part) >= 200_000 and len(change):
+                end = change[-1] + 1
+                yield finish([c[:end] for c in held])
+                held = [c[end:] for c in held]
+        if held and len(held[0]):
+            yield finish(held)
+
+    order = ["part", "frequent", "before"]
+    return listed.repartition("part").sortWithinPartitions(*order).mapInArrow(
+        apply, "a long, b long, n_words long, target_loss double, background_loss double")
 
 
 def score(df: DataFrame, models: tuple[Model, Model], text: str = "text",
-          keep: list[str] | None = None) -> DataFrame:
+          keep: list[str] | None = None, same: bool = False) -> DataFrame:
     """``df`` (or its columns ``keep``) with ``n_words``, ``target_loss`` and ``background_loss``
     (mean negative log-probability of a word of the whole text) and ``difference``, target less
     background: the lower, the nearer to the target. A null text, or one without a letter, has 0
-    words and null losses. Columns of these names are replaced; no row is dropped.
+    words and null losses. Columns of these names are replaced; no row is dropped. Equal texts are
+    scored as one, known by a 128-bit key of their content.
 
-    The losses of the texts' distinct pairs are taken from ``models`` (as ``fit`` returned them) by
-    joins and joined with the pairs of each text. These joins read plain rows, so that adaptive
-    execution can split frequent pairs. A text is known by a 128-bit key of its content.
+    With ``same``, ``df`` holds the very documents of the models, which are then read, split and
+    shuffled once for both; else ``df``'s texts are only scored.
     """
     keep = [c for c in (df.columns if keep is None else keep) if c not in RESULTS]
     value = F.col(f"`{text}`").cast("string")
-    keys = (F.xxhash64(value).alias("a"), F.xxhash64(F.lit(1), value).alias("b"))
-
-    def listed(batches):
-        for batch in batches:
-            for some in slices(batch, 2):
-                a, b = (some.column(i).to_numpy() for i in (0, 1))
-                for first, group in chunks(some.column(2).to_pylist()):
-                    of, before, word = pairs_of(group)
-                    size = np.bincount(of, minlength=len(group))
-                    order, at = _runs(before, word, of)
-                    row = of[order[at]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(a[first + row]), pa.array(b[first + row]),
-                         pa.array(size[row]), pa.array(before[order[at]]),
-                         pa.array(word[order[at]]), pa.array(np.diff(np.append(at, len(order))))],
-                        ["a", "b", "n_words", "before", "word", "n"])
-
-    texts = df.select(*keys, value.alias("text")).mapInArrow(
-        listed, "a long, b long, n_words long, before long, word long, n long")
-    tables = models[0]
-
-    def counts(table: DataFrame, what: str, *on: str) -> DataFrame:
-        return table.select(*on, F.col("target").alias(f"target_{what}"),
-                            F.col("background").alias(f"background_{what}")).hint("merge")
-
-    known = (texts.select("before", "word").distinct()
-             .join(counts(tables.pair_counts, "pair", "before", "word"), ["before", "word"], "left")
-             .join(counts(tables.word_counts, "word", "word"), "word", "left")
-             .join(counts(tables.context_counts, "context", "before"), "before", "left"))
-    known = known.select("before", "word", *[
-        m.loss(*[F.col(f"{m.name}_{c}") for c in ("pair", "word", "context")]).alias(m.name)
-        for m in models])
-    # copies of a text add to both sums alike
-    means = [(F.sum(F.col(m.name) * F.col("n")) / F.sum("n")).alias(f"{m.name}_loss") for m in models]
-    scores = (texts.join(known.hint("merge"), ["before", "word"]).groupBy("a", "b", "n_words")
-              .agg(*means))
+    keys = [F.xxhash64(value).alias("a"), F.xxhash64(F.lit(1), value).alias("b")]
+    counted = F.when(F.col("target"), _COUNTED | _TARGET).otherwise(_COUNTED)
+    docs = models[0].rows.select(
+        "text", (counted.bitwiseOR(F.lit(_SCORED)) if same else counted).cast("int").alias("flags"),
+        F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))
+    if not same:
+        docs = docs.unionByName(df.select(value.alias("text"), F.lit(_SCORED).alias("flags"), *keys))
+    known = _known(docs)
+    scores = _losses(_listed(docs, known), known).groupBy("a", "b").agg(
+        F.sum("n_words").alias("words"), F.sum("target_loss").alias("target_loss"),
+        F.sum("background_loss").alias("background_loss"),
+        F.count_if(F.col("n_words") > 0).alias("copies"))
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), *keys)
+    means = {c: F.col(c) / F.col("words") for c in ("target_loss", "background_loss")}
     return rows.join(scores.hint("merge"), ["a", "b"], "left").select(
-        "_row.*", F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"), "target_loss",
-        "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("difference"))
+        "_row.*", F.coalesce(F.col("words") / F.col("copies"), F.lit(0)).cast("long")
+        .alias("n_words"), *[m.alias(c) for c, m in means.items()],
+        (means["target_loss"] - means["background_loss"]).alias("difference"))
