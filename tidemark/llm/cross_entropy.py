@@ -30,6 +30,8 @@ from tidemark.llm.words import word_pieces
 
 #: Weight of the word's probability in a pair's, and of a word that was never seen.
 BACKOFF, UNSEEN = 20.0, 0.5
+#: Rows of whole words that a task works on at once, about.
+TOGETHER = 500_000
 #: A word or pair is frequent if it has this share of all rows (a row is a pair of a text); some that
 #: have half of it are taken for frequent, too.
 SHARE = 1 / 2000
@@ -88,19 +90,19 @@ def _rows_of(texts: list[str]) -> tuple[np.ndarray, ...]:
 
 @dataclass(frozen=True)
 class Model:
-    """One side of the comparison, ``target`` or ``background``, over the documents ``rows``: a text
-    and whether it belongs to the target."""
+    """One side of the comparison over ``docs``, whose boolean column ``target`` says which belong to
+    the target."""
 
     name: str
-    rows: DataFrame
+    docs: DataFrame
+    target: str
+    text: str
 
 
 def fit(docs: DataFrame, target: str, text: str = "text") -> tuple[Model, Model]:
     """The target model, of the rows where the boolean column ``target`` is true, and the background
     model, of all rows. Null texts have no words. Nothing is computed before texts are scored."""
-    rows = docs.select(F.col(f"`{text}`").cast("string").alias("text"),
-                       F.coalesce(F.col(f"`{target}`"), F.lit(False)).alias("target"))
-    return Model("target", rows), Model("background", rows)
+    return tuple(Model(name, docs, target, text) for name in ("target", "background"))
 
 
 @dataclass(frozen=True)
@@ -238,17 +240,18 @@ def _counted_pairs(rows: DataFrame, known: _Known) -> _Known:
                   known.pair_befores, counts, known.totals, known.texts, known.vocabulary)
 
 
-_ROW = ("part long, before long, frequent int, a long, b long, n long, flags int, "
+_ROW = ("part long, before long, frequent int, number long, n long, flags int, "
         "target_loss double, background_loss double")
 
 
 def _listed(rows: DataFrame, known: _Known) -> DataFrame:
-    """A row for each pair of each text, but for frequent pairs, and one with sums of each text."""
+    """A row for each pair of each text, but for frequent pairs, and one with sums of each text. Rows
+    of neighbouring texts are sorted by their words, so that these take little room in the shuffle."""
     names = [c.split()[0] for c in _ROW.split(", ")]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some, group in _batches(batches, 0):
-            flags, a, b = (some.column(i).to_numpy() for i in (1, 2, 3))
+            flags, number = some.column(1).to_numpy(), some.column(2).to_numpy()
             of, before, word, n, last, sizes = _rows_of(group)
             frequent = known.place_of_words(word)
             pair = known.place_of_pairs(word, before)
@@ -268,24 +271,26 @@ def _listed(rows: DataFrame, known: _Known) -> DataFrame:
             scored = np.flatnonzero(((flags & _SCORED) > 0) & (sizes > 0))
             zero, none = np.zeros(len(of)), np.zeros(len(scored), np.int64)
             row_flags = flags[of] | np.where(last, _LAST, 0)
-            both = [(np.where(frequent >= 0, _mixed(word, before), word), a[scored]),
-                    (before, none), (frequent, none - 2), (a[of], a[scored]), (b[of], b[scored]),
-                    (n, sizes[scored]), (row_flags, none + _SUMS),
+            part = np.where(frequent >= 0, _mixed(word, before), word)
+            order = np.argsort(part, kind="stable")
+            both = [(part, number[scored]), (before, none), (frequent, none - 2),
+                    (number[of], number[scored]), (n, sizes[scored]), (row_flags, none + _SUMS),
                     (zero, sums[0][scored]), (zero, sums[1][scored])]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(),
-                     pa.int32(), pa.float64(), pa.float64()]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(),
+                     pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x), k) for x, k in zip(both, kinds, strict=True)], names)
+                [pa.array(np.concatenate([x[order], y]), k)
+                 for (x, y), k in zip(both, kinds, strict=True)], names)
 
     return rows.mapInArrow(make, _ROW)
 
 
 def _losses(listed: DataFrame, known: _Known) -> DataFrame:
     """What each row adds to the losses and to the number of words of its text."""
-    names = ["a", "b", "n_words", "target_loss", "background_loss"]
+    names = ["number", "n_words", "target_loss", "background_loss"]
 
     def finish(columns: list[np.ndarray]) -> pa.RecordBatch:
-        part, before, frequent, a, b, n, flags, target_loss, background_loss = columns
+        part, before, frequent, number, n, flags, target_loss, background_loss = columns
         losses = np.array([target_loss, background_loss])
         words = np.where((flags & _SUMS) > 0, n, 0)
         rows = np.flatnonzero((flags & _SUMS) == 0)  # sorted by part, frequent, before
@@ -311,11 +316,13 @@ def _losses(listed: DataFrame, known: _Known) -> DataFrame:
             context[:, hot] = known.context_counts[:, frequent[hot]]
             losses[:, rows] = known.loss(n, last, pairs, alone, context)
             words[rows] = 0
-            keep = np.ones(len(a), bool)
+            keep = np.ones(len(number), bool)
             keep[rows] = (flags & _SCORED) > 0
-            a, b, words, losses = a[keep], b[keep], words[keep], losses[:, keep]
+            number, words, losses = number[keep], words[keep], losses[:, keep]
+        order, at = _runs(number)
+        sums = [np.add.reduceat(x[order], at) if len(at) else x for x in (words, *losses)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(a), pa.array(b), pa.array(words), *map(pa.array, losses)], names)
+            [pa.array(number[order[at]]), *map(pa.array, sums)], names)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -325,7 +332,7 @@ def _losses(listed: DataFrame, known: _Known) -> DataFrame:
             part, frequent = held[0], held[2]
             # all rows of a word, or of a pair that ends in a frequent one, are needed together
             change = np.flatnonzero((part[1:] != part[:-1]) | (frequent[1:] != frequent[:-1]))
-            if len(part) >= 200_000 and len(change):
+            if len(part) >= TOGETHER and len(change):
                 end = change[-1] + 1
                 yield finish([c[:end] for c in held])
                 held = [c[end:] for c in held]
@@ -334,7 +341,7 @@ def _losses(listed: DataFrame, known: _Known) -> DataFrame:
 
     order = ["part", "frequent", "before"]
     return listed.repartition("part").sortWithinPartitions(*order).mapInArrow(
-        apply, "a long, b long, n_words long, target_loss double, background_loss double")
+        apply, "number long, n_words long, target_loss double, background_loss double")
 
 
 def score(df: DataFrame, models: tuple[Model, Model], text: str = "text",
@@ -342,29 +349,33 @@ def score(df: DataFrame, models: tuple[Model, Model], text: str = "text",
     """``df`` (or its columns ``keep``) with ``n_words``, ``target_loss`` and ``background_loss``
     (mean negative log-probability of a word of the whole text) and ``difference``, target less
     background: the lower, the nearer to the target. A null text, or one without a letter, has 0
-    words and null losses. Columns of these names are replaced; no row is dropped. Equal texts are
-    scored as one, known by a 128-bit key of their content.
+    words and null losses. Columns of these names are replaced; no row is dropped.
 
-    With ``same``, ``df`` holds the very documents of the models, which are then read, split and
-    shuffled once for both; else ``df``'s texts are only scored.
+    With ``same`` the documents of the models are scored, with columns of theirs; they are then split
+    and shuffled once for both. Else ``df``'s texts are only scored.
     """
     keep = [c for c in (df.columns if keep is None else keep) if c not in RESULTS]
-    value = F.col(f"`{text}`").cast("string")
-    keys = [F.xxhash64(value).alias("a"), F.xxhash64(F.lit(1), value).alias("b")]
-    counted = F.when(F.col("target"), _COUNTED | _TARGET).otherwise(_COUNTED)
-    docs = models[0].rows.select(
-        "text", (counted.bitwiseOR(F.lit(_SCORED)) if same else counted).cast("int").alias("flags"),
-        F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))
-    if not same:
-        docs = docs.unionByName(df.select(value.alias("text"), F.lit(_SCORED).alias("flags"), *keys))
-    known = _known(docs)
-    scores = _losses(_listed(docs, known), known).groupBy("a", "b").agg(
-        F.sum("n_words").alias("words"), F.sum("target_loss").alias("target_loss"),
-        F.sum("background_loss").alias("background_loss"),
-        F.count_if(F.col("n_words") > 0).alias("copies"))
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), *keys)
-    means = {c: F.col(c) / F.col("words") for c in ("target_loss", "background_loss")}
-    return rows.join(scores.hint("merge"), ["a", "b"], "left").select(
-        "_row.*", F.coalesce(F.col("words") / F.col("copies"), F.lit(0)).cast("long")
-        .alias("n_words"), *[m.alias(c) for c, m in means.items()],
-        (means["target_loss"] - means["background_loss"]).alias("difference"))
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row")
+    model = models[0]
+    counted = F.when(F.col(f"`{model.target}`"), _COUNTED | _TARGET).otherwise(_COUNTED)
+    value = F.col(f"`{model.text}`").cast("string").alias("text")
+    if same:
+        docs = model.docs.select(row, value, counted.bitwiseOR(F.lit(_SCORED)).alias("flags"))
+    else:
+        docs = df.select(row, F.col(f"`{text}`").cast("string").alias("text"),
+                         F.lit(_SCORED).alias("flags"))
+        docs = docs.unionByName(model.docs.select(
+            F.lit(None).cast(docs.schema["_row"].dataType).alias("_row"), value,
+            counted.alias("flags")))
+    # written with its number, so that a text keeps it in all passes
+    docs = kept(docs.select("_row", "text", F.col("flags").cast("int").alias("flags"),
+                            F.monotonically_increasing_id().alias("number")), "numbered-texts")
+    texts = docs.select("text", "flags", "number")
+    known = _known(texts)
+    scores = _losses(_listed(texts, known), known).groupBy("number").agg(
+        F.sum("n_words").alias("n_words"),
+        *[(F.sum(c) / F.sum("n_words")).alias(c) for c in ("target_loss", "background_loss")])
+    rows = docs.filter(F.col("flags").bitwiseAND(F.lit(_SCORED)) > 0).select("_row", "number")
+    return rows.join(scores.hint("merge"), "number", "left").select(
+        "_row.*", F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"), "target_loss",
+        "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("difference"))

@@ -17,6 +17,8 @@ from tidemark.session import new_folder
 CHUNK_CHARS = 1_000_000
 #: Bytes of texts or ids in rows that are handed over at once.
 SLICE_BYTES = 4_000_000
+#: Spark's setting to remove the shuffle files of a query when it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def chunks(texts: Sequence[str | None], most: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
@@ -85,7 +87,13 @@ def with_results(df: DataFrame, text: str, fields: str,
 
 
 def kept(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: computed once, safe from lost executors."""
-    folder = new_folder(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(folder)
+    """``df`` written to the shared folder and read again: computed once, safe from lost executors.
+    What its shuffles wrote is removed then, as nothing reads it again."""
+    folder, conf = new_folder(df.sparkSession, label), df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(folder)
+    finally:
+        conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -64,7 +64,7 @@ def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     # labels grow with the documents: never broadcast, so that every size has the same plan
     marked = docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left")
     models = cross_entropy.fit(marked, "good")
-    return cross_entropy.score(docs, models, keep=["doc_id"], same=True)
+    return cross_entropy.score(marked, models, keep=["doc_id"], same=True)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
