@@ -116,3 +116,10 @@ def test_a_model_without_languages_rejects_nothing(spark):
     assert language_crf.UNKNOWN == "und"
     docs = spark.createDataFrame([(1, "some text here", None)], "doc_id long, text string, lang string")
     assert corpus_pipeline.language(spark, docs, "").count() == 1
+
+
+@pytest.mark.parametrize("name, columns", [
+    ("op1_language_crf", ["doc_id", "held_out", "lang_pred", "score"]),
+    ("op2_toxicity_kn", ["doc_id", "held_out", "score", "predicted"])])
+def test_columns_of_the_contract_come_first(spark, name, columns):
+    assert QUERIES[name](spark, SMALLEST).columns[:4] == columns

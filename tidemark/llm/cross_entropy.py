@@ -190,7 +190,8 @@ def _known(rows: DataFrame) -> _Known:
 
     found = kept(rows.mapInArrow(
         count, "pair boolean, before long, word long, " + ", ".join(f"{c} long" for c in sums))
-        .groupBy("pair", "before", "word").agg(*[F.sum(c).alias(c) for c in sums]), "word-counts")
+        .groupBy("pair", "before", "word").agg(*[F.sum(c).alias(c) for c in sums]), "word-counts",
+        last_use=True)
     words = found.filter("not pair")
     totals = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
                        F.count_if(F.col("background") > 0).alias("vocabulary")).first()
@@ -369,7 +370,8 @@ def score(df: DataFrame, models: tuple[Model, Model], text: str = "text",
             counted.alias("flags")))
     # written with its number, so that a text keeps it in all passes
     docs = kept(docs.select("_row", "text", F.col("flags").cast("int").alias("flags"),
-                            F.monotonically_increasing_id().alias("number")), "numbered-texts")
+                            F.monotonically_increasing_id().alias("number")),
+                "numbered-texts", last_use=True)
     texts = docs.select("text", "flags", "number")
     known = _known(texts)
     scores = _losses(_listed(texts, known), known).groupBy("number").agg(

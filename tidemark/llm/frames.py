@@ -86,12 +86,13 @@ def with_results(df: DataFrame, text: str, fields: str,
     return rows.mapInArrow(apply, schema)
 
 
-def kept(df: DataFrame, label: str) -> DataFrame:
+def kept(df: DataFrame, label: str, last_use: bool = False) -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, safe from lost executors.
-    What its shuffles wrote is removed then, as nothing reads it again."""
+    With ``last_use``, what its shuffles wrote is removed then, as nothing reads it again."""
     folder, conf = new_folder(df.sparkSession, label), df.sparkSession.conf
     before = conf.get(_CLEANUP, "false")
-    conf.set(_CLEANUP, "true")
+    if last_use:
+        conf.set(_CLEANUP, "true")
     try:
         df.write.option("compression", "zstd").parquet(folder)
     finally:

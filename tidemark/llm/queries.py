@@ -26,15 +26,19 @@ def _remainder(divisor: int) -> Column:
 def op1_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language_crf.fit(docs.filter(_remainder(4) != 2))
-    return (language_crf.label(docs, model, keep=["doc_id"])
-            .withColumn("held_out", F.coalesce(_remainder(4) == 2, F.lit(False))))
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out")
+    found = language_crf.label(docs, model, keep=["doc_id"])
+    first = ["doc_id", held_out, "lang_pred", "score"]
+    return found.select(*first, *[c for c in found.columns if c not in ("doc_id", *first[2:])])
 
 
 def op2_toxicity_kn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     model = toxicity_kn.fit(docs, labels.filter(_remainder(5) != 0))
-    return (toxicity_kn.score(docs, model, keep=["doc_id"])
-            .withColumn("held_out", F.coalesce(_remainder(5) == 0, F.lit(False))))
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out")
+    found = toxicity_kn.score(docs, model, keep=["doc_id"])
+    first = ["doc_id", held_out, "score", "predicted"]
+    return found.select(*first, *[c for c in found.columns if c not in ("doc_id", *first[2:])])
 
 
 def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +57,8 @@ def op4_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return projection_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+    # blocks small enough that the labels of the given tables have several
+    return projection_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), block=64)
 
 
 def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
