@@ -57,8 +57,8 @@ def op4_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # blocks small enough that the labels of the given tables have several
-    return projection_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), block=64)
+    # blocks small enough that large labels of the check tables have many
+    return projection_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), block=256)
 
 
 def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
