@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -318,14 +319,145 @@ def test_toxicity(spark, docs, none):
     assert {r["score"] for r in toxicity_kn.score(table, one_class).collect()} == {0.5}
 
 
-def test_letter_models_are_distributions():
-    model = toxicity_kn.Model(["ab", "ba", "abb"], np.array([[3.0, 1.0], [0.0, 4.0], [2.0, 0.0]]))
-    spelled = [""]
+def plain_toxicity(texts: list[str], toxic: list[int]):
+    """Log-probabilities of a word after another in both classes, by dictionaries and formulas."""
+    order, shared_order, margin, rare = (toxicity_kn.ORDER, toxicity_kn.SHARED, toxicity_kn.MARGIN,
+                                         toxicity_kn.RARE)
+    words, pairs = [Counter(), Counter()], [Counter(), Counter()]
+    for text, c in zip(texts, toxic):
+        of = re.findall("[a-z]+", text.lower())
+        words[c].update(set(of))
+        pairs[c].update(set(zip([""] + of, of)))
+    grams = {size: [Counter(), Counter()] for size in range(1, order + 1)}
+    for c in (0, 1):
+        for word, n in words[c].items():
+            marked = f"\x02{word}\x03"
+            for size in grams:
+                for i in range(1, len(marked)):
+                    if i - size + 1 >= 0:
+                        grams[size][c][marked[i - size + 1:i + 1]] += n
+
+    def standing_out(counts, key, context_of):
+        """For ``key``: own part and remaining part in both classes, shared and remaining part."""
+        same = {k for c in counts for k in c if context_of(k) == context_of(key)}
+        totals = [sum(c[k] for k in same) for c in counts]
+        own = {}
+        for k in same:
+            for c in (0, 1):
+                expected = totals[c] * (counts[0][k] + counts[1][k]) / sum(totals)
+                own[k, c] = max(counts[c][k] - expected - margin * expected ** 0.5 - 1, 0)
+        left = {k: counts[0][k] + counts[1][k] - own[k, 0] - own[k, 1] for k in same}
+        all_left = max(sum(left.values()), 1)
+        common = {k: max(v - rare, 0) / all_left for k, v in left.items()}
+        parts = []
+        for c in (0, 1):
+            total = max(totals[c], 1)
+            parts.append((own.get((key, c), 0) / total, 1 - sum(own[k, c] for k in same) / total))
+        return parts, common.get(key, 0), 1 - sum(common.values())
+
+    def spelled(word, c):
+        marked, log = f"\x02{word}\x03", 0.0
+        for i in range(1, len(marked)):
+            p = 1 / (len(set("".join(grams[1][0])) | set("".join(grams[1][1]))) + 1)
+            for size in range(1, min(order, i + 1) + 1):
+                gram = marked[i - size + 1:i + 1]
+                every = set(grams[size][0]) | set(grams[size][1])
+                if size < order:
+                    longer = set(grams[size + 1][0]) | set(grams[size + 1][1])
+                    counts = Counter(g[1:] for g in longer)
+                    counts.update({g: 1 for g in every if g[0] == "\x02"})
+                else:
+                    counts = grams[size][0] + grams[size][1]
+                once, twice = (list(counts.values()).count(x) for x in (1, 2))
+                discount = once / (once + 2 * twice) if once and twice else 0.5
+                after = [n for g, n in counts.items() if g[:-1] == gram[:-1]]
+                if after:
+                    p = (max(counts[gram] - discount, 0) + discount * len(after) * p) / sum(after)
+            for size in range(shared_order + 1, min(order, i + 1) + 1):
+                gram = marked[i - size + 1:i + 1]
+                if any(g[:-1] == gram[:-1] for c2 in grams[size] for g in c2):
+                    own, rest = standing_out(grams[size], gram, lambda g: g[:-1])[0][c]
+                    p = own + rest * p
+            log += math.log(p)
+        return log
+
+    def probability(before, word, c):
+        parts, common, rest = standing_out(words, word, lambda w: 0)
+        p = parts[c][0] + parts[c][1] * (common + rest * math.exp(spelled(word, c)))
+        if any((before, w) in pairs[k] for k in (0, 1) for w in set(words[0]) | set(words[1])):
+            parts, common, rest = standing_out(pairs, (before, word), lambda x: x[0])
+            p = parts[c][0] + parts[c][1] * (common + rest * p)
+        return math.log(p)
+
+    return probability
+
+
+def test_toxicity_counts_like_plain_ones(spark):
+    rng = random.Random(5)
+    texts, toxic = [], []
+    for i in range(120):
+        words = [rng.choice("the old house was big and red go die now slowly".split())
+                 for _ in range(12)]
+        toxic.append(i % 3 == 0)
+        texts.append(" ".join(words + (["die", "slowlyest"] if toxic[-1] else ["go", "slower"])))
+    toxic = [int(t) for t in toxic]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    marks = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    model = toxicity_kn.fit(table, marks)
+    draw = {r["doc_id"]: r["draw"] for r in marks.selectExpr(
+        "doc_id", "pmod(xxhash64(doc_id, 11), 3) draw").collect()}
+    counted = [i for i in range(120) if draw[i] != 0]
+    plain = plain_toxicity([texts[i] for i in counted], [toxic[i] for i in counted])
+    assert len(model.words.grams) and len(model.pairs.grams) and len(model.letters[0].grams)
+    for text in ("go die slowly", "die go slower", "house now slowlyest unseen", "big slowlyes"):
+        pieces, whole = toxicity_kn.word_pieces([text])
+        before, keys = toxicity_kn._with_before(pieces)
+        of = text.split()
+        found = model.of_pairs(before, keys, model.of_words(keys, model.spelling(of)))
+        wanted = [[plain(b, w, c) for c in (0, 1)] for b, w in zip([""] + of, of)]
+        np.testing.assert_allclose(found, wanted, rtol=1e-5)
+
+
+def test_toxicity_knows_the_order_of_words(spark):
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(600):
+        words = [rng.choice(ENGLISH.split()) for _ in range(30)]
+        at = rng.randrange(30)
+        words[at:at] = ["go", "die"] if i % 3 == 0 else ["die", "go"]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 3 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity_kn.fit(table, marks.filter("doc_id % 5 <> 0"))
+    found = toxicity_kn.score(table.filter("doc_id % 5 = 0"), model).collect()
+    assert sum(r["predicted"] == (r["doc_id"] % 3 == 0) for r in found) / len(found) > 0.9
+
+
+def test_toxicity_of_contradicting_and_repeated_labels(spark):
+    rows = [(i % 40, f"{'idiot' if i % 2 else 'friend'} the house {i % 7}") for i in range(80)]
+    table = spark.createDataFrame(rows + [(None, "idiot")], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i % 2)) for i in range(40)] * 2 + [(4, 1), (6, None)],
+                                  "doc_id long, toxic int").union(
+        spark.createDataFrame([(None, 1)], "doc_id long, toxic int"))
+    first, again = (toxicity_kn.score(t, toxicity_kn.fit(t, marks)).select("doc_id", "score")
+                    for t in (table, table.repartition(5)))
+    assert sorted(first.collect(), key=str) == sorted(again.collect(), key=str)
+
+
+def test_levels_are_distributions():
+    none = np.zeros(0, np.uint64)
+    spelled = ["ab", "abb", "ba"]
+    pieces, _ = toxicity_kn.word_pieces(spelled)
+    model = toxicity_kn.Model(spelled, pieces.keys(), np.array([[3.0, 80.0], [0.0, 4.0], [60.0, 0.0]]),
+                              none, none, np.zeros((0, 2)), none, np.zeros((0, 2)))
+    every = [""]
     for _ in range(9):
-        spelled += [w + c for w in spelled for c in "ab" if len(w) < 9]
-        spelled = sorted(set(spelled))
-    total = np.exp(model.log_probabilities([w for w in spelled if w])).sum(0)
-    assert (total < 1.0001).all() and (total > 0.7).all()
+        every = sorted({*every, *(w + c for w in every for c in "ab" if len(w) < 9)})
+    pieces, _ = toxicity_kn.word_pieces(every[1:])
+    logs = model.of_words(pieces.keys(), model.spelling(every[1:]))
+    total = np.exp(logs).sum(0)
+    assert (total < 1.0001).all() and (total > 0.9).all()  # the rest: longer words, other letters
 
 
 def test_cross_entropy_is_that_of_plain_counts(spark, docs, none):
