@@ -12,11 +12,14 @@ of its second word. That task has all pairs that end in the word, so it has thei
 count and, from the texts that do not end there, the word's count as a context; it gives each
 text its share of the loss. Rows of frequent words would go to one task, so these go by their pair, and
 the counts of the words, at most ``2 / SHARE`` of them, are known beforehand. So are those of frequent
-pairs, as many at most, whose rows are not shuffled at all.
+pairs, as many at most, whose rows are not shuffled at all. Words are shuffled in ``TURNS`` turns, by
+their key, and a turn's shuffles are removed when its losses are summed, so that the disk holds the
+rows of one turn only.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +38,8 @@ TOGETHER = 500_000
 #: A word or pair is frequent if it has this share of all rows (a row is a pair of a text); some that
 #: have half of it are taken for frequent, too.
 SHARE = 1 / 2000
+#: Turns that the words are shuffled in, one after the other.
+TURNS = 2
 
 RESULTS = ("n_words", "target_loss", "background_loss", "difference")
 
@@ -245,9 +250,10 @@ _ROW = ("part long, before long, frequent int, number long, n long, flags int, "
         "target_loss double, background_loss double")
 
 
-def _listed(rows: DataFrame, known: _Known) -> DataFrame:
-    """A row for each pair of each text, but for frequent pairs, and one with sums of each text. Rows
-    of neighbouring texts are sorted by their words, so that these take little room in the shuffle."""
+def _listed(rows: DataFrame, known: _Known, turn: int) -> DataFrame:
+    """A row for each pair of each text whose part is of this turn, but for frequent pairs, and in the
+    first turn one with sums of each text. Rows of neighbouring texts are sorted by their words, so
+    that these take little room in the shuffle."""
     names = [c.split()[0] for c in _ROW.split(", ")]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +265,7 @@ def _listed(rows: DataFrame, known: _Known) -> DataFrame:
             hot = pair >= 0
             sums = np.zeros((2, len(group)))
             # a frequent pair ends in a frequent word, as that has all rows of the pair
-            here = hot & ((flags[of] & _SCORED) > 0)
+            here = hot & ((flags[of] & _SCORED) > 0) & (turn == 0)
             shares = known.loss(n[here], last[here], known.pair_counts[:, pair[here]],
                                 known.word_counts[:, frequent[here]],
                                 known.context_counts[:, frequent[here]])
@@ -267,12 +273,13 @@ def _listed(rows: DataFrame, known: _Known) -> DataFrame:
                 np.add.at(sums[side], of[here], shares[side])
                 # the begin of the text is a context, too
                 sums[side] += np.log(known.texts[side] * known.scales[side] + BACKOFF)
-            of, before, word, n, last, frequent = (
-                x[~hot] for x in (of, before, word, n, last, frequent))
-            scored = np.flatnonzero(((flags & _SCORED) > 0) & (sizes > 0))
+            part = np.where(frequent >= 0, _mixed(word, before), word)
+            mine = ~hot & (_mixed(part, part).view(np.uint64) % np.uint64(TURNS) == np.uint64(turn))
+            of, before, part, n, last, frequent = (
+                x[mine] for x in (of, before, part, n, last, frequent))
+            scored = np.flatnonzero(((flags & _SCORED) > 0) & (sizes > 0) & (turn == 0))
             zero, none = np.zeros(len(of)), np.zeros(len(scored), np.int64)
             row_flags = flags[of] | np.where(last, _LAST, 0)
-            part = np.where(frequent >= 0, _mixed(word, before), word)
             order = np.argsort(part, kind="stable")
             both = [(part, number[scored]), (before, none), (frequent, none - 2),
                     (number[of], number[scored]), (n, sizes[scored]), (row_flags, none + _SUMS),
@@ -374,7 +381,10 @@ def score(df: DataFrame, models: tuple[Model, Model], text: str = "text",
                 "numbered-texts", last_use=True)
     texts = docs.select("text", "flags", "number")
     known = _known(texts)
-    scores = _losses(_listed(texts, known), known).groupBy("number").agg(
+    sums = [F.sum(c).alias(c) for c in ("n_words", "target_loss", "background_loss")]
+    turns = [kept(_losses(_listed(texts, known, turn), known).groupBy("number").agg(*sums), "losses",
+                  last_use=True) for turn in range(TURNS)]
+    scores = functools.reduce(DataFrame.unionAll, turns).groupBy("number").agg(
         F.sum("n_words").alias("n_words"),
         *[(F.sum(c) / F.sum("n_words")).alias(c) for c in ("target_loss", "background_loss")])
     rows = docs.filter(F.col("flags").bitwiseAND(F.lit(_SCORED)) > 0).select("_row", "number")
