@@ -11,17 +11,18 @@ under the words' 64-bit keys. One shuffle does it: a row for each pair of each t
 of its second word. That task has all pairs that end in the word, so it has their counts, the word's
 count and, from the texts that do not end there, the word's count as a context; it gives each
 text its share of the loss. Rows of frequent words would go to one task, so these go by their pair, and
-the counts of the words, at most ``2 / SHARE`` of them, are known beforehand. So are those of frequent
-pairs, as many at most, whose rows are not shuffled at all. Words are shuffled in ``TURNS`` turns, by
+the counts of the words, at most ``2 / SHARE`` of them, are known beforehand. Rows of frequent pairs, as
+many at most, are not shuffled at all. Words are shuffled in ``TURNS`` turns, by
 their key, and a turn's shuffles are removed when its losses are summed, so that the disk holds the
-rows of one turn only.
+rows of one turn only. The first turn counts the frequent pairs as it goes, and the last one has their
+losses.
 """
 
 from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +39,31 @@ TOGETHER = 500_000
 #: A word or pair is frequent if it has this share of all rows (a row is a pair of a text); some that
 #: have half of it are taken for frequent, too.
 SHARE = 1 / 2000
-#: Turns that the words are shuffled in, one after the other.
+#: Turns that the words are shuffled in, one after the other. At least 2: the last needs what the first counts.
 TURNS = 2
 
 RESULTS = ("n_words", "target_loss", "background_loss", "difference")
 
 # What a row of the shuffle says: it is counted, for the target, too; its word ends the text; it is
-# scored; it holds sums of a whole text.
+# scored; it holds sums.
 _COUNTED, _TARGET, _LAST, _SCORED, _SUMS = 1, 2, 4, 8, 16
 
+# A row of the shuffle. ``part`` is the key of the word, or of the pair if the word is frequent; ``code``
+# holds the number of occurrences, the place of a frequent word, plus 1, and the flags. A row of sums has
+# two doubles in ``part`` and ``before``: the losses of a text, or with a number below 0 the counts of a
+# frequent pair.
+_ROW = "part long, before long, number long, code long"
+_PLACE_BITS, _COUNT_BITS = 8, 32
+
+
+def _code(n: np.ndarray, frequent: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    return (n.astype(np.int64) << _COUNT_BITS) | ((frequent.astype(np.int64) + 1) << _PLACE_BITS) | flags
+
+
+def _decoded(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    place = (code >> _PLACE_BITS) & ((1 << _COUNT_BITS - _PLACE_BITS) - 1)
+    return code >> _COUNT_BITS, place - 1, code & ((1 << _PLACE_BITS) - 1)
+
 
 def pairs_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each word of the lower-cased texts (runs of letters): its text, the key of the word
@@ -213,143 +230,160 @@ def _known(rows: DataFrame) -> _Known:
     word_counts = table([(r["target"], r["background"]) for r in frequent], 2)
     lasts = table([(r["last_target"], r["last_background"]) for r in frequent], 2)
     before, word = table(pairs, 2)
-    known = _Known(np.array([r["word"] for r in frequent], np.int64), word_counts,
-                   word_counts - lasts, word, before, np.zeros((2, len(word)), np.int64),
-                   np.array([totals["target"], totals["background"]]),
-                   np.array([totals["last_target"], totals["last_background"]]),
-                   totals["vocabulary"])
-    return known if not pairs else _counted_pairs(rows, known)
+    return _Known(np.array([r["word"] for r in frequent], np.int64), word_counts,
+                  word_counts - lasts, word, before, np.zeros((2, len(word)), np.int64),
+                  np.array([totals["target"], totals["background"]]),
+                  np.array([totals["last_target"], totals["last_background"]]),
+                  totals["vocabulary"])
 
 
-def _counted_pairs(rows: DataFrame, known: _Known) -> _Known:
-    """``known`` with the exact counts of the frequent pairs."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, len(known.pair_words)), np.int64)
-        for some, group in _batches(batches, 0):
-            of, before, word, n, _, _ = _rows_of(group)
-            place = known.place_of_pairs(word, before)
-            mine = place >= 0
-            flags = some.column(1).to_numpy()[of[mine]]
-            for side, flag in enumerate((_TARGET, _COUNTED)):
-                np.add.at(counts[side], place[mine], n[mine] * ((flags & flag) > 0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(counts.shape[1])), *map(pa.array, counts)],
-            ["place", "target", "background"])
-
-    found = rows.mapInArrow(count, "place long, target long, background long").groupBy(
-        "place").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+def _with_pair_counts(known: _Known, losses: DataFrame) -> _Known:
+    """``known`` with the exact counts of the frequent pairs, which the first turn has summed."""
     counts = known.pair_counts.copy()
-    for r in found.collect():
-        counts[:, r["place"]] = r["target"], r["background"]
-    return _Known(known.words, known.word_counts, known.context_counts, known.pair_words,
-                  known.pair_befores, counts, known.totals, known.texts, known.vocabulary)
-
-
-_ROW = ("part long, before long, frequent int, number long, n long, flags int, "
-        "target_loss double, background_loss double")
+    for r in losses.filter("number < 0").collect():  # 2 / SHARE rows at most
+        counts[:, -1 - r["number"]] = r["target_loss"], r["background_loss"]
+    return replace(known, pair_counts=counts)
 
 
 def _listed(rows: DataFrame, known: _Known, turn: int) -> DataFrame:
-    """A row for each pair of each text whose part is of this turn, but for frequent pairs, and in the
-    first turn one with sums of each text. Rows of neighbouring texts are sorted by their words, so
-    that these take little room in the shuffle."""
+    """A row for each pair of each text whose part is of this turn, but for frequent pairs. The first turn
+    has sums of the counts of these instead, the last one sums of their losses in each text. Rows of
+    neighbouring texts are sorted by their words, so that these take little room in the shuffle."""
     names = [c.split()[0] for c in _ROW.split(", ")]
+    first, final = turn == 0, turn == TURNS - 1
+
+    def bits(x: np.ndarray) -> np.ndarray:
+        return x.astype(np.float64).view(np.int64)
+
+    def batch(*columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair_counts = np.zeros((2, len(known.pair_words)))
         for some, group in _batches(batches, 0):
             flags, number = some.column(1).to_numpy(), some.column(2).to_numpy()
-            of, before, word, n, last, sizes = _rows_of(group)
+            of, before, word, n, last, _ = _rows_of(group)
             frequent = known.place_of_words(word)
-            pair = known.place_of_pairs(word, before)
-            hot = pair >= 0
-            sums = np.zeros((2, len(group)))
             # a frequent pair ends in a frequent word, as that has all rows of the pair
-            here = hot & ((flags[of] & _SCORED) > 0) & (turn == 0)
-            shares = known.loss(n[here], last[here], known.pair_counts[:, pair[here]],
-                                known.word_counts[:, frequent[here]],
-                                known.context_counts[:, frequent[here]])
-            for side in range(2):
-                np.add.at(sums[side], of[here], shares[side])
-                # the begin of the text is a context, too
-                sums[side] += np.log(known.texts[side] * known.scales[side] + BACKOFF)
+            pair = np.full(len(word), -1)
+            often = np.flatnonzero(frequent >= 0)
+            pair[often] = known.place_of_pairs(word[often], before[often])
+            hot = pair >= 0
+            sums = []
+            if first:
+                for side, flag in enumerate((_TARGET, _COUNTED)):
+                    counted = hot & ((flags[of] & flag) > 0)
+                    pair_counts[side] += np.bincount(pair[counted], weights=n[counted],
+                                                     minlength=pair_counts.shape[1])
+            if final:
+                here = np.flatnonzero(hot & ((flags[of] & _SCORED) > 0))
+                shares = known.loss(n[here], last[here], known.pair_counts[:, pair[here]],
+                                    known.word_counts[:, frequent[here]],
+                                    known.context_counts[:, frequent[here]])
+                texts, at = np.unique(of[here], return_index=True)
+                if len(texts):  # rows are in the order of their texts
+                    target, background, n_hot = (np.add.reduceat(x, at) for x in (*shares, n[here]))
+                    sums = [bits(target), bits(background), number[texts],
+                            _code(n_hot, np.full(len(texts), -1), _SUMS)]
             part = np.where(frequent >= 0, _mixed(word, before), word)
-            mine = ~hot & (_mixed(part, part).view(np.uint64) % np.uint64(TURNS) == np.uint64(turn))
-            of, before, part, n, last, frequent = (
-                x[mine] for x in (of, before, part, n, last, frequent))
-            scored = np.flatnonzero(((flags & _SCORED) > 0) & (sizes > 0) & (turn == 0))
-            zero, none = np.zeros(len(of)), np.zeros(len(scored), np.int64)
-            row_flags = flags[of] | np.where(last, _LAST, 0)
-            order = np.argsort(part, kind="stable")
-            both = [(part, number[scored]), (before, none), (frequent, none - 2),
-                    (number[of], number[scored]), (n, sizes[scored]), (row_flags, none + _SUMS),
-                    (zero, sums[0][scored]), (zero, sums[1][scored])]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(),
-                     pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([x[order], y]), k)
-                 for (x, y), k in zip(both, kinds, strict=True)], names)
+            mine = np.flatnonzero(~hot & (_mixed(part, part).view(np.uint64) % np.uint64(TURNS)
+                                          == np.uint64(turn)))
+            mine = mine[np.argsort(part[mine], kind="stable")]
+            of = of[mine]
+            listed = [part[mine], before[mine], number[of],
+                      _code(n[mine], frequent[mine], flags[of] | np.where(last[mine], _LAST, 0))]
+            yield batch(*(listed if not sums else map(np.concatenate, zip(listed, sums, strict=True))))
+        found = np.flatnonzero(pair_counts.any(0))
+        if len(found):
+            yield batch(*map(bits, pair_counts[:, found]), -1 - found,
+                        _code(np.zeros(len(found)), np.full(len(found), -1), _SUMS))
 
     return rows.mapInArrow(make, _ROW)
 
 
+_LOSSES = "number long, n_words long, target_loss double, background_loss double"
+
+
 def _losses(listed: DataFrame, known: _Known) -> DataFrame:
-    """What each row adds to the losses and to the number of words of its text."""
-    names = ["number", "n_words", "target_loss", "background_loss"]
-
-    def finish(columns: list[np.ndarray]) -> pa.RecordBatch:
-        part, before, frequent, number, n, flags, target_loss, background_loss = columns
-        losses = np.array([target_loss, background_loss])
-        words = np.where((flags & _SUMS) > 0, n, 0)
-        rows = np.flatnonzero((flags & _SUMS) == 0)  # sorted by part, frequent, before
-        if len(rows):
-            part, before, frequent, n, flags = (x[rows] for x in (part, before, frequent, n, flags))
-            new = np.ones(len(rows), bool)
-            new[1:] = (part[1:] != part[:-1]) | (frequent[1:] != frequent[:-1])
-            pair = new.copy()
-            pair[1:] |= before[1:] != before[:-1]
-            last = (flags & _LAST) > 0
-            of_pair, of_word = np.cumsum(pair) - 1, np.cumsum(new) - 1
-            counts = []
-            for flag in (_TARGET, _COUNTED):
-                mine = np.where((flags & flag) > 0, n, 0)
-                ends = last & ((flags & flag) > 0)
-                pairs = np.add.reduceat(mine, np.flatnonzero(pair))[of_pair]
-                alone = np.add.reduceat(mine, np.flatnonzero(new))[of_word]
-                context = alone - np.add.reduceat(ends.astype(np.int64), np.flatnonzero(new))[of_word]
-                counts.append((pairs, alone, context))
-            pairs, alone, context = (np.array(x) for x in zip(*counts, strict=True))
-            hot = frequent >= 0
-            alone[:, hot] = known.word_counts[:, frequent[hot]]
-            context[:, hot] = known.context_counts[:, frequent[hot]]
-            losses[:, rows] = known.loss(n, last, pairs, alone, context)
-            words[rows] = 0
-            keep = np.ones(len(number), bool)
-            keep[rows] = (flags & _SCORED) > 0
-            number, words, losses = number[keep], words[keep], losses[:, keep]
+    """What the rows add to the losses and to the number of words of their texts, in several sums for
+    each text; sums of frequent pairs' counts are handed on, too."""
+    names = [c.split()[0] for c in _LOSSES.split(", ")]
+
+    def shares(part: np.ndarray, before: np.ndarray, number: np.ndarray, code: np.ndarray) -> list:
+        n, frequent, flags = _decoded(code)
+        whole = np.flatnonzero((flags & _SUMS) > 0)
+        rows = np.flatnonzero((flags & _SUMS) == 0)
+        sums = [number[whole], n[whole], part[whole].view(np.float64), before[whole].view(np.float64)]
+        if not len(rows):
+            return sums
+        rows = rows[np.lexsort((before[rows], frequent[rows], part[rows]))]
+        part, before, number, n, frequent, flags = (
+            x[rows] for x in (part, before, number, n, frequent, flags))
+        new = np.ones(len(rows), bool)
+        new[1:] = (part[1:] != part[:-1]) | (frequent[1:] != frequent[:-1])
+        pair = new.copy()
+        pair[1:] |= before[1:] != before[:-1]
+        at_pair, at_word = np.flatnonzero(pair), np.flatnonzero(new)
+        of_pair, of_word = np.cumsum(pair) - 1, np.cumsum(new) - 1
+        last = (flags & _LAST) > 0
+        counts = []
+        for flag in (_TARGET, _COUNTED):
+            mine = (flags & flag) > 0
+            times = n * mine
+            alone = np.add.reduceat(times, at_word)
+            ends = np.add.reduceat((last & mine).astype(np.int64), at_word)
+            counts.append((np.add.reduceat(times, at_pair)[of_pair], alone[of_word],
+                           (alone - ends)[of_word]))
+        pairs, alone, context = (np.array(x) for x in zip(*counts, strict=True))
+        hot = np.flatnonzero(frequent >= 0)
+        alone[:, hot] = known.word_counts[:, frequent[hot]]
+        context[:, hot] = known.context_counts[:, frequent[hot]]
+        scored = np.flatnonzero((flags & _SCORED) > 0)
+        found = [number[scored], n[scored], *known.loss(
+            n[scored], last[scored], pairs[:, scored], alone[:, scored], context[:, scored])]
+        return [np.concatenate(x) for x in zip(sums, found, strict=True)]
+
+    def summed(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+        number, *values = (np.concatenate(x) for x in zip(*parts, strict=True))
         order, at = _runs(number)
-        sums = [np.add.reduceat(x[order], at) if len(at) else x for x in (words, *losses)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(number[order[at]]), *map(pa.array, sums)], names)
+        return [number[order[at]], *(np.add.reduceat(x[order], at) if len(at) else x for x in values)]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[list[np.ndarray]] = []
+        n_held, due, sums, n_sums = 0, TOGETHER, [], 0
+
+        def add(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            nonlocal sums, n_sums
+            sums.append(shares(*columns))
+            n_sums += len(sums[-1][0])
+            if n_sums >= 4 * TOGETHER:  # texts of several groups of words are summed here
+                sums = [summed(sums)]
+                n_sums = len(sums[0][0])
+                if n_sums >= 2 * TOGETHER:
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, sums[0])), names)
+                    sums, n_sums = [], 0
+
         for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            held = [np.concatenate(x) for x in zip(held, columns, strict=True)] if held else columns
-            part, frequent = held[0], held[2]
+            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            n_held += batch.num_rows
+            if n_held < due:
+                continue
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
             # all rows of a word, or of a pair that ends in a frequent one, are needed together
-            change = np.flatnonzero((part[1:] != part[:-1]) | (frequent[1:] != frequent[:-1]))
-            if len(part) >= TOGETHER and len(change):
-                end = change[-1] + 1
-                yield finish([c[:end] for c in held])
-                held = [c[end:] for c in held]
-        if held and len(held[0]):
-            yield finish(held)
-
-    order = ["part", "frequent", "before"]
-    return listed.repartition("part").sortWithinPartitions(*order).mapInArrow(
-        apply, "number long, n_words long, target_loss double, background_loss double")
+            change = np.flatnonzero(columns[0][1:] != columns[0][:-1])
+            end = int(change[-1]) + 1 if len(change) else 0
+            if end:
+                yield from add([c[:end] for c in columns])
+            held = [[c[end:] for c in columns]]
+            n_held -= end
+            due = n_held + TOGETHER
+        if n_held:
+            yield from add([np.concatenate(x) for x in zip(*held, strict=True)])
+        if n_sums:
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, summed(sums))), names)
+
+    # by one number only, which Spark sorts by its digits; a group's rows are sorted further here
+    return listed.repartition("part").sortWithinPartitions("part").mapInArrow(apply, _LOSSES)
 
 
 def score(df: DataFrame, models: tuple[Model, Model], text: str = "text",
@@ -382,11 +416,18 @@ def score(df: DataFrame, models: tuple[Model, Model], text: str = "text",
     texts = docs.select("text", "flags", "number")
     known = _known(texts)
     sums = [F.sum(c).alias(c) for c in ("n_words", "target_loss", "background_loss")]
-    turns = [kept(_losses(_listed(texts, known, turn), known).groupBy("number").agg(*sums), "losses",
-                  last_use=True) for turn in range(TURNS)]
-    scores = functools.reduce(DataFrame.unionAll, turns).groupBy("number").agg(
+    turns: list[DataFrame] = []
+    for turn in range(TURNS):
+        turns.append(kept(_losses(_listed(texts, known, turn), known).groupBy("number").agg(*sums),
+                          "losses", last_use=True))
+        if turn == 0 and len(known.pair_words):
+            known = _with_pair_counts(known, turns[0])
+    # the begin of each text is a context, too
+    begins = np.log(known.texts * known.scales + BACKOFF).tolist()
+    scores = functools.reduce(DataFrame.unionAll, turns).filter("number >= 0").groupBy("number").agg(
         F.sum("n_words").alias("n_words"),
-        *[(F.sum(c) / F.sum("n_words")).alias(c) for c in ("target_loss", "background_loss")])
+        *[((F.sum(c) + begin) / F.sum("n_words")).alias(c)
+          for c, begin in zip(("target_loss", "background_loss"), begins, strict=True)])
     rows = docs.filter(F.col("flags").bitwiseAND(F.lit(_SCORED)) > 0).select("_row", "number")
     return rows.join(scores.hint("merge"), "number", "left").select(
         "_row.*", F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"), "target_loss",
