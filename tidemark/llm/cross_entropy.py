@@ -305,8 +305,8 @@ _LOSSES = "number long, n_words long, target_loss double, background_loss double
 
 
 def _losses(listed: DataFrame, known: _Known) -> DataFrame:
-    """What the rows add to the losses and to the number of words of their texts, in several sums for
-    each text; sums of frequent pairs' counts are handed on, too."""
+    """What each scored row adds to the losses and to the number of words of its text; sums are handed
+    on. Spark adds them up before it shuffles them."""
     names = [c.split()[0] for c in _LOSSES.split(", ")]
 
     def shares(part: np.ndarray, before: np.ndarray, number: np.ndarray, code: np.ndarray) -> list:
@@ -343,25 +343,12 @@ def _losses(listed: DataFrame, known: _Known) -> DataFrame:
             n[scored], last[scored], pairs[:, scored], alone[:, scored], context[:, scored])]
         return [np.concatenate(x) for x in zip(sums, found, strict=True)]
 
-    def summed(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
-        number, *values = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order, at = _runs(number)
-        return [number[order[at]], *(np.add.reduceat(x[order], at) if len(at) else x for x in values)]
-
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
-        n_held, due, sums, n_sums = 0, TOGETHER, [], 0
-
-        def add(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            nonlocal sums, n_sums
-            sums.append(shares(*columns))
-            n_sums += len(sums[-1][0])
-            if n_sums >= 4 * TOGETHER:  # texts of several groups of words are summed here
-                sums = [summed(sums)]
-                n_sums = len(sums[0][0])
-                if n_sums >= 2 * TOGETHER:
-                    yield pa.RecordBatch.from_arrays(list(map(pa.array, sums[0])), names)
-                    sums, n_sums = [], 0
+        n_held, due = 0, TOGETHER
+
+        def finished(columns: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(list(map(pa.array, shares(*columns))), names)
 
         for batch in batches:
             held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
@@ -373,14 +360,12 @@ def _losses(listed: DataFrame, known: _Known) -> DataFrame:
             change = np.flatnonzero(columns[0][1:] != columns[0][:-1])
             end = int(change[-1]) + 1 if len(change) else 0
             if end:
-                yield from add([c[:end] for c in columns])
+                yield finished([c[:end] for c in columns])
             held = [[c[end:] for c in columns]]
             n_held -= end
             due = n_held + TOGETHER
         if n_held:
-            yield from add([np.concatenate(x) for x in zip(*held, strict=True)])
-        if n_sums:
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, summed(sums))), names)
+            yield finished([np.concatenate(x) for x in zip(*held, strict=True)])
 
     # by one number only, which Spark sorts by its digits; a group's rows are sorted further here
     return listed.repartition("part").sortWithinPartitions("part").mapInArrow(apply, _LOSSES)
