@@ -280,6 +280,20 @@ def test_a_batch_of_random_ids_opens_only_row_groups_that_may_hold_them(spark, t
     assert tables.read(NAME).filter("customer_name = 'new'").count() == 1
 
 
+def test_a_batch_of_many_keys_is_looked_up_without_deep_recursion(spark, tables):
+    from tidemark.sources.tables import LOOKUP_KEYS
+
+    def batch(name, version):
+        return _customers(spark, [(f"k{i}", name, version) for i in range(LOOKUP_KEYS)])
+
+    with tables.run() as run:
+        run.add(NAME, batch("old", 1))
+    with tables.run() as run:  # one list of this many keys overflows the stack of Parquet's reader
+        assert merge_into(run, NAME, batch("new", 2), KEY) == LOOKUP_KEYS
+    assert tables.read(NAME).filter("customer_name = 'new'").count() == LOOKUP_KEYS
+    assert tables.read(NAME).count() == LOOKUP_KEYS
+
+
 def test_a_heavy_date_is_written_by_many_tasks(spark, tables):
     rows = spark.range(200_000).select(
         F.col("id").cast("string").alias("customer_id"), F.md5(F.col("id").cast("string"))

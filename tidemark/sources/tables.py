@@ -16,6 +16,7 @@ import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from datetime import UTC, datetime, timedelta
+from itertools import batched
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,9 @@ from tidemark.sources.storage import Storage
 #: A batch of up to this many keys is looked up by the keys themselves, which Parquet's Bloom filters
 #: and dictionaries answer for each row group; of a larger one only the range of its keys is.
 LOOKUP_KEYS = 10_000
+#: Spark hands Parquet a list of keys as a chain of "or", one in the other, which Parquet follows by
+#: recursion. Chains of this length are joined as a balanced tree, so that it never goes deep.
+CHAINED_KEYS = 64
 #: How long replaced files are kept for readers that have opened an older version.
 KEPT_HOURS = 72
 
@@ -359,7 +363,18 @@ def rows_that_may_match(tables: Tables, name: str, changes: DataFrame, key: str,
     if span["rows"] > LOOKUP_KEYS:
         return keys.filter(F.col(key).between(F.lit(span["low"]), F.lit(span["high"])))
     wanted = [r[0] for r in changes.filter(F.col(key).isNotNull()).select(key).distinct().collect()]
-    return keys.filter(F.col(key).isin(wanted))
+    return keys.filter(_any_of(key, sorted(wanted)))
+
+
+def _any_of(key: str, wanted: Sequence[str]) -> str:
+    """SQL that ``key`` is in a list: as one list, which is quick for a row, and as a balanced tree
+    of short ones for Parquet. As text, since columns made one by one take seconds for so many."""
+    lists = [f"`{key}` IN ({', '.join(map(_quoted, some))})"
+             for some in batched(wanted, CHAINED_KEYS)] or ["FALSE"]
+    whole = f"`{key}` IN ({', '.join(map(_quoted, wanted))})" if wanted else "FALSE"
+    while len(lists) > 1:
+        lists = [f"({' OR '.join(pair)})" for pair in batched(lists, 2)]
+    return f"{whole} AND {lists[0]}"
 
 
 def merge_into(run: Run, name: str, source: DataFrame, key: str, version: str = "_ingested_at",
@@ -409,7 +424,7 @@ def merge_into(run: Run, name: str, source: DataFrame, key: str, version: str =
 
 
 class pushed_keys:
-    """While open, lists of up to ``LOOKUP_KEYS`` values reach Parquet as lists, not as ranges."""
+    """While open, lists of up to ``CHAINED_KEYS`` values reach Parquet as lists, not as ranges."""
 
     _SETTING = "spark.sql.parquet.pushdown.inFilterThreshold"
 
@@ -418,7 +433,7 @@ class pushed_keys:
 
     def __enter__(self) -> None:
         self.before = self.conf.get(self._SETTING)
-        self.conf.set(self._SETTING, str(LOOKUP_KEYS))
+        self.conf.set(self._SETTING, str(CHAINED_KEYS))
 
     def __exit__(self, *_: object) -> None:
         self.conf.set(self._SETTING, self.before)
