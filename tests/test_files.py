@@ -160,3 +160,36 @@ def test_large_files_do_not_depend_on_how_they_are_cut(spark, tmp_path, monkeypa
     records = [r for row in sorted(rows, key=lambda r: r["part"]) for r in json.loads(row["data"])]
     assert records == json.loads(csv_files.records_as_json(text))
     assert sum(r["records"] for r in rows) == 2000
+
+
+def test_records_of_a_whole_file_are_not_held_as_objects_at_once():
+    import tracemalloc
+
+    from tidemark.sources.csv_files import counted_records
+    text = "a,b,c,d\n" + "".join(f"{i},x,y,\n" for i in range(100_000))  # 1.1 MB, as JSON 4.3 MB
+    tracemalloc.start()
+    try:
+        data, count = counted_records(text)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert count == 100_000 and json.loads(data)[-1] == {"a": "99999", "b": "x", "c": "y", "d": ""}
+    assert peak < 4 * len(data)  # with all records as objects, 10 times
+
+
+def test_records_are_those_of_the_csv_module():
+    import csv
+    import io
+
+    from tidemark.sources.csv_files import counted_records
+    for text in ("", "a", "a,b\n", "a,b\n1\n\n2,3,4\r\n", 'a,a\r\n"x\n\ny",2', "a\r1\r2\n3\n",
+                 "a,b\n ,\x85\n" * 1500, 'null,b\n1,2,3\n'):
+        for header in (None, ["h", "a"]):
+            try:
+                rows = list(csv.DictReader(io.StringIO(text), fieldnames=header))
+            except csv.Error:
+                with pytest.raises(csv.Error):
+                    counted_records(text, header)
+                continue
+            assert counted_records(text, header) == (json.dumps(rows, ensure_ascii=False),
+                                                     len(rows))
