@@ -193,3 +193,19 @@ def test_records_are_those_of_the_csv_module():
                 continue
             assert counted_records(text, header) == (json.dumps(rows, ensure_ascii=False),
                                                      len(rows))
+
+
+def test_chunks_of_a_large_file_are_not_gathered_by_file(spark, tmp_path):
+    _write(tmp_path, {"a.csv": "k,v\n" + "".join(f"{i},x\n" for i in range(2000)),
+                      "b.csv": b"k,v\n1,\xff\n"})
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(limit, "-1")
+    try:
+        parsed = parse_large_files(spark, [str(tmp_path / n) for n in ("a.csv", "b.csv")],
+                                   str(tmp_path / "scratch"), chunk_bytes=1000)
+        plan = parsed._jdf.queryExecution().executedPlan().toString()
+        found = {r["path"].rpartition("/")[2]: r["n"] for r in
+                 parsed.groupBy("path").agg(F.sum("records").alias("n")).collect()}
+    finally:
+        spark.conf.unset(limit)
+    assert "SortMergeJoin" not in plan and found == {"a.csv": 2000, "b.csv": 0}

@@ -222,9 +222,10 @@ def parse_large_files(spark: SparkSession, paths: list[str], scratch: str | None
     failed = unreadable.unionByName(
         chunks.filter(F.col("error").isNotNull()).groupBy("file")
         .agg(F.min_by("error", "part").alias("error")))
-    good = chunks.join(failed, "file", "left_anti")
+    # one row a file, whose names the driver has; by a shuffle, all of a file would meet in one task
+    good = chunks.join(F.broadcast(failed), "file", "left_anti")
     bad = failed.select("file", F.lit(0).cast("long").alias("part"),
                         F.lit(None).cast("string").alias("data"), "error",
                     F.lit(0).cast("long").alias("records"))
     columns = [f.split()[0] for f in PARSED.split(", ")]
-    return good.unionByName(bad).join(known, "file").select(*columns)
+    return good.unionByName(bad).join(F.broadcast(known), "file").select(*columns)
