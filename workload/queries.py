@@ -641,8 +641,9 @@ def merge_gold(spark, sf_dir):
     rows = op.enrich(_quarterly(e.transactions(spark, sf_dir)), who, EPOCH, NOW)
     with tables.run() as run:
         run.add(name, _as_stored(rows, name))
-    newest = op.newest_per_key(_quarterly(e.line_versions(spark, sf_dir)), "transaction_id",
-                               newer=[F.col(c) for c in e.LINE_ORDER])
+    newest = materialized(op.newest_per_key(
+        _quarterly(e.line_versions(spark, sf_dir)), "transaction_id",
+        newer=[F.col(c) for c in e.LINE_ORDER]))  # both merges take it
     for _ in range(2):
         with tables.run() as run:
             merge_into(run, name, _as_stored(op.enrich(newest, who, EPOCH, NOW), name),
