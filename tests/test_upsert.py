@@ -294,6 +294,23 @@ def test_a_batch_of_many_keys_is_looked_up_without_deep_recursion(spark, tables)
     assert tables.read(NAME).count() == LOOKUP_KEYS
 
 
+def test_a_batch_that_changes_nothing_is_not_joined_again(spark, tables, monkeypatch):
+    import tidemark.sources.tables as module
+
+    _merge(spark, tables, [("a", "x", 5), ("b", "x", 5), (None, "k", 1)])
+
+    def joined(*_):
+        raise AssertionError("joined")
+
+    with monkeypatch.context() as closed:
+        closed.setattr(module, "rows_to_write", joined)
+        _merge(spark, tables, [("a", "y", 5), ("b", "y", 4), (None, "l", 2)])
+    state = {("a", "x", 5): 1, ("b", "x", 5): 1, (None, "k", 1): 1, (None, "l", 2): 1}
+    assert _stored(tables) == Counter(state)
+    _merge(spark, tables, [("a", "y", 5), ("c", "y", 1)])
+    assert _stored(tables) == Counter(state | {("c", "y", 1): 1})
+
+
 def test_a_heavy_date_is_written_by_many_tasks(spark, tables):
     rows = spark.range(200_000).select(
         F.col("id").cast("string").alias("customer_id"), F.md5(F.col("id").cast("string"))

@@ -394,8 +394,8 @@ def merge_into(run: Run, name: str, source: DataFrame, key: str, version: str =
     marks = [batch.schema[c] for c in extra]
     changes = (tables.spark.read.schema(StructType([*LAYOUTS[name].stored, *marks]))
                .parquet(run.path(name, folder)))
-    span = changes.agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("low"),
-                       F.max(key).alias("high")).first()
+    span = changes.agg(F.count(F.lit(1)).alias("rows"), F.count(key).alias("keyed"),
+                       F.min(key).alias("low"), F.max(key).alias("high")).first()
     if not span["rows"]:
         return 0
     whole = not extra  # copies to insert need a look at every match
@@ -417,7 +417,11 @@ def merge_into(run: Run, name: str, source: DataFrame, key: str, version: str =
         if kept is not None:
             run.add(name, kept)
     else:
-        rows = rows_to_write(changes, matches, key).select(*schema.names)
+        if whole and not found["newer"] and found["keys"] == span["keyed"]:
+            rows = changes.filter(F.col(key).isNull())  # no key is new or newer: nothing to join
+        else:
+            rows = rows_to_write(changes, matches, key)
+        rows = rows.select(*schema.names)
         run.add(name, rows if kept is None else rows.unionByName(kept))
     run.drop(name, touched)
     return span["rows"]
