@@ -174,7 +174,7 @@ def test_records_of_a_whole_file_are_not_held_as_objects_at_once():
     finally:
         tracemalloc.stop()
     assert count == 100_000 and json.loads(data)[-1] == {"a": "99999", "b": "x", "c": "y", "d": ""}
-    assert peak < 4 * len(data)  # with all records as objects, 10 times
+    assert peak < 4 * len(data)  # with all records as objects, 6.5 times
 
 
 def test_records_are_those_of_the_csv_module():
