@@ -94,6 +94,17 @@ def test_duplicates_within_a_file(spark):
     assert _bag(newest_per_key(fine, "k")) == Counter({("a", "z", 4): 1})
 
 
+def test_only_the_highest_rows_are_shuffled_and_without_copies_of_their_rank(spark):
+    rows = [("a", "x", 3), ("a", "y", 3), ("a", "z", None), (None, "n", 1), (None, "n", 1),
+            ("b", None, None)]
+    source = _frame(spark, rows).withColumn("_nested", F.struct(F.col("v").alias("of")))
+    best = newest_per_key(source, "k", newer=[F.col("_nested.of")])
+    assert _bag(best) == Counter({("a", "y", 3): 1, (None, "n", 1): 2, ("b", None, None): 1})
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    # an aggregate of structs sorts and shuffles each row with its rank beside it, twice
+    assert plan.count("WindowGroupLimit") == 2 and "Aggregate" not in plan
+
+
 def test_duplicates_can_be_inserted_but_not_update(spark):
     twice = _frame(spark, [("a", "x", 3), ("a", "y", 3), ("b", "z", 1), (None, "n", 1)])
     empty = _frame(spark, [])

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import materialized
@@ -23,21 +23,22 @@ def newest_per_key(source: DataFrame, key: str, version: str = "_ingested_at",
 
     Rows equal in all of these are duplicates of one file. ``error`` fails the job on them;
     ``insert`` keeps them all, and marks them in ``_copies`` and ``_first`` for the merge.
-    The choice is a combinable aggregate, so a key with very many versions is reduced before
-    the shuffle. Each row without a key is a group of its own, so these spread evenly too; say
-    ``keyless=False`` if there are none, and the result is partitioned by key for a join.
+    A key with very many versions is reduced before the shuffle. Each row without a key is a group
+    of its own, so these spread evenly too; say ``keyless=False`` if there are none, and the result is
+    partitioned by key for a join.
     """
     if on_duplicate not in _CHOICES:
         raise ValueError(f"on_duplicate must be one of {_CHOICES}")
     columns = list(columns or source.columns)
+    if on_duplicate == "error":
+        return _single_newest(source, key, [F.col(version), *newer], columns, keyless)
     rank = F.struct(F.col(version).alias("version"),
                     *[c.alias(f"then_{i}") for i, c in enumerate(newer)])
     rows = source.select(
         F.col(key).alias("_key"), rank.alias("_rank"),
         F.monotonically_increasing_id().alias("_row"),
         F.struct(*[c for c in columns if c != key]).alias("_value"))
-    if on_duplicate == "insert":
-        rows = materialized(rows)  # row numbers are used twice and must not change between
+    rows = materialized(rows)  # row numbers are used twice and must not change between
     alone = F.when(F.col("_key").isNull(), F.col("_row")) if keyless else F.lit(None)
     rows = rows.withColumn("_alone", alone.cast("bigint"))
     group = ["_key", "_alone"] if keyless else ["_key"]
@@ -49,11 +50,6 @@ def newest_per_key(source: DataFrame, key: str, version: str = "_ingested_at",
     def fields(value: str) -> list[Column]:
         return [F.col("_key").alias(c) if c == key else F.col(f"{value}.{c}") for c in columns]
 
-    if on_duplicate == "error":
-        single = F.assert_true(
-            ~F.col("_copies"),
-            F.concat(F.lit(f"duplicate {key} in one file: "), F.col("_key").cast("string")))
-        return best.filter(single.isNull()).select(*fields("top._value"))
     chosen = best.select(*[F.col(g).alias(f"_of{g}") for g in group],
                          F.col("top._rank").alias("_of_rank"), F.col("top._row").alias("_of_row"),
                          "_copies")
@@ -65,6 +61,24 @@ def newest_per_key(source: DataFrame, key: str, version: str = "_ingested_at",
                     (F.col("_row") == F.col("_of_row")).alias("_first")))
 
 
+def _single_newest(source: DataFrame, key: str, rank: Sequence[Column], columns: Sequence[str],
+                   keyless: bool) -> DataFrame:
+    """The highest row of each key. Of each key Spark keeps the highest row, and its equals, before
+    the shuffle and after it. Rows stay as they are, without copies of what ranks them."""
+    group, rows = [F.col(key)], source
+    if keyless:
+        rows = rows.withColumn("_newest_alone", F.when(
+            F.col(key).isNull(), F.monotonically_increasing_id()).cast("bigint"))
+        group.append(F.col("_newest_alone"))
+    highest = Window.partitionBy(*group).orderBy(*[c.desc() for c in rank])
+    best = rows.withColumns({"_newest_rank": F.rank().over(highest),
+                             "_newest_place": F.row_number().over(highest)})
+    single = F.assert_true(
+        F.col("_newest_place") == 1,
+        F.concat(F.lit(f"duplicate {key} in one file: "), F.col(key).cast("string")))
+    return best.filter("_newest_rank = 1").filter(single.isNull()).select(*columns)
+
+
 def _refuse_copies(copies: Column, key: Column) -> Column:
     return F.assert_true(
         ~copies, F.concat(F.lit("several source rows update one row: "), key.cast("string")))
