@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import csv
+import io
 import json
 import random
 
@@ -209,3 +211,14 @@ def test_chunks_of_a_large_file_are_not_gathered_by_file(spark, tmp_path):
     finally:
         spark.conf.unset(limit)
     assert "SortMergeJoin" not in plan and found == {"a.csv": 2000, "b.csv": 0}
+
+
+def test_usual_records_become_json_without_an_object_each(monkeypatch):
+    made = []
+    dumps = json.dumps
+    monkeypatch.setattr(csv_files.json, "dumps", lambda *a, **k: made.append(a) or dumps(*a, **k))
+    text = 'a,%s,"q""é"\n' + "1,%d,\\x\n" * 5000 + '"two\nlines",,"\t"\n\n1,2\n1,2,3,4,5\n'
+    data, count = csv_files.counted_records(text)
+    rows = list(csv.DictReader(io.StringIO(text, newline="")))
+    assert (data, count) == (dumps(rows, ensure_ascii=False), 5003)
+    assert len(made) == 2  # the short and the long record

@@ -68,7 +68,9 @@ UNREADABLE = "a message is broken or holds a value too long to be parsed"
 def unreadable(events: DataFrame, fields: Sequence[str], data: str = "data") -> DataFrame:
     """Messages that :func:`explode_records` takes as an error, with all their columns."""
     payload = F.col(data)
-    long = events.filter(_is_array(payload) & (F.length(payload) >= _LONG))
+    # bytes are known without a look at the text, and there are as many as characters at least
+    long = events.filter((F.octet_length(payload) >= _LONG) & (F.length(payload) >= _LONG)
+                         & _is_array(payload))
     return long.filter(_lost(_own_records(payload, fields), payload))
 
 

@@ -29,6 +29,8 @@ YIELD_BYTES = 4 * 1024 * 1024
 # Records held as objects at a time; they take some ten times the room of their text.
 RECORDS_AT_ONCE = 1000
 
+_text = json.encoder.encode_basestring  # a JSON text, not limited to ASCII
+
 PARSED = ("path string, modificationTime timestamp, length long, part long, data string, "
           "error string, records long")
 
@@ -70,13 +72,25 @@ def counted_records(text: str, header: list[str] | None = None) -> tuple[str, in
 
     Fields are bound to the names in ``header``, or else in the first record.
     """
-    pieces, count = [], 0
-    for records in batched(csv.DictReader(_lines(text), fieldnames=header), RECORDS_AT_ONCE):
-        pieces.append(json.dumps(records, ensure_ascii=False)[1:-1])
-        count += len(records)
+    rows, pieces, count = csv.reader(_lines(text)), [], 0
+    names = next(rows, []) if header is None else header
+    # Rows as wide as the header need no object: their texts go into the place of each name.
+    usual = len(names) if len(set(names)) == len(names) else -1
+    shape = ", ".join(f"{_text(name).replace('%', '%%')}: %s" for name in names)
+    for some in batched(filter(None, rows), RECORDS_AT_ONCE):
+        pieces.append(", ".join([
+            f"{{{shape % tuple(map(_text, row))}}}" if len(row) == usual
+            else json.dumps(_record(names, row), ensure_ascii=False) for row in some]))
+        count += len(some)
     return f"[{', '.join(pieces)}]", count
 
 
+def _record(names: Sequence[str], row: Sequence[str]) -> dict:
+    """A row as ``csv.DictReader`` gives it: absent fields are null, those beyond the header a list."""
+    record = dict(zip(names, row, strict=False)) | dict.fromkeys(names[len(row):])
+    return record | ({None: row[len(names):]} if len(row) > len(names) else {})
+
+
 def _lines(text: str) -> Iterator[str]:
     """Lines with their ends, without the copy of four bytes a character that ``StringIO`` makes."""
     at = 0

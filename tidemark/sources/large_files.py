@@ -12,6 +12,7 @@ import csv
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +28,11 @@ RECORD_BYTES = 512 * 1024 * 1024
 _SCANNED = ("file string, block long, line long, value string, if_outside int, if_inside int, "
             "bytes long, valid boolean, header array<string>, "
             "outside_ends_inside boolean, inside_ends_inside boolean")
+_SCANNED_ARROW = pa.schema([
+    ("file", pa.string()), ("block", pa.int64()), ("line", pa.int64()), ("value", pa.string()),
+    ("if_outside", pa.int32()), ("if_inside", pa.int32()), ("bytes", pa.int64()),
+    ("valid", pa.bool_()), ("header", pa.list_(pa.string())),
+    ("outside_ends_inside", pa.bool_()), ("inside_ends_inside", pa.bool_())])
 _CHUNKS = "file string, part long, data string, error string, records long"
 
 
@@ -81,10 +87,17 @@ def _first_record(lines: list[str]) -> list[str]:
         return []  # the chunk that holds the header reports the error
 
 
+def _blocks(ended: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, field.type)
+         for column, field in zip(zip(*ended, strict=True), _SCANNED_ARROW, strict=True)],
+        schema=_SCANNED_ARROW)
+
+
 def _scan(chunk_bytes: int) -> Callable:
     """A scan of lines in file order that reports each line and, at its end, each block."""
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here: tuple | None = None
         outside = inside = None
         size_seen, number, valid, head, head_done = 0, 0, True, [], False
@@ -94,31 +107,37 @@ def _scan(chunk_bytes: int) -> Callable:
             return (*here, -1, None, outside.chunks, inside.chunks, size_seen, valid, header,
                     outside.inside, inside.inside)
 
-        names = [f.split()[0] for f in _SCANNED.split(", ")]
         for batch in batches:
-            out = []
-            for file, block, value, ok in zip(
-                    batch["file"], batch["block"], batch["value"], batch["valid"], strict=True):
+            ended, numbers, sizes, if_outside, if_inside = [], [], [], [], []
+            given = [batch.column(c) for c in ("file", "block", "value", "valid")]
+            for file, block, value, ok in zip(*(c.to_pylist() for c in given), strict=True):
                 if here != (file, block):
                     if here is not None:
-                        out.append(summary())
+                        ended.append(summary())
                     here = (file, block)
                     outside, inside = _Assumption(False), _Assumption(True)
                     size_seen, number, valid, head, head_done = 0, 0, True, [], block != 0
                 size, quoted = len(value) + 1, '"' in value
                 if not head_done:
                     head.append(value)
-                a = outside.take(value, size, quoted, chunk_bytes)
-                b = inside.take(value, size, quoted, chunk_bytes)
+                if_outside.append(outside.take(value, size, quoted, chunk_bytes))
+                if_inside.append(inside.take(value, size, quoted, chunk_bytes))
                 head_done = head_done or not outside.inside
-                out.append((file, block, number, value, a, b, size, bool(ok), None, None, None))
+                numbers.append(number)
+                sizes.append(size)
                 number += 1
                 size_seen += size
-                valid = valid and bool(ok)
-            if out:
-                yield pd.DataFrame(out, columns=names)
+                valid = valid and ok
+            files, blocks, values, valids = given  # as they came, texts are not made anew
+            nothing = [pa.nulls(len(numbers), f.type) for f in list(_SCANNED_ARROW)[-3:]]
+            yield pa.RecordBatch.from_arrays(
+                [files, blocks, pa.array(numbers, pa.int64()), values,
+                 pa.array(if_outside, pa.int32()), pa.array(if_inside, pa.int32()),
+                 pa.array(sizes, pa.int64()), valids, *nothing], schema=_SCANNED_ARROW)
+            if ended:
+                yield _blocks(ended)
         if here is not None:
-            yield pd.DataFrame([summary()], columns=names)
+            yield _blocks([summary()])
 
     return scan
 
@@ -197,7 +216,7 @@ def parse_large_files(spark: SparkSession, paths: list[str], scratch: str | None
 
     # Lines and blocks come from one scan that is written down: how Spark cuts files into blocks
     # depends on settings and cores, and a second scan could see other ones.
-    scanned = materialized(lines.mapInPandas(_scan(chunk_bytes), _SCANNED), f"{scratch}/lines")
+    scanned = materialized(lines.mapInArrow(_scan(chunk_bytes), _SCANNED), f"{scratch}/lines")
     chained = materialized(_chained(scanned.filter("line = -1")), f"{scratch}/blocks")
     headers, marked = {}, set()
     for row in chained.filter("block = 0").select("file", "header").collect():
