@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import gold, lineage, reports, silver, views
 from tidemark.plans.medallion import refresh_all
-from tidemark.session import utc_now
+from tidemark.session import materialized, utc_now
 from tidemark.sources.storage import Storage
 from tidemark.sources.tables import Tables, create_table_sql, replace_all
 from tidemark.streaming import landing, start_landing
@@ -142,6 +142,37 @@ def test_newest_file_of_a_path_wins(feed):
     assert lineage.late_events(feed.tables).count() == 0
 
 
+@pytest.mark.parametrize("few", [0, 1, 200_000])
+def test_superseded_messages_are_left_out_however_many_there_are(feed, monkeypatch, few):
+    """Two newest messages and one older: all are too many to be broadcast, the newest, or none."""
+    monkeypatch.setattr(silver, "BROADCAST_MESSAGES", few)
+    path = f"entity=customers/{DAY}/c.csv"
+    feed.put(path, "customer_id,customer_name\nC1,Old\nC2,Gone\n")
+    feed.put(f"entity=customers/{DAY}/d.csv", "customer_id,customer_name\nC3,Other\n")
+    feed.land(after_batch=None)
+    time.sleep(1.1)
+    feed.put(path, "customer_id,customer_name\nC1,New one\n")
+    feed.land(after_batch=None)
+    silver.refresh_silver_customers(feed.tables)
+    assert feed.rows("silver_customers", "customer_id", "customer_name") == [
+        ("C1", "New one"), ("C3", "Other")]
+    assert [r[0] for r in feed.rows("ledger", "outcome")] == ["superseded", "used", "used"]
+
+
+def test_messages_are_not_compared_if_no_path_came_twice(feed, monkeypatch):
+    monkeypatch.setattr(silver, "BROADCAST_MESSAGES", 0)
+    written = []
+    monkeypatch.setattr(silver, "materialized", lambda df, folder: (
+        written.append(folder.rpartition("/")[2]), materialized(df, folder))[1])
+    feed.put(f"entity=customers/{DAY}/c.csv", PEOPLE)
+    feed.put(f"entity=customers/{DAY}/d.csv", "customer_id,customer_name\nC3,Other\n")
+    feed.land(after_batch=None)
+    silver.refresh_silver_customers(feed.tables)
+    assert written == ["newest-1"]
+    assert [r[0] for r in feed.rows("ledger", "outcome")] == ["used", "used"]
+    assert len(feed.rows("silver_customers", "customer_id")) == 3
+
+
 def test_rejected_quarantined_and_ignored_files(feed):
     feed.put("entity=other/x.csv", "a\n1\n")
     feed.put("x/entity=customers/c.csv", "customer_id\nC1\n")

@@ -49,23 +49,31 @@ def new_events(raw: DataFrame, entity: str, mark: datetime) -> DataFrame:
         "data", *extra)
 
 
-def newest_messages(events: DataFrame, identity: Sequence[str] = ("message_id",)) -> DataFrame:
+def newest_messages(events: DataFrame, identity: Sequence[str] = ("message_id",),
+                    alone: str | None = None) -> DataFrame:
     """The ``identity`` of the messages that make up the newest file of each path.
 
     A file is one message, or one message per ``part`` when it was too large for one. Only
     narrow columns are grouped and shuffled, never the payload, and the grouping is combined
     before the shuffle: a path that sends a third of all messages costs no more than others.
+    ``alone`` names a column that says whether all messages of the path are among them.
     """
     part = F.col("part") if "part" in events.columns else F.lit(0)
     file = F.coalesce("audit_id", "message_id") if "audit_id" in events.columns \
         else F.col("message_id")
     newest_copy = F.max(F.struct(
         F.struct("ingested_at", "publish_time", file.alias("file")).alias("version"), *identity))
+    copies = [F.count(F.lit(1)).alias("_copies")] if alone else []
     parts = (events.groupBy("source_path", part.alias("part"))
-             .agg(newest_copy.alias("m")).select("source_path", "m.*"))
-    newest = F.max("version").over(Window.partitionBy("source_path"))
-    return (parts.withColumn("_newest", newest)
-            .filter(F.col("version") == F.col("_newest")).select(*identity))
+             .agg(newest_copy.alias("m"), *copies)
+             .select("source_path", "m.*", *(["_copies"] if alone else [])))
+    path = Window.partitionBy("source_path")
+    parts = parts.withColumn("_newest", F.max("version").over(path))
+    if alone:
+        parts = parts.withColumn(alone, (F.max("_copies").over(path) == 1)
+                                 & (F.min("version").over(path) == F.col("_newest")))
+    return (parts.filter(F.col("version") == F.col("_newest"))
+            .select(*identity, *([alone] if alone else [])))
 
 
 def latest_per_path(events: DataFrame, identity: Sequence[str] = ("message_id",),

@@ -17,7 +17,6 @@ from tidemark.functions import (
 )
 from tidemark.operators import (
     explode_records,
-    latest_per_path,
     new_events,
     newest_messages,
     unreadable,
@@ -86,30 +85,37 @@ def _malformed(records: DataFrame, fields: tuple[str, ...], now: datetime) -> Da
         F.lit("malformed customer id").alias("error"), F.lit(now).alias("seen_at"))
 
 
-def _only_newest(run: Run, events: DataFrame, newest: DataFrame, messages: int,
-                 identity: tuple[str, ...]) -> DataFrame:
-    """The newest messages with their payload, which is not shuffled if that can be avoided.
+def _with_use(run: Run, events: DataFrame, newest: DataFrame, messages: int, alone: bool,
+              identity: tuple[str, ...]) -> DataFrame:
+    """``events`` with ``_used``, whether they are among the newest messages. Payloads are not
+    shuffled for it if that can be avoided.
 
-    Few messages are picked by a broadcast of their identities. Among many, those to leave out
-    are usually few. Only if both are many, payloads are shuffled, evenly, by identity.
+    If no path sent a file twice, all are used. Few messages are told by a broadcast of their
+    identities. Among many, those to leave out are usually few. Only if both are many, messages are
+    shuffled, evenly, by identity.
     """
+    if alone:
+        return events.withColumn("_used", F.lit(True))
+    newest = newest.select(*identity)
     if messages <= BROADCAST_MESSAGES:
-        return latest_per_path(events, identity, F.broadcast(newest))
-    older = materialized(events.select(*identity).join(newest, list(identity), "left_anti"),
-                         run.scratch("older"))
-    if older.count() <= BROADCAST_MESSAGES:
-        return events.join(F.broadcast(older), list(identity), "left_anti")
-    return latest_per_path(events, identity, newest)
-
-
-def _consumed(events: DataFrame, newest: DataFrame, identity: tuple[str, ...],
-              now: datetime) -> DataFrame:
+        few, used = F.broadcast(newest), F.col("_told").isNotNull()
+    else:
+        older = materialized(events.select(*identity).join(newest, list(identity), "left_anti"),
+                             run.scratch("older"))
+        if older.count() <= BROADCAST_MESSAGES:
+            few, used = F.broadcast(older), F.col("_told").isNull()
+        else:
+            few, used = newest, F.col("_told").isNotNull()
+    told = few.withColumn("_told", F.lit(True))
+    return events.join(told, list(identity), "left").withColumn("_used", used).drop("_told")
+
+
+def _consumed(marked: DataFrame, now: datetime) -> DataFrame:
     """A ledger line for every message this run has taken into account."""
-    used = newest.select(*identity, F.lit("used").alias("_used"))
-    return (events.drop("data").join(used, list(identity), "left").select(
+    return marked.select(
         "message_id", "audit_id", "entity", "source_path",
-        F.coalesce("_used", F.lit("superseded")).alias("outcome"),
-        F.lit(now).alias("processed_at")))
+        F.when(F.col("_used"), "used").otherwise("superseded").alias("outcome"),
+        F.lit(now).alias("processed_at"))
 
 
 def _refresh(tables: Tables, entity: str, now: datetime | None, mark: datetime | None,
@@ -122,12 +128,14 @@ def _refresh(tables: Tables, entity: str, now: datetime | None, mark: datetime |
     events = new_events(tables.read("landing_events", with_files=True), entity, mark)
     identity = ("_file", "_row")
     with tables.run() as run:
-        newest = materialized(newest_messages(events.drop("data"), identity),
+        newest = materialized(newest_messages(events.drop("data"), identity, alone="_alone"),
                               run.scratch("newest"))
-        messages = newest.count()
-        if not messages:
+        found = newest.agg(F.count(F.lit(1)).alias("messages"),
+                           F.bool_and("_alone").alias("alone")).first()
+        if not found["messages"]:
             return 0
-        picked = _only_newest(run, events, newest, messages, identity)
+        marked = _with_use(run, events, newest, found["messages"], found["alone"], identity)
+        picked = marked.filter("_used").drop("_used")
         # one message that cannot be read must not stop all others
         broken = unreadable(picked, fields)
         run.add("malformed_records", broken.select(
@@ -139,7 +147,8 @@ def _refresh(tables: Tables, entity: str, now: datetime | None, mark: datetime |
             records = records.filter(well_formed_customer_id("customer_id"))
         rows = merge_into(run, silver, clean(records, now, id_mode), key,
                           newer=[F.col(c) for c in UPLOAD_ORDER], on_duplicate=on_duplicate)
-        run.add("ledger", _consumed(events, newest, identity, now))
+        # of one entity, so that rebalancing by it would bring all lines to few tasks
+        run.add("ledger", _consumed(marked, now), rebalance=False)
     return rows
 
 

@@ -278,9 +278,9 @@ class Run:
         self._written: list[tuple[str, str]] = []
         self._scratch = 0
 
-    def add(self, name: str, rows: DataFrame) -> None:
+    def add(self, name: str, rows: DataFrame, rebalance: bool = True) -> None:
         """Write rows for a table."""
-        self.add_folder(name, self.write(name, rows))
+        self.add_folder(name, self.write(name, rows, rebalance=rebalance))
 
     def _new_folder(self, name: str) -> str:
         """A folder below a table that this run alone writes."""
@@ -298,17 +298,19 @@ class Run:
             self.tables.storage.move(written, self.path(name, folder))
             self.add_folder(name, folder)
 
-    def write(self, name: str, rows: DataFrame, extra: Sequence[str] = ()) -> str:
+    def write(self, name: str, rows: DataFrame, extra: Sequence[str] = (),
+              rebalance: bool = True) -> str:
         """Write rows in a table's layout without making them part of it; returns the folder.
 
         Rows are sorted by the clustering columns within each partition. Rebalancing gives files
         of even size: adaptive execution splits a heavy date over many tasks and joins small ones.
+        Without it each task writes what it has.
         Keys get Bloom filters, by which an upsert finds the row groups that may hold its keys.
         """
         layout = LAYOUTS[name]
         derived = {c: F.expr(e) for c, (_, e) in layout.partitions.items()}
         rows = rows.select(*layout.schema.names, *extra).withColumns(derived)
-        if layout.partitions:
+        if layout.partitions and rebalance:
             rows = rows.hint("rebalance", *layout.partitions)
         if layout.cluster:
             rows = rows.sortWithinPartitions(*layout.partitions, *layout.cluster)
