@@ -9,6 +9,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from itertools import groupby
 
 import numpy as np
 import public_tokenizers
@@ -508,6 +509,30 @@ def test_cross_entropy_is_that_of_plain_counts(spark, docs, none):
     assert cross_entropy.score(none, nothing).count() == 0
 
 
+@pytest.mark.parametrize("alike", [False, True])
+def test_cross_entropy_rows_add_up_if_sort_keys_are_alike(monkeypatch, alike):
+    """Rows are sorted by the first bits of keys; here all pairs have the same ones."""
+    if alike:
+        monkeypatch.setattr(cross_entropy, "_mixed", lambda word, before: np.zeros(len(word), np.int64))
+    monkeypatch.setattr(cross_entropy, "BLOCK_CHARS", 20)
+    texts = ["a b a b c a b", "", "b a b a", "c", "don't stop 'sea' 12 x9", "d e " * 12, "1 2"]
+    of, before, word = cross_entropy.pairs_of(texts)
+    plain = [re.findall("[a-z]+", t.replace("don't", "don t")) for t in texts]
+    plain[4] = ["don", "stop", "sea", "x"]
+    assert np.bincount(of, minlength=len(texts)).tolist() == [len(p) for p in plain]
+    expected, found, lasts = Counter(zip(of.tolist(), before.tolist(), word.tolist())), Counter(), []
+    *rows, n_words = cross_entropy._rows_of(texts)
+    for text, b, w, n, last in zip(*map(np.ndarray.tolist, rows), strict=True):
+        found[text, b, w] += n
+        lasts += [(text, w)] if last else []
+    assert found == expected and n_words.tolist() == [len(p) for p in plain]
+    assert lasts == [(t, int(word[of == t][-1])) for t in range(len(texts)) if plain[t]]
+    part, of_pair, place = np.array([1, 1, 1, 1, 2, 2, 3]), np.array([5, 6, 5, 6, 5, 6, 5]), np.full(7, -1)
+    order = cross_entropy._pairs_together(part, of_pair, place)
+    pairs = list(zip(part[order].tolist(), of_pair[order].tolist()))
+    assert len([p for p, _ in groupby(pairs)]) == len(set(pairs)) == 5
+
+
 def test_cross_entropy_keeps_every_pair_apart(spark):
     """More distinct words and pairs than 2^18 and 2^20: each pair was seen once or twice."""
     rng = np.random.default_rng(5)

@@ -29,13 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import chunks, kept, slices
+from tidemark.llm.frames import CHUNK_CHARS, chunks, kept, slices
 from tidemark.llm.words import word_pieces
 
 #: Weight of the word's probability in a pair's, and of a word that was never seen.
 BACKOFF, UNSEEN = 20.0, 0.5
 #: Rows of whole words that a task works on at once, about.
 TOGETHER = 500_000
+#: Characters that words are split from at once, so that what is made of them stays near the processor.
+BLOCK_CHARS = 100_000
+#: Characters whose words are counted at once.
+COUNTED_CHARS = 4_000_000
 #: A word or pair is frequent if it has this share of all rows (a row is a pair of a text); some that
 #: have half of it are taken for frequent, too.
 SHARE = 1 / 2000
@@ -68,22 +72,25 @@ def _decoded(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def pairs_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each word of the lower-cased texts (runs of letters): its text, the key of the word
     before it (0 at the begin of a text) and its own key."""
-    pieces, _ = word_pieces(texts)
-    keys = pieces.keys()
-    first = np.ones(len(keys), bool)
-    first[1:] = pieces.text[1:] != pieces.text[:-1]
-    before = np.where(first, np.uint64(0), np.roll(keys, 1)) if len(keys) else keys
-    return pieces.text, before.view(np.int64), keys.view(np.int64)
-
-
-def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order of the rows by ``columns``, and the places in it where a new value begins."""
-    order = np.lexsort(columns)
-    new = np.zeros(len(order), bool)
+    found = []
+    for first, some in chunks(texts, BLOCK_CHARS):
+        pieces, _ = word_pieces(some)
+        found.append((pieces.text + first, pieces.keys()))
+    of, keys = map(np.concatenate, zip(*found, strict=True)) if found else (
+        np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    new = np.ones(len(keys), bool)
+    new[1:] = of[1:] != of[:-1]
+    before = np.where(new, np.uint64(0), np.roll(keys, 1)) if len(keys) else keys
+    return of, before.view(np.int64), keys.view(np.int64)
+
+
+def _begins(*columns: np.ndarray) -> np.ndarray:
+    """Whether a new value begins at a row of ``columns``."""
+    new = np.zeros(len(columns[0]), bool)
     new[:1] = True
     for column in columns:
-        new[1:] |= column[order[1:]] != column[order[:-1]]
-    return order, np.flatnonzero(new)
+        new[1:] |= column[1:] != column[:-1]
+    return new
 
 
 def _mixed(word: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -93,21 +100,35 @@ def _mixed(word: np.ndarray, before: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))).view(np.int64)
 
 
+def _order_within(group: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the rows by ``group``, whose numbers ascend from row to row, and in it by as many of
+    the first bits of ``key`` as one sorted number holds beside it; these numbers in that order."""
+    bits = max(int(group[-1]).bit_length(), 1) if len(group) else 1
+    joint = (group.astype(np.uint64) << np.uint64(64 - bits)) | (key.view(np.uint64) >> np.uint64(bits))
+    order = np.argsort(joint)
+    return order, joint[order]
+
+
+def _order_near(key: np.ndarray) -> np.ndarray:
+    """An order of the rows by the first bits of ``key``; equal ones stay in their order."""
+    bits = np.uint64(len(key).bit_length())
+    return (np.sort(key.view(np.uint64) >> bits << bits | np.arange(len(key), dtype=np.uint64))
+            & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
+
+
 def _rows_of(texts: list[str]) -> tuple[np.ndarray, ...]:
     """The distinct pairs of each text: text, word before, word, number, and whether the word is
-    the text's last one (said in one row of the text). And the number of words of each text."""
+    the text's last one (said in one row of the text). And the number of words of each text.
+    Pairs of a text whose keys begin alike may come in several rows, which add up."""
     of, before, word = pairs_of(texts)
-    order, at = _runs(before, word, of)
+    order, _ = _order_within(of, _mixed(word, before))
+    new = _begins(of[order], word[order], before[order])
+    at = np.flatnonzero(new)
     rows, n = order[at], np.diff(np.append(at, len(order)))
-    row_of, row_word = of[rows], word[rows]
-    ends = np.flatnonzero(np.append(of[1:] != of[:-1], True)) if len(of) else of
-    last_word = np.zeros(len(texts), np.int64)
-    last_word[of[ends]] = word[ends]
-    is_last = row_word == last_word[row_of]
-    # several pairs of a text may end in that word: the first one says it
-    new = np.ones(len(rows), bool)
-    new[1:] = (row_of[1:] != row_of[:-1]) | (row_word[1:] != row_word[:-1])
-    return row_of, before[rows], row_word, n, is_last & new, np.bincount(of, minlength=len(texts))
+    is_last = np.zeros(len(rows), bool)
+    ends = np.append(of[1:] != of[:-1], True) if len(of) else np.zeros(0, bool)
+    is_last[(np.cumsum(new) - 1)[ends[order]]] = True
+    return of[rows], before[rows], word[rows], n, is_last, np.bincount(of, minlength=len(texts))
 
 
 @dataclass(frozen=True)
@@ -174,11 +195,11 @@ class _Known:
         return np.array(out)
 
 
-def _batches(batches, column: int):
-    """Groups of texts, with the rows they came from."""
+def _batches(batches, column: int, most: int = CHUNK_CHARS):
+    """Groups of texts of at most ``most`` characters, with the rows they came from."""
     for batch in batches:
         for some in slices(batch, column):
-            for first, group in chunks(some.column(column).to_pylist()):
+            for first, group in chunks(some.column(column).to_pylist(), most):
                 yield some.slice(first, len(group)), group
 
 
@@ -187,7 +208,7 @@ def _known(rows: DataFrame) -> _Known:
     sums = ["background", "target", "last_background", "last_target", "n_rows"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for some, group in _batches(batches, 0):
+        for some, group in _batches(batches, 0, COUNTED_CHARS):
             of, before, word, n, last, _ = _rows_of(group)
             if not len(of):
                 continue
@@ -195,13 +216,19 @@ def _known(rows: DataFrame) -> _Known:
             counted, target = (flags & _COUNTED) > 0, (flags & _TARGET) > 0
             columns = [n * counted, n * target, last * counted, last * target,
                        np.ones(len(n), np.int64)]
-            order, at = _runs(word)
+            order = np.argsort(word)
+            at = np.flatnonzero(_begins(word[order]))
             parts = [(np.zeros(len(at), np.int64), word[order[at]],
                       [np.add.reduceat(c[order].astype(np.int64), at) for c in columns], False)]
-            order, at = _runs(word, before)
+            # a pair has that share only if its word has
+            least = SHARE / 2 * len(order)
+            size = np.diff(np.append(at, len(order)))
+            order = order[np.repeat(size >= least, size)]
+            order = order[np.argsort(_mixed(word[order], before[order]))]
+            at = np.flatnonzero(_begins(word[order], before[order]))
             size = np.diff(np.append(at, len(order)))
             # one that is frequent in all has half of that share in the groups where it is so here
-            much = np.flatnonzero(size >= SHARE / 2 * len(order))
+            much = np.flatnonzero(size >= least)
             zero = np.zeros(len(much), np.int64)
             parts.append((before[order[at[much]]], word[order[at[much]]],
                           [zero, zero, zero, zero, size[much]], True))
@@ -288,7 +315,7 @@ def _listed(rows: DataFrame, known: _Known, turn: int) -> DataFrame:
             part = np.where(frequent >= 0, _mixed(word, before), word)
             mine = np.flatnonzero(~hot & (_mixed(part, part).view(np.uint64) % np.uint64(TURNS)
                                           == np.uint64(turn)))
-            mine = mine[np.argsort(part[mine], kind="stable")]
+            mine = mine[_order_near(part[mine])]
             of = of[mine]
             listed = [part[mine], before[mine], number[of],
                       _code(n[mine], frequent[mine], flags[of] | np.where(last[mine], _LAST, 0))]
@@ -304,6 +331,17 @@ def _listed(rows: DataFrame, known: _Known, turn: int) -> DataFrame:
 _LOSSES = "number long, n_words long, target_loss double, background_loss double"
 
 
+def _pairs_together(part: np.ndarray, before: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """An order of rows, which are sorted by ``part``, in which those of a word and of a pair are
+    neighbours."""
+    order, joint = _order_within(np.cumsum(_begins(part)) - 1, _mixed(before, frequent))
+    part, before, frequent = part[order], before[order], frequent[order]
+    # the numbers do not hold whole keys: seldom, other pairs have the same one
+    apart = (joint[1:] == joint[:-1]) & (before[1:] != before[:-1])
+    apart |= (part[1:] == part[:-1]) & (frequent[1:] != frequent[:-1])
+    return order[np.lexsort((before, frequent, part))] if apart.any() else order
+
+
 def _losses(listed: DataFrame, known: _Known) -> DataFrame:
     """What each scored row adds to the losses and to the number of words of its text; sums are handed
     on. Spark adds them up before it shuffles them."""
@@ -316,13 +354,13 @@ def _losses(listed: DataFrame, known: _Known) -> DataFrame:
         sums = [number[whole], n[whole], part[whole].view(np.float64), before[whole].view(np.float64)]
         if not len(rows):
             return sums
-        rows = rows[np.lexsort((before[rows], frequent[rows], part[rows]))]
         part, before, number, n, frequent, flags = (
             x[rows] for x in (part, before, number, n, frequent, flags))
-        new = np.ones(len(rows), bool)
-        new[1:] = (part[1:] != part[:-1]) | (frequent[1:] != frequent[:-1])
-        pair = new.copy()
-        pair[1:] |= before[1:] != before[:-1]
+        order = _pairs_together(part, before, frequent)
+        part, before, number, n, frequent, flags = (
+            x[order] for x in (part, before, number, n, frequent, flags))
+        new = _begins(part, frequent)
+        pair = new | _begins(before)
         at_pair, at_word = np.flatnonzero(pair), np.flatnonzero(new)
         of_pair, of_word = np.cumsum(pair) - 1, np.cumsum(new) - 1
         last = (flags & _LAST) > 0

@@ -86,17 +86,16 @@ class Pieces:
         if not len(self.start):
             return np.zeros(0, np.uint64)
         size = self.end - self.start
-        place = np.arange(len(self.points), dtype=np.int64)
-        inside = np.zeros(len(self.points) + 1, np.int64)
-        np.add.at(inside, self.start, 1)
-        np.add.at(inside, self.end, -1)
-        inside = np.cumsum(inside[:-1]).astype(bool)
-        if inside.all():
-            flat, places = self.points, place - np.repeat(self.start, size)
-        else:
-            flat, places = self.points[inside], place[inside] - np.repeat(self.start, size)
         begins = np.cumsum(size) - size
-        mixed = flat.astype(np.uint64) * _A + (places.astype(np.uint64) + np.uint64(1)) * _B
+        total = int(size.sum())
+        flat = self.points
+        if total < len(flat):
+            flat = flat[np.arange(total) + np.repeat(self.start - begins, size)]
+        # its place in the piece, from 1: that in all pieces less that of the piece's begin
+        mixed = np.arange(1, total + 1, dtype=np.uint64)
+        mixed -= np.repeat(begins.astype(np.uint64), size)
+        mixed *= _B
+        mixed += flat * _A
         mixed ^= mixed >> np.uint64(31)
         mixed *= _C
         mixed ^= mixed >> np.uint64(29)
@@ -170,7 +169,7 @@ def word_pieces(texts: list[str]) -> tuple[Pieces, str]:
     lowered = [t.lower() for t in texts]
     points, bounds = code_points(lowered)
     pieces = split(points, bounds, spaced=False, digits=True)
-    keep = kinds(points)[pieces.start] == LETTER
+    keep = kinds(points[pieces.start]) == LETTER
     return (Pieces(points, pieces.start[keep], pieces.end[keep], pieces.text[keep]),
             "".join(lowered))
 
