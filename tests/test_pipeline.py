@@ -417,6 +417,24 @@ def test_views(feed):
     assert spark.sql("SELECT * FROM transactions_daily_avg_price_vw").count() == 0
 
 
+def test_daily_view_adds_amounts_without_error(feed):
+    header = MOVES.splitlines()[0]
+    buys = [("2023-07-02", 1, 0.1), ("2023-07-02", 1, 0.2), ("2023-07-02", 1, 0.3),
+            ("2023-07-03", 0.000015, 2), ("2023-07-04", 1e9, 1.5), ("2023-07-04", "", 2)]
+    assert (0.1 + 0.2 + 0.3) / 3 != 0.6 / 3  # what doubles give
+    lines = ["V0,C1,2023-07-01,1,approved,sell,1,1"] + [
+        f"V{i},C1,{day},1,approved,buy,{qtty},{price}" for i, (day, qtty, price) in enumerate(buys, 1)]
+    feed.put(f"entity=transactions/{DAY}/buys.csv", "\n".join([header, *lines]))
+    feed.land()
+    views.register_views(feed.tables)
+    found = feed.spark.table("transactions_daily_avg_price_vw").orderBy("transaction_date").collect()
+    assert [r["buy_qtty"] for r in found] == [3.0, 0.000015, 1e9]
+    assert [r["daily_avg_price"] for r in found] == [0.6 / 3, 0.00003 / 0.000015, 1.5]
+    assert [r["running_avg_price"] for r in found] == [
+        max(0.1, 0.3 / 2, 0.6 / 3), (0.6 + 0.00003) / (3 + 0.000015),
+        (0.6 + (0.00003 + 1.5e9)) / (3 + (0.000015 + 1e9))]
+
+
 def test_views_show_the_table_as_it_is(feed):
     _both(feed)
     feed.land()

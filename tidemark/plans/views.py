@@ -37,6 +37,25 @@ def _sum(*parts: str) -> str:
     return f"CASE WHEN coalesce({', '.join(parts)}) IS NOT NULL THEN {total} END"
 
 
+# Gold stores doubles, whose sums depend on the order of rows. Amounts below ten million of up to 4
+# places are added up as decimals, without error; all others are added up as doubles beside them.
+_PLACES = "DECIMAL(11, 4)"
+_TOTAL = "DECIMAL(34, 8)"  # holds a million million rows; three of these add up without losing a place
+_SUMMED = ("q", "q_rest", "c", "c_rest")
+
+
+def _sums(over: str = "") -> str:
+    """The sums of quantity and cost, each in its two parts."""
+    whole = {"q": _TOTAL, "c": _TOTAL, "q_rest": "DOUBLE", "c_rest": "DOUBLE"}
+    return ", ".join(f"CAST(sum({m}){over} AS {whole[m]}) AS {m}" for m in _SUMMED)
+
+
+def _total(measure: str, *levels: str) -> str:
+    """The sum of a measure's two parts over some levels."""
+    exact, rest = ([f"{at}.{part}" for at in levels] for part in (measure, f"{measure}_rest"))
+    return _sum(f"CAST({_sum(*exact)} AS DOUBLE)", _sum(*rest))
+
+
 # The running sum is taken in three levels: in each slice of a day's ids, over a day's slices, over
 # the days. A day of over a million rows has slices of about that many, whose bounds are taken at
 # equal steps from ids drawn by their hash, as in ``operators.running``.
@@ -53,10 +72,21 @@ moves AS (
   UNION ALL
   SELECT first.transaction_date, first.transaction_id, first.qtty, first.price, -1
   FROM openings WHERE first.is_buy),
-costed AS (
-  SELECT transaction_date AS day, transaction_id AS id,
-         sum(n) * qtty AS q, sum(n) * (qtty * price) AS c
+later AS (
+  SELECT transaction_date AS day, transaction_id AS id, qtty, price, sum(n) AS n,
+         try_cast(sum(n) AS INT) AS copies, try_cast(qtty AS {_PLACES}) AS places_of_qtty,
+         try_cast(price AS {_PLACES}) AS places_of_price
   FROM moves GROUP BY transaction_date, transaction_id, qtty, price HAVING sum(n) > 0),
+exact AS (
+  SELECT day, id, n * qtty AS q_double, n * (qtty * price) AS c_double,
+         if(CAST(places_of_qtty AS DOUBLE) = qtty, copies * places_of_qtty, NULL) AS q,
+         if(CAST(places_of_qtty AS DOUBLE) = qtty AND CAST(places_of_price AS DOUBLE) = price,
+            copies * (places_of_qtty * places_of_price), NULL) AS c
+  FROM later),
+costed AS (
+  SELECT day, id, q, c, if(q IS NULL, q_double, NULL) AS q_rest,
+         if(c IS NULL, c_double, NULL) AS c_rest
+  FROM exact),
 heavy AS (
   SELECT day, count(*) AS n, CAST(ceil(count(*) / {SLICE_ROWS}) AS INT) AS k FROM costed
   GROUP BY day HAVING count(*) > {SLICE_ROWS}),
@@ -71,19 +101,20 @@ sliced AS (
   SELECT c.*, CASE WHEN cuts IS NULL THEN 0 ELSE size(filter(cuts, b -> b <= id)) END AS slice
   FROM costed c LEFT JOIN bounds b ON c.day <=> b.day),
 inside AS (
-  SELECT day, slice, sum(q) OVER ids AS q, sum(c) OVER ids AS c FROM sliced
+  SELECT day, slice, {_sums(" OVER ids")} FROM sliced
   WINDOW ids AS (PARTITION BY day, slice ORDER BY id)),
-slices AS (SELECT day, slice, sum(q) AS q, sum(c) AS c FROM sliced GROUP BY day, slice),
+slices AS (SELECT day, slice, {_sums()} FROM sliced GROUP BY day, slice),
 before_slices AS (
-  SELECT day, slice, sum(q) OVER earlier AS q, sum(c) OVER earlier AS c FROM slices
+  SELECT day, slice, {_sums(" OVER earlier")} FROM slices
   WINDOW earlier AS (PARTITION BY day ORDER BY slice
                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-days AS (SELECT day, sum(q) AS q, sum(c) AS c FROM slices GROUP BY day),
+days AS (SELECT day, {_sums()} FROM slices GROUP BY day),
 before_days AS (
-  SELECT day, q AS day_q, c AS day_c, sum(q) OVER earlier AS q, sum(c) OVER earlier AS c FROM days
+  SELECT day, {_total("q", "days")} AS day_q, {_total("c", "days")} AS day_c,
+         {_sums(" OVER earlier")} FROM days
   WINDOW earlier AS (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 highest AS (
-  SELECT i.day, max(try_divide({_sum("i.c", "s.c", "d.c")}, {_sum("i.q", "s.q", "d.q")})) AS value
+  SELECT i.day, max(try_divide({_total("c", "i", "s", "d")}, {_total("q", "i", "s", "d")})) AS value
   FROM inside i JOIN before_slices s ON i.day <=> s.day AND i.slice <=> s.slice
        JOIN before_days d ON i.day <=> d.day
   GROUP BY i.day)
