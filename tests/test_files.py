@@ -222,3 +222,35 @@ def test_usual_records_become_json_without_an_object_each(monkeypatch):
     rows = list(csv.DictReader(io.StringIO(text, newline="")))
     assert (data, count) == (dumps(rows, ensure_ascii=False), 5003)
     assert len(made) == 2  # the short and the long record
+
+
+def test_each_landed_message_is_a_row_group_of_its_own(spark, tables, tmp_path):
+    """Of a row group up to 4096 messages are held at once, and Parquet ends none before 100 rows."""
+    import pyarrow.parquet as pq
+
+    from tidemark.streaming import start_landing
+    folder = tmp_path / "landing/entity=customers"
+    _write(folder, {f"{i}.csv": "customer_id\n" + "C1\n" * 10 for i in range(3)})
+    _write(folder, {"big.csv": "customer_id\n" + "C1\n" * 4000})
+    start_landing(spark, str(tmp_path / "landing"), tables, str(tmp_path / "stream"),
+                  inline_bytes=1000, after_batch=None).awaitTermination()
+    footers = [pq.ParquetFile(f).metadata
+               for f in (tmp_path / "tables/landing_events").rglob("*.parquet")]
+    groups = [m.row_group(i) for m in footers for i in range(m.num_row_groups)]
+    assert [g.num_rows for g in groups] == [1] * 4 == [1] * tables.read("landing_events").count()
+    codecs = {g.column(i).compression for g in groups for i in range(g.num_columns)}
+    assert codecs == {"ZSTD"}  # it streams
+
+
+def test_tasks_that_chunk_large_files_follow_their_size(spark, tmp_path, monkeypatch):
+    text = "id,note\n" + "".join(f'{i},"a\nb"\n' for i in range(4000))
+    _write(tmp_path, {"a.csv": text, "b.csv": text})
+    monkeypatch.setattr(large_files, "TASK_BYTES", 1000)
+    rows = parse_large_files(spark, [str(tmp_path / n) for n in ("a.csv", "b.csv")],
+                             str(tmp_path / "scratch"), chunk_bytes=500).collect()
+    for name in ("a.csv", "b.csv"):
+        mine = sorted((r for r in rows if r["path"].endswith(name)), key=lambda r: r["part"])
+        assert [x for r in mine for x in json.loads(r["data"])] == json.loads(
+            csv_files.records_as_json(text))
+    written = list((tmp_path / "scratch/chunks").glob("*.parquet"))
+    assert len(written) > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -72,17 +72,38 @@ def counted_records(text: str, header: list[str] | None = None) -> tuple[str, in
 
     Fields are bound to the names in ``header``, or else in the first record.
     """
-    rows, pieces, count = csv.reader(_lines(text)), [], 0
+    data = bytearray()
+    count = append_records(data, text, header)
+    return data.decode("utf-8", "surrogatepass"), count
+
+
+def append_records(data: bytearray, text: str, header: list[str] | None = None) -> int:
+    """As :func:`counted_records`, at the end of ``data``, so that the JSON text of a file is made once
+    and handed over as it is. ``data`` is as before if the text cannot be read."""
+    begin = len(data)
+    try:
+        return _append_records(data, text, header)
+    except csv.Error:
+        del data[begin:]
+        raise
+
+
+def _append_records(data: bytearray, text: str, header: list[str] | None) -> int:
+    rows, count = csv.reader(_lines(text)), 0
     names = next(rows, []) if header is None else header
     # Rows as wide as the header need no object: their texts go into the place of each name.
     usual = len(names) if len(set(names)) == len(names) else -1
     shape = ", ".join(f"{_text(name).replace('%', '%%')}: %s" for name in names)
+    data += b"["
     for some in batched(filter(None, rows), RECORDS_AT_ONCE):
-        pieces.append(", ".join([
+        piece = ", ".join([
             f"{{{shape % tuple(map(_text, row))}}}" if len(row) == usual
-            else json.dumps(_record(names, row), ensure_ascii=False) for row in some]))
+            else json.dumps(_record(names, row), ensure_ascii=False) for row in some])
+        data += b", " if count else b""
+        data += piece.encode("utf-8", "surrogatepass")
         count += len(some)
-    return f"[{', '.join(pieces)}]", count
+    data += b"]"
+    return count
 
 
 def _record(names: Sequence[str], row: Sequence[str]) -> dict:
@@ -104,32 +125,38 @@ def records_as_json(text: str, header: list[str] | None = None) -> str:
     return counted_records(text, header)[0]
 
 
-def _parse_one(content: bytes) -> tuple[str | None, str | None, int]:
+def _parse_one(data: bytearray, content: pa.Buffer) -> tuple[str | None, int]:
     try:
-        data, count = counted_records(content.decode("utf-8"))
-        return data, None, count
+        return None, append_records(data, str(content, "utf-8"))
     except (UnicodeDecodeError, csv.Error) as problem:
-        return None, f"{type(problem).__name__}: {problem}", 0
+        return f"{type(problem).__name__}: {problem}", 0
+
+
+def texts_of(data: bytearray, ends: Sequence[int], valid: Sequence[bool]) -> pa.Array:
+    """A text column over the neighbouring slices of ``data``, which is not copied."""
+    offsets = pa.array([0, *ends], pa.int32()).buffers()[1]
+    return pa.Array.from_buffers(
+        pa.string(), len(ends), [pa.array(valid, pa.bool_()).buffers()[1], offsets, pa.py_buffer(data)])
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         contents = batch.column("content")
-        found, size, start = [], 0, 0
+        data, found, size, start = bytearray(), [], 0, 0
         for place in range(batch.num_rows):
-            content = contents[place].as_py()
-            found.append(_parse_one(content))
-            size += len(content)
+            content = contents[place].as_buffer()
+            found.append((*_parse_one(data, content), len(data)))
+            size += content.size
             if size >= YIELD_BYTES or place == batch.num_rows - 1:
-                data, errors, counts = zip(*found, strict=True)
+                errors, counts, ends = zip(*found, strict=True)
                 files = batch.slice(start, len(found))
                 yield pa.RecordBatch.from_arrays(
                     [*[files.column(c) for c in ("path", "modificationTime", "length")],
-                     pa.array([0] * len(found), pa.int64()), pa.array(data, pa.string()),
+                     pa.array([0] * len(found), pa.int64()),
+                     texts_of(data, ends, [e is None for e in errors]),
                      pa.array(errors, pa.string()), pa.array(counts, pa.int64())],
                     names=[f.split()[0] for f in PARSED.split(", ")])
-                found, size, start = [], 0, place + 1
-                del data
+                data, found, size, start = bytearray(), [], 0, place + 1
 
 
 def parse_files(files: DataFrame) -> DataFrame:

@@ -11,16 +11,18 @@ from __future__ import annotations
 import csv
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import materialized, new_folder
-from tidemark.sources.csv_files import PARSED, literal_paths, counted_records
+from tidemark.session import materialized, materialized_texts, new_folder
+from tidemark.sources.csv_files import PARSED, append_records, literal_paths, texts_of
 from tidemark.sources.storage import Storage
 
 CHUNK_BYTES = 8 * 1024 * 1024
+# Lines that one task sorts into chunks, about.
+TASK_BYTES = 4 * CHUNK_BYTES
 # A single record longer than this cannot be held as one text and sets its file aside.
 RECORD_BYTES = 512 * 1024 * 1024
 
@@ -180,19 +182,24 @@ def _problems(chained: DataFrame) -> DataFrame:
             .agg(F.max("error").alias("error")))
 
 
-def _chunk_parser(headers: dict[str, list[str]], marked: set[str]) -> Callable:
-    def parse(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
-        file, part = key
-        text = "\n".join(lines.sort_values(["block", "line"])["value"])
+def _chunk_parser(files: list[str], headers: dict[str, list[str]], marked: set[str]) -> Callable:
+    def parse(key: tuple, lines: pa.Table) -> pa.Table:
+        file, part = files[key[0].as_py()], key[1].as_py()
+        order = pc.sort_indices(lines, [("block", "ascending"), ("line", "ascending")])
+        text = "\n".join(lines.column("value").take(order).to_pylist())
+        del lines, order
         header = None if part == 0 else headers[file]
         if part == 0 and file in marked:
             text = "\ufeff" + text
+        data, count, error = bytearray(), 0, None
         try:
-            (data, count), error = counted_records(text, header), None
+            count = append_records(data, text, header)
         except csv.Error as problem:
-            data, count, error = None, 0, f"{type(problem).__name__}: {problem}"
-        return pd.DataFrame({"file": [file], "part": [part], "data": [data], "error": [error],
-                             "records": [count]})
+            error = f"{type(problem).__name__}: {problem}"
+        return pa.table({"file": [file], "part": pa.array([part], pa.int64()),
+                         "data": texts_of(data, [len(data)], [error is None]),
+                         "error": pa.array([error], pa.string()),
+                         "records": pa.array([count], pa.int64())})
 
     return parse
 
@@ -228,15 +235,21 @@ def parse_large_files(spark: SparkSession, paths: list[str], scratch: str | None
                 headers[row["file"]][0] = "\ufeff" + headers[row["file"]][0]
 
     unreadable = _problems(chained)
-    where = chained.select("file", "block", "inside", "carried")
+    # each line goes to its chunk with the number of its file, as names may be longer than lines
+    files = sorted(headers)
+    numbers = spark.createDataFrame(list(enumerate(files)), "number int, file string")
+    where = (chained.select("file", "block", "inside", "carried")
+             .join(F.broadcast(numbers), "file").join(unreadable, "file", "left_anti"))
     place = F.when(F.col("inside"), F.col("if_inside")).otherwise(F.col("if_outside"))
     parts = (scanned.filter("line >= 0").join(where, ["file", "block"])
-             .join(unreadable, "file", "left_anti")
-             .select("file", "block", "line", "value",
+             .select("number", "block", "line", "value",
                      F.when(place > 0, F.col("block") + place - 1)
                      .otherwise(F.col("carried")).alias("part")))
-    chunks = materialized(parts.groupBy("file", "part").applyInPandas(
-        _chunk_parser(headers, marked), _CHUNKS), f"{scratch}/chunks")
+    size = chained.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(1, -(-size // TASK_BYTES))  # whatever the session's number of partitions is
+    chunks = materialized_texts(
+        parts.repartition(tasks, "number", "part").groupBy("number", "part").applyInArrow(
+            _chunk_parser(files, headers, marked), _CHUNKS), f"{scratch}/chunks")
 
     failed = unreadable.unionByName(
         chunks.filter(F.col("error").isNotNull()).groupBy("file")

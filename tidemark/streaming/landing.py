@@ -13,7 +13,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.plans.lineage import quarantine
 from tidemark.plans.medallion import refresh_all
-from tidemark.session import materialized, utc_now
+from tidemark.session import LONG_TEXTS, materialized, setting, utc_now
 from tidemark.sources.csv_files import (
     CSV_GLOB,
     INLINE_BYTES,
@@ -35,6 +35,10 @@ MAX_ATTEMPTS = 5
 # newest one, such as those renamed into the folder or copied with their times.
 ANY_AGE = "36500d"
 
+# Files that a task writes side by side: one for each outcome and entity. Up to that many Spark does not
+# sort rows by their file first, which would hold all messages of a task in memory.
+OPEN_FILES = 8
+
 # Outcome of a file -> table that records it. "large" files are parsed in a second step.
 OUTCOMES = {"message": "landing_events", "reject": "rejects", "quarantine": "quarantine"}
 
@@ -74,7 +78,9 @@ def outcomes_of(files: DataFrame, root: str, published: Column,
 def _staged(run: Run, rows: DataFrame) -> str:
     """Write outcomes once, split by what they are, without making them part of a table."""
     folder = run.scratch("outcomes")
-    rows.write.partitionBy("outcome", "_publish_date", "_entity").parquet(folder)
+    with setting(rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", OPEN_FILES):
+        (rows.write.options(**LONG_TEXTS).partitionBy("outcome", "_publish_date", "_entity")
+         .parquet(folder))
     return folder
 
 
