@@ -6,6 +6,8 @@ sums do not depend on the order of addition and both engines give the same digit
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def padded_customer_id(key: str) -> Column:
+    """An id of six places or more: ``lpad`` alone would cut the key of the millionth customer."""
+    number = F.col(key).cast("string")
+    return F.concat(F.lit("C"), F.lpad(number, F.greatest(F.length(number), F.lit(6)), F.lit("0")))
+
+
+def six_place_customer_id(key: str) -> Column:
+    """As the SQL of ``normalize_ids`` and ``land_files`` has it, of longer keys the first six places."""
     return F.concat(F.lit("C"), F.lpad(F.col(key).cast("string"), 6, "0"))
 
 
@@ -35,10 +44,11 @@ def _side(key: Column) -> Column:
     return F.when(key % 2 == 0, "buy").otherwise("sell")
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customers(spark: SparkSession, sf_dir: str,
+              padded: Callable[[str], Column] = padded_customer_id) -> DataFrame:
     """Customers as delivered, with padded ids."""
     return table(spark, sf_dir, "customer").select(
-        padded_customer_id("c_custkey").alias("customer_id"),
+        padded("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.concat(F.lower("c_name"), F.lit("@example.com")).alias("customer_email"),
         "c_nationkey", "c_mktsegment")
