@@ -527,6 +527,9 @@ def land_audit(spark, sf_dir):
         (a["source_path"].endswith(a["source_file"]) & a["source_file"].endswith(".csv")
          & (F.length(a["audit_id"]) == 64) & F.col("message_id").startswith(a["audit_id"])
          & (a["ingested_at"].cast("timestamp") == F.col("publish_time"))).alias("well_formed"))
+    # a large file has several messages
+    files = files.groupBy("entity", "audit_id").agg(
+        F.sum("records").alias("records"), F.bool_and("well_formed").alias("well_formed"))
     rows = silver_rows.groupBy("audit_id").agg(F.count("*").alias("rows"))
     return files.join(rows, "audit_id", "left").groupBy("entity").agg(
         F.sum("records").alias("records"), F.sum("rows").alias("rows"),
