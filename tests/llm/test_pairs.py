@@ -203,3 +203,26 @@ def test_passes_find_planted_pairs(spark, monkeypatch):
     unit = both / np.linalg.norm(both, axis=1, keepdims=True)
     near = np.triu(unit @ unit.T >= 0.995, 1)
     assert [r["n_links"] for r in sorted(found)] == (near.sum(0) + near.sum(1)).tolist()
+
+
+def test_vectors_pass_by_turns_and_leave_little_on_disk(spark, monkeypatch):
+    """What all passes need at once, their keys and windows, was there until the session ended."""
+    import pathlib
+
+    rng = np.random.default_rng(5)
+    some = rng.normal(size=(300, 8))
+    both = np.concatenate([some, some + 0.02 * rng.normal(size=some.shape)])
+    both /= np.linalg.norm(both, axis=1, keepdims=True)
+    table = spark.createDataFrame([(i, v, 1) for i, v in enumerate(both.tolist())],
+                                  "vec_id long, embedding array<double>, label int")
+    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "tidemark"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    for name in ("KEY_ROWS", "WINDOW_ROWS"):
+        monkeypatch.setattr(projection_dedup, name, 1)
+    found = projection_dedup.near_duplicates(table, block=24).collect()
+    left = {p.name.rpartition("-")[0] for p in set(folder.iterdir()) - before}
+    near = np.triu(both @ both.T >= 0.93, 1)
+    assert [r["n_links"] for r in sorted(found)] == (near.sum(0) + near.sum(1)).tolist()
+    assert "vector-passes" in left and "vector-results" in left
+    assert not left & {"vectors", "vector-keys", "vector-ranks", "vector-blocks",
+                       "vectors-of-passes"}
